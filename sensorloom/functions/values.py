@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # a decimal literal, optionally with single underscores between digits
 _NUMBER = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
@@ -18,7 +18,7 @@ def to_number(c: Column, text: bool = False) -> Column:
     if text:
         c = F.when(c.rlike(_NUMBER), F.regexp_replace(F.trim(c), "_", ""))
     x = c.try_cast("double")
-    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
+    return F.when(F.abs(x) < float("inf"), x)  # NaN is above infinity
 
 
 def nan_to_null(c: Column) -> Column:
@@ -45,28 +45,35 @@ def round_half_up(c: Column, digits: int) -> Column:
 def round_exact(c: Column, digits: int = 2) -> Column:
     """Round the exact binary value, halves to even: 2.675 -> 2.67, 0.125 -> 0.12.
 
-    ``|c| * 10**digits`` is split into a rounded product and its exact error (Dekker 1971), so the
-    comparison with one half is made on the true value and not on the rounded product.
+    ``rint`` of the scaled value is right unless the rounded product falls on a half. There the exact error
+    of the product (Dekker 1971) tells the side. ``c`` is used many times: pass a column of the frame, not a
+    long expression.
     """
     scale = F.lit(float(10**digits))
-    x = F.abs(c)
-    spread = x * F.lit(134217729.0)  # 2**27 + 1
-    high = spread - (spread - x)
-    low = x - high
-    product = x * scale
-    error = (high * scale - product) + low * scale
-    whole = F.floor(product)
-    excess = (product - whole.cast("double") - F.lit(0.5)) + error
+    product = c * scale
+    spread = c * F.lit(134217729.0)  # 2**27 + 1
+    high = spread - (spread - c)
+    error = (high * scale - product) + (c - high) * scale
+    half = F.abs(product - F.rint(product)) == F.lit(0.5)
     units = (
-        F.when(excess > 0, whole + 1).when(excess < 0, whole).otherwise(whole + whole % 2)
-    ).cast("double")
-    size = F.when(x * scale < F.lit(2.0**52), units / scale).otherwise(x)
-    return F.when((c < 0) & (size > 0), -size).otherwise(size)
+        F.when(half & (error > 0), product + F.lit(0.5))
+        .when(half & (error < 0), product - F.lit(0.5))
+        .otherwise(F.rint(product))
+    )
+    # adding zero turns minus zero into zero; from 2**52 on there are no decimals left
+    return F.when(F.abs(product) < F.lit(2.0**52), units / scale + F.lit(0.0)).otherwise(c)
+
 
+def clean_columns(
+    df: DataFrame, ranges: dict[str, tuple[float | None, float | None]], text: bool = False, digits: int = 2
+) -> DataFrame:
+    """Parse, check the inclusive range and round the named columns in place; anything unusable is null.
 
-def clean(c: Column, low: float | None = None, high: float | None = None, text: bool = False) -> Column:
-    """Parse, check the inclusive range, round to 2 digits; anything unusable is null."""
-    return round_exact(in_range(to_number(c, text), low, high), 2)
+    Each step is its own projection, so no step is computed twice.
+    """
+    out = df.withColumns({c: to_number(F.col(c), text) for c in ranges})
+    out = out.withColumns({c: in_range(F.col(c), low, high) for c, (low, high) in ranges.items()})
+    return out.withColumns({c: round_exact(F.col(c), digits) for c in ranges})
 
 
 def number_text(c: Column, digits: int = 2) -> Column:

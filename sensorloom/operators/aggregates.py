@@ -34,19 +34,24 @@ def mean_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(*[F.avg(fv.nan_to_null(F.col(c).cast("double"))).alias(c) for c in columns])
 
 
+def completeness_stats(column: str) -> list[Column]:
+    rows, present = F.count(F.lit(1)), F.count(column)
+    percent = F.bround(present / rows * 100, 0).cast("bigint")
+    return [rows.alias("n"), present.alias("present"), percent.alias("pct")]
+
+
 def completeness(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Rows, rows with a value, and the percentage rounded half to even."""
-    present = F.count(column)
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        present.alias("present"),
-        F.bround(present / F.count(F.lit(1)) * 100, 0).cast("bigint").alias("pct"),
-    )
+    return df.groupBy(*keys).agg(*completeness_stats(column))
+
+
+def extent_stats(ts: str) -> list[Column]:
+    return [F.min(ts).alias("first"), F.max(ts).alias("last")]
 
 
 def extent(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """First and last time per group."""
-    return df.groupBy(*keys).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    return df.groupBy(*keys).agg(*extent_stats(ts))
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.functions import values as fv
 from sensorloom.operators.aggregates import mean_by
+from sensorloom.operators.joins import join_dim
 from sensorloom.operators.relational import drop_incomplete, min_rows
 from sensorloom.operators.scaling import standardise
 from sensorloom.session import settle
@@ -57,7 +58,7 @@ def name_clusters(
     level = F.dense_rank().over(Window.orderBy("_mean", cluster)) - 1
     ranked = df.groupBy(cluster).agg(F.avg(order_column).alias("_mean")).select(cluster, level.alias("_level"))
     return (
-        df.join(F.broadcast(ranked), cluster)
+        join_dim(df, ranked, cluster)
         .withColumn(name, fv.map_label(F.col("_level"), names, prefix))
         .drop("_level")
     )

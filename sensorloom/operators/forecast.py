@@ -14,9 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.functions import time as ft, values as fv
-from sensorloom.operators.aggregates import min_rows_per
 from sensorloom.operators.joins import join_dim
 from sensorloom.operators.relational import drop_incomplete, stack
+from sensorloom.session import settle
 
 # fixed values: horizon, band, and the smallest series that is forecast
 HORIZON = 24
@@ -40,7 +40,9 @@ def _hours(ts: str) -> Column:
     return (ft.micros(F.col(ts)) - F.lit(1_577_836_800_000_000)) / F.lit(float(_HOUR_US))
 
 
-def seasonal_fit(df: DataFrame, series: Sequence[str], ts: str, value: str) -> DataFrame:
+def seasonal_fit(
+    df: DataFrame, series: Sequence[str], ts: str, value: str, min_points: int = MIN_POINTS
+) -> DataFrame:
     """Linear trend plus mean residual by hour, then by weekday: one row per series, hour and weekday.
 
     The rows are reduced once, to counts, means, variances and the covariance per cell; trend, effects and
@@ -52,7 +54,7 @@ def seasonal_fit(df: DataFrame, series: Sequence[str], ts: str, value: str) -> D
         .groupBy(*series, F.hour(ts).alias("_hour"), ft.weekday0(F.col(ts)).alias("_weekday"))
         .agg(
             F.count(value).alias("n"), F.avg(y).alias("y"), F.avg(t).alias("t"),
-            F.var_pop(y).alias("vy"), F.var_pop(t).alias("vt"), F.covar_pop(t, y).alias("c"),
+            F.var_pop(y).alias("vy"), F.var_pop(t).alias("vt"), F.covar_pop(t, y).alias("c"), F.max(ts).alias("_end"),
         )
     )
     every = Window.partitionBy(*series)
@@ -63,6 +65,7 @@ def seasonal_fit(df: DataFrame, series: Sequence[str], ts: str, value: str) -> D
 
     total = F.sum("n").over(every)
     centred = cells.withColumns({"ty": mean(F.col("y")), "tt": mean(F.col("t")), "total": total})
+    centred = centred.filter(F.col("total") >= min_points)
     dt, dy = F.col("t") - F.col("tt"), F.col("y") - F.col("ty")
     var_t = F.sum(F.col("n") * (F.col("vt") + dt * dt)).over(every)
     cov = F.sum(F.col("n") * (F.col("c") + dt * dy)).over(every)
@@ -78,7 +81,7 @@ def seasonal_fit(df: DataFrame, series: Sequence[str], ts: str, value: str) -> D
     sigma = F.when(F.col("total") > 1, F.sqrt(spread / (F.col("total") - 1)))
     return both.withColumn("sigma", sigma).select(
         *series, "_hour", "_weekday", F.col("ty").alias("level"), F.col("tt").alias("centre"),
-        "slope", "by_hour", "by_weekday", "sigma",
+        "slope", "by_hour", "by_weekday", "sigma", "_end",
     )
 
 
@@ -90,8 +93,8 @@ def seasonal_forecast(
 
     Series with fewer than ``min_points`` values are left out; an hour or weekday never seen counts as 0.
     """
-    points = min_rows_per(drop_incomplete(df.select(*series, ts, value), [ts, value]), series, min_points)
-    fit = seasonal_fit(points, series, ts, value)
+    points = drop_incomplete(df.select(*series, ts, value), [ts, value])
+    fit = settle(seasonal_fit(points, series, ts, value, min_points))
     keys = [*series, "_hour", "_weekday"]
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -101,7 +104,7 @@ def seasonal_forecast(
     trend = fit.groupBy(*series).agg(*[F.first(c).alias(c) for c in ("level", "centre", "slope", "sigma")])
     hours = fit.groupBy(*series, "_hour").agg(F.first("by_hour").alias("by_hour"))
     days = fit.groupBy(*series, "_weekday").agg(F.first("by_weekday").alias("by_weekday"))
-    future = placed(extend_time(points, series, ts, horizon, step))
+    future = placed(extend_time(fit.withColumnRenamed("_end", ts), series, ts, horizon, step))
     future = join_dim(future, trend, series)
     future = join_dim(join_dim(future, hours, [*series, "_hour"], "left"), days, [*series, "_weekday"], "left")
     columns = [*series, ts, "_t", "level", "centre", "slope", "by_hour", "by_weekday", "sigma", "type"]
@@ -181,15 +184,24 @@ def _solve(gram: np.ndarray) -> tuple[np.ndarray, float]:
     return beta, float(np.sqrt(sigma2))
 
 
-def additive_fit(df: DataFrame, series: Sequence[str], ts: str, value: str) -> DataFrame:
+def additive_fit(
+    df: DataFrame, series: Sequence[str], ts: str, value: str, min_points: int = MIN_POINTS
+) -> DataFrame:
     """One row per series: first and last time, value scale, coefficients, residual deviation.
 
     Each task adds up ``[X y]' [X y]`` over its Arrow batches, one matrix per series; Spark sums the matrices
     entry by entry with map-side combining and only the sums (a fixed number per series) are solved.
     """
-    span = df.groupBy(*series).agg(
-        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max(F.abs(value)).alias("_scale")
-    ).withColumn("_scale", F.when(F.col("_scale") > 0, F.col("_scale")).otherwise(F.lit(1.0)))
+    span = (
+        df.groupBy(*series)
+        .agg(
+            F.min(ts).alias("_first"), F.max(ts).alias("_last"),
+            F.max(F.abs(value)).alias("_scale"), F.count(value).alias("_n"),
+        )
+        .filter(F.col("_n") >= min_points)
+        .withColumn("_scale", F.when(F.col("_scale") > 0, F.col("_scale")).otherwise(F.lit(1.0)))
+    )
+    span = settle(span.drop("_n"))
     rows = join_dim(df, span, series)
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))
     p = len(terms) + 1
@@ -239,11 +251,12 @@ def additive_forecast(
     horizon: int = HORIZON, min_points: int = MIN_POINTS, step: str = "1 hour",
 ) -> DataFrame:
     """As :func:`seasonal_forecast`, with slope changes and Fourier terms fitted together."""
-    points = min_rows_per(drop_incomplete(df.select(*series, ts, value), [ts, value]), series, min_points)
-    fit = additive_fit(points, series, ts, value)
+    points = drop_incomplete(df.select(*series, ts, value), [ts, value])
+    fit = settle(additive_fit(points, series, ts, value, min_points))
+    ends = fit.select(*series, F.col("_last").alias(ts))
     rows = stack(
         points.select(*series, ts).distinct().withColumn("type", F.lit(HISTORY)),
-        extend_time(points, series, ts, horizon, step).withColumn("type", F.lit(FUTURE)),
+        extend_time(ends, series, ts, horizon, step).withColumn("type", F.lit(FUTURE)),
     )
     placed = join_dim(rows, fit, series)
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))

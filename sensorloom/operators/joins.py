@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions import time as ft
-from sensorloom.operators.skew import hot_groups, skew_join
+from sensorloom.operators.skew import SHARE_ROWS, hot_groups, skew_join
 from sensorloom.operators.windows import latest_per_key
 
 
@@ -18,8 +18,9 @@ def bucket_left_join(
     left_ts: str,
     feed_ts: str,
     unit: str = "hour",
-    hot_left: list[int] | None = None,
-    hot_right: dict[str, list[int]] | None = None,
+    hot_left: dict[int, int] | None = None,
+    hot_right: dict[str, dict[int, int]] | None = None,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Left join feeds on key and time bucket. Several matches in a bucket multiply the rows.
 
@@ -32,13 +33,18 @@ def bucket_left_join(
     for prefix, feed in feeds.items():
         values = [F.col(c).alias(f"{prefix}_{c}") for c in feed.columns if c not in (*keys, feed_ts)]
         right = feed.select(*keys, ft.bucket(F.col(feed_ts), unit).alias("_bucket"), *values)
-        out = skew_join(out, right, on, "left", hot, None if hot_right is None else hot_right.get(prefix, []))
+        found = None if hot_right is None else hot_right.get(prefix, {})
+        out = skew_join(out, right, on, "left", hot, found, share_rows)
     return out.drop("_bucket")
 
 
 def join_dim(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join to a dimension: broadcast when it fits Spark's threshold, else a skew-safe shuffle join."""
-    return skew_join(df, dim, [on] if isinstance(on, str) else on, how, hot_right=[])
+    """Equi-join to a dimension with one row per key.
+
+    Spark broadcasts it when it is within the broadcast threshold; else hot keys of ``df`` are split.
+    """
+    on = [on] if isinstance(on, str) else on
+    return skew_join(df, dim, on, how)
 
 
 def left_join_latest(

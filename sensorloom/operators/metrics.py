@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions import values as fv
-from sensorloom.operators.relational import stack
+from sensorloom.operators.joins import to_long
 
 
 def regression_metrics(
@@ -25,10 +25,9 @@ def regression_metrics(
         "mape": F.avg(fv.relative_residual(F.col(y), F.col(yhat))) * 100,
         "r2": F.when(spread > 0, 1 - F.sum(error * error) / spread),
     }
-    if digits is not None:
-        stats = {name: fv.round_exact(c, digits) for name, c in stats.items()}
     pairs = df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
-    return pairs.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
+    done = pairs.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
+    return done if digits is None else done.withColumns({c: fv.round_exact(F.col(c), digits) for c in stats})
 
 
 def residual_table(df: DataFrame, ids: Sequence[str], y: str, yhat: str) -> DataFrame:
@@ -37,7 +36,7 @@ def residual_table(df: DataFrame, ids: Sequence[str], y: str, yhat: str) -> Data
     return df.select(*ids, F.col(y).alias("actual"), F.col(yhat).alias("predicted"), error.alias("error"))
 
 
-def compare_predictions(predictions: dict[str, DataFrame], y: str, yhat: str, digits: int = 4) -> DataFrame:
-    """One row of metrics per named prediction frame."""
-    named = [p.select(F.lit(name).alias("model"), y, yhat) for name, p in predictions.items()]
-    return regression_metrics(stack(*named), y, yhat, ["model"], digits)
+def compare_predictions(df: DataFrame, y: str, models: dict[str, str], digits: int = 4) -> DataFrame:
+    """One row of metrics per model, for ``{model: prediction column}`` of the same rows, in one scan."""
+    named = df.select(y, *[F.col(c).cast("double").alias(model) for model, c in models.items()])
+    return regression_metrics(to_long(named, [y], list(models), "model", "_yhat"), y, "_yhat", ["model"], digits)

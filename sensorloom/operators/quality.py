@@ -17,21 +17,21 @@ def check_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-CHECKS = {"unique": check_unique, "not_null": check_not_null}
-
-
 def run_checks(df: DataFrame, checks: list[tuple[str, str]]) -> DataFrame:
-    """``[(check, column)]`` to one row each: check, column, failing rows, passed."""
-    return stack(
-        *[
-            CHECKS[kind](df, column)
-            .agg(F.count(F.lit(1)).alias("failures"))
-            .select(
-                F.lit(kind).alias("check"),
-                F.lit(column).alias("column"),
-                "failures",
-                (F.col("failures") == 0).alias("passed"),
-            )
-            for kind, column in checks
-        ]
-    )
+    """``[(check, column)]`` to one row each: check, column, failing rows, passed.
+
+    All ``not_null`` checks share one pass; each ``unique`` check groups its own column.
+    """
+    parts = []
+    present = [column for kind, column in checks if kind == "not_null"]
+    if present:
+        counts = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("failures")) for c in present]
+        each = df.agg(F.array(*counts).alias("all")).select(F.inline("all"))
+        parts.append(each.select(F.lit("not_null").alias("check"), "column", "failures"))
+    for kind, column in checks:
+        if kind == "unique":
+            failing = check_unique(df, column).agg(F.count(F.lit(1)).alias("failures"))
+            parts.append(failing.select(F.lit("unique").alias("check"), F.lit(column).alias("column"), "failures"))
+        elif kind != "not_null":
+            raise ValueError(f"unknown check {kind!r}")
+    return stack(*parts).withColumn("passed", F.col("failures") == 0)

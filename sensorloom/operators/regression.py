@@ -48,12 +48,17 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, **params
     return boosted(features, target, **params).fit(train)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("_features")
+def predict(model: PipelineModel, df: DataFrame, name: str = "predicted") -> DataFrame:
+    return model.transform(df).withColumnRenamed("predicted", name).drop("_features")
 
 
 def compare_models(train: DataFrame, test: DataFrame, target: str, estimators: dict[str, Pipeline]) -> DataFrame:
-    """Metrics on the test rows, one row per named estimator, rounded to 4 digits."""
-    return compare_predictions(
-        {name: predict(e.fit(train), test) for name, e in estimators.items()}, target, "predicted"
-    )
+    """Metrics on the test rows, one row per named estimator, rounded to 4 digits.
+
+    All models score the test rows side by side, so the rows are read once.
+    """
+    scored, columns = test, {}
+    for i, (name, estimator) in enumerate(estimators.items()):
+        columns[name] = f"_predicted_{i}"
+        scored = predict(estimator.fit(train), scored, columns[name])
+    return compare_predictions(scored, target, columns)

@@ -1,26 +1,27 @@
 """Size checks and hot-group handling shared by the joins and windows.
 
-A group is *hot* when it holds a large share of all rows. Hot groups are found with the mergeable
-``approx_top_k`` sketch: one pass over the key columns, no shuffle beyond one sketch per task, and at most
-``1 / share`` groups in the result. The sketch only chooses the plan; the result is exact either way.
+A group is *hot* when it has too many rows for one task. Hot groups are found with the mergeable
+``approx_top_k`` sketch: one pass over the key columns, one sketch per task, and at most ``1 / HOT_SHARE``
+groups in the result. The sketch only chooses the plan; the result is exact either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from sensorloom.operators.relational import require
 from sensorloom.session import settle
 
-HOT_SHARE = 1 / 256  # a hot group holds at least this share of the rows ...
-HOT_ROWS = 2_000_000  # ... and at least this many rows
-PLAIN_BYTES = 1 << 30  # below this size no group can be large enough to matter
-SALTS = 64
-BLOCK_ROWS = 1_000_000
+HOT_SHARE = 1 / 4096  # a hot group holds at least this share of the rows ...
+HOT_ROWS = 5_000_000  # ... and at least this many rows
+PLAIN_BYTES = 256 << 20  # below this size no group can be large enough to matter
+SHARE_ROWS = 2_000_000  # rows of a hot group that go to one join task
+BLOCK_ROWS = 1_000_000  # rows of a hot series that go to one window task
 
-_TRACKED = 8192
+_TRACKED = 32_768  # sketch entries; the count error is at most 3.5 / _TRACKED of the rows
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -31,6 +32,15 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of all tables a frame reads. Steadier than the estimate after joins, which multiplies sizes."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    except (AttributeError, TypeError):
+        return None
+
+
 def _bytes(text: str) -> int:
     """``10485760``, ``10485760b``, ``10MB`` as a byte count."""
     text = text.strip().lower().removesuffix("b")
@@ -58,18 +68,30 @@ def hot_groups(
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
     plain_bytes: int = PLAIN_BYTES,
-) -> list[int]:
-    """Hashes of the hot groups; at most ``1 / share`` of them."""
-    size = estimated_bytes(df)
+) -> dict[int, int]:
+    """Key hash and estimated rows of the hot groups; at most ``1 / share`` of them."""
+    size = input_bytes(df)
     if size is not None and size < plain_bytes:
-        return []
+        return {}
     top = int(1 / share)
     found = (
         df.select(group_hash(df, keys).alias("h"))
         .agg(F.expr(f"approx_top_k(h, {top}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"))
         .first()
     )
-    return [t["item"] for t in found["top"] or [] if t["count"] >= max(min_rows, share * found["n"])]
+    least = max(min_rows, share * found["n"])
+    return {t["item"]: t["count"] for t in found["top"] or [] if t["count"] >= least}
+
+
+def _shares(df: DataFrame, on: Sequence[str], hot: dict[int, int], share_rows: int) -> Column:
+    """Number of shares the group of a row is split into: a power of two, 1 for groups that are not hot."""
+    tiers: dict[int, list[int]] = {}
+    for item, rows in hot.items():
+        tiers.setdefault(1 << max(ceil(rows / share_rows) - 1, 1).bit_length(), []).append(item)
+    of, shares = group_hash(df, on), F.lit(1)
+    for count, items in tiers.items():
+        shares = F.when(of.isin(items), F.lit(count)).otherwise(shares)
+    return shares
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -83,48 +105,48 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot_left: list[int] | None = None,
-    hot_right: list[int] | None = None,
-    salts: int = SALTS,
+    hot_left: dict[int, int] | None = None,
+    hot_right: dict[int, int] | None = None,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Equi-join (``inner``, ``left``, ``left_semi``, ``left_anti``) that splits hot groups.
 
-    Rows of a hot left group are dealt to ``salts`` shares and the matching right rows copied to each
-    share, and the other way round for hot right groups. Without hot groups this is the plain join.
+    Rows of a hot left group are dealt to shares of ``share_rows`` rows and the matching right rows copied to
+    each share, and the other way round for hot right groups. Without hot groups, or when the right side is
+    within Spark's broadcast threshold, this is the plain join. Hot groups are looked for when not given.
     """
     on = list(on)
     existence = how in ("left_semi", "left_anti")
-    if existence:
-        right = right.select(*on).distinct()
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
+    right = right.select(*on).distinct() if existence else require(right, *on)
+    if hot_left is None and hot_right is None and fits_broadcast(right):
+        return left.join(right, on, how)
     hot_left = hot_groups(left, on) if hot_left is None else hot_left
     if existence:
-        hot_right = []
-    else:
-        right = require(right, *on)
-        hot_right = hot_groups(right, on) if hot_right is None else hot_right
+        hot_right = {}
+    elif hot_right is None:
+        hot_right = hot_groups(right, on)
     if not hot_left and not hot_right:
         return left.join(right, on, how)
 
-    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
-
-    def dealt(df: DataFrame, hot: list[int]) -> Column:
-        share = F.pmod(_row_hash(df), F.lit(salts)).cast("int")
-        return F.when(group_hash(df, on).isin(hot), share).otherwise(F.lit(0))
+    def dealt(df: DataFrame, hot: dict[int, int]) -> Column:
+        return F.pmod(_row_hash(df), _shares(df, on, hot, share_rows)).cast("int")
 
-    def copied(df: DataFrame, hot: list[int]) -> Column:
-        return F.explode(F.when(group_hash(df, on).isin(hot), everywhere).otherwise(F.array(F.lit(0))))
+    def copied(df: DataFrame, hot: dict[int, int]) -> Column:
+        return F.explode(F.sequence(F.lit(0), _shares(df, on, hot, share_rows) - 1))
 
-    lhs = left.withColumn("_deal_l", dealt(left, hot_left)).withColumn("_deal_r", copied(left, hot_right))
-    rhs = right.withColumn("_deal_r", dealt(right, hot_right)).withColumn("_deal_l", copied(right, hot_left))
-    keys = [*on, "_deal_l", "_deal_r"]
+    lhs, rhs, keys = left, right, list(on)
+    if hot_left:
+        lhs, rhs = lhs.withColumn("_deal_l", dealt(left, hot_left)), rhs.withColumn("_deal_l", copied(right, hot_left))
+        keys.append("_deal_l")
+    if hot_right:
+        lhs, rhs = lhs.withColumn("_deal_r", copied(left, hot_right)), rhs.withColumn("_deal_r", dealt(right, hot_right))
+        keys.append("_deal_r")
     if how != "left" or not hot_right:
         return lhs.join(rhs, keys, how).drop("_deal_l", "_deal_r")
     # a copied left row meets its partners in some shares only; every group in hot_right has partners,
     # so the shares without one are dropped and no left row is lost
     joined = lhs.join(rhs.withColumn("_met", F.lit(True)), keys, how)
-    kept = joined.filter(~group_hash(joined, on).isin(hot_right) | F.col("_met"))
+    kept = joined.filter(~group_hash(joined, on).isin(list(hot_right)) | F.col("_met"))
     return kept.drop("_deal_l", "_deal_r", "_met")
 
 
@@ -134,10 +156,8 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "_po
     The rows are range-partitioned, sorted and numbered within their partition, written once to the shared
     folder, and shifted by the row counts of the partitions before (one row per partition).
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = settle(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -149,7 +169,7 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "_po
     )
     return (
         numbered.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")  # one row per shuffle partition
+        .join(F.broadcast(offsets), "_part")  # one row per range partition
         .withColumn(name, F.col("_before") + local)
         .drop("_part", "_mid", "_before")
     )
@@ -161,7 +181,7 @@ def over_series(
     order: Sequence[str],
     lookback: int,
     add: Callable[[DataFrame, WindowSpec], DataFrame],
-    hot: list[int] | None = None,
+    hot: dict[int, int] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply window columns that look back at most ``lookback`` rows within a series.
@@ -175,7 +195,7 @@ def over_series(
         return add(df, plain)
     if block_rows < max(lookback, 1):
         raise ValueError("a block must hold at least the rows looked back on")
-    is_hot = group_hash(df, keys).isin(hot)
+    is_hot = group_hash(df, keys).isin(list(hot))
     ranked = with_position(df.filter(is_hot), [*keys, *order])
     block = F.floor(F.col("_pos") / F.lit(block_rows))
     lends = (F.col("_pos") % block_rows >= block_rows - lookback) & F.lit(lookback > 0)

@@ -71,5 +71,5 @@ def mark_history(
 ) -> DataFrame:
     """Label rows up to the last history time of their series, and the rows after it."""
     ends = history.groupBy(*series).agg(F.max(ts).alias("_end"))
-    joined = skew_join(df, ends, series, "inner", hot_right=[])
+    joined = skew_join(df, ends, series, "inner")
     return joined.withColumn(name, fv.label_if(F.col(ts) <= F.col("_end"), *labels)).drop("_end")

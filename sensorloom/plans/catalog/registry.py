@@ -71,5 +71,5 @@ def near_sql(x: str, digits: int = 6) -> str:
 
 def exact_sql(x: str, digits: int = 2) -> str:
     """Correctly rounded decimal of the exact binary value; minus zero becomes zero."""
-    text = f"CAST(printf('%.{digits}f', {x}) AS DOUBLE)"
+    text = f"CAST(printf('%.{digits}f', CAST({x} AS DOUBLE)) AS DOUBLE)"
     return f"(CASE WHEN {text} = 0 THEN 0.0::DOUBLE ELSE {text} END)"

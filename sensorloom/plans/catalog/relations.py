@@ -58,14 +58,13 @@ def _silver(spark, sf):
     ev = events(spark, sf).withColumnsRenamed({"user_id": "ville_id", "ts": "collecte_le"})
     value, k = F.col("value"), F.col("k").cast("double")
     air = ev.select(
-        "ville_id", "collecte_le", "event_id", value.alias("aqi_global"), F.col("event_type").alias("polluant_dominant"),
+        # some measurements have no time, for the order of missing times
+        "ville_id", F.when(k != 13, F.col("collecte_le")).alias("collecte_le"), "event_id", value.alias("aqi_global"), F.col("event_type").alias("polluant_dominant"),
         *[(value * i).alias(c) for i, c in enumerate(("pm25", "pm10", "no2", "o3", "co", "so2"), 1)],
         *[(k * i).alias(c) for i, c in enumerate(("temperature", "humidite", "pression", "vent"), 1)],
         F.col("event_type").alias("station_nom"), F.col("props").alias("station_url"),
         F.when(k > 50, "UTC").alias("station_timezone"),
     )
-    # latest measurement without a time, for the order of missing times
-    air = air.withColumn("collecte_le", F.when(k != 13, F.col("collecte_le")))
     weather = where_eq(ev, "event_type", "view").select(
         "ville_id", "collecte_le",
         *[(value + i).alias(c) for i, c in enumerate(star.FACT_WEATHER) if not c.startswith("condition")],
@@ -107,7 +106,7 @@ _CITY_SQL = """ville AS (
     """,
 )
 def star_dim_time(spark, sf):
-    return star.build_star(spark, _silver(spark, sf))["dim_time"]
+    return star.dim_time(_silver(spark, sf)["mesure_air_aqicn"])
 
 
 @query(
@@ -118,7 +117,7 @@ def star_dim_time(spark, sf):
     """,
 )
 def star_dim_city(spark, sf):
-    return star.build_star(spark, _silver(spark, sf))["dim_city"]
+    return star.dim_city(_silver(spark, sf)["ville"])
 
 
 @query(

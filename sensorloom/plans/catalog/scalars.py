@@ -123,15 +123,13 @@ def cleaned_numbers(spark, sf):
         .when(k % 8 == 6, (value / 8).cast("string"))
         .otherwise(k.cast("string"))
     )
-    x = fv.to_number(F.col("text"), text=True)
-    return events(spark, sf).withColumn("text", text).select(
-        "event_id",
-        x.alias("x"),
-        fv.clean(F.col("text"), *RANGES["h"], text=True).alias("humidity"),
-        fv.clean(F.col("text"), *RANGES["t"], text=True).alias("temperature"),
-        fv.clean(F.col("text"), text=True).alias("unchecked"),
-        fv.zero_if_missing(x).alias("filled"),
-        near(fv.scale(fv.zero_if_missing(x), 0.01)).alias("scaled"),
+    read = events(spark, sf).select(
+        "event_id", fv.to_number(text, text=True).alias("x"), *[text.alias(c) for c in ("humidity", "temperature", "unchecked")]
+    )
+    kinds = {"humidity": RANGES["h"], "temperature": RANGES["t"], "unchecked": (None, None)}
+    filled = fv.zero_if_missing(F.col("x"))
+    return fv.clean_columns(read, kinds, text=True).withColumns(
+        {"filled": filled, "scaled": near(fv.scale(filled, 0.01))}
     )
 
 
@@ -147,14 +145,16 @@ def cleaned_numbers(spark, sf):
 )
 def rounded_prices(spark, sf):
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
-    return table(spark, sf, "lineitem").select(
+    raw = table(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        fv.round_exact(price / 8).alias("price"),
-        fv.round_exact(price * (1 - F.col("l_discount"))).alias("net"),
-        fv.round_exact(-F.col("l_tax") * quantity / 16, 3).alias("tax"),
-        fv.round_exact(price / quantity, 4).alias("unit_price"),
+        (price / 8).alias("price"),
+        (price * (1 - F.col("l_discount"))).alias("net"),
+        (-F.col("l_tax") * quantity / 16).alias("tax"),
+        (price / quantity).alias("unit_price"),
     )
+    digits = {"price": 2, "net": 2, "tax": 3, "unit_price": 4}
+    return raw.withColumns({c: fv.round_exact(F.col(c), n) for c, n in digits.items()})
 
 
 @query(
@@ -207,11 +207,11 @@ def dominant_part(spark, sf):
 )
 def labelled_values(spark, sf):
     k, value = F.col("k"), F.col("value")
-    return events(spark, sf).select(
+    return events(spark, sf).withColumn("surplus", value - k).select(
         "event_id",
         fv.map_code(k % 7, INDEX_SCALE).alias("aqi"),
         fv.map_label(k % 6, {0: "calme", 1: "moyen", 2: "fort"}, "Groupe ").alias("groupe"),
-        fv.clamp_min(fv.round_exact(value - k), 0).alias("clamped"),
+        fv.clamp_min(fv.round_exact(F.col("surplus")), 0).alias("clamped"),
         fv.label_if(value <= k, "bas", "haut").alias("side"),
         fv.flag_eq(k, 42).alias("answer"),
         near(fv.residual(value, k)).alias("residual"),

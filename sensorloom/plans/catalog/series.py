@@ -10,6 +10,7 @@ from sensorloom.operators.metrics import compare_predictions, regression_metrics
 from sensorloom.operators.relational import stack
 from sensorloom.plans.catalog.aggregates import nation_lines
 from sensorloom.plans.catalog.registry import EVENTS, events, exact_sql, near, near_sql, query, table
+from sensorloom.session import settle
 
 _BY_USER = "OVER (PARTITION BY user_id ORDER BY ts, event_id)"
 _FRAME = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)"
@@ -100,7 +101,7 @@ _FEATURE_SQL = f"""features AS (
                avg(value) {_FRAME} AS value_mean_24, stddev_samp(value) {_FRAME} AS value_std_24
         FROM (SELECT * REPLACE (CASE WHEN event_type <> 'signup' OR k < 98 THEN k END AS k) FROM {EVENTS}))
       WHERE value_lag_24 IS NOT NULL AND k IS NOT NULL),
-    cut AS (SELECT quantile_cont(epoch_us(ts), 0.8) AS at FROM features)"""
+    cut AS (SELECT quantile_cont(epoch_us(ts), 0.8) AS cut_at FROM features)"""
 
 
 def feature_frame(spark, sf):
@@ -134,11 +135,11 @@ def series_features(spark, sf):
     "I2 B9 D7",
     f"""
     WITH {_FEATURE_SQL}
-    SELECT event_id, CASE WHEN epoch_us(ts) <= at THEN 'train' ELSE 'test' END AS part FROM features, cut
+    SELECT event_id, CASE WHEN epoch_us(ts) <= cut_at THEN 'train' ELSE 'test' END AS part FROM features, cut
     """,
 )
 def split_features(spark, sf):
-    train, test, _ = temporal_split(feature_frame(spark, sf), "ts")
+    train, test, _ = temporal_split(settle(feature_frame(spark, sf)), "ts")
     return stack(
         train.select("event_id", F.lit("train").alias("part")), test.select("event_id", F.lit("test").alias("part"))
     )
@@ -161,15 +162,14 @@ def _metric_sql(digits):
     f"""
     WITH {_FEATURE_SQL},
     predicted AS (
-      {" UNION ALL ".join(f"SELECT '{m}' AS model, value, {c} AS predicted FROM features, cut WHERE epoch_us(ts) > at" for m, c in _NAIVE.items())})
+      {" UNION ALL ".join(f"SELECT '{m}' AS model, value, {c} AS predicted FROM features, cut WHERE epoch_us(ts) > cut_at" for m, c in _NAIVE.items())})
     SELECT model, {_metric_sql(lambda x: exact_sql(x, 4))} FROM predicted GROUP BY 1
     """,
 )
 def naive_models(spark, sf):
     """Three naive forecasts compared on the last fifth of the time range."""
-    _, test, _ = temporal_split(feature_frame(spark, sf), "ts")
-    named = {m: test.select("value", F.col(c).alias("predicted")) for m, c in _NAIVE.items()}
-    return compare_predictions(named, "value", "predicted")
+    _, test, _ = temporal_split(settle(feature_frame(spark, sf)), "ts")
+    return compare_predictions(test, "value", _NAIVE)
 
 
 @query(
@@ -192,11 +192,11 @@ def metrics_by_type(spark, sf):
     WITH {_FEATURE_SQL}
     SELECT ts, user_id, event_id, value AS actual, {near_sql("value_mean_24")} AS predicted,
            {near_sql("value - value_mean_24")} AS error
-    FROM features, cut WHERE epoch_us(ts) > at
+    FROM features, cut WHERE epoch_us(ts) > cut_at
     """,
 )
 def naive_residuals(spark, sf):
-    _, test, _ = temporal_split(feature_frame(spark, sf), "ts")
+    _, test, _ = temporal_split(settle(feature_frame(spark, sf)), "ts")
     table_ = residual_table(test, ["ts", "user_id", "event_id"], "value", "value_mean_24")
     return table_.withColumns({c: near(F.col(c)) for c in ("predicted", "error")})
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorloom.functions import time as ft, values as fv
-from sensorloom.operators.aggregates import completeness, extent
+from sensorloom.operators.aggregates import completeness_stats, extent_stats
 from sensorloom.operators.joins import lookup
 from sensorloom.operators.skew import skew_join
 from sensorloom.operators.windows import last_wins, sequential_id
@@ -30,25 +30,23 @@ def pollution_hours(records: DataFrame, key: str, order: list[str]) -> DataFrame
     at = ft.epoch_to_ts(F.col("dt"))
     hourly = last_wins(records.withColumn("mesure_le", ft.bucket(at)), [key, "mesure_le"], order)
     parts = F.col("item.components")
-    raw = {name: parts[field] for name, (field, _) in DOMINANCE.items()}
-    compared = {name: fv.scale(fv.zero_if_missing(raw[name]), f) for name, (_, f) in DOMINANCE.items()}
-    return hourly.select(
+    raw = hourly.select(
         key,
         "mesure_le",
         fv.map_code(F.col("item.main.aqi"), INDEX_SCALE).alias("aqi_global"),
-        *[fv.clean(c, *RANGES[name]).alias(name) for name, c in raw.items()],
-        fv.argmax_name(compared).alias("polluant_dominant"),
+        *[parts[field].alias(name) for name, (field, _) in DOMINANCE.items()],
     )
+    compared = {name: fv.scale(fv.zero_if_missing(F.col(name)), f) for name, (_, f) in DOMINANCE.items()}
+    named = raw.withColumn("polluant_dominant", fv.argmax_name(compared))
+    return fv.clean_columns(named, {name: RANGES[name] for name in DOMINANCE})
 
 
 def weather_hours(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Validated weather values, one row per key and time; the last in feed order wins."""
     names = {"temperature": "t", "humidite": "h", "pression": "p", "vent": "w"}
     hourly = last_wins(rows.filter(F.col("time").isNotNull()), [key, "time"], order)
-    return hourly.select(
-        key, F.col("time").alias("mesure_le"),
-        *[fv.clean(F.col(kind), *RANGES[kind]).alias(name) for name, kind in names.items()],
-    )
+    raw = hourly.select(key, F.col("time").alias("mesure_le"), *[F.col(k).alias(name) for name, k in names.items()])
+    return fv.clean_columns(raw, {name: RANGES[kind] for name, kind in names.items()})
 
 
 def merge_hours(pollution: DataFrame, weather: DataFrame, stations: DataFrame, key: str) -> DataFrame:
@@ -81,5 +79,4 @@ def write_history(history: DataFrame, path: str) -> None:
 
 def history_report(history: DataFrame, key: str = "ville_id") -> DataFrame:
     """Rows, weather completeness in percent, first and last hour of each city."""
-    filled = completeness(history, [key], "temperature")
-    return filled.join(extent(history, [key], "mesure_le"), key)
+    return history.groupBy(key).agg(*completeness_stats("temperature"), *extent_stats("mesure_le"))

@@ -34,7 +34,7 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str], mark: bool = Tru
     out = df.select(*[text(c) for c in columns])
     if mark:
         out = out.withColumnRenamed(columns[0], "﻿" + columns[0])
-    out.write.mode(mode).csv(
-        path, sep=SEPARATOR, header=True, escape='"', emptyValue="", lineSep="\r\n",
-        timestampFormat="yyyy-MM-dd HH:mm:ss", timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
+    times = {"timestampFormat": "yyyy-MM-dd HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    out.write.mode(mode).options(**times).csv(
+        path, sep=SEPARATOR, header=True, escape='"', emptyValue="", lineSep="\r\n"
     )

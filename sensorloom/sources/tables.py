@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.operators.windows import sequential_id
 
@@ -35,8 +35,13 @@ def read_table(
 
 
 def literal_relation(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small fixed relation given in code."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small fixed relation given in code, as SQL ``VALUES``: its size is known to the planner."""
+    fields = T.StructType.fromDDL(schema).fields
+    # named markers: positional ones are not bound in order within VALUES
+    args = {f"v{i}_{j}": v for i, row in enumerate(rows) for j, v in enumerate(row)}
+    lines = [f"({', '.join(f':v{i}_{j}' for j in range(len(fields)))})" for i in range(len(rows))]
+    values = spark.sql(f"SELECT * FROM VALUES {', '.join(lines)}", args=args).toDF(*[f.name for f in fields])
+    return values.select(*[F.col(f.name).cast(f.dataType) for f in fields])
 
 
 def replace_table(df: DataFrame, name: str) -> None:
