@@ -35,13 +35,6 @@ def in_range(c: Column, low: float | None, high: float | None) -> Column:
     return F.when(reduce(lambda a, b: a & b, tests), c) if tests else c
 
 
-def round_half_up(c: Column, digits: int) -> Column:
-    """Decimal rounding with halves away from zero; the same arithmetic in any SQL engine."""
-    scale = F.lit(float(10**digits))
-    size = F.floor(F.abs(c) * scale + F.lit(0.5)).cast("double") / scale
-    return F.when((c < 0) & (size > 0), -size).otherwise(size)
-
-
 def round_exact(c: Column, digits: int = 2) -> Column:
     """Round the exact binary value, halves to even: 2.675 -> 2.67, 0.125 -> 0.12.
 
