@@ -35,26 +35,47 @@ def in_range(c: Column, low: float | None, high: float | None) -> Column:
     return F.when(reduce(lambda a, b: a & b, tests), c) if tests else c
 
 
-def round_exact(c: Column, digits: int = 2) -> Column:
-    """Round the exact binary value, halves to even: 2.675 -> 2.67, 0.125 -> 0.12.
+def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Round the named double columns in place, by their exact binary value, halves to even.
 
-    ``rint`` of the scaled value is right unless the rounded product falls on a half. There the exact error
-    of the product (Dekker 1971) tells the side. ``c`` is used many times: pass a column of the frame, not a
-    long expression.
+    2.675 -> 2.67 and 0.125 -> 0.12, as a correctly rounding decimal conversion does. ``rint`` of the scaled
+    value is right unless the rounded product falls on a half; there the exact error of the product (Dekker
+    1971) tells the side. Each step is its own projection over values that are never null: written as one
+    expression the generated code grows past what the JVM compiles, and runs ten times slower.
     """
-    scale = F.lit(float(10**digits))
-    product = c * scale
-    spread = c * F.lit(134217729.0)  # 2**27 + 1
-    high = spread - (spread - c)
-    error = (high * scale - product) + (c - high) * scale
-    half = F.abs(product - F.rint(product)) == F.lit(0.5)
-    units = (
-        F.when(half & (error > 0), product + F.lit(0.5))
-        .when(half & (error < 0), product - F.lit(0.5))
-        .otherwise(F.rint(product))
+    scale = {c: F.lit(float(10**n)) for c, n in digits.items()}
+
+    def part(step: str, c: str) -> Column:
+        return F.col(f"_{step}_{c}")
+
+    def step(name: str, of) -> dict[str, Column]:
+        return {f"_{name}_{c}": of(c) for c in digits}
+
+    out = df.withColumns(step("x", lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))))
+    out = out.withColumns(
+        step("product", lambda c: part("x", c) * scale[c])
+        | step("spread", lambda c: part("x", c) * F.lit(134217729.0))  # 2**27 + 1
+    )
+    out = out.withColumns(
+        step("high", lambda c: part("spread", c) - (part("spread", c) - part("x", c)))
+        | step("near", lambda c: F.rint(part("product", c)))
     )
-    # adding zero turns minus zero into zero; from 2**52 on there are no decimals left
-    return F.when(F.abs(product) < F.lit(2.0**52), units / scale + F.lit(0.0)).otherwise(c)
+    out = out.withColumns(
+        step(
+            "error",
+            lambda c: (part("high", c) * scale[c] - part("product", c)) + (part("x", c) - part("high", c)) * scale[c],
+        )
+    )
+
+    def rounded(c: str) -> Column:
+        product, near, error = part("product", c), part("near", c), part("error", c)
+        half = (F.abs(product - near) == F.lit(0.5)) & (error != 0)
+        units = F.when(half, product + F.signum(error) * F.lit(0.5)).otherwise(near)
+        # adding zero turns minus zero into zero; from 2**52 on there are no decimals left
+        whole = F.when(F.abs(product) < F.lit(2.0**52), units / scale[c] + F.lit(0.0)).otherwise(part("x", c))
+        return F.when(F.col(c).isNotNull(), whole)
+
+    return out.withColumns({c: rounded(c) for c in digits}).select(*df.columns)
 
 
 def clean_columns(
@@ -64,9 +85,14 @@ def clean_columns(
 
     Each step is its own projection, so no step is computed twice.
     """
-    out = df.withColumns({c: to_number(F.col(c), text) for c in ranges})
+    def read(c: str, low, high) -> Column:
+        closed = low is not None and high is not None and not text
+        # a closed range lets neither NaN nor infinity through
+        return F.col(c).try_cast("double") if closed else to_number(F.col(c), text)
+
+    out = df.withColumns({c: read(c, low, high) for c, (low, high) in ranges.items()})
     out = out.withColumns({c: in_range(F.col(c), low, high) for c, (low, high) in ranges.items()})
-    return out.withColumns({c: round_exact(F.col(c), digits) for c in ranges})
+    return round_columns(out, dict.fromkeys(ranges, digits))
 
 
 def number_text(c: Column, digits: int = 2) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.functions import time as ft, values as fv
 from sensorloom.operators.skew import skew_join
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 100_000
 _BINS = 4096
 
 
@@ -96,7 +96,7 @@ def exact_quantile(df: DataFrame, column: str | Column, q: float, direct_rows: i
     end the search early.
     """
     value = df.select((F.col(column) if isinstance(column, str) else column).cast("double").alias("x"))
-    value = value.filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    value = value.select(fv.nan_to_null(F.col("x")).alias("x"))
     n, low, high = value.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if not n:
         return None

@@ -45,6 +45,14 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
     return [list(column) for column in zip(*nodes)]
 
 
+def _compact(tree):
+    """Arrays for the walk. A leaf points at itself, so every row can take the same number of steps."""
+    feature, cut, low, high, depth = (np.array(part) for part in tree[1:])
+    leaf, own = feature < 0, np.arange(len(feature))
+    child = np.column_stack([np.where(leaf, own, low), np.where(leaf, own, high)]).ravel()
+    return np.where(leaf, 0, feature).astype(np.intp), np.where(leaf, np.inf, cut), child.astype(np.intp), depth
+
+
 def _unit(*parts: Column) -> Column:
     """Repeatable number in [0, 1) from the hashed parts."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 31)) / F.lit(float(1 << 31))
@@ -60,10 +68,11 @@ def tree_samples(df: DataFrame, ids: Sequence[str], features: Sequence[str], n:
     pool = df.select(*dict.fromkeys([*ids, *features]))
     if n > POOL_ROWS:
         pool = pool.filter(_unit(*row_id, F.lit(seed)) < POOL_ROWS / n)
-    draw = _unit(*row_id, F.col("tree"), F.lit(seed + 1))
+    pool = pool.withColumn("_id", F.xxhash64(*row_id))
+    draw = _unit(F.col("_id"), F.col("tree"), F.lit(seed + 1))
     likely = 4 * size / min(n, POOL_ROWS)  # four times what a tree needs
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_draw", draw)
-    first = Window.partitionBy("tree").orderBy("_draw", *ids)
+    first = Window.partitionBy("tree").orderBy("_draw", "_id", *ids)
     return (
         drawn.filter(F.col("_draw") < likely)
         .withColumn("_rank", F.row_number().over(first))
@@ -104,21 +113,20 @@ def isolation_forest(
 
     sampled = tree_samples(complete, ids, names, n, trees, size, seed)
     grown = sampled.groupBy("tree").applyInPandas(grow, _NODES).orderBy("tree").collect()
-    shared = spark.sparkContext.broadcast([[np.array(part) for part in tree[1:]] for tree in grown])
+    shared = spark.sparkContext.broadcast([_compact(tree) for tree in grown])
     usual = float(expected_depth(size))
 
     @F.pandas_udf("double")
     def outlier_score(*columns: pd.Series) -> pd.Series:
         points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-        rows = np.arange(len(points))
+        flat, first = points.ravel(), np.arange(len(points)) * points.shape[1]
         total = np.zeros(len(points))
-        for feature, cut, low, high, depth in shared.value:
-            at = np.zeros(len(points), dtype=np.int64)
+        for feature, cut, child, depth in shared.value:
+            at = np.zeros(len(points), dtype=np.intp)
             for _ in range(limit):
-                split = feature[at]
-                step = np.where(points[rows, split] <= cut[at], low[at], high[at])
-                at = np.where(split < 0, at, step)
-            total += depth[at]
+                right = flat.take(first + feature.take(at)) > cut.take(at)
+                at = child.take(2 * at + right)
+            total += depth.take(at)
         return pd.Series(2.0 ** (-total / len(shared.value) / usual))
 
     scored = settle(complete.withColumn("outlier_score", outlier_score(*names)))

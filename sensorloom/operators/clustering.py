@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -28,6 +29,7 @@ def cluster_entities(
     n_init: int = 10,
     seed: int = 42,
     min_entities: int = 3,
+    parallelism: int = 5,
 ) -> DataFrame:
     """Entity means and a cluster id: standardised k-means, the cheapest of ``n_init`` starts.
 
@@ -39,11 +41,14 @@ def cluster_entities(
     k = min(k, means.limit(k).count())
     scaled = standardise(means, features, "_z")
     vectors = VectorAssembler(inputCols=[f"{c}_z" for c in features], outputCol="_features").transform(scaled)
-    fits = [
-        KMeans(k=k, seed=seed + i, maxIter=300, featuresCol="_features", predictionCol="cluster_id").fit(vectors)
-        for i in range(n_init)
-    ]
-    best = min(fits, key=lambda m: m.summary.trainingCost)
+
+    def fit(start: int):
+        means_ = KMeans(k=k, seed=seed + start, maxIter=300, featuresCol="_features", predictionCol="cluster_id")
+        return means_.fit(vectors)
+
+    # the starts are independent jobs on a small frame; the first of the cheapest wins
+    with ThreadPoolExecutor(parallelism) as pool:
+        best = min(pool.map(fit, range(n_init)), key=lambda m: m.summary.trainingCost)
     return best.transform(vectors).select(*means.columns, "cluster_id")
 
 
@@ -66,7 +71,5 @@ def name_clusters(
 
 def cluster_profile(df: DataFrame, key: str, features: dict[str, str]) -> DataFrame:
     """Entity, cluster id, cluster name and the means rounded to 2 under ``{feature: output name}``."""
-    return df.select(
-        key, "cluster_id", "cluster_nom",
-        *[fv.round_exact(F.col(c), 2).alias(out) for c, out in features.items()],
-    )
+    named = df.select(key, "cluster_id", "cluster_nom", *[F.col(c).alias(out) for c, out in features.items()])
+    return fv.round_columns(named, dict.fromkeys(features.values(), 2))

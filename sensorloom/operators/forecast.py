@@ -128,9 +128,9 @@ def _banded(rows: DataFrame, ids: Sequence[str], yhat: Column, sigma: Column) ->
 
 def published(forecast: DataFrame) -> DataFrame:
     """Forecast values rounded to 2 digits and never below 0."""
-    names = {"valeur_pred": "yhat", "valeur_min": "yhat_lower", "valeur_max": "yhat_upper"}
-    out = {new: fv.clamp_min(fv.round_exact(F.col(old), 2), 0.0) for new, old in names.items()}
-    return forecast.withColumns(out).drop(*names.values())
+    names = {"yhat": "valeur_pred", "yhat_lower": "valeur_min", "yhat_upper": "valeur_max"}
+    rounded = fv.round_columns(forecast.withColumnsRenamed(names), dict.fromkeys(names.values(), 2))
+    return rounded.withColumns({c: fv.clamp_min(F.col(c), 0.0) for c in names.values()})
 
 
 # --- additive model: piecewise-linear trend, Fourier terms (Taylor and Letham 2018) ---

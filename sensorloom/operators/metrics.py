@@ -27,7 +27,7 @@ def regression_metrics(
     }
     pairs = df.filter(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     done = pairs.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
-    return done if digits is None else done.withColumns({c: fv.round_exact(F.col(c), digits) for c in stats})
+    return done if digits is None else fv.round_columns(done, dict.fromkeys(stats, digits))
 
 
 def residual_table(df: DataFrame, ids: Sequence[str], y: str, yhat: str) -> DataFrame:

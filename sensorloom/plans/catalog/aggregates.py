@@ -6,6 +6,7 @@ from sensorloom.functions import time as ft
 from sensorloom.operators import aggregates as agg
 from sensorloom.operators.scaling import flag_top_share, standardise
 from sensorloom.plans.catalog.registry import EVENTS, events, near, near_sql, query, table
+from sensorloom.session import settle
 
 
 @query("D1", "SELECT count(*) AS n FROM events")
@@ -134,8 +135,8 @@ def outlying_lines(spark, sf):
     z = standardise(table(spark, sf, "lineitem"), _MEANS, "_z")
     terms = [F.col(f"{c}_z") * F.col(f"{c}_z") for c in _MEANS]
     score = terms[0] + terms[1] + terms[2] + terms[3]
-    scored = z.select("l_orderkey", "l_linenumber", near(score).alias("score"))
-    return flag_top_share(scored, "score", 0.1)
+    scored = z.select("l_orderkey", "l_linenumber", score.alias("score")).withColumn("score", near(F.col("score")))
+    return flag_top_share(settle(scored), "score", 0.1)
 
 
 @query(

@@ -53,33 +53,44 @@ def day_fact(spark, sf):
     return _bucket_join(spark, sf, "day")
 
 
-def _silver(spark, sf):
-    """The four silver tables, played by the test tables."""
-    ev = events(spark, sf).withColumnsRenamed({"user_id": "ville_id", "ts": "collecte_le"})
+def _measures(spark, sf):
+    return events(spark, sf).withColumnsRenamed({"user_id": "ville_id", "ts": "collecte_le"})
+
+
+def _air(spark, sf):
     value, k = F.col("value"), F.col("k").cast("double")
-    air = ev.select(
+    return _measures(spark, sf).select(
         # some measurements have no time, for the order of missing times
-        "ville_id", F.when(k != 13, F.col("collecte_le")).alias("collecte_le"), "event_id", value.alias("aqi_global"), F.col("event_type").alias("polluant_dominant"),
+        "ville_id", F.when(k != 13, F.col("collecte_le")).alias("collecte_le"), "event_id",
+        value.alias("aqi_global"), F.col("event_type").alias("polluant_dominant"),
         *[(value * i).alias(c) for i, c in enumerate(("pm25", "pm10", "no2", "o3", "co", "so2"), 1)],
         *[(k * i).alias(c) for i, c in enumerate(("temperature", "humidite", "pression", "vent"), 1)],
         F.col("event_type").alias("station_nom"), F.col("props").alias("station_url"),
         F.when(k > 50, "UTC").alias("station_timezone"),
     )
-    weather = where_eq(ev, "event_type", "view").select(
+
+
+def _weather(spark, sf):
+    return where_eq(_measures(spark, sf), "event_type", "view").select(
         "ville_id", "collecte_le",
-        *[(value + i).alias(c) for i, c in enumerate(star.FACT_WEATHER) if not c.startswith("condition")],
+        *[(F.col("value") + i).alias(c) for i, c in enumerate(star.FACT_WEATHER) if not c.startswith("condition")],
         F.col("event_type").alias("condition_libelle"), F.col("props").alias("condition_desc"),
     )
-    pollution = where_eq(ev, "event_type", "click").select(
+
+
+def _pollution(spark, sf):
+    return where_eq(_measures(spark, sf), "event_type", "click").select(
         "ville_id", "collecte_le", F.col("k").alias("aqi_owm"),
-        *[(value - i).alias(c) for i, c in enumerate(list(star.FACT_POLLUTION.values())[1:])],
+        *[(F.col("value") - i).alias(c) for i, c in enumerate(list(star.FACT_POLLUTION.values())[1:])],
     )
-    cities = table(spark, sf, "customer").select(
+
+
+def _cities(spark, sf):
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("nom"), F.col("c_mktsegment").alias("slug_aqicn"),
         F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
         F.when(F.col("c_nationkey") != 7, F.col("c_acctbal") > 0).alias("actif"),
     )
-    return {"ville": cities, "mesure_air_aqicn": air, "mesure_meteo": weather, "mesure_pollution_owm": pollution}
 
 
 _AIR_SQL = f"""air AS (
@@ -106,7 +117,7 @@ _CITY_SQL = """ville AS (
     """,
 )
 def star_dim_time(spark, sf):
-    return star.dim_time(_silver(spark, sf)["mesure_air_aqicn"])
+    return star.dim_time(_air(spark, sf))
 
 
 @query(
@@ -117,7 +128,7 @@ def star_dim_time(spark, sf):
     """,
 )
 def star_dim_city(spark, sf):
-    return star.dim_city(_silver(spark, sf)["ville"])
+    return star.dim_city(_cities(spark, sf))
 
 
 @query(
@@ -132,8 +143,7 @@ def star_dim_city(spark, sf):
     """,
 )
 def star_dim_station(spark, sf):
-    silver = _silver(spark, sf)
-    return star.dim_station(silver["ville"], silver["mesure_air_aqicn"], ("event_id",))
+    return star.dim_station(_cities(spark, sf), _air(spark, sf), ("event_id",))
 
 
 @query(
@@ -159,7 +169,7 @@ def star_dim_station(spark, sf):
 )
 def star_fact(spark, sf):
     """The 36-column fact."""
-    return star.build_star(spark, _silver(spark, sf))["fact_air_quality"]
+    return star.fact_air_quality(_air(spark, sf), _weather(spark, sf), _pollution(spark, sf))
 
 
 @query(

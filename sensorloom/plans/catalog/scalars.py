@@ -154,7 +154,7 @@ def rounded_prices(spark, sf):
         (price / quantity).alias("unit_price"),
     )
     digits = {"price": 2, "net": 2, "tax": 3, "unit_price": 4}
-    return raw.withColumns({c: fv.round_exact(F.col(c), n) for c, n in digits.items()})
+    return fv.round_columns(raw, digits)
 
 
 @query(
@@ -207,11 +207,11 @@ def dominant_part(spark, sf):
 )
 def labelled_values(spark, sf):
     k, value = F.col("k"), F.col("value")
-    return events(spark, sf).withColumn("surplus", value - k).select(
+    return fv.round_columns(events(spark, sf).withColumn("surplus", value - k), {"surplus": 2}).select(
         "event_id",
         fv.map_code(k % 7, INDEX_SCALE).alias("aqi"),
         fv.map_label(k % 6, {0: "calme", 1: "moyen", 2: "fort"}, "Groupe ").alias("groupe"),
-        fv.clamp_min(fv.round_exact(F.col("surplus")), 0).alias("clamped"),
+        fv.clamp_min(F.col("surplus"), 0).alias("clamped"),
         fv.label_if(value <= k, "bas", "haut").alias("side"),
         fv.flag_eq(k, 42).alias("answer"),
         near(fv.residual(value, k)).alias("residual"),

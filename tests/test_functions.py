@@ -17,15 +17,15 @@ def one(spark, expr, **columns):
     return df.select(expr).first()[0]
 
 
-def test_round_exact_is_python_round(spark):
+def test_rounding_is_python_round(spark):
     rng = random.Random(7)
     values = [2.675, 0.125, 0.375, 1.005, 1.015, 0.285, -2.675, -0.125, -0.001, 0.0, 12.0, 1e15, -7.5, 1e300]
     values += [rng.uniform(-1000, 1000) for _ in range(20_000)] + [i * 0.005 for i in range(-10_000, 10_000)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = [r[0] for r in df.select(fv.round_exact(F.col("x"), 2)).collect()]
+    got = [r[0] for r in fv.round_columns(df, {"x": 2}).collect()]
     assert got == [round(v, 2) for v in values]
     assert not any(math.copysign(1, v) < 0 for v in got if v == 0)
-    got = [r[0] for r in df.select(fv.round_exact(F.col("x"), 4)).collect()]
+    got = [r[0] for r in fv.round_columns(df, {"x": 4}).collect()]
     assert got == [round(v, 4) for v in values]
 
 
@@ -80,7 +80,7 @@ def test_codes_and_labels(spark):
     assert got == [25, 75, 100, 150, 200, None, None]
     assert one(spark, fv.map_label(F.lit(7), {0: "a"}, "Groupe ")) == "Groupe 7"
     assert one(spark, fv.label_if(F.lit(2) <= F.lit(2), "a", "b")) == "a"
-    assert one(spark, fv.clamp_min(fv.round_exact(F.lit(-0.4)), 0)) == 0.0
+    assert one(spark, fv.clamp_min(F.lit(-0.4), 0)) == 0.0
     assert one(spark, fv.relative_residual(F.lit(0.0), F.lit(3.0))) is None
 
 
