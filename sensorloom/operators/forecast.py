@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.functions import time as ft, values as fv
 from sensorloom.operators.joins import join_dim
-from sensorloom.operators.relational import drop_incomplete, stack
+from sensorloom.operators.relational import drop_incomplete, min_rows, stack
 from sensorloom.session import settle
 
 # fixed values: horizon, band, and the smallest series that is forecast
@@ -144,6 +144,9 @@ TREND_SCALE = 5.0
 DAILY_ORDER = 4
 WEEKLY_ORDER = 3
 
+FEW_SERIES = 256  # up to here every task adds up every series
+PART_ROWS = 200_000  # rows of one series that go to one task beyond that
+
 _ROUNDS = 30
 
 
@@ -193,7 +196,8 @@ def additive_fit(
     """One row per series: first and last time, value scale, coefficients, residual deviation.
 
     Each task adds up ``[X y]' [X y]`` over its Arrow batches, one matrix per series; Spark sums the matrices
-    entry by entry with map-side combining and only the sums (a fixed number per series) are solved.
+    entry by entry with map-side combining and only the sums (a fixed number per series) are solved. A few
+    series are added up where their rows lie; many are first brought together in parts of bounded size.
     """
     span = (
         df.groupBy(*series)
@@ -204,8 +208,12 @@ def additive_fit(
         .filter(F.col("_n") >= min_points)
         .withColumn("_scale", F.when(F.col("_scale") > 0, F.col("_scale")).otherwise(F.lit(1.0)))
     )
-    span = settle(span.drop("_n"))
+    span = settle(span)
     rows = join_dim(df, span, series)
+    if not _few(span):
+        # one task per series, or per part of a large one, so that a series yields few matrices
+        parts = F.ceil(F.col("_n") / F.lit(PART_ROWS))
+        rows = rows.withColumn("_part", F.pmod(F.xxhash64(ts, value), parts)).repartition(*series, "_part")
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))
     p = len(terms) + 1
     keys = list(series)
@@ -246,7 +254,12 @@ def additive_fit(
         return pd.DataFrame({"beta": [b for b, _ in results], "sigma": [s for _, s in results]})
 
     fit = grams.select(*keys, solved("_gram").alias("_fit")).select(*keys, "_fit.beta", "_fit.sigma")
-    return join_dim(span, fit, keys)
+    return join_dim(span.drop("_n"), fit, keys)
+
+
+def _few(span: DataFrame) -> bool:
+    """True when every task may hold a matrix of every series without moving the rows."""
+    return not min_rows(span, FEW_SERIES + 1)
 
 
 def additive_forecast(

@@ -111,9 +111,9 @@ def flags_by_type(spark, sf):
     return agg.count_true(events(spark, sf), F.col("k") == 42, ["event_type"])
 
 
-@query("D15", f"SELECT count(CASE WHEN k % 4 <> 0 THEN props END) AS n FROM {EVENTS}")
+@query("D15", f"SELECT count(CASE WHEN k >= 25 THEN props END) AS n FROM {EVENTS}")
 def present_props(spark, sf):
-    df = events(spark, sf).withColumn("p", F.when(F.col("k") % 4 != 0, F.col("props")))
+    df = events(spark, sf).withColumn("p", F.when(F.col("k") >= 25, F.col("props")))
     return agg.count_present(df, "p")
 
 

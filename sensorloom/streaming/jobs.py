@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sensorloom.operators.relational import require
 from sensorloom.operators.windows import last_wins
 from sensorloom.sources.tables import Lake
 
@@ -57,20 +58,27 @@ def ingest_stream(
     """Land a stream in bronze and keep silver at one row per key and hour, the last in ``order`` winning.
 
     Each batch first replaces its own bronze partitions (day and batch number), then rebuilds the silver days
-    it touched from bronze. Both writes give the same result when a failed batch is run again.
+    it touched from bronze. Both writes give the same result when a failed batch is run again. Rows without a
+    time are left out.
     """
     bronze, silver = lake.path("bronze", name), lake.path("silver", name)
 
     def land(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.withColumns({"date": F.to_date(ts), "batch": F.lit(number)})
-        _replace_partitions(rows, bronze, ["date", "batch"])
-        landed = spark.read.parquet(bronze)
-        # the days of this batch, read back from its own partitions
-        days = [r["date"] for r in landed.filter(F.col("batch") == number).select("date").distinct().collect()]
-        hourly = landed.filter(F.col("date").isin(days)).withColumn("hour", F.date_trunc("hour", ts))
+        rows = require(batch, ts).withColumns({"date": F.to_date(ts), "batch": F.lit(number)}).persist()
+        try:
+            _replace_partitions(rows, bronze, ["date", "batch"])
+            days = [r["date"] for r in rows.select("date").distinct().collect()]  # one value per touched day
+        finally:
+            rows.unpersist()
+        if not days:
+            return
+        # only the folders of the touched days are listed and read
+        folders = [f"{bronze}/date={day}" for day in days]
+        landed = spark.read.schema(rows.schema).option("basePath", bronze).parquet(*folders)
+        hourly = landed.withColumn("hour", F.date_trunc("hour", ts).cast("timestamp_ntz"))
         newest = last_wins(hourly, [*keys, "hour"], ["batch", *order]).drop("batch")
-        _replace_partitions(newest.withColumn("hour", F.col("hour").cast("timestamp_ntz")), silver, ["date"])
+        _replace_partitions(newest, silver, ["date"])
 
     return (
         sdf.writeStream.foreachBatch(land)

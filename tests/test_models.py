@@ -161,6 +161,17 @@ def test_short_and_flat_series(spark, model):
     assert (done[done["s"] == "once"]["type"] == "historique").sum() == 1
 
 
+def test_many_series_are_fitted_in_parts(spark, seasonal, monkeypatch):
+    few = forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature")
+    monkeypatch.setattr(forecast, "FEW_SERIES", 1)
+    monkeypatch.setattr(forecast, "PART_ROWS", 300)
+    many = forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature")
+    read = lambda df: {r["ville_id"]: [r["sigma"], *r["beta"]] for r in df.collect()}
+    a, b = read(few), read(many)
+    assert set(a) == set(b) == {1, 2, 3}
+    assert all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
+
+
 def test_published_values(spark):
     df = spark.createDataFrame([(-0.4, -3.0, 2.675, "prediction")], "yhat double, yhat_lower double, yhat_upper double, type string")
     assert tuple(forecast.published(df).select("valeur_pred", "valeur_min", "valeur_max").first()) == (0.0, 0.0, 2.67)
