@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions import time as ft
-from sensorloom.operators.skew import SHARE_ROWS, hot_groups, skew_join
+from sensorloom.operators.relational import require
+from sensorloom.operators.skew import SHARE_ROWS, copy, deal, hot_groups, skew_join
 from sensorloom.operators.windows import latest_per_key
 
 
@@ -25,17 +26,23 @@ def bucket_left_join(
     """Left join feeds on key and time bucket. Several matches in a bucket multiply the rows.
 
     ``feeds`` maps a prefix to a frame holding the keys and ``feed_ts``; its other columns come back as
-    ``prefix_column``. All feeds join on the same columns, so ``left`` is shuffled once.
+    ``prefix_column``. All feeds join on the same columns, so ``left`` is shuffled once; a hot bucket of
+    ``left`` is dealt to shares once, for all feeds.
     """
     on = [*keys, "_bucket"]
     out = left.withColumn("_bucket", ft.bucket(F.col(left_ts), unit))
     hot = hot_groups(out, on) if hot_left is None else hot_left
+    joined_on = [*on, "_share"] if hot else on
+    if hot:
+        out = deal(out, on, hot, "_share", share_rows)
     for prefix, feed in feeds.items():
         values = [F.col(c).alias(f"{prefix}_{c}") for c in feed.columns if c not in (*keys, feed_ts)]
-        right = feed.select(*keys, ft.bucket(F.col(feed_ts), unit).alias("_bucket"), *values)
+        right = require(feed.select(*keys, ft.bucket(F.col(feed_ts), unit).alias("_bucket"), *values), *on)
+        if hot:
+            right = copy(right, on, hot, "_share", share_rows)
         found = None if hot_right is None else hot_right.get(prefix, {})
-        out = skew_join(out, right, on, "left", hot, found, share_rows)
-    return out.drop("_bucket")
+        out = skew_join(out, right, joined_on, "left", {}, found, share_rows)
+    return out.drop("_bucket", "_share")
 
 
 def join_dim(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:

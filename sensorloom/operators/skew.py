@@ -100,6 +100,16 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*usable)
 
 
+def deal(df: DataFrame, on: Sequence[str], hot: dict[int, int], name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+    """Number the share each row of a hot group belongs to; other rows belong to share 0."""
+    return df.withColumn(name, F.pmod(_row_hash(df), _shares(df, on, hot, share_rows)).cast("int"))
+
+
+def copy(df: DataFrame, on: Sequence[str], hot: dict[int, int], name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+    """Copy each row of a hot group to every share of the group."""
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), _shares(df, on, hot, share_rows) - 1)))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -128,18 +138,12 @@ def skew_join(
     if not hot_left and not hot_right:
         return left.join(right, on, how)
 
-    def dealt(df: DataFrame, hot: dict[int, int]) -> Column:
-        return F.pmod(_row_hash(df), _shares(df, on, hot, share_rows)).cast("int")
-
-    def copied(df: DataFrame, hot: dict[int, int]) -> Column:
-        return F.explode(F.sequence(F.lit(0), _shares(df, on, hot, share_rows) - 1))
-
     lhs, rhs, keys = left, right, list(on)
     if hot_left:
-        lhs, rhs = lhs.withColumn("_deal_l", dealt(left, hot_left)), rhs.withColumn("_deal_l", copied(right, hot_left))
+        lhs, rhs = deal(lhs, on, hot_left, "_deal_l", share_rows), copy(rhs, on, hot_left, "_deal_l", share_rows)
         keys.append("_deal_l")
     if hot_right:
-        lhs, rhs = lhs.withColumn("_deal_r", copied(left, hot_right)), rhs.withColumn("_deal_r", dealt(right, hot_right))
+        lhs, rhs = copy(lhs, on, hot_right, "_deal_r", share_rows), deal(rhs, on, hot_right, "_deal_r", share_rows)
         keys.append("_deal_r")
     if how != "left" or not hot_right:
         return lhs.join(rhs, keys, how).drop("_deal_l", "_deal_r")

@@ -77,7 +77,9 @@ def test_chained_bucket_join_splits_hot_bucket(spark):
     assert len(hot) == 1
     feeds = {"m": feed, "p": feed}
     plain = bucket_left_join(base, feeds, ["k"], "ts", "ts", hot_left={}, hot_right={})
-    split = bucket_left_join(base, feeds, ["k"], "ts", "ts", hot_left=hot, hot_right={"p": hot}, share_rows=10)
+    split = bucket_left_join(base, feeds, ["k"], "ts", "ts", hot_left=hot, hot_right={}, share_rows=10)
+    assert rows(split) == rows(plain)
+    split = bucket_left_join(base, feeds, ["k"], "ts", "ts", hot_left={}, hot_right={"p": hot}, share_rows=10)
     assert rows(split) == rows(plain)
 
 
