@@ -41,7 +41,7 @@ def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     2.675 -> 2.67 and 0.125 -> 0.12, as a correctly rounding decimal conversion does. ``rint`` of the scaled
     value is right unless the rounded product falls on a half; there the exact error of the product (Dekker
     1971) tells the side. Each step is its own projection over values that are never null: written as one
-    expression the generated code grows past what the JVM compiles, and runs ten times slower.
+    expression the generated code grows past what the JVM compiles, and runs many times slower.
     """
     scale = {c: F.lit(float(10**n)) for c, n in digits.items()}
 

@@ -95,9 +95,11 @@ def _shares(df: DataFrame, on: Sequence[str], hot: dict[int, int], share_rows: i
 
 
 def _row_hash(df: DataFrame) -> Column:
-    """Hash of a whole row, the same on every retry of a task (unlike ``rand``)."""
+    """Hash of a row and its input partition: the same on every retry of a task (unlike ``rand``), and
+    different for copies of a row in different partitions.
+    """
     usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*usable)
+    return F.xxhash64(*usable, F.spark_partition_id())
 
 
 def deal(df: DataFrame, on: Sequence[str], hot: dict[int, int], name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
@@ -158,11 +160,14 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "_po
     """Global row position from 0 in the given total order, without a single-task sort.
 
     The rows are range-partitioned, sorted and numbered within their partition, written once to the shared
-    folder, and shifted by the row counts of the partitions before (one row per partition).
+    folder, and shifted by the row counts of the partitions before (one row per partition). The input
+    partition is a last sort column, so that many rows with an equal order are split as well.
     """
     numbered = settle(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(*order, "_from")
+        .sortWithinPartitions(*order, "_from")
+        .drop("_from")
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     part, local = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))

@@ -68,6 +68,22 @@ def test_split_join_with_sparse_shares(spark):
     assert rows(split) == rows(left.join(right, ["k"], "left"))
 
 
+def test_copies_of_one_row_are_dealt_apart(spark):
+    copies = spark.range(0, 400, 1, 8).select(F.lit(1).cast("bigint").alias("k"), F.lit("same").alias("l"))
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k bigint, r string")
+    hot = found(copies, ["k"], 100)
+    dealt = skew.deal(copies, ["k"], hot, "share", share_rows=50)
+    assert dealt.select("share").distinct().count() > 1
+    split = skew.skew_join(copies, right, ["k"], "left", hot, {}, share_rows=50)
+    assert rows(split) == rows(copies.join(right, ["k"], "left")) and split.count() == 800
+
+
+def test_numbering_splits_equal_rows(spark):
+    equal = spark.range(0, 1000, 1, 8).select(F.lit(7).alias("k"))
+    numbered = skew.with_position(equal, ["k"])
+    assert sorted(r["_pos"] for r in numbered.collect()) == list(range(1000))
+
+
 def test_chained_bucket_join_splits_hot_bucket(spark):
     ts = F.timestamp_micros(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") * 1_800_000_000)).cast("timestamp_ntz")
     base = spark.range(300).select(F.lit(1).alias("k"), ts.alias("ts"), F.col("id").alias("a"))
