@@ -6,3 +6,10 @@ sources     feeds, delimited files, tables, the zone layout
 streaming   Structured Streaming jobs
 plans       whole pipelines and the query catalogue
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel with the job, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
