@@ -7,7 +7,7 @@ clamp in the order of cap / weight, so the level at which filling stops follows
 Documents: target / size = whole + fraction. Every document is taken ``whole`` times. For the fraction, the documents of
 a source are ordered by a seeded MD5 of their key and taken until the remaining words are used up; the document at the
 cut gives its first words only. To find the cut without ordering a whole source in one task, sizes are summed by
-hash bucket (about ``bucket_rows`` rows each), the running sums over buckets name the one bucket that holds the cut, and
+hash bucket (as many buckets as the square root of the rows), the running sums over buckets name the one bucket that holds the cut, and
 only the documents of that bucket are ordered.
 
 Defined results: null text has size 0; null source is a source of its own, last in order; sources of size 0 have target 0;
@@ -16,6 +16,8 @@ equal rows are ordered by size and a row digest and, if wholly equal, share the
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +61,6 @@ def mix(
     share_percent: int = 150,
     max_epochs: int = 2,
     seed: str = "mix",
-    bucket_rows: int = 50_000,
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
@@ -81,7 +82,7 @@ def mix(
     targets = targets.withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     targets = targets.withColumn("_rest", F.floor(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long"))
 
-    buckets = max(1, rows.count() // bucket_rows)
+    buckets = math.isqrt(rows.count()) + 1
     bucket = F.pmod(F.conv(F.substring("_order", 1, _HEX), 16, 10).cast("long") * buckets / F.lit(float(16**_HEX)), F.lit(buckets)).cast("long")
     rows = rows.withColumn("_bucket", bucket)
     filled = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_filled"))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing
+from . import bpe, fingerprints, html, line_dedup, mixing, neighbours, ngram_join, toxicity
 
 #: Weights of the sources in code point order, repeating.
 SOURCE_WEIGHTS = [5, 2, 1]
@@ -18,6 +19,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup.remove_lines(_table(spark, sf, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digest(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -26,6 +32,33 @@ def op4_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"), SOURCE_WEIGHTS, share_percent=150, max_epochs=2)
 
 
+def op5_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.components(_table(spark, sf, "documents"), k=4, percent=85)
+
+
+def op6_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edited_likeness(_table(spark, sf, "documents"))
+
+
+def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = html.extract(_table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, toxicity.training_labels(_table(spark, sf, "labels")))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -64,8 +97,14 @@ FROM ordered
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_bpe_round_trip": op2_bpe_round_trip,
         "op4_source_mix": op4_source_mix,
+        "op5_ngram_join": op5_ngram_join,
+        "op6_order_minhash": op6_order_minhash,
+        "op7_main_text": op7_main_text,
+        "op9_toxicity": op9_toxicity,
+        "op10_nearest_vectors": op10_nearest_vectors,
     }
 
 
