@@ -19,7 +19,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed value: the public pre-tokenizer pattern of byte-level BPE.
@@ -68,8 +69,16 @@ class BpeCodec:
         added = {t["content"]: t["id"] for t in told.get("added_tokens") or []}
         return cls(told["model"]["vocab"], merges, added, **options)
 
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The tables as plain data for workers; :meth:`over` makes a codec of them there."""
+        return spark.sparkContext.broadcast({k: v for k, v in self.__dict__.items() if not k.startswith("_")})
+
+    @classmethod
+    def over(cls, tables: dict) -> BpeCodec:
+        """Codec that lives in ``tables``: its cache of words stays with the broadcast for the next tasks of the worker."""
+        codec = cls.__new__(cls)
+        codec.__dict__ = tables
+        return codec
 
     def _ready(self) -> None:
         if "_cache" not in self.__dict__:
@@ -196,13 +205,14 @@ def _texts(batch: pa.RecordBatch, column: int, rows: int = 64) -> Iterator[str |
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Append the ids of ``text`` as array<int> (null and empty text: empty array). A column named ``ids`` is replaced."""
-    codec = df.sparkSession.sparkContext.broadcast(BpeCodec.from_file(path))
+    shared = BpeCodec.from_file(path).shared(df.sparkSession)
     kept = [c for c in df.columns if c != ids]
     at = kept.index(text)
 
     def run(batches):
+        codec = BpeCodec.over(shared.value)
         for batch in batches:
-            found = list(codec.value.encode(_texts(batch, at)))
+            found = list(codec.encode(_texts(batch, at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*kept, ids])
 
     source = df.select(*kept)
@@ -211,13 +221,14 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Append the text of the ids (null or empty: ''). A column named ``text`` is replaced."""
-    codec = df.sparkSession.sparkContext.broadcast(BpeCodec.from_file(path))
+    shared = BpeCodec.from_file(path).shared(df.sparkSession)
     kept = [c for c in df.columns if c != text]
     at = kept.index(ids)
 
     def run(batches):
+        codec = BpeCodec.over(shared.value)
         for batch in batches:
-            texts = [codec.value.decode(x or []) for x in batch.column(at).to_pylist()]
+            texts = [codec.decode(x or []) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text])
 
     source = df.select(*kept)
@@ -226,16 +237,17 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
 def round_trip_digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: number of ids, SHA-256 of the decimal ids joined by commas, and of the text decoded from the ids."""
-    codec = df.sparkSession.sparkContext.broadcast(BpeCodec.from_file(path))
+    shared = BpeCodec.from_file(path).shared(df.sparkSession)
 
     def run(batches):
-        decimal = [str(i) for i in range(len(codec.value.tokens))]
+        codec = BpeCodec.over(shared.value)
+        decimal = [str(i) for i in range(len(codec.tokens))]
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for ids in codec.value.encode(_texts(batch, 1)):
+            for ids in codec.encode(_texts(batch, 1)):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                of_text.append(hashlib.sha256(codec.value.decode(ids).encode()).hexdigest())
+                of_text.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

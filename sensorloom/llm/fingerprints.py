@@ -71,7 +71,7 @@ def _numbered(kmers: Column) -> Column:
     )
 
 
-def sketches(text: Column, k: int = 3, n: int = 16, picked: int = 3, kept: int = 128) -> Column:
+def sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2, kept: int = 256) -> Column:
     """Fingerprint of a text as an array of ``n`` longs."""
     words = F.split(F.coalesce(text, F.lit("")), _SPACE, -1)
     smallest = F.slice(_numbered(_kmers(words, k)), 1, kept)

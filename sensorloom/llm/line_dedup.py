@@ -118,14 +118,14 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
 
 def line_sets(docs: DataFrame, wanted: KeyFilter, k: int) -> DataFrame:
     """``node``, ``n``, ``tokens`` of the line sets that pass the filter; one row per node."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted.words)
 
     def run(batches):
         for batch in batches:
             for b in slices(batch, "text"):
                 _, _, sizes, nodes, values, line = _lines(b.column(0), k)
                 first = np.concatenate([[0], np.cumsum(sizes)])
-                fresh = np.flatnonzero((sizes > 0) & shared.value.has(signed(nodes)))
+                fresh = np.flatnonzero((sizes > 0) & KeyFilter(shared.value).has(signed(nodes)))
                 fresh = fresh[np.unique(nodes[fresh], return_index=True)[1]]
                 if len(fresh):
                     tokens = [signed(values[first[i] : first[i + 1]]) for i in fresh]

@@ -175,14 +175,11 @@ def search(
     runs = max(1, n // run_rows)
     index = fit_curves(_unit(sample), curves, dims, runs)
     window = calibrate(rows, asked, index, k, recall, calibration_queries)
-    spark = vectors.sparkSession
-    shared = spark.sparkContext.broadcast(index)
-
     def place(batches):
         for b in batches:
             x = _unit(_matrix(b.column(1)))
-            for c in range(len(shared.value.runs)):
-                run = shared.value.run_of(c, x).astype(np.int64)
+            for c in range(len(index.runs)):
+                run = index.run_of(c, x).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(run), c, np.int32)), pa.array(run), b.column(0), pa.nulls(len(run), pa.int64()), b.column(1)], names=names
                 )
@@ -190,8 +187,8 @@ def search(
     def ask(batches):
         for b in batches:
             x = _unit(_matrix(b.column(1)))
-            for c, borders in enumerate(shared.value.runs):
-                run = shared.value.run_of(c, x).astype(np.int64)
+            for c, borders in enumerate(index.runs):
+                run = index.run_of(c, x).astype(np.int64)
                 reach = np.arange(-window, window + 1)
                 goal = (run[:, None] + reach[None, :]).ravel()
                 who = np.repeat(np.arange(len(run)), len(reach))

@@ -85,7 +85,7 @@ def points(docs: DataFrame, k: int, percent: int, key: str, text: str) -> DataFr
 
 def whole_sets(docs: DataFrame, wanted: KeyFilter, k: int, text: str) -> DataFrame:
     """``node``, ``n``, ``tokens`` of the sets whose node passes the filter; one row per node."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted.words)
 
     def run(batches):
         for batch in batches:
@@ -93,7 +93,7 @@ def whole_sets(docs: DataFrame, wanted: KeyFilter, k: int, text: str) -> DataFra
                 values, owner = shingle_sets(b.column(0), k)
                 sizes, nodes = set_nodes(values, owner, b.num_rows)
                 first = np.concatenate([[0], np.cumsum(sizes)])
-                fresh = np.flatnonzero((sizes > 0) & shared.value.has(signed(nodes)))
+                fresh = np.flatnonzero((sizes > 0) & KeyFilter(shared.value).has(signed(nodes)))
                 fresh = fresh[np.unique(nodes[fresh], return_index=True)[1]]
                 if len(fresh):
                     tokens = [signed(values[first[i] : first[i + 1]]) for i in fresh]

@@ -27,7 +27,10 @@ def with_row_id(df: DataFrame, key: str, text: str, out: str = "_uid") -> DataFr
 
 
 class KeyFilter:
-    """Bloom filter of 64-bit keys with a fixed number of bits. It lets other keys pass now and then, never loses one."""
+    """Bloom filter of 64-bit keys with a fixed number of bits. It lets other keys pass now and then, never loses one.
+
+    Broadcast its ``words`` (plain data) and make the filter again in the worker.
+    """
 
     def __init__(self, words: np.ndarray):
         self.words = words

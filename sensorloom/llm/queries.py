@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html, line_dedup, mixing, neighbours, ngram_join, toxicity
+from . import bpe, fingerprints, html, line_dedup, mixing, neighbours, ngram_join, suffix_dedup, token_shards, toxicity
 
 #: Weights of the sources in code point order, repeating.
 SOURCE_WEIGHTS = [5, 2, 1]
@@ -28,6 +28,14 @@ def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip_digest(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_token_shards(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    folder = token_shards.shard_folder(docs)
+    manifest = token_shards.write_shards(docs, folder)
+    rows = token_shards.read_shards(manifest, folder)
+    return rows.select("slot", "shard", "offset", F.octet_length("ids").cast("long").alias("n_bytes"), F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op4_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"), SOURCE_WEIGHTS, share_percent=150, max_epochs=2)
 
@@ -45,6 +53,11 @@ def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf, "documents"), length=100)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, toxicity.training_labels(_table(spark, sf, "labels")))
@@ -99,10 +112,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_bpe_round_trip": op2_bpe_round_trip,
+        "op3_token_shards": op3_token_shards,
         "op4_source_mix": op4_source_mix,
         "op5_ngram_join": op5_ngram_join,
         "op6_order_minhash": op6_order_minhash,
         "op7_main_text": op7_main_text,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_nearest_vectors": op10_nearest_vectors,
     }
