@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .ngram_join import needed, set_nodes
-from .pairs import KeyFilter, overlaps, similar, with_row_id
+from .pairs import KeyFilter, fresh_name, overlaps, similar, with_row_id
 from .texts import Prefixes, bounds, shingles, signed, slices, words
 
 #: Bins of the token counts, and how many of them travel in one row.
@@ -181,22 +181,23 @@ def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``text`` freed of later matches, and ``n_lines``, ``n_removed`` appended (columns so named are replaced)."""
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_uid")]
-    rows = with_row_id(docs.select(*kept), key, text)
-    plain = rows.select("_uid", F.col(text).alias("text"))
-    gone = later_matches(plain, k, percent)
-    places = settle(gone.groupBy(F.col("uid").alias("_uid")).agg(F.collect_set("place").alias("_gone")))
-    full = rows.join(places, "_uid", "left")
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    uid, lost = fresh_name(docs, "_uid"), fresh_name(docs, "_gone")
+    rows = with_row_id(docs.select(*kept), key, text, uid)
+    gone = later_matches(rows.select(F.col(uid).alias("_uid"), F.col(text).alias("text")), k, percent)
+    places = settle(gone.groupBy(F.col("uid").alias(uid)).agg(F.collect_set("place").alias(lost)))
+    full = rows.join(places, uid, "left")
+    gone = F.col(lost)
     whole = F.coalesce(F.col(text), F.lit(""))
     # the parts are bound once per row; without that every line would split the text again
     stay = F.transform(
         F.array(F.split(whole, "\n", -1)),
         lambda p: F.array_join(
-            F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), F.col("_gone")), lambda i: F.element_at(p, i + 1)), "\n"
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), gone), lambda i: F.element_at(p, i + 1)), "\n"
         ),
     )[0]
     breaks = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit("")))
     full = full.withColumn("n_lines", F.when(F.length(whole) > 0, breaks + 1).otherwise(0).cast("long"))
-    full = full.withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long"))
-    full = full.withColumn(text, F.when(F.col("_gone").isNull(), whole).otherwise(stay))
+    full = full.withColumn("n_removed", F.when(gone.isNull(), F.lit(0)).otherwise(F.size(gone)).cast("long"))
+    full = full.withColumn(text, F.when(gone.isNull(), whole).otherwise(stay))
     return full.select(*kept, "n_lines", "n_removed")

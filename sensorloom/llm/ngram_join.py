@@ -6,13 +6,15 @@ count, so a pair whose bound is below the needed overlap is never compared. An R
 the bound to whole subtrees: a node keeps the largest count of each group and the range of set sizes below it.
 
 Spark deals the points out. Equal sets are one point. A set shares, with every set similar enough, one of its
-``n - needed + 1`` smallest shingles, so these shingles name the partitions of the index that a point belongs to; partitions with
-more than ``tile`` points are cut into tiles of consecutive set sizes, and tiles are paired only if their sizes
-allow it, the top level of the tree. In every partition (or pair of tiles) a tree is packed and joined with itself, and
-the pairs that survive the bound are verified on the whole sets.
+``n - needed + 1`` smallest shingles, so these shingles name the partitions of the index that a point belongs to; the places of a
+shared one limit what can be shared behind it. Only partitions with several points are made: which shingles recur is
+counted first and travels as a filter of fixed size. Partitions with more than ``tile`` points are cut into tiles of
+consecutive set sizes, and tiles are paired only if their sizes allow it, the top level of the tree. In every partition (or pair
+of tiles) a tree is packed and joined with itself; up to ``LEAF`` points are a single leaf.
 
-Only links between different linked groups matter, so before the trees are joined each point is verified against
-two points of its partitions, the smallest and the largest by hash; points linked by that are not paired again.
+The pairs that survive the bound are verified on the whole sets. Only links between different linked groups matter, so
+each point is first verified with its neighbour of most survivors, the likely original of its copies; of
+the other pairs those inside one linked group need no verification.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; repeated rows are links of equal
 sets; a null id is never a component's name unless all ids of the component are null.
@@ -26,11 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .pairs import KeyFilter, linked_groups, overlaps, similar, sorted_runs
+from .pairs import KeyFilter, filter_bits, linked_groups, overlaps, run_starts, similar, whole_runs
 from .texts import Prefixes, bounds, mixed, shingles, signed, slices, words
 
 GROUPS = 32
-_FAN = 16
+#: Points of a leaf, and nodes of a node.
+LEAF = 16
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,8 +116,8 @@ class CountTree:
         self.order = np.lexsort((*counts.T[:2], sizes))
         top, small, large = counts[self.order], sizes[self.order], sizes[self.order]
         self.levels = [(top, small, large)]
-        while len(top) > _FAN:
-            at = np.arange(0, len(top), _FAN)
+        while len(top) > LEAF:
+            at = np.arange(0, len(top), LEAF)
             top, small, large = np.maximum.reduceat(top, at), np.minimum.reduceat(small, at), np.maximum.reduceat(large, at)
             self.levels.append((top, small, large))
 
@@ -136,87 +139,130 @@ class CountTree:
                 kept.append((q[ok], m[ok]))
             who, node = (np.concatenate(x) for x in zip(*kept)) if kept else (who[:0], node[:0])
             if depth:
-                width = np.minimum(_FAN, len(self.levels[depth - 1][0]) - node * _FAN)
+                width = np.minimum(LEAF, len(self.levels[depth - 1][0]) - node * LEAF)
                 who = np.repeat(who, width)
-                node = np.repeat(node * _FAN, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+                node = np.repeat(node * LEAF, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
         return who, self.order[node]
 
 
-def surviving_pairs(entries: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Distinct pairs (a < b) of one partition whose bound allows them and whose linked groups differ.
+def members(made: DataFrame) -> DataFrame:
+    """``shingle``, ``node``, ``n``, ``at``: the points of index partitions, but for most of those alone in theirs."""
+    again = made.select(F.explode("smallest").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
+    again = settle(again.select("shingle"))
+    shared = made.sparkSession.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
 
-    ``entries``: shingle, node, n, counts, group.
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                b = batch.slice(i, 256)
+                lists = b.column(2)
+                values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                keep = KeyFilter(shared.value).has(values)
+                of = pa.array(owner[keep])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[keep]), b.column(0).take(of), b.column(1).take(of), pa.array(at[keep])], names=["shingle", "node", "n", "at"]
+                )
+
+    some = made.where("n > 0").select("node", "n", "smallest")
+    return some.mapInArrow(run, "shingle long, node long, n long, at long").distinct()
+
+
+def _allowed(counts, sizes, at, q, p, percent: int) -> np.ndarray:
+    """Whether pairs (q, p) of one partition pass the size, place and count bounds."""
+    total = percent * (sizes[q] + sizes[p])
+    ok = 100 * np.minimum(sizes[q], sizes[p]) >= percent * np.maximum(sizes[q], sizes[p])
+    ok &= (100 + percent) * np.minimum(sizes[q] - at[q], sizes[p] - at[p]) >= total
+    some = np.flatnonzero(ok)
+    for i in range(0, len(some), 1 << 15):
+        part = some[i : i + (1 << 15)]
+        ok[part] = (100 + percent) * np.minimum(counts[q[part]], counts[p[part]]).sum(axis=1, dtype=np.int64) >= total[part]
+    return ok
+
+
+def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Distinct pairs (a < b) of points of one partition that pass the bounds.
+
+    ``entries``: shingle, node, n, at; ``points_of``: node, counts.
     """
-    sized = entries.withColumn("_rows", F.count("*").over(Window.partitionBy("shingle")))
-    sized = settle(sized)
-    plain = sized.where(F.col("_rows") <= tile).select("shingle", F.lit(0).alias("t1"), F.lit(0).alias("t2"), "node", "n", "counts", "group", F.lit(0).alias("side"))
-    by_size = Window.partitionBy("shingle").orderBy("n", "node")
-    tiled = sized.where(F.col("_rows") > tile).withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / tile).cast("int"))
-    tiled = settle(tiled)
-    spans = tiled.groupBy("shingle", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    fitting = (
-        spans.select("shingle", F.col("tile").alias("t1"), F.col("hi").alias("hi1"))
-        .join(spans.select("shingle", F.col("tile").alias("t2"), F.col("lo").alias("lo2")), "shingle")
-        .where((F.col("t1") <= F.col("t2")) & (100 * F.col("hi1") >= percent * F.col("lo2")))
-        .select("shingle", "t1", "t2")
-    )
-    rows = tiled.select("shingle", "tile", "node", "n", "counts", "group")
-    first = rows.withColumnRenamed("tile", "t1").join(fitting, ["shingle", "t1"]).withColumn("side", F.lit(0))
-    second = rows.withColumnRenamed("tile", "t2").join(fitting.where("t1 < t2"), ["shingle", "t2"]).withColumn("side", F.lit(1))
-    every = plain.unionByName(first).unionByName(second).withColumnRenamed("group", "grp")
+    large = settle(entries.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") > tile).select("shingle"))
+    none = F.lit(0).cast("int")
+    if large.isEmpty():
+        every = entries.withColumns({"t1": none, "t2": none, "side": none})
+    else:
+        plain = entries.join(large, "shingle", "left_anti").withColumns({"t1": none, "t2": none, "side": none})
+        by_size = Window.partitionBy("shingle").orderBy("n", "node")
+        tiled = settle(entries.join(large, "shingle").withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / tile).cast("int")))
+        spans = tiled.groupBy("shingle", "tile").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+        fitting = (
+            spans.select("shingle", F.col("tile").alias("t1"), F.col("hi").alias("hi1"))
+            .join(spans.select("shingle", F.col("tile").alias("t2"), F.col("lo").alias("lo2")), "shingle")
+            .where((F.col("t1") <= F.col("t2")) & (100 * F.col("hi1") >= percent * F.col("lo2")))
+            .select("shingle", "t1", "t2")
+        )
+        first = tiled.withColumnRenamed("tile", "t1").join(fitting, ["shingle", "t1"]).withColumn("side", none)
+        second = tiled.withColumnRenamed("tile", "t2").join(fitting.where("t1 < t2"), ["shingle", "t2"]).withColumn("side", none + 1)
+        every = plain.unionByName(first).unionByName(second)
+
+    def pair(node, q, p):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[q], node[p])), pa.array(np.maximum(node[q], node[p]))], names=["a", "b"])
 
     def run(batches):
-        for t in sorted_runs(batches, ["shingle", "t1", "t2"]):
-            t = t.combine_chunks()
-            node, grp = t.column("node").to_numpy(), t.column("grp").to_numpy()
-            if (grp == grp[0]).all():
-                continue
-            sizes = t.column("n").to_numpy()
+        for t in whole_runs(batches, ["shingle", "t1", "t2"]):
+            node, sizes, at = (t.column(c).to_numpy() for c in ("node", "n", "at"))
             counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.int32).reshape(-1, GROUPS)
             second = t.column("side").to_numpy() == 1
-            left = np.flatnonzero(~second)
-            right = np.flatnonzero(second) if second.any() else left
-            q, p = CountTree(counts[right], sizes[right]).join(counts[left], sizes[left], percent)
-            q, p = left[q], right[p]
-            keep = grp[q] != grp[p]
-            a, b = np.minimum(node[q[keep]], node[p[keep]]), np.maximum(node[q[keep]], node[p[keep]])
-            found = np.unique(np.stack([a, b]), axis=1)
-            if found.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
-
-    ordered = every.repartition("shingle", "t1", "t2").sortWithinPartitions("shingle", "t1", "t2")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
-
-
-def components(
-    docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 2048, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+            runs = run_starts(t, ["shingle", "t1", "t2"])
+            length = np.diff(np.append(runs, len(node)))
+            block = np.repeat(np.arange(len(runs)), length)
+            # single leaves, of all partitions at once: each point with the d-th after it
+            small = np.repeat((length <= LEAF), length) & ~np.logical_or.reduceat(second, runs)[block]
+            for d in range(1, LEAF):
+                q = np.flatnonzero(small[:-d] & (block[d:] == block[:-d])) if d < len(node) else np.zeros(0, np.int64)
+                if not len(q):
+                    break
+                ok = _allowed(counts, sizes, at, q, q + d, percent)
+                yield pair(node, q[ok], q[ok] + d)
+            for i in np.flatnonzero(~small[runs]):
+                here = np.arange(runs[i], runs[i] + length[i])
+                left = here[~second[here]]
+                right = here[second[here]] if second[here].any() else left
+                q, p = CountTree(counts[right], sizes[right]).join(counts[left], sizes[left], percent)
+                q, p = left[q], right[p]
+                keep = (node[q] != node[p]) & ((q < p) | (len(left) + len(right) == len(here)))
+                q, p = q[keep], p[keep]
+                ok = _allowed(counts, sizes, at, q, p, percent)
+                yield pair(node, q[ok], p[ok])
+
+    dealt = every.join(points_of, "node").repartition("shingle", "t1", "t2").sortWithinPartitions("shingle", "t1", "t2")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach."""
     made = settle(points(docs, k, percent, key, text))
-    entries = made.where("n > 0").select(F.explode("smallest").alias("shingle"), "node")
-    # the partitions of the index that hold two different sets
-    shared = entries.groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = settle(entries.join(shared, "shingle").distinct())
-    picked = members.groupBy("node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    tried = (
-        picked.select(F.least("node", "lo").alias("a"), F.greatest("node", "lo").alias("b"))
-        .unionByName(picked.select(F.least("node", "hi").alias("a"), F.greatest("node", "hi").alias("b")))
-        .where("a < b")
-        .distinct()
-    )
-    points_of = made.where("n > 0").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("counts").alias("counts"))
-    points_of = settle(points_of.join(members.select("node").distinct(), "node"))
-    sets = settle(whole_sets(docs, KeyFilter.of(points_of.select("node")), k, text).join(points_of.select("node"), "node", "left_semi"))
+    entries = settle(members(made))
+    points_of = made.join(entries.select("node").distinct(), "node").groupBy("node").agg(F.any_value("counts").alias("counts"))
+    found = settle(surviving_pairs(entries, points_of, percent, tile))
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    nodes = settle(both.groupBy("a").agg(F.count("*").alias("degree")).withColumnRenamed("a", "node"))
+    sets = whole_sets(docs, KeyFilter.of(nodes.select("node"), filter_bits(nodes.count())), k, text)
+    sets = settle(sets.join(nodes, "node", "left_semi"))
     linked = similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)
+
+    best = both.join(nodes.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.max(F.struct("degree", "b")).alias("best"))
+    tried = settle(best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
     links = settle(overlaps(tried, sets).where(linked).select("a", "b"))
     groups = linked_groups(links)
-    grouped = members.join(groups, "node", "left").select("shingle", "node", F.coalesce("group", "node").alias("group"))
-    open_ones = grouped.groupBy("shingle").agg(F.min("group").alias("_lo"), F.max("group").alias("_hi")).where("_lo < _hi").select("shingle")
-    rest = grouped.join(open_ones, "shingle").join(points_of, "node")
-    more = surviving_pairs(rest, percent, tile).join(tried, ["a", "b"], "left_anti")
-    more = overlaps(more, sets).where(linked).select("a", "b")
-    links = settle(links.unionByName(more))
-    groups = linked_groups(links)
+    left = found.join(tried, ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        name = groups.select(F.col("node").alias(side), F.col("group").alias(f"g_{side}"))
+        left = left.join(name, side, "left").withColumn(f"g_{side}", F.coalesce(f"g_{side}", side))
+    more = settle(overlaps(left.where("g_a <> g_b").select("a", "b"), sets).where(linked).select("a", "b"))
+    groups = linked_groups(links.unionByName(more)) if not more.isEmpty() else groups
+
     named = made.where("n > 0").join(groups, "node", "left").select("id", "node", F.coalesce("group", "node").alias("group"))
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
     classes = named.select("node", "group").distinct().join(smallest, "group").select("node", "component_id")

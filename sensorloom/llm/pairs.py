@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def with_row_id(df: DataFrame, key: str, text: str, out: str = "_uid") -> DataFrame:
     """Append a unique long that orders the rows by ``key`` (nulls last), then by the text's digest.
 
@@ -72,6 +80,11 @@ class KeyFilter:
         return out
 
 
+def filter_bits(keys: int, most: int = 1 << 28) -> int:
+    """Bits of a key filter: sixteen a key or more, but never over ``most`` (32 MB), beyond which it only passes more."""
+    return min(most, max(1 << 20, 1 << (16 * keys).bit_length()))
+
+
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b, ...) with ``shared``, the exact size of the intersection of their sets (node, n, tokens)."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("_ta"))
@@ -108,29 +121,34 @@ def linked_groups(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("links did not settle")
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows of sorted batches, cut where the key columns change; one table per key."""
-    held: list[pa.RecordBatch] = []
+def run_starts(t: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the key columns change, the first row included."""
+    change = np.ones(t.num_rows, bool)
+    change[1:] = False
+    for k in keys:
+        x = t.column(k).to_numpy()
+        change[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(change)
 
-    def same(a: pa.RecordBatch, i: int, b: pa.RecordBatch, j: int) -> bool:
-        return all(a.column(k)[i] == b.column(k)[j] for k in keys)
 
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Sorted batches cut anew, so that the rows of a key are never in two tables."""
+    held: list[pa.Table] = []
     for b in batches:
         if not b.num_rows:
             continue
-        change = np.zeros(b.num_rows - 1, bool)
-        for k in keys:
-            x = b.column(k).to_numpy(zero_copy_only=False)
-            change |= x[1:] != x[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
-        for s, e in zip(cuts, cuts[1:]):
-            part = b.slice(s, e - s)
-            if held and not same(held[0], 0, part, 0):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
+        t = pa.Table.from_batches([b])
+        starts = run_starts(t, keys)
+        same = bool(held) and all(held[-1].column(k)[-1] == t.column(k)[0] for k in keys)
+        if same and len(starts) == 1:
+            held.append(t)
+            continue
+        first = int(starts[1]) if same else 0
+        if held:
+            yield pa.concat_tables([*held, t.slice(0, first)]).combine_chunks()
+        last = int(starts[-1])
+        if last > first:
+            yield t.slice(first, last - first).combine_chunks()
+        held = [t.slice(last)]
     if held:
-        yield pa.Table.from_batches(held)
-
-
-Mapper = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+        yield pa.concat_tables(held).combine_chunks()

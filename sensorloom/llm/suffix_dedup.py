@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .pairs import KeyFilter, with_row_id
+from .pairs import KeyFilter, filter_bits, with_row_id
 from .texts import Prefixes, bounds, mixed, signed, slices
 
 _SEGMENT = 1 << 21
@@ -160,11 +160,6 @@ def repeated_spans(docs: DataFrame, length: int = 100, seed_length: int = 36) ->
     return whole.unionByName(found)
 
 
-def filter_bits(keys: int, most: int = 1 << 28) -> int:
-    """Bits of a key filter: sixteen a key, but never over ``most`` (32 MB), beyond which it only passes more."""
-    return min(most, max(1 << 20, 1 << (16 * keys).bit_length()))
-
-
 def remove_repeats(docs: DataFrame, length: int = 100, seed_length: int = 36, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``kept`` (binary: the bytes that stay), ``n_bytes``, ``n_removed``, ``n_spans`` of every row."""
     rows = with_row_id(docs.select(F.col(key).alias(key), F.col(text).alias("text")), key, "text")
