@@ -5,17 +5,20 @@ sort all byte positions takes many times the corpus in shuffles, so the sort beg
 miss: in each window of ``length`` bytes the ``seed_length``-byte string with the smallest hash, the leftmost of equal ones. Equal windows
 choose the same string at the same offset, and about one position in thirty is chosen.
 
-Rounds, each a distributed sort of (rank, position) pairs that drops what is unique:
+Rounds, each a distributed sort of (rank, position) pairs that drops what is unique. The compared strings grow from the seed to whole
+windows, for fewer and fewer positions:
 
 1. rank of the ``seed_length`` bytes at a chosen position. Positions whose rank is unique have no repeated window.
-2. rank of (rank, whole context): the bytes of all windows that chose the position. Of equal contexts all but the first
-   lie wholly in repeated windows; the first stays if its round-1 rank has other contexts.
-3. for those, every window start: rank of the first half of the window. Unique ones are dropped.
-4. rank of (rank, rank of the second half), the whole window: all but the first position of a rank are repeats.
+2. rank of (rank, all bytes of the windows that chose the position).
+3. for what is open, its windows in blocks of ``_BLOCK`` offsets: rank of the bytes that all windows of a block share, then of
+   (rank, all bytes of the block).
+4. for what is open, every window: rank of its ``length`` bytes.
 
-Between rounds 1 and 2, and 2 and 3, only a fixed-size filter of the ranks that are left travels, and the texts are read again, so
-positions that are dropped are never written. Ranks are 64-bit names of byte strings, not their alphabetical places; equality
-is all that is asked of them.
+In rounds 2 and 3 all but the first of equal contexts lie wholly in repeated windows; the first stays open if its rank
+has other contexts. In round 4 all but the first position of a rank are repeats.
+
+Between rounds only fixed-size filters of what is open travel, and the texts are read again, so positions that are dropped
+are never written. Ranks are 64-bit names of byte strings, not their alphabetical places; equality is all that is asked.
 
 Defined results: null and empty texts have no bytes and nothing is removed; repeated keys are ordered by the text's digest;
 strings shorter than ``length`` are never removed; matches never cross rows.
@@ -32,7 +35,10 @@ from ..session import settle
 from .pairs import KeyFilter, filter_bits, with_row_id
 from .texts import Prefixes, bounds, mixed, signed, slices
 
+#: A text longer than this is cut into segments, which overlap by a window.
 _SEGMENT = 1 << 21
+#: Window offsets of a block in round 3.
+_BLOCK = 8
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -47,15 +53,16 @@ def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 class Chosen:
-    """Chosen positions of one segment: text index, place in the text, first and last window start that chose it."""
+    """Chosen positions of one segment (``seed``): text index, first and last window start that chose it, ranks."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, begin: int, length: int, seed_length: int):
-        end = min(len(data), begin + _SEGMENT + length - 1)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, begin: int, length: int, seed_length: int, step: int):
+        end = min(len(data), begin + step + length - 1)
         self.prefixes = Prefixes(data[begin:end])
         n = end - begin
         count = n - length + 1
         empty = np.zeros(0, np.int64)
-        self.text = self.place = self.first = self.last = self.name = self.context = empty
+        self.text = self.base = self.seed = self.first = self.last = empty
+        self.name = self.context = np.zeros(0, np.uint64)
         if count <= 0:
             return
         at = np.arange(n - seed_length + 1)
@@ -74,6 +81,7 @@ class Chosen:
         self.base = offsets[self.text] - begin  # where the text begins in the segment, at times before it
         self.first = start[lead]
         self.last = start[np.append(lead[1:], len(start)) - 1]
+        self.seed = chosen[lead]
         self.name = names[chosen[lead]]
         shape = mixed(((chosen[lead] - self.first) * 4096 + (self.last - self.first)).astype(np.uint64))
         self.context = mixed(self.prefixes.of(self.first, self.last + length) + shape)
@@ -81,83 +89,120 @@ class Chosen:
     @property
     def start(self) -> np.ndarray:
         """First window start as a place in the text."""
-        return self.first - self.base if len(self.text) else self.first
+        return self.first - self.base
 
 
-def _segments(batches, length: int, seed_length: int):
+def _segments(batches, length: int, seed_length: int, rows_of: np.ndarray | None = None):
+    """(row ids, chosen positions) of the texts; ``rows_of``: filter of the rows that are worth reading."""
     for batch in batches:
+        if rows_of is not None:
+            batch = batch.filter(pa.array(KeyFilter(rows_of).has(batch.column(0).to_numpy())))
         for b in slices(batch, "text"):
             data, offsets = bounds(b.column(1))
-            for begin in range(0, max(len(data) - length + 1, 0), _SEGMENT):
-                yield b.column(0), Chosen(data, offsets, begin, length, seed_length)
+            # only a text of its own is cut, so the cuts do not depend on what lies beside it
+            step = _SEGMENT if b.num_rows == 1 else max(1, len(data))
+            for begin in range(0, max(len(data) - length + 1, 0), step):
+                yield b.column(0), Chosen(data, offsets, begin, length, seed_length, step)
+
+
+def _position_key(uid: np.ndarray, start: np.ndarray, level: int) -> np.ndarray:
+    return signed(mixed(mixed(uid.astype(np.uint64) + np.uint64(level << 60)) + start.astype(np.uint64)))
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the range and value, for all values of the ranges first, first + 1, ... of ``count`` values."""
+    of = np.repeat(np.arange(len(first)), count)
+    return of, first[of] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+_RANKED = "rank long, context long, uid long, start long, more int, position long"
+
 
+def _ranked(rank, context, uid, start, more, level: int) -> pa.RecordBatch:
+    columns = [signed(rank), signed(context), uid, start, more.astype(np.int32), _position_key(uid, start, level)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "context", "uid", "start", "more", "position"])
 
-def _position_key(uid: np.ndarray, start: np.ndarray) -> np.ndarray:
-    return signed(mixed(mixed(uid.astype(np.uint64)) + start.astype(np.uint64)))
+
+def _settled(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of all but the first of equal contexts; and the firsts whose rank has other contexts."""
+    firsts = settle(rows.groupBy("rank", "context").agg(F.min(F.struct("uid", "start")).alias("first")))
+    several = firsts.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
+    placed = rows.join(firsts, ["rank", "context"])
+    is_first = (F.col("uid") == F.col("first.uid")) & (F.col("start") == F.col("first.start"))
+    spans = placed.where(~is_first).select("uid", F.col("start").alias("begin"), (F.col("start") + F.col("more") + length).alias("end"))
+    return spans, settle(placed.where(is_first).join(several, "rank", "left_semi").select("uid", "position"))
+
+
+def _filters(still: DataFrame):
+    """Broadcast filters of the open positions and of the rows that have any."""
+    spark, bits = still.sparkSession, filter_bits(still.count())
+    made = [KeyFilter.of(still.select(c), bits) for c in ("position", "uid")]
+    return [spark.sparkContext.broadcast(f.words) for f in made]
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, seed_length: int = 36) -> DataFrame:
     """``uid``, ``begin``, ``end``: byte ranges covered by repeated strings, overlapping. ``docs``: _uid, text."""
-    spark = docs.sparkSession
     source = docs.select("_uid", "text")
 
     def seeds(batches):
         for _, c in _segments(batches, length, seed_length):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(c.name.astype(np.uint64)))], names=["name"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(c.name))], names=["rank"])
 
-    again = settle(source.mapInArrow(seeds, "name long").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"))
-    again_filter = spark.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
+    again = settle(source.mapInArrow(seeds, "rank long").groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"))
+    again = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
 
     def contexts(batches):
         for uids, c in _segments(batches, length, seed_length):
-            keep = KeyFilter(again_filter.value).has(signed(c.name.astype(np.uint64)))
+            keep = KeyFilter(again.value).has(signed(c.name))
             if keep.any():
-                uid = uids.to_numpy()[c.text[keep]]
-                start = c.start[keep]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(c.name[keep])), pa.array(signed(c.context[keep])), pa.array(uid), pa.array(start),
-                        pa.array((c.last - c.first)[keep].astype(np.int32)), pa.array(_position_key(uid, start)),
-                    ],
-                    names=["name", "context", "uid", "start", "more", "position"],
-                )
-
-    rows = settle(source.mapInArrow(contexts, "name long, context long, uid long, start long, more int, position long"))
-    firsts = settle(rows.groupBy("name", "context").agg(F.min(F.struct("uid", "start")).alias("first")))
-    several = firsts.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    ranked = rows.join(firsts, ["name", "context"])
-    is_first = (F.col("uid") == F.col("first.uid")) & (F.col("start") == F.col("first.start"))
-    whole = ranked.where(~is_first).select("uid", F.col("start").alias("begin"), (F.col("start") + F.col("more") + length).alias("end"))
-    open_ones = settle(ranked.where(is_first).join(several, "name", "left_semi").select("position"))
-    open_filter = spark.sparkContext.broadcast(KeyFilter.of(open_ones, filter_bits(open_ones.count())).words)
-    half = length // 2
+                yield _ranked(c.name[keep], c.context[keep], uids.to_numpy()[c.text[keep]], c.start[keep], (c.last - c.first)[keep], 1)
+
+    spans, still = _settled(settle(source.mapInArrow(contexts, _RANKED)), length)
+    open_seeds, open_rows = _filters(still)
+
+    def blocks_of(uids, c):
+        """Blocks of window offsets of the open seeds: seed, first and last window start, block number."""
+        if not len(c.text):
+            return (np.zeros(0, np.int64),) * 4
+        uid = uids.to_numpy()[c.text]
+        keep = np.flatnonzero(KeyFilter(open_seeds.value).has(_position_key(uid, c.start, 1)))
+        # the offset of a window is how far before the seed it starts: at most seed - first, at least seed - last
+        low, high = (c.seed - c.last)[keep] // _BLOCK, (c.seed - c.first)[keep] // _BLOCK
+        of, number = _spread(low, high - low + 1)
+        of = keep[of]
+        first = np.maximum(c.first[of], c.seed[of] - number * _BLOCK - (_BLOCK - 1))
+        return of, first, np.minimum(c.last[of], c.seed[of] - number * _BLOCK), number
+
+    def blocks(batches):
+        for uids, c in _segments(batches, length, seed_length, open_rows.value):
+            of, first, last, number = blocks_of(uids, c)
+            if len(of):
+                # what every window of the full block covers, so that cut blocks meet whole ones
+                core = c.seed[of] - number * _BLOCK
+                rank = mixed(c.prefixes.of(core, core + length - (_BLOCK - 1)) + number.astype(np.uint64))
+                context = mixed(c.prefixes.of(first, last + length) + ((core - first) * 64 + (core - last)).astype(np.uint64))
+                yield _ranked(rank, context, uids.to_numpy()[c.text[of]], first - c.base[of], last - first, 2)
+
+    more, still = _settled(settle(source.mapInArrow(blocks, _RANKED)), length)
+    open_blocks, rows_left = _filters(still)
 
     def windows(batches):
-        for uids, c in _segments(batches, length, seed_length):
-            if not len(c.text):
+        for uids, c in _segments(batches, length, seed_length, rows_left.value):
+            of, first, last, _ = blocks_of(uids, c)
+            if not len(of):
                 continue
-            uid = uids.to_numpy()[c.text]
-            keep = np.flatnonzero(KeyFilter(open_filter.value).has(_position_key(uid, c.start)) & KeyFilter(again_filter.value).has(signed(c.name)))
-            if len(keep):
-                width = (c.last - c.first)[keep] + 1
-                of = np.repeat(keep, width)
-                at = c.first[of] + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(c.prefixes.of(at, at + half))), pa.array(signed(c.prefixes.of(at + half, at + length))),
-                        pa.array(uid[of]), pa.array(at - c.base[of]),
-                    ],
-                    names=["rank", "rank_ahead", "uid", "start"],
-                )
-
-    halves = source.mapInArrow(windows, "rank long, rank_ahead long, uid long, start long")
-    same_half = Window.partitionBy("rank")
-    halves = halves.withColumn("_n", F.count("*").over(same_half)).where("_n > 1").drop("_n")
-    # partitioned by the first half already: the pair needs no further shuffle
-    pair = Window.partitionBy("rank", "rank_ahead").orderBy("uid", "start")
-    later = halves.withColumn("_n", F.row_number().over(pair)).where("_n > 1")
-    found = later.select("uid", F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
-    return whole.unionByName(found)
+            uid = uids.to_numpy()[c.text[of]]
+            keep = np.flatnonzero(KeyFilter(open_blocks.value).has(_position_key(uid, first - c.base[of], 2)))
+            i, at = _spread(first[keep], (last - first)[keep] + 1)
+            i = keep[i]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(c.prefixes.of(at, at + length))), pa.array(uid[i]), pa.array(at - c.base[of[i]])], names=["rank", "uid", "start"]
+            )
+
+    in_order = Window.partitionBy("rank").orderBy("uid", "start")
+    ranked = source.mapInArrow(windows, "rank long, uid long, start long").withColumn("_n", F.row_number().over(in_order))
+    found = ranked.where("_n > 1").select("uid", F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
+    return spans.unionByName(more).unionByName(found)
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, seed_length: int = 36, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sensorloom.llm import line_dedup, ngram_join, pairs, suffix_dedup
+from sensorloom.llm import line_dedup, ngram_join, pairs, suffix_dedup, texts
 from tests.llm import samples
 
 
@@ -89,6 +89,7 @@ def test_suffix_dedup(docs, length, seed_length):
 
 def test_suffix_dedup_over_segments(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_SEGMENT", 57)
+    monkeypatch.setattr(suffix_dedup, "slices", lambda batch, column: texts.slices(batch, column, 50))
     got = {r["doc_id"]: hashlib.md5(bytes(r["kept"])).hexdigest() for r in suffix_dedup.remove_repeats(docs, 20, 8).collect()}
     assert got == {i: hashlib.md5(k).hexdigest() for i, *_, k in samples.without_repeats(ROWS, 20)}
 
