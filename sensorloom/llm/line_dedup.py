@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .ngram_join import needed, set_nodes
-from .pairs import KeyFilter, fresh_name, overlaps, similar, with_row_id
+from .pairs import KeyFilter, filter_bits, fresh_name, overlaps, similar, with_row_id
 from .texts import Prefixes, bounds, shingles, signed, slices, words
 
 #: Bins of the token counts, and how many of them travel in one row.
@@ -116,16 +116,18 @@ def prefixes(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> DataF
     return docs.select("text").mapInArrow(run, "token long, node long, n int, at int")
 
 
-def line_sets(docs: DataFrame, wanted: KeyFilter, k: int) -> DataFrame:
-    """``node``, ``n``, ``tokens`` of the line sets that pass the filter; one row per node."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted.words)
+def line_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """``node``, ``n``, ``tokens`` of the ``wanted`` (node, uid) line sets, read from the documents that have them."""
+    spark, bits = docs.sparkSession, filter_bits(wanted.count())
+    nodes_in, uids_in = (spark.sparkContext.broadcast(KeyFilter.of(wanted.select(c), bits).words) for c in ("node", "uid"))
 
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(KeyFilter(uids_in.value).has(batch.column(0).to_numpy())))
             for b in slices(batch, "text"):
-                _, _, sizes, nodes, values, line = _lines(b.column(0), k)
+                _, _, sizes, nodes, values, line = _lines(b.column(1), k)
                 first = np.concatenate([[0], np.cumsum(sizes)])
-                fresh = np.flatnonzero((sizes > 0) & KeyFilter(shared.value).has(signed(nodes)))
+                fresh = np.flatnonzero((sizes > 0) & KeyFilter(nodes_in.value).has(signed(nodes)))
                 fresh = fresh[np.unique(nodes[fresh], return_index=True)[1]]
                 if len(fresh):
                     tokens = [signed(values[first[i] : first[i + 1]]) for i in fresh]
@@ -134,8 +136,8 @@ def line_sets(docs: DataFrame, wanted: KeyFilter, k: int) -> DataFrame:
                         names=["node", "n", "tokens"],
                     )
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, tokens array<long>")
-    return found.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"))
+    found = docs.select("_uid", "text").mapInArrow(run, "node long, n long, tokens array<long>").join(wanted.select("node"), "node", "left_semi")
+    return settle(found.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")))
 
 
 def _may_match(percent: int):
@@ -154,25 +156,29 @@ def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
     by_token = Window.partitionBy("token")
     entries = entries.withColumn("_lo", F.min("node").over(by_token)).withColumn("_hi", F.max("node").over(by_token))
     shared = settle(entries.where("_lo < _hi").select("token", "node", "n", "at").distinct())
-    first = lines.groupBy("node").agg(F.min(F.struct("uid", "place")).alias("first"))
+    first = settle(lines.groupBy("node").agg(F.min(F.struct("uid", "place")).alias("first")))
     members = settle(shared.join(first, "node"))
 
     # round 1: each line with the earliest of its groups
     lead = members.groupBy("token").agg(F.min(F.struct("first", "node", "n", "at")).alias("lead"))
     met = members.alias("x").join(lead.select("token", "lead.*").alias("y"), "token").where(F.col("x.node") != F.col("y.node"))
     tried = settle(met.where(_may_match(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    nodes = members.select("node").distinct()
-    sets = settle(line_sets(docs, KeyFilter.of(nodes), k).join(nodes, "node", "left_semi"))
     passed = similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)
-    matched = settle(overlaps(tried, sets).where(passed).select(F.col("a").alias("node")).distinct())
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Nodes ``a`` of the pairs that are similar. Sets are read for the lines of the pairs alone."""
+        both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = settle(both.join(first, "node").select("node", "first.uid"))
+        return settle(overlaps(pairs, line_sets(docs, wanted, k)).where(passed).select(F.col("a").alias("node")).distinct())
+
+    matched = verified(tried)
 
     # round 2: what is unmatched with every earlier line of its groups
     left = members.join(matched, "node", "left_anti")
     met = left.alias("x").join(members.alias("y"), "token").where(F.col("y.first") < F.col("x.first"))
     rest = met.where(_may_match(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    rest = rest.join(tried, ["a", "b"], "left_anti")
-    more = overlaps(rest, sets).where(passed).select(F.col("a").alias("node")).distinct()
-    gone = settle(matched.unionByName(more).distinct())
+    rest = settle(rest.join(tried, ["a", "b"], "left_anti"))
+    gone = matched.unionByName(verified(rest)).distinct()
 
     repeated = lines.join(first, "node").where((F.col("uid") != F.col("first.uid")) | (F.col("place") != F.col("first.place")))
     firsts = first.join(gone, "node").select("first.uid", "first.place")

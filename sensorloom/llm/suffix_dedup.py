@@ -52,6 +52,12 @@ def _smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the range and value, for all values of the ranges first, first + 1, ... of ``count`` values."""
+    of = np.repeat(np.arange(len(first)), count)
+    return of, first[of] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
 class Chosen:
     """Chosen positions of one segment (``seed``): text index, first and last window start that chose it, ranks."""
 
@@ -65,14 +71,13 @@ class Chosen:
         self.name = self.context = np.zeros(0, np.uint64)
         if count <= 0:
             return
-        at = np.arange(n - seed_length + 1)
-        names = self.prefixes.of(at, at + seed_length)
-        keys = (names & ~_LOW) | at.astype(np.uint64)
+        names = self.prefixes.every(seed_length)
+        keys = (names & ~_LOW) | np.arange(len(names), dtype=np.uint64)
         chosen = (_smallest(keys, length - seed_length + 1) & _LOW).astype(np.int64)
-        start = np.arange(count)
-        text = np.searchsorted(offsets, begin + start, side="right") - 1
-        inside = begin + start + length <= offsets[text + 1]
-        start, text, chosen = start[inside], text[inside], chosen[inside]
+        # window starts that end within their text
+        text, start = _spread(np.maximum(offsets[:-1], begin), np.maximum(np.minimum(offsets[1:] - length + 1, begin + count) - np.maximum(offsets[:-1], begin), 0))
+        start -= begin
+        chosen = chosen[start]
         if not len(start):
             return
         fresh = np.concatenate([[True], (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])])
@@ -109,12 +114,6 @@ def _position_key(uid: np.ndarray, start: np.ndarray, level: int) -> np.ndarray:
     return signed(mixed(mixed(uid.astype(np.uint64) + np.uint64(level << 60)) + start.astype(np.uint64)))
 
 
-def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the range and value, for all values of the ranges first, first + 1, ... of ``count`` values."""
-    of = np.repeat(np.arange(len(first)), count)
-    return of, first[of] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-
-
 _RANKED = "rank long, context long, uid long, start long, more int, position long"
 
 

@@ -52,10 +52,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_known_powers: dict[int, np.ndarray] = {}
+
+
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The first n powers; up to a slice's worth is kept for the next slices of the task."""
+    held = _known_powers.get(int(base))
+    if held is None or len(held) < n:
+        held = np.full(max(n, SLICE_BYTES + (SLICE_BYTES >> 3)), base, np.uint64)
+        held[0] = 1
+        np.cumprod(held, dtype=np.uint64, out=held)
+        if len(held) <= 2 * SLICE_BYTES:
+            _known_powers[int(base)] = held
+    return held[:n]
 
 
 class Prefixes:
@@ -75,6 +84,11 @@ class Prefixes:
         np.cumsum(terms, dtype=np.uint64, out=self.sums[1:])
         self.inverse = _powers(_INVERSE, n + 1)
 
+    def every(self, length: int) -> np.ndarray:
+        """Fingerprints of all ranges of ``length`` bytes, by their start."""
+        n = len(self.sums) - length
+        return mixed((self.sums[length:] - self.sums[:n]) * self.inverse[:n] + _U(length))
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
 
@@ -116,12 +130,24 @@ def shingles(hashes: np.ndarray, owner: np.ndarray, n_owners: int, k: int) -> tu
     position = np.arange(m) - first[owner]
     keep = (position + k <= counts[owner]) | ((position == 0) & (counts[owner] < k))
     values, owners = mixed(acc[keep]), owner[keep]
-    order = np.lexsort((values, owners))
+    order = _by_owner(values, owners)
     values, owners = values[order], owners[order]
     fresh = np.ones(len(values), bool)
     fresh[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
     return values[fresh], owners[fresh]
 
 
+def _by_owner(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Order by owner, then by value. One key holds the owner and the upper bits of the value, which nearly always decide."""
+    shift = int(owners[-1]).bit_length() if len(owners) else 0
+    if shift <= 24:
+        keys = (owners.astype(np.uint64) << _U(64 - shift) if shift else np.zeros(len(owners), np.uint64)) | (values >> _U(shift))
+        order = np.argsort(keys)
+        keys = keys[order]
+        if not (values[order][1:] != values[order][:-1])[keys[1:] == keys[:-1]].any():
+            return order
+    return np.lexsort((values, owners))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
