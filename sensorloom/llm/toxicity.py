@@ -7,7 +7,8 @@ their states, so a clause is read once. A matched clause carries the weight of i
 matched, and the score of a document is the logistic of its clause evidence.
 
 What is learned, from labelled rows only: the stems of the insult class beyond the fixed seed words (a stem is
-the beginning of a word; chosen by greedy cover of the toxic rows), and the weights of the patterns
+the beginning of a word; chosen by greedy cover of the toxic rows), words with such a stem that are usual in clean rows and
+are spared, and the weights of the patterns
 (logistic regression). Both are fitted on at most about ``max_rows`` labelled rows, chosen by a hash of the
 key; scores then cover every row and whole texts.
 
@@ -28,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 #: Word classes of the grammar.
 INSULTS = ["idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting"]
 HARM = ["kill", "hurt", "beat", "destroy", "shoot", "stab", "burn"]
@@ -115,11 +118,11 @@ def grammar() -> Transducer:
 class Reader:
     """Finds clauses that can match and runs the composed machine over them. Picklable."""
 
-    def __init__(self, stems: dict[str, float]):
-        self.stems = dict(stems)
+    def __init__(self, stems: dict[str, float], spared: list[str] | tuple[str, ...] = ()):
+        self.stems, self.spared = dict(stems), frozenset(spared)
 
     def __getstate__(self):
-        return {"stems": self.stems}
+        return {"stems": self.stems, "spared": self.spared}
 
     def _ready(self) -> None:
         if "_machine" in self.__dict__:
@@ -138,6 +141,8 @@ class Reader:
         self._longest = max(map(len, self.stems), default=0)
 
     def _token(self, word: str) -> tuple[str, float]:
+        if word in self.spared:
+            return self._class.get(word, OTHER), 1.0
         best = max((self.stems[word[:n]] for n in range(1, min(len(word), self._longest) + 1) if word[:n] in self.stems), default=None)
         return (INSULT, best) if best is not None else (self._class.get(word, OTHER), 1.0)
 
@@ -180,40 +185,51 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, key: str
     return docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(known), key)
 
 
-def learn_stems(sample: DataFrame, lengths: tuple[int, ...] = (3, 4, 5, 6, 7), max_candidates: int = 400, max_stems: int = 100) -> dict[str, float]:
-    """Insult stems: beginnings of words that toxic rows have and clean rows do not, by greedy cover.
+def learn_stems(
+    sample: DataFrame, lengths: tuple[int, ...] = (3, 4, 5, 6, 7, 8), max_candidates: int = 600, max_stems: int = 100
+) -> tuple[list[str], list[str]]:
+    """Insult stems, and the words that begin with one but are usual in clean rows.
 
-    A candidate must be improbable to fall on toxic rows alone by chance, after correction for the number of stems, and
-    at least nine of ten rows with it are toxic. The driver gets ``max_candidates`` candidates with the toxic rows
-    of the bounded sample that hold them.
+    A stem is the beginning of words that toxic rows have and clean rows hardly; words usual in clean rows do not count. A candidate
+    must be improbable to fall on toxic rows by chance, at least five of six rows with it must be toxic, and greedy cover of the toxic
+    rows chooses among the candidates, the longest of equal ones. The driver gets ``max_candidates`` candidates with the toxic
+    rows of the bounded sample that hold them.
     """
-    rows = sample.select(F.xxhash64("text").alias("row"), "label", "text").dropDuplicates(["row"])
+    # rows with a seed word need no further one
+    seed = F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])({'|'.join(INSULTS)})")
+    rows = sample.where(~seed).select(F.xxhash64("text").alias("row"), "label", "text").dropDuplicates(["row"])
     totals = rows.agg(F.count("*"), F.sum("label")).first()
     n, toxic = totals[0], totals[1] or 0
     if not toxic or toxic == n:
-        return {}
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    beginnings = F.flatten(F.transform(words, lambda w: F.array(*[F.substring(w, 1, k) for k in lengths])))
+        return [], []
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    words = settle(rows.select("row", "label", F.explode(found).alias("word")).where(F.length("word") >= min(lengths)))
+    seen = words.groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
+    usual = settle(seen.where((F.col("c") >= 2) & ((F.col("t") + 0.5) / toxic < 3 * (F.col("c") + 0.5) / (n - toxic))).select("word"))
+    odd = words.join(usual, "word", "left_anti").groupBy("row", "label").agg(F.collect_list("word").alias("words"))
+    beginnings = F.flatten(F.transform("words", lambda w: F.array(*[F.substring(w, 1, k) for k in lengths])))
     # each stem once per row; counts are summed on the map side, so rows and stems are never shuffled as pairs
-    stems = rows.select("row", "label", F.explode(F.array_distinct(beginnings)).alias("stem")).where(F.length("stem") >= min(lengths))
+    stems = odd.select("row", "label", F.explode(F.array_distinct(beginnings)).alias("stem")).where(F.length("stem") >= min(lengths))
     counts = stems.groupBy("stem").agg(F.count("*").alias("rows"), F.sum("label").alias("toxic")).where("toxic >= 3")
     base = toxic / n
-    strong = counts.where(
-        (F.col("toxic") >= 0.9 * F.col("rows"))
-        & (F.col("toxic") * F.log(F.lit(base)) + (F.col("rows") - F.col("toxic")) * math.log(10 / base) < math.log(1e-6))
-    )
-    best = strong.orderBy(F.col("toxic").desc(), F.length("stem"), "stem").limit(max_candidates)
+    clean = F.col("rows") - F.col("toxic")
+    strong = counts.where((F.col("toxic") >= 5 * clean) & (F.col("toxic") * math.log(base) + clean * math.log(10 / base) < math.log(1e-6)))
+    best = strong.orderBy(F.col("toxic").desc(), F.length("stem").desc(), "stem").limit(max_candidates)
     held = stems.where("label = 1").join(F.broadcast(best.select("stem")), "stem").groupBy("stem").agg(F.collect_list("row").alias("held"))
     left = {r["stem"]: set(r["held"]) for r in held.collect()}
-    least = max(2, round(0.004 * toxic))
-    chosen: dict[str, float] = {}
+    least = max(2, round(0.003 * toxic))
+    chosen: list[str] = []
     while left and len(chosen) < max_stems:
-        stem, rows_held = max(left.items(), key=lambda x: (len(x[1]), -len(x[0]), x[0]))
+        stem, rows_held = max(left.items(), key=lambda x: (len(x[1]), len(x[0]), x[0]))
         if len(rows_held) < least:
             break
-        chosen[stem] = 1.0
+        chosen.append(stem)
         left = {s: r - rows_held for s, r in left.items() if s != stem}
-    return chosen
+    if not chosen:
+        return [], []
+    begins = F.array(*map(F.lit, chosen))
+    spared = usual.where(F.exists(begins, lambda s: F.col("word").startswith(s))).collect()  # words of the bounded sample
+    return chosen, [r["word"] for r in spared]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -239,10 +255,11 @@ PRIOR = np.array([3.0, 4.0, 1.0, 4.0, 1.0, 1.0, -3.0])
 @dataclass
 class ToxicityModel:
     stems: dict[str, float]
+    spared: list[str]
     weights: list[float]
 
     def reader(self) -> Reader:
-        return Reader(self.stems)
+        return Reader(self.stems, self.spared)
 
     def score(self, features: list[float]) -> float:
         z = sum(w * f for w, f in zip(self.weights, features)) + self.weights[-1]
@@ -252,8 +269,9 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, key: str = "doc_id", text: str = "text") -> ToxicityModel:
     """Learn stems and pattern weights from ``labels`` (``key``, ``label`` 0/1) and the texts of their rows."""
     sample = labelled_sample(docs, labels, max_rows, key, text)
-    stems = {w: 1.0 for w in INSULTS} | learn_stems(sample)
-    reader = Reader(stems)
+    learned, spared = learn_stems(sample)
+    stems = dict.fromkeys([*INSULTS, *learned], 1.0)
+    reader = Reader(stems, spared)
 
     def run(batches):
         for b in batches:
@@ -264,10 +282,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 8000, key: str = "do
     # bounded: distinct feature rows of at most about max_rows documents
     rows = rows.groupBy("features", "label").count().collect()
     if not rows:
-        return ToxicityModel(stems, PRIOR.tolist())
+        return ToxicityModel(stems, spared, PRIOR.tolist())
     x = np.repeat(np.array([r["features"] for r in rows]), [r["count"] for r in rows], axis=0)
     y = np.repeat(np.array([r["label"] for r in rows], float), [r["count"] for r in rows])
-    return ToxicityModel(stems, fit_logistic(x, y, PRIOR).tolist())
+    return ToxicityModel(stems, spared, fit_logistic(x, y, PRIOR).tolist())
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
