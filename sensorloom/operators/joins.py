@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions import time as ft
 from sensorloom.operators.relational import require
-from sensorloom.operators.skew import SHARE_ROWS, copy, deal, hot_groups, skew_join
+from sensorloom.operators.skew import SHARE_ROWS, Hot, copy, deal, skew_join
 from sensorloom.operators.windows import latest_per_key
 
 
@@ -19,26 +19,26 @@ def bucket_left_join(
     left_ts: str,
     feed_ts: str,
     unit: str = "hour",
-    hot_left: dict[int, int] | None = None,
-    hot_right: dict[str, dict[int, int]] | None = None,
+    hot_left: Hot = None,
+    hot_right: dict[str, Hot] | None = None,
     share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Left join feeds on key and time bucket. Several matches in a bucket multiply the rows.
 
     ``feeds`` maps a prefix to a frame holding the keys and ``feed_ts``; its other columns come back as
-    ``prefix_column``. All feeds join on the same columns, so ``left`` is shuffled once; a hot bucket of
-    ``left`` is dealt to shares once, for all feeds.
+    ``prefix_column``. All feeds join on the same columns, so ``left`` is shuffled once; hot buckets of
+    ``left``, if given, are dealt to shares once, for all feeds. Hot buckets of a feed are looked for.
     """
     on = [*keys, "_bucket"]
     out = left.withColumn("_bucket", ft.bucket(F.col(left_ts), unit))
-    hot = hot_groups(out, on) if hot_left is None else hot_left
-    joined_on = [*on, "_share"] if hot else on
-    if hot:
+    hot = None if isinstance(hot_left, dict) and not hot_left else hot_left
+    joined_on = on if hot is None else [*on, "_share"]
+    if hot is not None:
         out = deal(out, on, hot, "_share", share_rows)
     for prefix, feed in feeds.items():
         values = [F.col(c).alias(f"{prefix}_{c}") for c in feed.columns if c not in (*keys, feed_ts)]
         right = require(feed.select(*keys, ft.bucket(F.col(feed_ts), unit).alias("_bucket"), *values), *on)
-        if hot:
+        if hot is not None:
             right = copy(right, on, hot, "_share", share_rows)
         found = None if hot_right is None else hot_right.get(prefix, {})
         out = skew_join(out, right, joined_on, "left", {}, found, share_rows)
@@ -48,7 +48,7 @@ def bucket_left_join(
 def join_dim(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join to a dimension with one row per key.
 
-    Spark broadcasts it when it is within the broadcast threshold; else hot keys of ``df`` are split.
+    Spark broadcasts it when it is within the broadcast threshold; else it splits the partitions of hot keys of ``df``.
     """
     on = [on] if isinstance(on, str) else on
     return skew_join(df, dim, on, how)

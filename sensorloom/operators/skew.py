@@ -1,27 +1,25 @@
 """Size checks and hot-group handling shared by the joins and windows.
 
-A group is *hot* when it has too many rows for one task. Hot groups are found with the mergeable
-``approx_top_k`` sketch: one pass over the key columns, one sketch per task, and at most ``1 / HOT_SHARE``
-groups in the result. The sketch only chooses the plan; the result is exact either way.
+A group is *hot* when it has too many rows for one task, whatever share of the table that is. Hot groups are found by
+counting: rows per hash bucket first, which is summed on the map side, then the exact groups of the buckets over the limit
+alone. They travel as a table of at most rows / limit entries that is joined like any other. It only
+chooses the plan; the result is exact either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from sensorloom.operators.relational import require
 from sensorloom.session import settle
 
-HOT_SHARE = 1 / 4096  # a hot group holds at least this share of the rows ...
-HOT_ROWS = 5_000_000  # ... and at least this many rows
-PLAIN_BYTES = 256 << 20  # below this size no group can be large enough to matter
+HOT_ROWS = 5_000_000  # rows that make a group hot
 SHARE_ROWS = 2_000_000  # rows of a hot group that go to one join task
 BLOCK_ROWS = 1_000_000  # rows of a hot series that go to one window task
 
-_TRACKED = 32_768  # sketch entries; the count error is at most 3.5 / _TRACKED of the rows
+_BUCKETS = 65_536  # hash buckets of the first count
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -32,15 +30,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Size of all tables a frame reads. Steadier than the estimate after joins, which multiplies sizes."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    except (AttributeError, TypeError):
-        return None
-
-
 def _bytes(text: str) -> int:
     """``10485760``, ``10485760b``, ``10MB`` as a byte count."""
     text = text.strip().lower().removesuffix("b")
@@ -62,36 +51,37 @@ def group_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k).cast("bigint") if types[k] in whole else F.col(k) for k in keys])
 
 
-def hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    plain_bytes: int = PLAIN_BYTES,
-) -> dict[int, int]:
-    """Key hash and estimated rows of the hot groups; at most ``1 / share`` of them."""
-    size = input_bytes(df)
-    if size is not None and size < plain_bytes:
-        return {}
-    top = int(1 / share)
-    found = (
-        df.select(group_hash(df, keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {top}, {_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"))
-        .first()
-    )
-    least = max(min_rows, share * found["n"])
-    return {t["item"]: t["count"] for t in found["top"] or [] if t["count"] >= least}
+#: Hot groups: a table of key hash ``_h`` and ``_rows``, the same as a dict, or nothing.
+Hot = DataFrame | dict | None
 
 
-def _shares(df: DataFrame, on: Sequence[str], hot: dict[int, int], share_rows: int) -> Column:
-    """Number of shares the group of a row is split into: a power of two, 1 for groups that are not hot."""
-    tiers: dict[int, list[int]] = {}
-    for item, rows in hot.items():
-        tiers.setdefault(1 << max(ceil(rows / share_rows) - 1, 1).bit_length(), []).append(item)
-    of, shares = group_hash(df, on), F.lit(1)
-    for count, items in tiers.items():
-        shares = F.when(of.isin(items), F.lit(count)).otherwise(shares)
-    return shares
+def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Key hash and rows of the groups with at least ``min_rows`` rows; None if there are none.
+
+    One pass counts rows by bucket. Only where a bucket reaches the limit is there a second one, over the rows of such
+    buckets. A bucket over the limit need not hold a hot group, so the second pass decides.
+    """
+    hashed = df.select(group_hash(df, keys).alias("_h"))
+    bucket = F.pmod("_h", F.lit(_BUCKETS)).alias("_b")
+    full = hashed.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows).select("_b").collect()
+    if not full:
+        return None
+    # at most _BUCKETS numbers
+    inside = hashed if len(full) > _BUCKETS // 2 else hashed.filter(F.pmod("_h", F.lit(_BUCKETS)).isin([r["_b"] for r in full]))
+    found = settle(inside.groupBy("_h").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows))
+    return None if found.isEmpty() else found
+
+
+def _hot_table(df: DataFrame, hot: Hot) -> DataFrame | None:
+    if isinstance(hot, dict):
+        return df.sparkSession.createDataFrame(list(hot.items()), "_h long, _rows long") if hot else None
+    return hot
+
+
+def _with_shares(df: DataFrame, on: Sequence[str], hot: DataFrame, share_rows: int) -> DataFrame:
+    """Append ``_shares``, the number of shares the row's group is split into; null if the group is not hot."""
+    shares = hot.select("_h", F.ceil(F.col("_rows") / share_rows).cast("int").alias("_shares"))
+    return df.withColumn("_h", group_hash(df, on)).join(shares, "_h", "left").drop("_h")
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -102,14 +92,18 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*usable, F.spark_partition_id())
 
 
-def deal(df: DataFrame, on: Sequence[str], hot: dict[int, int], name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+def deal(df: DataFrame, on: Sequence[str], hot: Hot, name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
     """Number the share each row of a hot group belongs to; other rows belong to share 0."""
-    return df.withColumn(name, F.pmod(_row_hash(df), _shares(df, on, hot, share_rows)).cast("int"))
+    tagged = _with_shares(df.withColumn("_row", _row_hash(df)), on, _hot_table(df, hot), share_rows)
+    return tagged.withColumn(name, F.pmod("_row", F.coalesce("_shares", F.lit(1))).cast("int")).drop("_row", "_shares")
 
 
-def copy(df: DataFrame, on: Sequence[str], hot: dict[int, int], name: str, share_rows: int = SHARE_ROWS) -> DataFrame:
-    """Copy each row of a hot group to every share of the group."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0), _shares(df, on, hot, share_rows) - 1)))
+def copy(df: DataFrame, on: Sequence[str], hot: Hot, name: str, share_rows: int = SHARE_ROWS, flag: str | None = None) -> DataFrame:
+    """Copy each row of a hot group to every share of the group; ``flag`` tells whether the group is hot."""
+    tagged = _with_shares(df, on, _hot_table(df, hot), share_rows)
+    if flag:
+        tagged = tagged.withColumn(flag, F.col("_shares").isNotNull())
+    return tagged.withColumn(name, F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
 
 
 def skew_join(
@@ -117,43 +111,41 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot_left: dict[int, int] | None = None,
-    hot_right: dict[int, int] | None = None,
+    hot_left: Hot = None,
+    hot_right: Hot = None,
     share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Equi-join (``inner``, ``left``, ``left_semi``, ``left_anti``) that splits hot groups.
 
-    Rows of a hot left group are dealt to shares of ``share_rows`` rows and the matching right rows copied to
-    each share, and the other way round for hot right groups. Without hot groups, or when the right side is
-    within Spark's broadcast threshold, this is the plain join. Hot groups are looked for when not given.
+    Spark splits skewed partitions of both sides of an inner join, and of the left side of the others, by itself. What it cannot
+    split is a hot group on the right of a left join; that is looked for when ``hot_right`` is not given and the right side
+    is beyond the broadcast threshold. Rows of a hot right group are dealt to shares of ``share_rows`` rows and the
+    matching left rows copied to each share; with ``hot_left`` given, the other way round as well.
     """
     on = list(on)
     existence = how in ("left_semi", "left_anti")
     right = right.select(*on).distinct() if existence else require(right, *on)
-    if hot_left is None and hot_right is None and fits_broadcast(right):
-        return left.join(right, on, how)
-    hot_left = hot_groups(left, on) if hot_left is None else hot_left
     if existence:
-        hot_right = {}
-    elif hot_right is None:
+        hot_right = None
+    elif hot_right is None and how == "left" and not fits_broadcast(right):
         hot_right = hot_groups(right, on)
-    if not hot_left and not hot_right:
+    hot_left, hot_right = _hot_table(left, hot_left), _hot_table(right, hot_right)
+    if hot_left is None and hot_right is None:
         return left.join(right, on, how)
 
     lhs, rhs, keys = left, right, list(on)
-    if hot_left:
+    if hot_left is not None:
         lhs, rhs = deal(lhs, on, hot_left, "_deal_l", share_rows), copy(rhs, on, hot_left, "_deal_l", share_rows)
         keys.append("_deal_l")
-    if hot_right:
-        lhs, rhs = copy(lhs, on, hot_right, "_deal_r", share_rows), deal(rhs, on, hot_right, "_deal_r", share_rows)
+    if hot_right is not None:
+        lhs, rhs = copy(lhs, on, hot_right, "_deal_r", share_rows, "_split"), deal(rhs, on, hot_right, "_deal_r", share_rows)
         keys.append("_deal_r")
-    if how != "left" or not hot_right:
-        return lhs.join(rhs, keys, how).drop("_deal_l", "_deal_r")
+    if how != "left" or hot_right is None:
+        return lhs.join(rhs, keys, how).drop("_deal_l", "_deal_r", "_split")
     # a copied left row meets its partners in some shares only; every group in hot_right has partners,
     # so the shares without one are dropped and no left row is lost
     joined = lhs.join(rhs.withColumn("_met", F.lit(True)), keys, how)
-    kept = joined.filter(~group_hash(joined, on).isin(list(hot_right)) | F.col("_met"))
-    return kept.drop("_deal_l", "_deal_r", "_met")
+    return joined.filter(~F.col("_split") | F.col("_met")).drop("_deal_l", "_deal_r", "_met", "_split")
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "_pos") -> DataFrame:
@@ -190,7 +182,7 @@ def over_series(
     order: Sequence[str],
     lookback: int,
     add: Callable[[DataFrame, WindowSpec], DataFrame],
-    hot: dict[int, int] | None = None,
+    hot: Hot = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply window columns that look back at most ``lookback`` rows within a series.
@@ -198,14 +190,14 @@ def over_series(
     Ordinary series take one shuffle by key. A hot series is cut into blocks of ``block_rows`` consecutive
     rows; each block also receives the last ``lookback`` rows before it, which are dropped afterwards.
     """
-    hot = hot_groups(df, keys) if hot is None else hot
+    hot = hot_groups(df, keys) if hot is None else _hot_table(df, hot)
     plain = Window.partitionBy(*keys).orderBy(*order)
-    if not hot:
+    if hot is None:
         return add(df, plain)
     if block_rows < max(lookback, 1):
         raise ValueError("a block must hold at least the rows looked back on")
-    is_hot = group_hash(df, keys).isin(list(hot))
-    ranked = with_position(df.filter(is_hot), [*keys, *order])
+    hashed = df.withColumn("_h", group_hash(df, keys))
+    ranked = with_position(hashed.join(hot.select("_h"), "_h", "left_semi").drop("_h"), [*keys, *order])
     block = F.floor(F.col("_pos") / F.lit(block_rows))
     lends = (F.col("_pos") % block_rows >= block_rows - lookback) & F.lit(lookback > 0)
     own = F.struct(block.alias("block"), F.lit(False).alias("lent"))
@@ -213,4 +205,4 @@ def over_series(
     spread = ranked.withColumn("_at", F.explode(F.when(lends, F.array(own, next_one)).otherwise(F.array(own))))
     blocks = Window.partitionBy(*keys, "_at.block").orderBy("_pos")
     split = add(spread, blocks).filter(~F.col("_at.lent")).drop("_at", "_pos")
-    return add(df.filter(~is_hot), plain).unionByName(split)
+    return add(hashed.join(hot.select("_h"), "_h", "left_anti").drop("_h"), plain).unionByName(split)

@@ -76,7 +76,6 @@ def test_size_checks(spark, sf):
     lines = read(spark, sf, "lineitem")
     assert 0 < skew.estimated_bytes(lines.select("l_tax")) < skew.estimated_bytes(lines)
     twice = lines.join(lines.withColumnRenamed("l_tax", "x"), "l_orderkey")
-    assert skew.input_bytes(twice) <= 2 * skew.input_bytes(lines) + 1
     assert skew.fits_broadcast(lines) and not skew.fits_broadcast(twice)
     assert skew._bytes("10MB") == 10 << 20 and skew._bytes("10485760b") == 10 << 20 and skew._bytes("-1") == -1
 

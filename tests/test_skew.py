@@ -29,16 +29,41 @@ def hot(spark):
 
 
 def found(df, keys, least):
-    return skew.hot_groups(df, keys, share=1 / 16, min_rows=least, plain_bytes=0)
+    groups = skew.hot_groups(df, keys, min_rows=least)
+    return {r["_h"]: r["_rows"] for r in groups.collect()} if groups else {}
 
 
-def test_sketch_finds_hot_groups(spark, hot):
+def test_counts_find_hot_groups(spark, hot):
     left, _ = hot
     groups = found(left, ["k"], 100)
     hashes = {r[0] for r in left.filter("k = 1").select(skew.group_hash(left, ["k"])).distinct().collect()}
     assert set(groups) == hashes
-    assert abs(next(iter(groups.values())) - left.filter("k = 1").count()) <= 1
-    assert skew.hot_groups(left, ["k"]) == {}
+    assert next(iter(groups.values())) == left.filter("k = 1").count()
+    assert skew.hot_groups(left, ["k"]) is None
+
+
+def test_group_under_any_share_is_split(spark):
+    """A group of 1/6000 of the rows, but over the limit: it is found and split, with equal results."""
+    many = spark.range(120_000).select(F.when(F.col("id") % 6000 == 7, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("l"))
+    small = many.filter("k < 0 or l % 1000 = 3").withColumnRenamed("l", "r")
+    groups = skew.hot_groups(small, ["k"], min_rows=15)
+    assert groups.count() == 1 and many.filter("k = -1").count() * 4096 < many.count()
+    split = skew.skew_join(many, small, ["k"], "left", None, groups, share_rows=3)
+    assert split.exceptAll(many.join(small, ["k"], "left")).isEmpty() and split.count() == many.join(small, ["k"], "left").count()
+    hot = skew.hot_groups(many, ["k"], min_rows=15)
+    lagged = windows.add_lags(many, ["k"], "l", [], "l", {"p": 1}, hot=hot, block_rows=4)
+    assert rows(lagged.filter("k = -1")) == rows(windows.add_lags(many, ["k"], "l", [], "l", {"p": 1}, hot={}).filter("k = -1"))
+    assert lagged.count() == many.count()
+
+
+def test_left_side_is_not_searched(spark, hot, monkeypatch):
+    left, right = hot
+    searched = []
+    monkeypatch.setattr(skew, "hot_groups", lambda df, on: searched.append(df) or None)
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: False)
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        skew.skew_join(left, right, ["k"], how)
+    assert len(searched) == 1
 
 
 def test_key_hash_ignores_integer_width(spark):
