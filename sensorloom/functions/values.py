@@ -95,10 +95,13 @@ def clean_columns(
     return round_columns(out, dict.fromkeys(ranges, digits))
 
 
-def number_text(c: Column, digits: int = 2) -> Column:
-    """Text of a number already rounded to ``digits``: whole values without a decimal point."""
-    plain = F.regexp_replace(c.cast(f"decimal(38,{digits})").cast("string"), r"\.?0+$", "")
-    return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(plain)
+def number_text(c: Column) -> Column:
+    """Shortest text that reads back as the same number: whole values without a decimal point, the rest plain up to 1e7 and
+    with an exponent beyond."""
+    whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+    special = F.when(F.isnan(c), "NaN").when(c == F.lit(float("inf")), "Inf").when(c == F.lit(float("-inf")), "-Inf")
+    exact = F.coalesce(special, c.cast("string"))
+    return F.when(whole, c.cast("bigint").cast("string")).otherwise(exact)
 
 
 def zero_if_missing(c: Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.functions import time as ft, values as fv
 from sensorloom.operators.skew import skew_join
 
-DIRECT_ROWS = 100_000
 _BINS = 4096
 
 
@@ -79,51 +78,86 @@ def expected_rows(first: date, last: date, entities: int, per_day: int = 24) ->
     return ((last - first).days + 1) * per_day * entities
 
 
-def coverage(df: DataFrame, keys: Sequence[str], ts: str, per_day: int = 24) -> DataFrame:
-    """Rows per group against the rows a full grid from its first to its last day would hold."""
-    days = F.datediff(F.max(ts), F.min(ts)) + 1
-    return df.groupBy(*keys).agg(
-        (days * per_day).cast("bigint").alias("expected"), F.count(F.lit(1)).alias("actual")
+def coverage(
+    df: DataFrame, keys: Sequence[str], ts: str, per_day: int = 24, first: date | None = None, last: date | None = None,
+    entities: DataFrame | None = None,
+) -> DataFrame:
+    """Rows per group against the rows that a full grid of the requested days, both included, would hold.
+
+    Rows outside the days do not count; ``entities`` lists the groups that are asked for, those without a row included.
+    A day that is not given is the first or last of the group itself.
+    """
+    day = F.to_date(ts)
+    inside = df
+    if first is not None:
+        inside = inside.filter(day >= F.lit(first))
+    if last is not None:
+        inside = inside.filter(day <= F.lit(last))
+    begin = F.lit(first) if first is not None else F.min(day)
+    end = F.lit(last) if last is not None else F.max(day)
+    found = inside.groupBy(*keys).agg(
+        ((F.datediff(end, begin) + 1) * per_day).cast("bigint").alias("expected"), F.count(F.lit(1)).alias("actual")
     )
+    if entities is None:
+        return found
+    full = expected_rows(first, last, 1, per_day) if first is not None and last is not None else 0
+    out = skew_join(entities.select(*keys).distinct(), found, keys, "left")
+    return out.fillna({"expected": full, "actual": 0})
 
 
-def exact_quantile(df: DataFrame, column: str | Column, q: float, direct_rows: int = DIRECT_ROWS) -> float | None:
-    """Exact quantile with linear interpolation between the two neighbouring values.
+def exact_quantile(df: DataFrame, column: str | Column, q: float) -> float | None:
+    """Exact quantile with linear interpolation between the two neighbouring values; NaN and null do not count.
 
-    Up to ``direct_rows`` values Spark's ``percentile`` is used. It keeps every distinct value in one buffer,
-    so beyond that the range is narrowed instead: count the values in 4096 bins, keep the bin that holds the
-    rank, repeat until the two neighbours are known. A pass moves at most 4096 rows per task, and hot values
-    end the search early.
+    Infinite values are counted at the ends. Among the finite ones the range is narrowed: count the values in 4096 bins,
+    keep the bin that holds the rank, repeat until the two neighbours are known. A pass moves at most 4096 rows per
+    task, and hot values end the search early. A range that no longer shrinks has a few neighbouring doubles, which
+    are counted one by one.
     """
     value = df.select((F.col(column) if isinstance(column, str) else column).cast("double").alias("x"))
     value = value.select(fv.nan_to_null(F.col("x")).alias("x"))
-    n, low, high = value.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    infinite = F.lit(float("inf"))
+    finite = F.when(F.abs("x") < infinite, F.col("x"))
+    n, under, over, low, high = value.agg(
+        F.count("x"), F.count_if(F.col("x") == -infinite), F.count_if(F.col("x") == infinite), F.min(finite), F.max(finite)
+    ).first()
     if not n:
         return None
-    if n <= direct_rows:
-        return value.agg(F.percentile("x", q)).first()[0]
     rank = q * (n - 1)
     lower, upper = math.floor(rank), math.ceil(rank)
-    below = 0
+
+    def end(r: int) -> float | None:
+        return -math.inf if r < under else math.inf if r >= n - over else None
+
+    inner = sorted({r - under for r in (lower, upper) if end(r) is None})
+    inside = _ranked(value.filter(F.abs("x") < infinite), low, high, inner) if inner else {}
+    a, b = (inside[r - under] if end(r) is None else end(r) for r in (lower, upper))
+    return a if lower == upper or a == b else a + (b - a) * (rank - lower)
+
+
+def _ranked(value: DataFrame, low: float, high: float, ranks: list[int]) -> dict[int, float]:
+    """Values at one rank or two neighbouring ranks among finite values between ``low`` and ``high``."""
+    below, narrowing = 0, True
     while low < high:
-        spot = F.least(F.floor((F.col("x") - low) / (high - low) * _BINS), F.lit(_BINS - 1))
+        half, width = F.col("x") * 0.5 - low * 0.5, high * 0.5 - low * 0.5  # halves, so that the width is finite
+        spot = F.least(F.floor(half / width * _BINS), F.lit(_BINS - 1)) if narrowing and width > 0 else F.col("x")
         bins = (
             value.filter(F.col("x").between(low, high))
             .groupBy(spot.alias("bin"))
             .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
             .collect()
         )
-        found = {}
-        for b in sorted(bins, key=lambda b: b["bin"]):
-            found.update({r: (below, b) for r in (lower, upper) if below <= r < below + b["n"]})
+        homes = {}
+        for b in sorted(bins, key=lambda b: b["low"]):
+            homes.update({r: (below, b) for r in ranks if below <= r < below + b["n"]})
             below += b["n"]
-        below, home = found[lower]
-        if found[upper][1] != home:  # last value of one bin, first value of the next
-            return home["high"] + (found[upper][1]["low"] - home["high"]) * (rank - lower)
+        below, home = homes[ranks[0]]
+        if homes[ranks[-1]][1] != home:  # last value of one bin, first value of the next
+            return {ranks[0]: home["high"], ranks[-1]: homes[ranks[-1]][1]["low"]}
+        narrowing = (home["low"], home["high"]) != (low, high)
         low, high = home["low"], home["high"]
-    return low
+    return dict.fromkeys(ranks, low)
 
 
-def time_quantile(df: DataFrame, ts: str, q: float, direct_rows: int = DIRECT_ROWS) -> float | None:
+def time_quantile(df: DataFrame, ts: str, q: float) -> float | None:
     """Exact quantile of a timestamp in epoch microseconds, over all rows of all groups."""
-    return exact_quantile(df, ft.micros(F.col(ts)), q, direct_rows)
+    return exact_quantile(df, ft.micros(F.col(ts)), q)

@@ -13,8 +13,8 @@ from sensorloom.operators.relational import drop_incomplete, min_rows
 from sensorloom.operators.scaling import flag_top_share
 from sensorloom.session import settle
 
-POOL_ROWS = 32_768
-_NODES = "tree int, feature array<int>, cut array<double>, low array<int>, high array<int>, depth array<double>"
+_REDRAWS = 5
+_NODES = "tree int, rows int, feature array<int>, cut array<double>, low array<int>, high array<int>, depth array<double>"
 
 
 def expected_depth(n) -> np.ndarray:
@@ -47,7 +47,7 @@ def _grow(points: np.ndarray, limit: int, rng: np.random.Generator):
 
 def _compact(tree):
     """Arrays for the walk. A leaf points at itself, so every row can take the same number of steps."""
-    feature, cut, low, high, depth = (np.array(part) for part in tree[1:])
+    feature, cut, low, high, depth = (np.array(part) for part in tree[2:])
     leaf, own = feature < 0, np.arange(len(feature))
     child = np.column_stack([np.where(leaf, own, low), np.where(leaf, own, high)]).ravel()
     return np.where(leaf, 0, feature).astype(np.intp), np.where(leaf, np.inf, cut), child.astype(np.intp), depth
@@ -59,25 +59,26 @@ def _unit(*parts: Column) -> Column:
 
 
 def tree_samples(df: DataFrame, ids: Sequence[str], features: Sequence[str], n: int, trees: int, size: int, seed: int):
-    """``size`` rows for each tree, drawn without replacement by hashed row id.
+    """``size`` rows for each tree, drawn without replacement by hashed row id from all ``n`` rows.
 
-    A large input is first thinned to a pool of about 32768 rows; each tree then draws from the pool.
-    The draws depend on the ids alone, not on partitions or retries.
+    Every row may be drawn. It has one ticket per block of trees, as few blocks as keep the chance of a ticket at or below
+    one; a ticket is kept by one hash and given to a tree of its block by another, so the input is read once and only
+    about four times the rows that are needed are moved. The draws depend on the ids alone, not on partitions or retries.
     """
-    row_id = [F.col(c) for c in ids]
-    pool = df.select(*dict.fromkeys([*ids, *features]))
-    if n > POOL_ROWS:
-        pool = pool.filter(_unit(*row_id, F.lit(seed)) < POOL_ROWS / n)
-    pool = pool.withColumn("_id", F.xxhash64(*row_id))
-    draw = _unit(F.col("_id"), F.col("tree"), F.lit(seed + 1))
-    likely = 4 * size / min(n, POOL_ROWS)  # four times what a tree needs
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_draw", draw)
-    first = Window.partitionBy("tree").orderBy("_draw", "_id", *ids)
-    return (
-        drawn.filter(F.col("_draw") < likely)
-        .withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") <= size)
+    wanted = min(float(trees), 4.0 * size * trees / n)  # tickets kept per row
+    blocks = min(trees, math.ceil(wanted))
+    edges = [i * trees // blocks for i in range(blocks + 1)]
+    rows = df.select(*dict.fromkeys([*ids, *features])).withColumn("_id", F.xxhash64(*[F.col(c) for c in ids]))
+    tickets = F.filter(
+        F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: _unit(F.col("_id"), b, F.lit(seed)) < wanted / blocks
     )
+    drawn = rows.withColumn("_block", F.explode(tickets))
+    begin, end = (F.element_at(F.array(*map(F.lit, e)), F.col("_block") + 1) for e in (edges[:-1], edges[1:]))
+    pick = F.floor(_unit(F.col("_id"), F.col("_block"), F.lit(seed + 1)) * (end - begin)).cast("int")
+    drawn = drawn.withColumn("tree", begin + pick)
+    drawn = drawn.withColumn("_draw", _unit(F.col("_id"), F.col("tree"), F.lit(seed + 2)))
+    first = Window.partitionBy("tree").orderBy("_draw", "_id", *ids)
+    return drawn.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= size)
 
 
 def isolation_forest(
@@ -109,10 +110,13 @@ def isolation_forest(
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
         points = pdf.sort_values("_rank")[names].to_numpy(dtype=float)
-        return pd.DataFrame([[tree, *_grow(points, limit, np.random.default_rng([seed, tree]))]], columns=_COLUMNS)
+        return pd.DataFrame([[tree, len(points), *_grow(points, limit, np.random.default_rng([seed, tree]))]], columns=_COLUMNS)
 
-    sampled = tree_samples(complete, ids, names, n, trees, size, seed)
-    grown = sampled.groupBy("tree").applyInPandas(grow, _NODES).orderBy("tree").collect()
+    for again in range(_REDRAWS):  # a tree that got too few rows is drawn anew, with all others
+        sampled = tree_samples(complete, ids, names, n, trees, size, seed + 1000 * again)
+        grown = sampled.groupBy("tree").applyInPandas(grow, _NODES).orderBy("tree").collect()
+        if len(grown) == trees and all(t["rows"] == size for t in grown):
+            break
     shared = spark.sparkContext.broadcast([_compact(tree) for tree in grown])
     usual = float(expected_depth(size))
 
@@ -134,4 +138,4 @@ def isolation_forest(
     return flagged.withColumn("score", F.when(F.col("est_anomalie"), -1).otherwise(1))
 
 
-_COLUMNS = ["tree", "feature", "cut", "low", "high", "depth"]
+_COLUMNS = ["tree", "rows", "feature", "cut", "low", "high", "depth"]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.functions import time as ft, values as fv
 from sensorloom.operators.joins import join_dim
-from sensorloom.operators.relational import drop_incomplete, min_rows, stack
+from sensorloom.operators.relational import drop_incomplete, stack
 from sensorloom.session import settle
 
 # fixed values: horizon, band, and the smallest series that is forecast
@@ -144,8 +144,7 @@ TREND_SCALE = 5.0
 DAILY_ORDER = 4
 WEEKLY_ORDER = 3
 
-FEW_SERIES = 256  # up to here every task adds up every series
-PART_ROWS = 200_000  # rows of one series that go to one task beyond that
+PART_ROWS = 200_000  # rows of one series that go to one task
 
 _ROUNDS = 30
 
@@ -169,11 +168,14 @@ def _prior() -> np.ndarray:
     return np.array([TREND_SCALE] * 2 + [0.0] * CHANGEPOINTS + [SEASONAL_SCALE] * waves)
 
 
-def _solve(gram: np.ndarray) -> tuple[np.ndarray, float]:
+def _solve(gram: np.ndarray) -> tuple[np.ndarray, float] | None:
     """Coefficients and residual deviation from ``[X y]' [X y]``.
 
-    Normal priors on level, slope and waves, a Laplace prior on the slope changes by reweighting.
+    Normal priors on level, slope and waves, a Laplace prior on the slope changes by reweighting. None for a series
+    that cannot be solved: infinite values, or a singular system.
     """
+    if not np.isfinite(gram).all():
+        return None
     xx, xy, yy, n = gram[:-1, :-1], gram[:-1, -1], gram[-1, -1], gram[0, 0]
     scale = _prior()
     bends = scale == 0.0
@@ -185,7 +187,12 @@ def _solve(gram: np.ndarray) -> tuple[np.ndarray, float]:
         weight = np.zeros(len(beta))
         weight[~bends] = 1.0 / scale[~bends] ** 2
         weight[bends] = 1.0 / (CHANGEPOINT_SCALE * (np.abs(beta[bends]) + 1e-4))
-        beta = np.linalg.solve(xx + np.diag(weight) * sigma2, xy)
+        try:
+            beta = np.linalg.solve(xx + np.diag(weight) * sigma2, xy)
+        except np.linalg.LinAlgError:
+            return None
+        if not np.isfinite(beta).all():
+            return None
         sigma2 = max((yy - 2 * beta @ xy + beta @ xx @ beta) / n, 1e-12)
     return beta, float(np.sqrt(sigma2))
 
@@ -196,8 +203,8 @@ def additive_fit(
     """One row per series: first and last time, value scale, coefficients, residual deviation.
 
     Each task adds up ``[X y]' [X y]`` over its Arrow batches, one matrix per series; Spark sums the matrices
-    entry by entry with map-side combining and only the sums (a fixed number per series) are solved. A few
-    series are added up where their rows lie; many are first brought together in parts of bounded size.
+    entry by entry with map-side combining and only the sums (a fixed number per series) are solved. Rows of a series are
+    first brought together in parts of bounded size. A series that cannot be solved has null coefficients.
     """
     span = (
         df.groupBy(*series)
@@ -210,10 +217,10 @@ def additive_fit(
     )
     span = settle(span)
     rows = join_dim(df, span, series)
-    if not _few(span):
-        # one task per series, or per part of a large one, so that a series yields few matrices
-        parts = F.ceil(F.col("_n") / F.lit(PART_ROWS))
-        rows = rows.withColumn("_part", F.pmod(F.xxhash64(ts, value), parts)).repartition(*series, "_part")
+    # one task per series, or per part of a large one, so that a series yields few matrices; copies of a row in different
+    # input partitions go to different parts
+    parts = F.ceil(F.col("_n") / F.lit(PART_ROWS))
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(ts, value, F.spark_partition_id()), parts)).repartition(*series, "_part")
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))
     p = len(terms) + 1
     keys = list(series)
@@ -250,25 +257,21 @@ def additive_fit(
         for entries in grams:
             m = np.zeros((p, p))
             m[upper] = entries
-            results.append(_solve(m + np.triu(m, 1).T))
-        return pd.DataFrame({"beta": [b for b, _ in results], "sigma": [s for _, s in results]})
+            results.append(_solve(m + np.triu(m, 1).T) or (None, None))
+        return pd.DataFrame({"beta": [b for b, _ in results], "sigma": pd.Series([s for _, s in results], dtype=float)})
 
     fit = grams.select(*keys, solved("_gram").alias("_fit")).select(*keys, "_fit.beta", "_fit.sigma")
     return join_dim(span.drop("_n"), fit, keys)
 
 
-def _few(span: DataFrame) -> bool:
-    """True when every task may hold a matrix of every series without moving the rows."""
-    return not min_rows(span, FEW_SERIES + 1)
-
-
 def additive_forecast(
     df: DataFrame, series: Sequence[str], ts: str, value: str,
     horizon: int = HORIZON, min_points: int = MIN_POINTS, step: str = "1 hour",
 ) -> DataFrame:
     """As :func:`seasonal_forecast`, with slope changes and Fourier terms fitted together."""
     points = drop_incomplete(df.select(*series, ts, value), [ts, value])
-    fit = settle(additive_fit(points, series, ts, value, min_points))
+    # a series that cannot be solved is skipped, with its history
+    fit = settle(additive_fit(points, series, ts, value, min_points)).filter(F.col("beta").isNotNull())
     ends = fit.select(*series, F.col("_last").alias(ts))
     rows = stack(
         points.select(*series, ts).distinct().withColumn("type", F.lit(HISTORY)),

@@ -17,8 +17,8 @@ def _pipeline(features: Sequence[str], regressor) -> Pipeline:
     return Pipeline(stages=[vector, regressor])
 
 
-def forest(features: Sequence[str], target: str, trees: int = 100, depth: int = 10, seed: int = 42, **params) -> Pipeline:
-    """Random forest that tries all features at each split. Spark allows a depth of 30 at most."""
+def forest(features: Sequence[str], target: str, trees: int = 100, depth: int = 30, seed: int = 42, **params) -> Pipeline:
+    """Random forest that tries all features at each split, with trees as deep as Spark allows (30)."""
     params.setdefault("featureSubsetStrategy", "all")
     return _pipeline(
         features,

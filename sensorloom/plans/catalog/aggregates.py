@@ -1,5 +1,7 @@
 """Aggregates."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from sensorloom.functions import time as ft
@@ -104,7 +106,7 @@ def active_days(spark, sf):
 
 
 @query(
-    "D10 D15 H23",
+    "D10",
     f"SELECT event_type, count(*) FILTER (WHERE k = 42) AS n FROM {EVENTS} GROUP BY 1",
 )
 def flags_by_type(spark, sf):
@@ -122,12 +124,12 @@ _SCORE = " + ".join(f"(({c} - {c}_m) / {c}_s) * (({c} - {c}_m) / {c}_s)" for c i
 
 
 @query(
-    "D11 D12 D10",
+    "D11 D12",
     f"""
     WITH scored AS (
-      SELECT l_orderkey, l_linenumber, {near_sql(_SCORE)} AS score FROM lineitem, (SELECT {_SPREAD} FROM lineitem)),
+      SELECT l_orderkey, l_linenumber, {_SCORE} AS score FROM lineitem, (SELECT {_SPREAD} FROM lineitem)),
     cut AS (SELECT quantile_cont(score, 0.9) AS thr FROM scored)
-    SELECT l_orderkey, l_linenumber, score, score > thr AS flag FROM scored, cut
+    SELECT l_orderkey, l_linenumber, {near_sql("score")} AS score, score > thr AS flag FROM scored, cut
     """,
 )
 def outlying_lines(spark, sf):
@@ -135,16 +137,31 @@ def outlying_lines(spark, sf):
     z = standardise(table(spark, sf, "lineitem"), _MEANS, "_z")
     terms = [F.col(f"{c}_z") * F.col(f"{c}_z") for c in _MEANS]
     score = terms[0] + terms[1] + terms[2] + terms[3]
-    scored = z.select("l_orderkey", "l_linenumber", score.alias("score")).withColumn("score", near(F.col("score")))
-    return flag_top_share(settle(scored), "score", 0.1)
+    scored = settle(z.select("l_orderkey", "l_linenumber", score.alias("score")))
+    return flag_top_share(scored, "score", 0.1).withColumn("score", near(F.col("score")))
+
+
+@query(
+    "D14",
+    """
+    SELECT c_custkey AS user_id, CAST(16 * 24 AS BIGINT) AS expected, count(event_id) AS actual
+    FROM customer LEFT JOIN events ON user_id = c_custkey AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'
+    GROUP BY 1
+    """,
+)
+def hour_coverage(spark, sf):
+    """Rows of every customer against 16 requested days; many have none."""
+    asked = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return agg.coverage(table(spark, sf, "events"), ["user_id"], "ts", 24, date(2024, 1, 5), date(2024, 1, 20), asked)
 
 
 @query(
-    "D14 D6",
+    "D14",
     """
     SELECT user_id, (datediff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1) * 24 AS expected, count(*) AS actual
     FROM events GROUP BY 1
     """,
 )
-def hour_coverage(spark, sf):
+def own_coverage(spark, sf):
+    """Rows of each user against the days from its own first to its own last."""
     return agg.coverage(table(spark, sf, "events"), ["user_id"], "ts")

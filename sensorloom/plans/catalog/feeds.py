@@ -1,8 +1,12 @@
 """Feeds, files and tables."""
 
+import uuid
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from sensorloom.functions import time as ft, values as fv
+from sensorloom.operators.clustering import cluster_profile
 from sensorloom.operators.joins import join_dim
 from sensorloom.operators.relational import stack
 from sensorloom.plans.catalog.registry import EVENTS, events, exact_sql, query, table
@@ -11,8 +15,8 @@ from sensorloom.plans.reference_data import HISTORY_COLUMNS, POLLUTANTS, POLLUTA
 from sensorloom.operators.windows import sequential_id
 from sensorloom.session import new_path
 from sensorloom.sources.delimited import read_csv, write_csv
-from sensorloom.sources.feeds import METADATA_SCHEMA, RECORD_SCHEMA, metadata_rows, record_rows, unzip_arrays
-from sensorloom.sources.tables import file_stats, literal_relation, read_table, replace_table
+from sensorloom.sources.feeds import METADATA_SCHEMA, RECORD_SCHEMA, metadata_rows, newest_documents, record_rows, unzip_arrays
+from sensorloom.sources.tables import file_stats, literal_relation, read_table, replace_table, truncate_append, with_audit
 
 
 @query(
@@ -99,9 +103,11 @@ def metadata_feed(spark, sf):
         F.when(nation % 2 != 0, F.array(source, blank)).otherwise(F.array()).alias("attributions"),
     )
     text = F.to_json(F.struct(F.when(F.col("c_acctbal") > 0, "ok").otherwise("error").alias("status"), data.alias("data")))
-    docs = table(spark, sf, "customer").select(
-        "c_custkey", "c_name", F.from_json(text, METADATA_SCHEMA).alias("doc")
-    )
+    landed = table(spark, sf, "customer").select("c_custkey", "c_name", F.lit("2").alias("_doc"), text.alias("text"))
+    # an older document of every customer, which must not count
+    older = landed.withColumns({"_doc": F.lit("10 days before"), "text": F.lit('{"status": "ok", "data": {"idx": -1}}')})
+    newest = newest_documents(stack(older, landed), ["c_custkey"])
+    docs = newest.select("c_custkey", "c_name", F.from_json("text", METADATA_SCHEMA).alias("doc"))
     return metadata_rows(docs.select("c_custkey", "c_name", "doc.*"), "c_custkey", "c_name")
 
 
@@ -177,7 +183,7 @@ _LIMITS = {"pm25": 500, "pm10": 600, "no2": 2000, "o3": 500, "so2": 1000, "co":
 
 
 @query(
-    "A1 A11 B12 C4 C5 D13 E5 G2 H12 H14 H16 H17 H18 H19",
+    "A1 B12 C4 C5 D13 E5 G2 H12 H14 H16 H17 H18 H19",
     f"""
     WITH raw AS (
       SELECT event_id, user_id, ts, k % 7 AS aqi, {", ".join(f"CAST({x} AS DOUBLE) AS {c}" for c, x in _RAW.items())}
@@ -238,5 +244,47 @@ def hourly_history(spark, sf):
     pollution = pollution_hours(records, key, ["event_id"])
     weather = weather_hours(readings, key, ["event_id"])
     merged = merge_hours(pollution, weather, stations, key)
-    stamped = merged.withColumn("collecte_le", F.lit("2026-06-01 00:00:00"))
+    stamped = merged.withColumn("collecte_le", ft.run_time(datetime(2026, 6, 1, tzinfo=timezone.utc)))
     return sequential_id(stamped, [key, "mesure_le"]).select(*HISTORY_COLUMNS)
+
+
+@query(
+    "A11",
+    """
+    SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS id, o_orderkey,
+           TIMESTAMP '2026-06-01 08:30:00' AS cree_le
+    FROM orders
+    """,
+)
+def audited_orders(spark, sf):
+    """Orders with a row number and the load time of the run."""
+    at = datetime(2026, 6, 1, 10, 30, tzinfo=timezone(timedelta(hours=2)))
+    return with_audit(table(spark, sf, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], at).select(
+        "id", "o_orderkey", "cree_le"
+    )
+
+
+@query("A8", "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_acctbal FROM supplier WHERE s_acctbal > 0")
+def refilled_table(spark, sf):
+    """A table filled twice; its declared types stay and only the second filling is left."""
+    path, name = new_path(spark, "refilled"), f"refilled_{uuid.uuid4().hex}"
+    rows = table(spark, sf, "supplier")
+    schema = "s_suppkey int, s_name string, s_acctbal double"
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet LOCATION '{path}'")
+    truncate_append(rows, name, schema)
+    truncate_append(rows.filter("s_acctbal > 0"), name, schema)
+    filled = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return spark.read.schema(filled).parquet(path)
+
+
+@query(
+    "I12",
+    f"""
+    SELECT c_custkey, c_nationkey AS cluster_id, c_mktsegment AS cluster_nom, {exact_sql("c_acctbal / 7")} AS solde_moyen FROM customer
+    """,
+)
+def customer_profiles(spark, sf):
+    """The published columns of given clusters."""
+    given = table(spark, sf, "customer").withColumns({"cluster_id": F.col("c_nationkey"), "cluster_nom": F.col("c_mktsegment")})
+    return cluster_profile(given.withColumn("part", F.col("c_acctbal") / 7), "c_custkey", {"part": "solde_moyen"})

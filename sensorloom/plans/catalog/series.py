@@ -76,7 +76,7 @@ def last_in_hour(spark, sf):
 
 
 @query(
-    "E5 A11",
+    "E5",
     """
     SELECT CAST(row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) AS BIGINT) AS id, o_custkey, o_orderdate, o_orderkey
     FROM orders
@@ -115,7 +115,7 @@ _ROUNDED = [c for c in _FEATURES if "sin" in c or "cos" in c or "24" in c and "l
 
 
 @query(
-    "I1 H4 H8 H9 H10 E1 E2 E3 B6 A6",
+    "I1 H4 H8 H9 H10 E1 E2 E3 B6",
     f"""
     WITH {_FEATURE_SQL}
     SELECT event_id, user_id, ts, value,

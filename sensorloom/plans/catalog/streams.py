@@ -1,6 +1,6 @@
 """Structured Streaming jobs run to completion over the event files."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from sensorloom.plans.catalog.registry import near, near_sql, query, table
 from sensorloom.session import new_path
@@ -32,10 +32,23 @@ def hourly_stream(spark, sf):
     return _result(spark, hourly).withColumn("mean", near(F.col("mean")))
 
 
-@query("K2", "SELECT DISTINCT user_id, date_trunc('hour', ts) AS hour FROM events")
+@query(
+    "K2",
+    """
+    SELECT user_id, date_trunc('hour', ts) AS hour, min(event_id) AS event_id FROM events
+    GROUP BY user_id, date_trunc('hour', ts)
+    """,
+)
 def deduped_stream(spark, sf):
-    """One event per user and hour; which one arrives first is open, so only the keys are compared."""
-    return _result(spark, jobs.dedupe_stream(_stream(spark, sf), ["user_id"], "ts").select("user_id", "hour"))
+    """The first event of each user and hour to arrive. Batches of ids in ascending order, each with an hour's first event at
+    most once, fix the order of arrival."""
+    df = table(spark, sf, "events")
+    turn = F.row_number().over(Window.partitionBy("user_id", F.date_trunc("hour", "ts")).orderBy("event_id"))
+    path = new_path(spark, "arrivals")
+    for late, part in enumerate((turn == 1, turn > 1)):
+        df.withColumn("_late", part).filter("_late").drop("_late").coalesce(1).write.parquet(f"{path}/{late}")
+    sdf = jobs.read_stream(spark, f"{path}/*", df.schema, files_per_batch=1)
+    return _result(spark, jobs.dedupe_stream(sdf, ["user_id"], "ts", "400 days").select("user_id", "hour", "event_id"))
 
 
 @query(

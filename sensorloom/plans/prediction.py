@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.operators.features import feature_names, temporal_split, ts_features
 from sensorloom.operators.metrics import regression_metrics, residual_table
 from sensorloom.operators.regression import boosted, compare_models, fit_forest, forest, predict
-from sensorloom.operators.relational import drop_if_present, min_rows
+from sensorloom.operators.relational import drop_if_present, min_rows, require
+from sensorloom.operators.windows import sequential_id
 from sensorloom.session import settle
 from sensorloom.sources.tables import truncate_append
 
 MIN_ROWS = 100
 PREDICTION_SCHEMA = (
-    "mesure_le timestamp_ntz, ville_id int, temp_reelle double, temp_predite double, erreur double, inserted_at timestamp_ntz"
+    "id bigint, mesure_le timestamp_ntz, ville_id int, temp_reelle double, temp_predite double, erreur double, inserted_at timestamp_ntz"
 )
 
 
@@ -27,7 +28,8 @@ def predict_series(
 
     The feature table is written once; the quantile, the training and the scoring read it.
     """
-    if not min_rows(df, min_count):
+    # rows that cannot be trained on do not count
+    if not min_rows(require(df, *complete_first) if complete_first else df, min_count):
         return None
     features = settle(ts_features(df, key, ts, value, tiebreak, covariates, complete_first=complete_first))
     train, test, _ = temporal_split(features, ts)
@@ -37,12 +39,10 @@ def predict_series(
 
 
 def write_predictions(predictions: DataFrame, table: str, at) -> None:
-    """Refill the prediction table; ``at`` is the insert time of the run."""
-    from pyspark.sql import functions as F
-
+    """Refill the prediction table; ``at`` is the insert time of the run. Rows are numbered by time and city."""
     names = ["mesure_le", "ville_id", "temp_reelle", "temp_predite", "erreur"]
-    stamped = predictions.toDF(*names).withColumn("inserted_at", F.lit(at).cast("timestamp_ntz"))
-    truncate_append(stamped, table, PREDICTION_SCHEMA)
+    numbered = sequential_id(predictions.toDF(*names), names)
+    truncate_append(numbered.withColumn("inserted_at", F.lit(at).cast("timestamp_ntz")), table, PREDICTION_SCHEMA)
 
 
 def compare_tree_models(

@@ -21,7 +21,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, ts: Sequence[str] = ()
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], mark: bool = True, mode: str = "errorifexists") -> None:
     """Write the columns in order, one part file per partition, each with its header.
 
-    Whole numbers are written without a decimal point, times as ``yyyy-MM-dd HH:mm:ss``. The byte-order mark
+    Numbers are written exactly, whole ones without a decimal point, times as ``yyyy-MM-dd HH:mm:ss``. The byte-order mark
     is part of the first header name, so every file starts with it.
     """
     types = dict(df.dtypes)

@@ -29,15 +29,24 @@ METADATA_SCHEMA = (
 def read_documents(spark: SparkSession, path: str, schema: str, key: str, multiline: bool = True) -> DataFrame:
     """JSON documents with their integer key, taken from the file name (``.../12.json`` has key 12).
 
-    An unreadable file gives null fields, so it adds no rows downstream. ``_doc`` is the file path.
+    An unreadable file gives null fields, so it adds no rows downstream. ``_doc`` is the place of the file in landing
+    order, by modification time and then by path.
     """
     docs = spark.read.schema(schema).option("multiLine", multiline).json(path)
     file = F.col("_metadata.file_path")
+    landed = F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmss.SSSSSS")
     return docs.select(
-        F.regexp_extract(file, r"(\d+)\.json[^/]*$", 1).try_cast("int").alias(key), file.alias("_doc"), "*"
+        F.regexp_extract(file, r"(\d+)\.json[^/]*$", 1).try_cast("int").alias(key), F.concat(landed, F.lit(" "), file).alias("_doc"), "*"
     )
 
 
+def newest_documents(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One document per key: the last to land."""
+    from sensorloom.operators.windows import last_wins
+
+    return last_wins(docs, keys, ["_doc"])
+
+
 def record_rows(df: DataFrame, keys: Sequence[str], items: str | Column = "list") -> DataFrame:
     """One row per list item that has a non-zero ``dt``: keys, feed position, ``dt``, the item.
 
@@ -96,8 +105,8 @@ def metadata_rows(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def read_metadata_feed(spark: SparkSession, path: str, key: str, cities: DataFrame, city_key: str, city_name: str, multiline: bool = True):
-    """Station metadata for every listed city; a city without a document gets nulls."""
-    docs = read_documents(spark, path, METADATA_SCHEMA, key, multiline)
+    """Station metadata for every listed city: its last landed document; a city without one gets nulls."""
+    docs = newest_documents(read_documents(spark, path, METADATA_SCHEMA, key, multiline), [key])
     named = cities.select(F.col(city_key).alias(key), F.col(city_name).alias("_name"))
     from sensorloom.operators.joins import join_dim
 

@@ -14,8 +14,9 @@ from sensorloom.sources.tables import Lake
 LATE = "2 hours"
 
 
-def read_stream(spark: SparkSession, path: str, schema, format: str = "parquet", **options) -> DataFrame:
-    """Files of a folder or glob as a stream, schema given."""
+def read_stream(spark: SparkSession, path: str, schema, format: str = "parquet", files_per_batch: int = 1000, **options) -> DataFrame:
+    """Files of a folder or glob as a stream, schema given. A batch takes at most ``files_per_batch`` files, the first one too."""
+    options = {"maxFilesPerTrigger": files_per_batch, **options}
     return spark.readStream.schema(schema).options(**options).format(format).load(path)
 
 

@@ -54,9 +54,9 @@ def test_unknown_kind_is_not_checked(spark):
 
 
 def test_number_text(spark):
-    df = spark.createDataFrame([(12.0,), (12.35,), (-0.5,), (100.0,), (100.1,), (None,), (12345678.25,)], "x double")
+    df = spark.createDataFrame([(12.0,), (12.35,), (-0.5,), (100.0,), (100.1,), (None,), (12345678.25,), (48.8566,), (0.001,), (1e37,)], "x double")
     got = [r[0] for r in df.select(fv.number_text(F.col("x"))).collect()]
-    assert got == ["12", "12.35", "-0.5", "100", "100.1", None, "12345678.25"]
+    assert got == ["12", "12.35", "-0.5", "100", "100.1", None, "1.234567825E7", "48.8566", "0.001", "1.0E37"]
 
 
 @pytest.mark.parametrize(

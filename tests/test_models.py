@@ -87,11 +87,21 @@ def test_isolation_forest(spark, cloud):
     assert scores(found) == scores(again)
 
 
-def test_isolation_forest_draws_whole_samples_from_a_pool(spark, cloud, monkeypatch):
-    monkeypatch.setattr(anomaly, "POOL_ROWS", 1500)
-    drawn = anomaly.tree_samples(cloud, ["id"], ["a"], 2000, 10, 64, 42)
-    counts = drawn.groupBy("tree").agg(F.count("id").alias("n"), F.count_distinct("id").alias("d")).collect()
-    assert [(r["n"], r["d"]) for r in counts] == [(64, 64)] * 10
+def test_isolation_forest_draws_whole_samples(spark, cloud):
+    for size, trees in ((64, 10), (8, 4), (2000, 3)):
+        drawn = anomaly.tree_samples(cloud, ["id"], ["a"], 2000, trees, size, 42)
+        counts = drawn.groupBy("tree").agg(F.count("id").alias("n"), F.count_distinct("id").alias("d")).collect()
+        assert [(r["n"], r["d"]) for r in counts] == [(size, size)] * trees
+
+
+def test_any_row_of_a_large_table_can_be_drawn(spark):
+    """Rows beyond any fixed pool: the rows of all trees are spread over the whole table, each tree has its own."""
+    n, trees, size = 200_000, 200, 256
+    drawn = anomaly.tree_samples(spark.range(n).withColumn("a", F.col("id") * 1.0), ["id"], ["a"], n, trees, size, 42)
+    distinct = drawn.select("id").distinct().count()
+    assert drawn.count() == trees * size and distinct > 0.7 * trees * size
+    tenths = drawn.groupBy(F.floor(F.col("id") * 10 / n).alias("t")).count().collect()
+    assert len(tenths) == 10 and all(0.9 < r["count"] * 10 / (trees * size) < 1.1 for r in tenths)
 
 
 def test_isolation_forest_needs_rows(spark, cloud):
@@ -163,7 +173,6 @@ def test_short_and_flat_series(spark, model):
 
 def test_many_series_are_fitted_in_parts(spark, seasonal, monkeypatch):
     few = forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature")
-    monkeypatch.setattr(forecast, "FEW_SERIES", 1)
     monkeypatch.setattr(forecast, "PART_ROWS", 300)
     many = forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature")
     read = lambda df: {r["ville_id"]: [r["sigma"], *r["beta"]] for r in df.collect()}
@@ -214,3 +223,39 @@ def test_analytics_tables(spark, seasonal, tmp_path):
     assert read["ml_clusters"].count() == 3
     assert sorted(r["id"] for r in read["ml_clusters"].collect()) == [1, 2, 3]
     assert analytics.run_analytics(air.limit(0), cities, str(tmp_path / "none"), datetime(2026, 6, 1).astimezone()) is None
+
+
+def test_a_series_that_cannot_be_solved_is_skipped(spark, seasonal):
+    broken = seasonal.filter("ville_id = 1").withColumn("temperature", F.lit(float("inf"))).withColumn("ville_id", F.lit(99))
+    both = seasonal.filter("ville_id = 2").unionByName(broken.select(*seasonal.columns))
+    fit = forecast.additive_fit(both, ["ville_id"], "mesure_le", "temperature")
+    assert {r["ville_id"]: r["beta"] is None for r in fit.collect()} == {2: False, 99: True}
+    done = forecast.additive_forecast(both, ["ville_id"], "mesure_le", "temperature")
+    assert [r["ville_id"] for r in done.select("ville_id").distinct().collect()] == [2]
+
+
+def test_incomplete_rows_do_not_count_for_the_guard(spark, seasonal):
+    some = seasonal.limit(100).withColumn("temperature", F.when(F.monotonically_increasing_id() < 3, F.col("temperature")))
+    args = (some, "ville_id", "mesure_le", "temperature", [])
+    assert prediction.predict_series(*args, complete_first=["temperature"]) is None
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A job started from another folder, with the package on the driver's path alone."""
+    import subprocess
+    import sys
+
+    root = __file__.rsplit("/tests/", 1)[0]
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from sensorloom.session import local_session
+from sensorloom.operators.anomaly import isolation_forest
+spark = local_session(2)
+df = spark.range(300).selectExpr("id", "id * 1.0 AS a")
+print("ROWS", isolation_forest(df, ["id"], ["a"], trees=3).count())
+"""
+    import os
+
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 300" in out.stdout, out.stderr[-2000:]

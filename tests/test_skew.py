@@ -198,11 +198,22 @@ def test_quantile_by_narrowing(spark, series, q):
         df = series.select((F.col(column) if isinstance(column, str) else column).cast("double").alias("x"))
         expected = df.toPandas()["x"].quantile(q)
         assert exact_quantile(df, "x", q) == pytest.approx(expected, rel=1e-12)
-        assert exact_quantile(df, "x", q, direct_rows=0) == pytest.approx(expected, rel=1e-12)
 
 
 def test_quantile_of_nothing_and_of_one_value(spark):
     empty = spark.createDataFrame([], "x double")
     assert exact_quantile(empty, "x", 0.5) is None
     same = spark.createDataFrame([(3.0,)] * 5 + [(None,), (float("nan"),)], "x double")
-    assert exact_quantile(same, "x", 0.3, direct_rows=0) == 3.0
+    assert exact_quantile(same, "x", 0.3) == 3.0
+
+
+@pytest.mark.parametrize("values", [
+    [1.0, 2.0, float("inf")], [float("-inf"), 5.0, 6.0, 7.0], [float("inf")] * 3, [float("-inf"), float("inf")],
+    [1.7e308, -1.7e308, 0.0, 1.0], [5e-324, 0.0, 1e-323, 1.0], [1.0, 1.0 + 2**-52, 1.0 + 2**-51],
+])
+@pytest.mark.parametrize("q", [0.0, 0.4, 0.5, 0.8, 1.0])
+def test_quantile_with_extreme_values(spark, values, q):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    ordered, rank = sorted(values), q * (len(values) - 1)
+    a, b = ordered[int(rank)], ordered[-int(-rank // 1)]
+    assert exact_quantile(df, "x", q) == (a if a == b or rank == int(rank) else pytest.approx(a + (b - a) * (rank - int(rank)), rel=1e-12, nan_ok=True))

@@ -138,3 +138,27 @@ def test_small_aggregates(spark):
 def test_top_groups_ties_go_to_the_smaller_key(spark):
     df = frame(spark, "k string, v int", ("c", 1), ("b", 1), ("a", None), ("d", 1), ("d", 1))
     assert [tuple(r) for r in rel.top_groups(df, "k", "v", 2).collect()] == [("d", 2), ("b", 1)]
+
+
+def test_coverage_of_requested_days(spark):
+    rows = [(1, datetime(2026, 3, 1, h)) for h in range(24)] + [(1, datetime(2026, 3, 9)), (2, datetime(2026, 3, 2, 5)), (3, datetime(2026, 4, 1))]
+    df = frame(spark, "c int, ts timestamp_ntz", *rows)
+    asked = frame(spark, "c int", (1,), (2,), (3,), (4,))
+    got = agg.coverage(df, ["c"], "ts", first=date(2026, 3, 1), last=date(2026, 3, 2), entities=asked).collect()
+    assert {r["c"]: (r["expected"], r["actual"]) for r in got} == {1: (48, 24), 2: (48, 1), 3: (48, 0), 4: (48, 0)}
+    own = {r["c"]: (r["expected"], r["actual"]) for r in agg.coverage(df, ["c"], "ts").collect()}
+    assert own == {1: (9 * 24, 25), 2: (24, 1), 3: (24, 1)}
+
+
+def test_newest_document_of_a_city(spark, tmp_path):
+    import os
+
+    from sensorloom.sources.feeds import read_metadata_feed
+
+    for folder, idx, at in (("9", 1, 1_700_000_000), ("10", 2, 1_700_000_500)):
+        os.makedirs(tmp_path / folder)
+        (tmp_path / folder / "1.json").write_text('{"status": "ok", "data": {"idx": %d}}' % idx)
+        os.utime(tmp_path / folder / "1.json", (at, at))
+    cities = frame(spark, "id int, nom string", (1, "Un"))
+    got = read_metadata_feed(spark, f"{tmp_path}/*", "ville_id", cities, "id", "nom").collect()
+    assert [r["station_idx"] for r in got] == [2]
