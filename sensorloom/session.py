@@ -50,7 +50,17 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/sensorloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = (spark, path)
+    return out
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete frames written by :func:`settle` that nothing will read again, before :func:`release` does."""
+    for df in settled:
+        if df._settled in _written:
+            _written.remove(df._settled)
+            _delete(*df._settled)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -64,8 +74,11 @@ def release() -> int:
     """Delete what this application settled; call it when the results are written."""
     count = 0
     while _written:
-        spark, path = _written.pop()
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(*_written.pop())
         count += 1
     return count
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
