@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle
 from .pairs import KeyFilter, filter_bits, with_row_id
 from .texts import Prefixes, bounds, mixed, signed, slices
 
@@ -114,28 +114,43 @@ def _position_key(uid: np.ndarray, start: np.ndarray, level: int) -> np.ndarray:
     return signed(mixed(mixed(uid.astype(np.uint64) + np.uint64(level << 60)) + start.astype(np.uint64)))
 
 
-_RANKED = "rank long, context long, uid long, start long, more int, position long"
+_RANKED = "rank long, context long, uid long, start int, more int"
 
 
-def _ranked(rank, context, uid, start, more, level: int) -> pa.RecordBatch:
-    columns = [signed(rank), signed(context), uid, start, more.astype(np.int32), _position_key(uid, start, level)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "context", "uid", "start", "more", "position"])
+def _ranked(rank, context, uid, start, more) -> pa.RecordBatch:
+    columns = [signed(rank), signed(context), uid, start.astype(np.int32), more.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["rank", "context", "uid", "start", "more"])
 
 
-def _settled(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Spans of all but the first of equal contexts; and the firsts whose rank has other contexts."""
-    firsts = settle(rows.groupBy("rank", "context").agg(F.min(F.struct("uid", "start")).alias("first")))
+def _settled(ranked: DataFrame, length: int, level: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of all but the first of equal contexts; and the firsts whose rank has other contexts (uid, position).
+
+    A context has one rank, so contexts alone are grouped and joined.
+    """
+    rows = settle(ranked)
+    firsts = settle(rows.groupBy("context").agg(F.min(F.struct("uid", "start")).alias("first"), F.min("rank").alias("rank")))
     several = firsts.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank")
-    placed = rows.join(firsts, ["rank", "context"])
-    is_first = (F.col("uid") == F.col("first.uid")) & (F.col("start") == F.col("first.start"))
-    spans = placed.where(~is_first).select("uid", F.col("start").alias("begin"), (F.col("start") + F.col("more") + length).alias("end"))
-    return spans, settle(placed.where(is_first).join(several, "rank", "left_semi").select("uid", "position"))
+    placed = rows.drop("rank").join(firsts.select("context", "first"), "context")
+    later = (F.col("uid") != F.col("first.uid")) | (F.col("start") != F.col("first.start"))
+    end = (F.col("start") + F.col("more") + length).cast("int")
+    spans = settle(placed.where(later).select("uid", F.col("start").alias("begin"), end.alias("end")))
+    still = firsts.join(several, "rank", "left_semi").select("first.uid", "first.start")
+
+    def keyed(batches):
+        for b in batches:
+            key = _position_key(b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.int64), level)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key)], names=["uid", "position"])
+
+    still = settle(still.mapInArrow(keyed, "uid long, position long"))
+    discard(rows, firsts)
+    return spans, still
 
 
 def _filters(still: DataFrame):
     """Broadcast filters of the open positions and of the rows that have any."""
     spark, bits = still.sparkSession, filter_bits(still.count())
     made = [KeyFilter.of(still.select(c), bits) for c in ("position", "uid")]
+    discard(still)
     return [spark.sparkContext.broadcast(f.words) for f in made]
 
 
@@ -148,15 +163,17 @@ def repeated_spans(docs: DataFrame, length: int = 100, seed_length: int = 36) ->
             yield pa.RecordBatch.from_arrays([pa.array(signed(c.name))], names=["rank"])
 
     again = settle(source.mapInArrow(seeds, "rank long").groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"))
-    again = docs.sparkSession.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
+    seen = KeyFilter.of(again, filter_bits(again.count()))
+    discard(again)
+    again = docs.sparkSession.sparkContext.broadcast(seen.words)
 
     def contexts(batches):
         for uids, c in _segments(batches, length, seed_length):
             keep = KeyFilter(again.value).has(signed(c.name))
             if keep.any():
-                yield _ranked(c.name[keep], c.context[keep], uids.to_numpy()[c.text[keep]], c.start[keep], (c.last - c.first)[keep], 1)
+                yield _ranked(c.name[keep], c.context[keep], uids.to_numpy()[c.text[keep]], c.start[keep], (c.last - c.first)[keep])
 
-    spans, still = _settled(settle(source.mapInArrow(contexts, _RANKED)), length)
+    spans, still = _settled(source.mapInArrow(contexts, _RANKED), length, 1)
     open_seeds, open_rows = _filters(still)
 
     def blocks_of(uids, c):
@@ -180,9 +197,9 @@ def repeated_spans(docs: DataFrame, length: int = 100, seed_length: int = 36) ->
                 core = c.seed[of] - number * _BLOCK
                 rank = mixed(c.prefixes.of(core, core + length - (_BLOCK - 1)) + number.astype(np.uint64))
                 context = mixed(c.prefixes.of(first, last + length) + ((core - first) * 64 + (core - last)).astype(np.uint64))
-                yield _ranked(rank, context, uids.to_numpy()[c.text[of]], first - c.base[of], last - first, 2)
+                yield _ranked(rank, context, uids.to_numpy()[c.text[of]], first - c.base[of], last - first)
 
-    more, still = _settled(settle(source.mapInArrow(blocks, _RANKED)), length)
+    more, still = _settled(source.mapInArrow(blocks, _RANKED), length, 2)
     open_blocks, rows_left = _filters(still)
 
     def windows(batches):
@@ -195,12 +212,12 @@ def repeated_spans(docs: DataFrame, length: int = 100, seed_length: int = 36) ->
             i, at = _spread(first[keep], (last - first)[keep] + 1)
             i = keep[i]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(c.prefixes.of(at, at + length))), pa.array(uid[i]), pa.array(at - c.base[of[i]])], names=["rank", "uid", "start"]
+                [pa.array(signed(c.prefixes.of(at, at + length))), pa.array(uid[i]), pa.array((at - c.base[of[i]]).astype(np.int32))], names=["rank", "uid", "start"]
             )
 
     in_order = Window.partitionBy("rank").orderBy("uid", "start")
-    ranked = source.mapInArrow(windows, "rank long, uid long, start long").withColumn("_n", F.row_number().over(in_order))
-    found = ranked.where("_n > 1").select("uid", F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
+    ranked = source.mapInArrow(windows, "rank long, uid long, start int").withColumn("_n", F.row_number().over(in_order))
+    found = ranked.where("_n > 1").select("uid", F.col("start").alias("begin"), (F.col("start") + length).cast("int").alias("end"))
     return spans.unionByName(more).unionByName(found)
 
 
@@ -208,8 +225,22 @@ def remove_repeats(docs: DataFrame, length: int = 100, seed_length: int = 36, ke
     """``key``, ``kept`` (binary: the bytes that stay), ``n_bytes``, ``n_removed``, ``n_spans`` of every row."""
     rows = with_row_id(docs.select(F.col(key).alias(key), F.col(text).alias("text")), key, "text")
     spans = repeated_spans(rows, length, seed_length)
-    spans = spans.groupBy(F.col("uid").alias("_uid")).agg(F.collect_list("begin").alias("_begin"), F.collect_list("end").alias("_end"))
-    full = rows.join(spans, "_uid", "left").select(key, F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("bytes"), "_begin", "_end")
+    spans = settle(spans.groupBy(F.col("uid").alias("_uid")).agg(F.collect_list("begin").alias("_begin"), F.collect_list("end").alias("_end")))
+    # rows without spans, all but a few of them, need no join
+    cut_rows = rows.sparkSession.sparkContext.broadcast(KeyFilter.of(spans.select("_uid"), filter_bits(spans.count())).words)
+
+    def having(some: bool):
+        def run(batches):
+            for b in batches:
+                yield b.filter(pa.array(KeyFilter(cut_rows.value).has(b.column(at).to_numpy()) == some))
+
+        at = rows.columns.index("_uid")
+        return rows.mapInArrow(run, rows.schema)
+
+    data = F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("bytes")
+    joined = having(True).join(spans, "_uid", "left").select(key, data, "_begin", "_end")
+    none = F.lit(None).cast("array<int>")
+    full = joined.unionByName(having(False).select(key, data, none.alias("_begin"), none.alias("_end")))
     kind = full.schema[key].dataType.simpleString()
 
     def cut(batches):
