@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle
 from .ngram_join import needed, set_nodes
 from .pairs import KeyFilter, filter_bits, fresh_name, overlaps, similar, with_row_id
 from .texts import Prefixes, bounds, shingles, signed, slices, words
@@ -148,14 +148,14 @@ def _may_match(percent: int):
 
 
 def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``uid``, ``place`` of every line with a similar line before it. ``docs``: _uid, text."""
+    """``uid``, ``places``: the lines of each document that have a similar line before them. ``docs``: _uid, text."""
     scanned = settle(scan(docs, k))
     lines = scanned.where("part IS NULL").select("uid", "place", "node")
     counts = token_counts(scanned)
     entries = prefixes(docs, counts, k, percent)
     by_token = Window.partitionBy("token")
     entries = entries.withColumn("_lo", F.min("node").over(by_token)).withColumn("_hi", F.max("node").over(by_token))
-    shared = settle(entries.where("_lo < _hi").select("token", "node", "n", "at").distinct())
+    shared = entries.where("_lo < _hi").select("token", "node", "n", "at").distinct()
     first = settle(lines.groupBy("node").agg(F.min(F.struct("uid", "place")).alias("first")))
     members = settle(shared.join(first, "node"))
 
@@ -169,7 +169,10 @@ def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
         """Nodes ``a`` of the pairs that are similar. Sets are read for the lines of the pairs alone."""
         both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = settle(both.join(first, "node").select("node", "first.uid"))
-        return settle(overlaps(pairs, line_sets(docs, wanted, k)).where(passed).select(F.col("a").alias("node")).distinct())
+        sets = line_sets(docs, wanted, k)
+        found = settle(overlaps(pairs, sets).where(passed).select(F.col("a").alias("node")).distinct())
+        discard(wanted, sets)
+        return found
 
     matched = verified(tried)
 
@@ -179,10 +182,14 @@ def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rest = met.where(_may_match(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     rest = settle(rest.join(tried, ["a", "b"], "left_anti"))
     gone = matched.unionByName(verified(rest)).distinct()
+    discard(members, tried, rest)
 
     repeated = lines.join(first, "node").where((F.col("uid") != F.col("first.uid")) | (F.col("place") != F.col("first.place")))
     firsts = first.join(gone, "node").select("first.uid", "first.place")
-    return repeated.select("uid", "place").unionByName(firsts)
+    every = repeated.select("uid", "place").unionByName(firsts)
+    out = settle(every.groupBy("uid").agg(F.collect_set("place").alias("places")))
+    discard(scanned, first, matched)
+    return out
 
 
 def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,8 +198,7 @@ def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc
     uid, lost = fresh_name(docs, "_uid"), fresh_name(docs, "_gone")
     rows = with_row_id(docs.select(*kept), key, text, uid)
     gone = later_matches(rows.select(F.col(uid).alias("_uid"), F.col(text).alias("text")), k, percent)
-    places = settle(gone.groupBy(F.col("uid").alias(uid)).agg(F.collect_set("place").alias(lost)))
-    full = rows.join(places, uid, "left")
+    full = rows.join(gone.select(F.col("uid").alias(uid), F.col("places").alias(lost)), uid, "left")
     gone = F.col(lost)
     whole = F.coalesce(F.col(text), F.lit(""))
     # the parts are bound once per row; without that every line would split the text again

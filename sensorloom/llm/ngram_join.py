@@ -24,14 +24,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle
 from .pairs import KeyFilter, filter_bits, linked_groups, overlaps, run_starts, similar, whole_runs
 from .texts import Prefixes, bounds, mixed, shingles, signed, slices, words
 
-GROUPS = 32
+#: Groups of shingles. Counts travel as bytes; 255 stands for 255 or more and is read as no bound.
+GROUPS = 128
+_NO_BOUND = 1 << 24
 #: Points of a leaf, and nodes of a node.
 LEAF = 16
 
@@ -64,8 +67,9 @@ def points(docs: DataFrame, k: int, percent: int, key: str, text: str) -> DataFr
             for b in slices(batch, "text"):
                 values, owner = shingle_sets(b.column(1), k)
                 sizes, nodes = set_nodes(values, owner, b.num_rows)
-                counts = np.zeros((b.num_rows, GROUPS), np.int32)
-                np.add.at(counts, (owner, (values % np.uint64(GROUPS)).astype(np.int64)), 1)
+                cell = owner * GROUPS + (values % np.uint64(GROUPS)).astype(np.int64)
+                counts = np.bincount(cell, minlength=b.num_rows * GROUPS).reshape(-1, GROUPS)
+                counts = np.minimum(counts, 255).astype(np.uint8)
                 first = np.concatenate([[0], np.cumsum(sizes)])
                 place = np.arange(len(values)) - first[owner]
                 keep = place <= (sizes - needed(sizes, percent))[owner]
@@ -86,17 +90,25 @@ def points(docs: DataFrame, k: int, percent: int, key: str, text: str) -> DataFr
     return source.mapInArrow(run, f"id {kind}, n long, node long, counts binary, smallest array<long>")
 
 
-def whole_sets(docs: DataFrame, wanted: KeyFilter, k: int, text: str) -> DataFrame:
-    """``node``, ``n``, ``tokens`` of the sets whose node passes the filter; one row per node."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted.words)
+def whole_sets(docs: DataFrame, wanted: DataFrame, k: int, key: str, text: str) -> DataFrame:
+    """``node``, ``n``, ``tokens`` of the ``wanted`` (node, id) sets, read from the documents of these ids where ids are
+    integers. A node may come more than once."""
+    spark, bits = docs.sparkSession, filter_bits(wanted.count())
+    integer = dict(wanted.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint")
+    nodes_in = spark.sparkContext.broadcast(KeyFilter.of(wanted.select("node"), bits).words)
+    known = wanted.where("id IS NOT NULL").select(F.col("id").cast("long")) if integer else wanted.select("node").limit(0)
+    ids_in = spark.sparkContext.broadcast(KeyFilter.of(known, bits).words)
 
     def run(batches):
         for batch in batches:
+            if integer:
+                ids = pc.fill_null(batch.column(0).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+                batch = batch.filter(pc.or_(pc.is_null(batch.column(0)), pa.array(KeyFilter(ids_in.value).has(ids))))
             for b in slices(batch, "text"):
-                values, owner = shingle_sets(b.column(0), k)
+                values, owner = shingle_sets(b.column(1), k)
                 sizes, nodes = set_nodes(values, owner, b.num_rows)
                 first = np.concatenate([[0], np.cumsum(sizes)])
-                fresh = np.flatnonzero((sizes > 0) & KeyFilter(shared.value).has(signed(nodes)))
+                fresh = np.flatnonzero((sizes > 0) & KeyFilter(nodes_in.value).has(signed(nodes)))
                 fresh = fresh[np.unique(nodes[fresh], return_index=True)[1]]
                 if len(fresh):
                     tokens = [signed(values[first[i] : first[i + 1]]) for i in fresh]
@@ -105,8 +117,8 @@ def whole_sets(docs: DataFrame, wanted: KeyFilter, k: int, text: str) -> DataFra
                         names=["node", "n", "tokens"],
                     )
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "node long, n long, tokens array<long>")
-    return found.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"))
+    found = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInArrow(run, "node long, n long, tokens array<long>")
+    return settle(found.join(wanted.select("node"), "node", "left_semi"))
 
 
 class CountTree:
@@ -121,7 +133,7 @@ class CountTree:
             top, small, large = np.maximum.reduceat(top, at), np.minimum.reduceat(small, at), np.maximum.reduceat(large, at)
             self.levels.append((top, small, large))
 
-    def join(self, counts: np.ndarray, sizes: np.ndarray, percent: int, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    def join(self, counts: np.ndarray, sizes: np.ndarray, percent: int, block: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
         """(query, point) of all pairs whose bound allows the similarity."""
         top = self.levels[-1][0]
         who = np.repeat(np.arange(len(counts)), len(top))
@@ -134,7 +146,7 @@ class CountTree:
                 # sizes allow the pair, and the bound reaches what the smallest set below the node would need
                 fits = (100 * large[m] >= percent * sizes[q]) & (100 * sizes[q] >= percent * small[m])
                 q, m = q[fits], m[fits]
-                bound = np.minimum(counts[q], top[m]).sum(axis=1)
+                bound = shared_bound(counts[q], top[m])
                 ok = (100 + percent) * bound >= percent * (sizes[q] + small[m])
                 kept.append((q[ok], m[ok]))
             who, node = (np.concatenate(x) for x in zip(*kept)) if kept else (who[:0], node[:0])
@@ -176,12 +188,18 @@ def _allowed(counts, sizes, at, q, p, percent: int) -> np.ndarray:
     ok = 100 * np.minimum(sizes[q], sizes[p]) >= percent * np.maximum(sizes[q], sizes[p])
     ok &= (100 + percent) * np.minimum(sizes[q] - at[q], sizes[p] - at[p]) >= total
     some = np.flatnonzero(ok)
-    for i in range(0, len(some), 1 << 15):
-        part = some[i : i + (1 << 15)]
-        ok[part] = (100 + percent) * np.minimum(counts[q[part]], counts[p[part]]).sum(axis=1, dtype=np.int64) >= total[part]
+    for i in range(0, len(some), 1 << 14):
+        part = some[i : i + (1 << 14)]
+        ok[part] = (100 + percent) * shared_bound(counts[q[part]], counts[p[part]]) >= total[part]
     return ok
 
 
+def shared_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Largest possible overlap of each pair of count vectors: the sum of the smaller counts."""
+    low = np.minimum(a, b)
+    return low.sum(axis=1, dtype=np.int64) + _NO_BOUND * (low == 255).any(axis=1)
+
+
 def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile: int) -> DataFrame:
     """Distinct pairs (a < b) of points of one partition that pass the bounds.
 
@@ -212,7 +230,7 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
     def run(batches):
         for t in whole_runs(batches, ["shingle", "t1", "t2"]):
             node, sizes, at = (t.column(c).to_numpy() for c in ("node", "n", "at"))
-            counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.int32).reshape(-1, GROUPS)
+            counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
             second = t.column("side").to_numpy() == 1
             runs = run_starts(t, ["shingle", "t1", "t2"])
             length = np.diff(np.append(runs, len(node)))
@@ -248,24 +266,25 @@ def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096,
     found = settle(surviving_pairs(entries, points_of, percent, tile))
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nodes = settle(both.groupBy("a").agg(F.count("*").alias("degree")).withColumnRenamed("a", "node"))
-    sets = whole_sets(docs, KeyFilter.of(nodes.select("node"), filter_bits(nodes.count())), k, text)
-    sets = settle(sets.join(nodes, "node", "left_semi"))
+    wanted = settle(made.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")))
+    sets = whole_sets(docs, wanted, k, key, text)
     linked = similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)
 
     best = both.join(nodes.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.max(F.struct("degree", "b")).alias("best"))
     tried = settle(best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
-    links = settle(overlaps(tried, sets).where(linked).select("a", "b"))
+    links = settle(overlaps(tried, sets).where(linked).select("a", "b").distinct())
     groups = linked_groups(links)
     left = found.join(tried, ["a", "b"], "left_anti")
     for side in ("a", "b"):
         name = groups.select(F.col("node").alias(side), F.col("group").alias(f"g_{side}"))
         left = left.join(name, side, "left").withColumn(f"g_{side}", F.coalesce(f"g_{side}", side))
-    more = settle(overlaps(left.where("g_a <> g_b").select("a", "b"), sets).where(linked).select("a", "b"))
+    more = settle(overlaps(left.where("g_a <> g_b").select("a", "b"), sets).where(linked).select("a", "b").distinct())
     groups = linked_groups(links.unionByName(more)) if not more.isEmpty() else groups
 
     named = made.where("n > 0").join(groups, "node", "left").select("id", "node", F.coalesce("group", "node").alias("group"))
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
-    classes = named.select("node", "group").distinct().join(smallest, "group").select("node", "component_id")
+    classes = settle(named.select("node", "group").distinct().join(smallest, "group").select("node", "component_id"))
+    discard(entries, found, nodes, wanted, sets, tried, links, more, groups)
     out = made.select("id", "n", "node").join(classes, "node", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
@@ -115,8 +115,10 @@ def linked_groups(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         fresh = settle(fresh)
         changed = fresh.join(labels.withColumnRenamed("group", "_old"), "node").where(F.col("group") != F.col("_old"))
         done = changed.isEmpty()
+        discard(labels)
         labels = fresh
         if done:
+            discard(both)
             return labels
     raise RuntimeError("links did not settle")
 

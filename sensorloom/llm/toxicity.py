@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import discard, settle
 
 #: Word classes of the grammar.
 INSULTS = ["idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting"]
@@ -225,10 +225,13 @@ def learn_stems(
             break
         chosen.append(stem)
         left = {s: r - rows_held for s, r in left.items() if s != stem}
+    discard(words)
     if not chosen:
+        discard(usual)
         return [], []
     begins = F.array(*map(F.lit, chosen))
     spared = usual.where(F.exists(begins, lambda s: F.col("word").startswith(s))).collect()  # words of the bounded sample
+    discard(usual)
     return chosen, [r["word"] for r in spared]
 
 

@@ -41,12 +41,14 @@ def test_components_of_repeated_and_null_ids(spark, empty):
 
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(1)
-    counts = rng.poisson(2, (300, ngram_join.GROUPS)).astype(np.int32)
+    counts = rng.poisson(2, (300, ngram_join.GROUPS)).astype(np.uint8)
     counts[200:] = counts[:100]
     counts[200:, 0] += 1
     sizes = counts.sum(axis=1).astype(np.int64)
+    counts[7:9, 3] = 255  # more than a byte can say: no bound
     q, p = ngram_join.CountTree(counts, sizes).join(counts, sizes, 85)
-    bound = np.minimum(counts[:, None], counts[None]).sum(axis=2)
+    low = np.minimum(counts[:, None], counts[None])
+    bound = low.sum(axis=2, dtype=np.int64) + (1 << 24) * (low == 255).any(axis=2)
     want = (185 * bound >= 85 * (sizes[:, None] + sizes[None])) & (100 * np.minimum(sizes[:, None], sizes[None]) >= 85 * np.maximum(sizes[:, None], sizes[None]))
     assert set(zip(q.tolist(), p.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(want))))
 
