@@ -13,8 +13,8 @@ consecutive set sizes, and tiles are paired only if their sizes allow it, the to
 of tiles) a tree is packed and joined with itself; up to ``LEAF`` points are a single leaf.
 
 The pairs that survive the bound are verified on the whole sets. Only links between different linked groups matter, so
-each point is first verified with its neighbour of most survivors, the likely original of its copies; of
-the other pairs those inside one linked group need no verification.
+each point is first verified with its neighbour of most survivors, the likely original of its copies. Then, round by round,
+a growing number of pairs between each two groups is verified, until no pair between different groups is left unverified.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; repeated rows are links of equal
 sets; a null id is never a component's name unless all ids of the component are null.
@@ -274,17 +274,32 @@ def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096,
     tried = settle(best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
     links = settle(overlaps(tried, sets).where(linked).select("a", "b").distinct())
     groups = linked_groups(links)
-    left = found.join(tried, ["a", "b"], "left_anti")
-    for side in ("a", "b"):
-        name = groups.select(F.col("node").alias(side), F.col("group").alias(f"g_{side}"))
-        left = left.join(name, side, "left").withColumn(f"g_{side}", F.coalesce(f"g_{side}", side))
-    more = settle(overlaps(left.where("g_a <> g_b").select("a", "b"), sets).where(linked).select("a", "b").distinct())
-    groups = linked_groups(links.unionByName(more)) if not more.isEmpty() else groups
+    left, each = settle(found.join(tried, ["a", "b"], "left_anti")), 4
+    while True:
+        # pairs within one group are linked already; of two groups a few pairs are verified at a time, as most survivors are links
+        between = left
+        for side in ("a", "b"):
+            name = groups.select(F.col("node").alias(side), F.col("group").alias(f"g_{side}"))
+            between = between.join(name, side, "left").withColumn(f"g_{side}", F.coalesce(f"g_{side}", side))
+        between = between.where("g_a <> g_b").select("a", "b", F.least("g_a", "g_b").alias("g"), F.greatest("g_a", "g_b").alias("h"))
+        few = Window.partitionBy("g", "h").orderBy(F.xxhash64("a", "b"), "a", "b")
+        between = settle(between.withColumn("_turn", F.row_number().over(few)))
+        discard(left)
+        if between.isEmpty():
+            discard(between)
+            break
+        now = between.where(F.col("_turn") <= each).select("a", "b")
+        more = settle(links.unionByName(overlaps(now, sets).where(linked).select("a", "b")).distinct())
+        discard(links, groups)
+        links, groups = more, linked_groups(more)
+        left = settle(between.where(F.col("_turn") > each).select("a", "b"))
+        discard(between)
+        each *= 8
 
     named = made.where("n > 0").join(groups, "node", "left").select("id", "node", F.coalesce("group", "node").alias("group"))
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
     classes = settle(named.select("node", "group").distinct().join(smallest, "group").select("node", "component_id"))
-    discard(entries, found, nodes, wanted, sets, tried, links, more, groups)
+    discard(entries, found, nodes, wanted, sets, tried, links, groups)
     out = made.select("id", "n", "node").join(classes, "node", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
