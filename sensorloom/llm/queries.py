@@ -72,6 +72,64 @@ def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+), cut AS (
+  SELECT doc_id, text, line, place, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words FROM lines
+), sets AS (
+  SELECT doc_id, text, line, place,
+         CASE WHEN len(words) = 0 THEN []
+              WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+              ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))) END AS tokens
+  FROM cut
+), firsts AS (
+  SELECT tokens, min({'doc': doc_id, 'place': place}) AS first, row_number() OVER () AS class FROM sets WHERE len(tokens) > 0 GROUP BY tokens
+), items AS (
+  SELECT class, first, len(tokens) AS n, unnest(tokens) AS token FROM firsts
+), later AS (
+  SELECT x.class FROM items x JOIN items y ON x.token = y.token AND y.first < x.first
+  GROUP BY x.class, y.class, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), judged AS (
+  SELECT s.doc_id, s.text, s.line, s.place,
+         f.class IS NOT NULL AND (f.first <> {'doc': s.doc_id, 'place': s.place} OR f.class IN (SELECT class FROM later)) AS gone
+  FROM sets s LEFT JOIN firsts f ON s.tokens = f.tokens
+), kept AS (
+  SELECT doc_id, any_value(text) AS text, count(*) AS parts, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS rest
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, (CASE WHEN text = '' THEN 0 ELSE parts END)::BIGINT AS n_lines, n_removed::BIGINT AS n_removed,
+       length(rest)::BIGINT AS n_chars, sha256(rest) AS kept_sha256
+FROM kept
+"""
+
+OP5_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id,
+         CASE WHEN len(words) = 0 THEN []
+              WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+  FROM cut
+), items AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT sets.doc_id, len(any_value(shingles))::BIGINT AS n_shingles, min(other) AS component_id
+FROM sets JOIN reach USING (doc_id) GROUP BY sets.doc_id
+"""
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -124,4 +182,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_source_mix": OP4_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_source_mix": OP4_SQL, "op5_ngram_join": OP5_SQL}
