@@ -5,9 +5,9 @@ point holds the number of shingles in each. Two sets cannot share more than the
 count, so a pair whose bound is below the needed overlap is never compared. An R-tree over the points applies
 the bound to whole subtrees: a node keeps the largest count of each group and the range of set sizes below it.
 
-Spark deals the points out. Equal sets are one point. A set shares, with every set similar enough, one of its
-``n - needed + 1`` smallest shingles, so these shingles name the partitions of the index that a point belongs to; the places of a
-shared one limit what can be shared behind it. Only partitions with several points are made: which shingles recur is
+Spark deals the points out. Equal sets are one point. A set shares, with every set similar enough, at least ``c`` of its
+``n - needed + c`` smallest shingles, so these shingles name the partitions of the index that a point belongs to, and
+a pair that meets in fewer than ``c`` partitions (a twentieth of the smaller set) is dropped. Only partitions with several points are made: which shingles recur is
 counted first and travels as a filter of fixed size. Partitions with more than ``tile`` points are cut into tiles of
 consecutive set sizes, and tiles are paired only if their sizes allow it, the top level of the tree. In every partition (or pair
 of tiles) a tree is packed and joined with itself; up to ``LEAF`` points are a single leaf.
@@ -59,6 +59,11 @@ def needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
+def common(n: np.ndarray) -> np.ndarray:
+    """How many of their smallest shingles similar sets have in common at least, for the smaller of two sets of size n."""
+    return 1 + n // 20
+
+
 def points(docs: DataFrame, k: int, percent: int, key: str, text: str) -> DataFrame:
     """``id``, ``n``, ``node``, ``counts`` and ``smallest`` (the shingles that name its partitions) of each document."""
 
@@ -72,7 +77,7 @@ def points(docs: DataFrame, k: int, percent: int, key: str, text: str) -> DataFr
                 counts = np.minimum(counts, 255).astype(np.uint8)
                 first = np.concatenate([[0], np.cumsum(sizes)])
                 place = np.arange(len(values)) - first[owner]
-                keep = place <= (sizes - needed(sizes, percent))[owner]
+                keep = place < (sizes - needed(sizes, percent) + common(sizes))[owner]
                 of = np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=b.num_rows))])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -158,7 +163,7 @@ class CountTree:
 
 
 def members(made: DataFrame) -> DataFrame:
-    """``shingle``, ``node``, ``n``, ``at``: the points of index partitions, but for most of those alone in theirs."""
+    """``shingle``, ``node``, ``n``: the points of index partitions, but for most of those alone in theirs."""
     again = made.select(F.explode("smallest").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
     again = settle(again.select("shingle"))
     shared = made.sparkSession.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
@@ -171,22 +176,18 @@ def members(made: DataFrame) -> DataFrame:
                 values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                at = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 keep = KeyFilter(shared.value).has(values)
                 of = pa.array(owner[keep])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values[keep]), b.column(0).take(of), b.column(1).take(of), pa.array(at[keep])], names=["shingle", "node", "n", "at"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(values[keep]), b.column(0).take(of), b.column(1).take(of)], names=["shingle", "node", "n"])
 
     some = made.where("n > 0").select("node", "n", "smallest")
-    return some.mapInArrow(run, "shingle long, node long, n long, at long").distinct()
+    return some.mapInArrow(run, "shingle long, node long, n long").distinct()
 
 
-def _allowed(counts, sizes, at, q, p, percent: int) -> np.ndarray:
-    """Whether pairs (q, p) of one partition pass the size, place and count bounds."""
+def _allowed(counts, sizes, q, p, percent: int) -> np.ndarray:
+    """Whether pairs (q, p) of one partition pass the size and count bounds."""
     total = percent * (sizes[q] + sizes[p])
     ok = 100 * np.minimum(sizes[q], sizes[p]) >= percent * np.maximum(sizes[q], sizes[p])
-    ok &= (100 + percent) * np.minimum(sizes[q] - at[q], sizes[p] - at[p]) >= total
     some = np.flatnonzero(ok)
     for i in range(0, len(some), 1 << 14):
         part = some[i : i + (1 << 14)]
@@ -201,9 +202,9 @@ def shared_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Distinct pairs (a < b) of points of one partition that pass the bounds.
+    """Distinct pairs (a < b) of points that pass the bounds and meet in as many partitions as similar sets must.
 
-    ``entries``: shingle, node, n, at; ``points_of``: node, counts.
+    ``entries``: shingle, node, n; ``points_of``: node, counts.
     """
     large = settle(entries.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") > tile).select("shingle"))
     none = F.lit(0).cast("int")
@@ -224,12 +225,14 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
         second = tiled.withColumnRenamed("tile", "t2").join(fitting.where("t1 < t2"), ["shingle", "t2"]).withColumn("side", none + 1)
         every = plain.unionByName(first).unionByName(second)
 
-    def pair(node, q, p):
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[q], node[p])), pa.array(np.maximum(node[q], node[p]))], names=["a", "b"])
+    def pair(node, sizes, q, p):
+        least = common(np.minimum(sizes[q], sizes[p]))
+        columns = [np.minimum(node[q], node[p]), np.maximum(node[q], node[p]), least]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "least"])
 
     def run(batches):
         for t in whole_runs(batches, ["shingle", "t1", "t2"]):
-            node, sizes, at = (t.column(c).to_numpy() for c in ("node", "n", "at"))
+            node, sizes = (t.column(c).to_numpy() for c in ("node", "n"))
             counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
             second = t.column("side").to_numpy() == 1
             runs = run_starts(t, ["shingle", "t1", "t2"])
@@ -241,8 +244,8 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
                 q = np.flatnonzero(small[:-d] & (block[d:] == block[:-d])) if d < len(node) else np.zeros(0, np.int64)
                 if not len(q):
                     break
-                ok = _allowed(counts, sizes, at, q, q + d, percent)
-                yield pair(node, q[ok], q[ok] + d)
+                ok = _allowed(counts, sizes, q, q + d, percent)
+                yield pair(node, sizes, q[ok], q[ok] + d)
             for i in np.flatnonzero(~small[runs]):
                 here = np.arange(runs[i], runs[i] + length[i])
                 left = here[~second[here]]
@@ -251,11 +254,12 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
                 q, p = left[q], right[p]
                 keep = (node[q] != node[p]) & ((q < p) | (len(left) + len(right) == len(here)))
                 q, p = q[keep], p[keep]
-                ok = _allowed(counts, sizes, at, q, p, percent)
-                yield pair(node, q[ok], p[ok])
+                ok = _allowed(counts, sizes, q, p, percent)
+                yield pair(node, sizes, q[ok], p[ok])
 
     dealt = every.join(points_of, "node").repartition("shingle", "t1", "t2").sortWithinPartitions("shingle", "t1", "t2")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    met = dealt.mapInArrow(run, "a long, b long, least long")
+    return met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("least").alias("least")).where("c >= least").select("a", "b")
 
 
 def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
