@@ -98,29 +98,42 @@ def similar(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def linked_groups(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _roots(forest: DataFrame) -> DataFrame:
+    """``forest`` (node, group: its parent or itself; settled), replaced by the root of every node: parents jump until none moves."""
+    while True:
+        jump = forest.select(F.col("node").alias("group"), F.col("group").alias("_next"))
+        jumped = settle(forest.join(jump, "group").select("node", F.col("_next").alias("group"), (F.col("_next") != F.col("group")).alias("_moved")))
+        discard(forest)
+        forest = jumped
+        if forest.where("_moved").isEmpty():
+            return forest
+
+
+def linked_groups(edges: DataFrame) -> DataFrame:
     """``node``, ``group``: for every node of ``edges`` (a, b) the smallest node that it reaches.
 
-    Smallest labels spread along edges, and every round labels jump to the labels of labels, so rounds grow with the logarithm
-    of the longest path. Each round is written, which cuts the lineage.
+    Each round hooks every group to its smallest neighbour, if that is smaller, follows the hooks to their roots and replaces
+    the edges by those between the new groups, until none is left. A group that neither hooks nor is hooked to has a
+    smaller neighbour in the next round, so two rounds at least halve the groups that still have edges. Rounds are
+    not capped. Each is written, which cuts the lineage.
     """
     both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = settle(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("group")))
-    for _ in range(max_rounds):
-        # labels are nodes with labels of their own: the label of the label
-        jump = labels.select(F.col("node").alias("group"), F.col("group").alias("_next"))
-        jumped = labels.join(jump, "group").select("node", F.col("_next").alias("group"))
-        offered = both.join(jumped.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "group")
-        fresh = jumped.unionByName(offered).groupBy("node").agg(F.min("group").alias("group"))
-        fresh = settle(fresh)
-        changed = fresh.join(labels.withColumnRenamed("group", "_old"), "node").where(F.col("group") != F.col("_old"))
-        done = changed.isEmpty()
-        discard(labels)
-        labels = fresh
-        if done:
-            discard(both)
-            return labels
-    raise RuntimeError("links did not settle")
+    labels = None
+    while labels is None or not both.isEmpty():
+        forest = _roots(settle(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("group"))))
+        moved = forest.select(F.col("node").alias("group"), F.col("group").alias("_root"))
+        ends = [forest.select(F.col("node").alias(side), F.col("group").alias(f"_{side}")) for side in ("a", "b")]
+        between = both.join(ends[0], "a").join(ends[1], "b").where("_a <> _b")
+        between = settle(between.select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+        if labels is None:
+            fresh = settle(forest.select("node", "group"))
+        else:
+            fresh = settle(labels.join(moved, "group", "left").select("node", F.coalesce("_root", "group").alias("group")))
+            discard(labels)
+        discard(both, forest)
+        both, labels = between, fresh
+    discard(both)
+    return labels
 
 
 def run_starts(t: pa.Table, keys: list[str]) -> np.ndarray:

@@ -59,6 +59,28 @@ def test_linked_groups_of_a_chain(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("order", ["shuffled", "smallest last"])
+def test_linked_groups_of_long_chains(spark, order):
+    n = 300
+    ids = np.random.default_rng(5).permutation(n).tolist() if order == "shuffled" else [*range(1, n), 0]
+    edges = spark.createDataFrame([*zip(ids, ids[1:]), (1000, 1001)], "a long, b long").coalesce(2)
+    got = {r["node"]: r["group"] for r in pairs.linked_groups(edges).collect()}
+    assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
+
+
+def test_linked_groups_of_random_graphs(spark):
+    rng = np.random.default_rng(6)
+    pairs_of = [tuple(x) for x in rng.integers(0, 400, (330, 2)).tolist()]
+    group = {x: x for p in pairs_of for x in p if p[0] != p[1]}
+    for _ in group:
+        for a, b in pairs_of:
+            if a != b:
+                group[a] = group[b] = min(group[a], group[b])
+    got = {r["node"]: r["group"] for r in pairs.linked_groups(spark.createDataFrame(pairs_of, "a long, b long")).collect()}
+    assert got == group
+    assert pairs.linked_groups(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_key_filter_keeps_all_keys(spark):
     keys = spark.range(1000).select(F.xxhash64("id").alias("k"))
     mine = np.array([r[0] for r in keys.collect()], np.int64)
