@@ -1,10 +1,11 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
 The k-mers of a text are its runs of ``k`` words (the last ones shorter). Equal k-mers are told apart by their occurrence number, so
-repetition counts. Every numbered k-mer has a hash; the smallest ``kept`` of them are dealt to ``sketches`` by their
-value, and each sketch keeps its ``picked`` smallest. The k-mers of a sketch are then put back in text order and the
-tuple of them is hashed: it changes when k-mers go, come or change places, as edit distance does. The likeness of two
-fingerprints is the share of equal sketches.
+repetition counts. Each sketch has a hash function of its own, and picks the numbered k-mers of the whole text that are the
+``picked`` smallest under it. The k-mers of a sketch are then put back in text order and the tuple of them is hashed: it
+changes when k-mers go, come or change places, as edit distance does. The likeness of two fingerprints is the share of
+equal sketches; texts without a common k-mer have 0. :func:`sketches` is a cheaper variant that deals one list of
+smallest k-mers to all sketches; fingerprints do not use it, as it leaves sketches of short texts empty.
 
 K-mers are packed as 40 bits of hash and 24 bits of place in one long, so sorting is on primitive arrays. The
 occurrence number of a k-mer in the sorted array is found by doubling steps backwards, not by counting, so a text that
@@ -72,7 +73,7 @@ def _numbered(kmers: Column) -> Column:
 
 
 def sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2, kept: int = 256) -> Column:
-    """Fingerprint of a text as an array of ``n`` longs."""
+    """Dealt variant: the ``kept`` smallest k-mers under one hash, dealt to ``n`` sketches by their value."""
     words = F.split(F.coalesce(text, F.lit("")), _SPACE, -1)
     smallest = F.slice(_numbered(_kmers(words, k)), 1, kept)
 
@@ -85,6 +86,27 @@ def sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2, kept: int =
     return _let(smallest, lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
 
 
+def order_sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2) -> Column:
+    """Fingerprint of a text as an array of ``n`` longs: per sketch the tuple, in text order, of its ``picked`` smallest k-mers."""
+    words = F.split(F.coalesce(text, F.lit("")), _SPACE, -1)
+    by_place = F.sort_array(F.transform(_numbered(_kmers(words, k)), lambda x: F.shiftleft(_place_of(x), 64 - _PLACE).bitwiseOR(_hash_of(x))))
+    in_order = F.transform(by_place, lambda x: x.bitwiseAND(F.lit((1 << (64 - _PLACE)) - 1)))
+
+    def tuple_of(values: Column) -> Column:
+        # values of the sketch's own hash, in text order
+        least, rest = [], values
+        for _ in range(picked):
+            least.append(F.array_min(rest))
+            rest = F.array_remove(rest, least[-1])
+        places = F.filter(F.transform(F.array(*least), lambda x: F.array_position(values, x)), lambda at: at.isNotNull())
+        return F.xxhash64(F.transform(F.sort_array(places), lambda at: F.get(values, at.cast("int") - 1)))
+
+    def sketch(s: Column, j: Column) -> Column:
+        return _let(_let(F.xxhash64(j), lambda seed: F.transform(s, lambda x: F.xxhash64(x.bitwiseXOR(seed)))), tuple_of)
+
+    return _let(in_order, lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
+
+
 def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.lower(F.lpad(F.hex(F.shiftrightunsigned(x, 24)), 10, "0"))), "-")
 
@@ -132,7 +154,7 @@ def with_next(docs: DataFrame, order: str, columns: list[str], rows_per_run: int
 
 def fingerprint(docs: DataFrame, text: str = "text", out: str = "sketches", **options) -> DataFrame:
     """Append the fingerprint of ``text`` (array<long>). A column named ``out`` is replaced."""
-    return docs.withColumn(out, sketches(F.col(text), **options))
+    return docs.withColumn(out, order_sketches(F.col(text), **options))
 
 
 def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -177,6 +177,31 @@ def test_sketches_against_a_loop(spark):
             assert sketch[j] == hashes(want)
 
 
+@pytest.mark.parametrize("words", [1, 3, 10, 20, 40])
+def test_unrelated_short_texts_have_nothing_alike(spark, words):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(words))) for i in range(30)]
+    got = fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["near_next"] for r in got] == [0.0] * 30
+
+
+def test_order_sketches_pick_from_the_whole_text(spark):
+    texts = ["a b c a b c a b", "x", "one two three four five six seven", "seven six five four three two one"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = [r[0] for r in frame.select(fingerprints.order_sketches(F.col("text"), 1, 8, 2)).collect()]
+    words = [(w, t.split(" ")[:i].count(w)) for t in texts for i, w in enumerate(t.split(" "))]
+    kmer = F.shiftrightunsigned(F.xxhash64(F.xxhash64("w")), 24)
+    item = F.shiftrightunsigned(F.xxhash64(kmer, F.col("o")), 24)
+    values = [F.xxhash64(item.bitwiseXOR(F.xxhash64(F.lit(j)))).alias(f"v{j}") for j in range(8)]
+    hashed = iter(spark.createDataFrame(words, "w string, o int").coalesce(1).select(values).collect())
+    tuples = []
+    for text in texts:
+        rows = [next(hashed) for _ in text.split(" ")]
+        tuples += [([v for v in own if v in sorted(own)[:2]],) for own in zip(*rows)]
+    want = [r[0] for r in spark.createDataFrame(tuples, "v array<long>").coalesce(1).select(F.xxhash64("v")).collect()]
+    assert sum(got, []) == want
+    assert got[2] != got[3]
+
+
 def test_next_over_many_runs(spark):
     frame = spark.range(0, 5000, 7).withColumn("text", F.col("id").cast("string"))
     got = fingerprints.with_next(frame, "id", ["text"], rows_per_run=10).orderBy("id").toPandas()
