@@ -156,10 +156,12 @@ class BpeCodec:
         if len(self._cache) + len(fresh) > self.cache_words:
             self._cache.clear()
             fresh = chunks
-        cut = {c: self._pattern.findall(c) for c in fresh}
+        self._cache.update(self._ids_of(fresh))
+
+    def _ids_of(self, chunks: set[str]) -> dict[str, tuple[int, ...]]:
+        cut = {c: self._pattern.findall(c) for c in chunks}
         merged = self._merged(set(chain.from_iterable(cut.values())))
-        for c, words in cut.items():
-            self._cache[c] = merged[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(merged.__getitem__, words)))
+        return {c: merged[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(merged.__getitem__, words))) for c, words in cut.items()}
 
     def _pieces(self, text: str) -> list[list[str] | int]:
         """Chunks of the text, cut at added tokens; those are given by their ids.
@@ -187,6 +189,36 @@ class BpeCodec:
                 group, size = [], 0
         yield from self._encoded(group)
 
+    def encode_packed(self, texts: Iterable[str | None], kind: np.dtype, group_chars: int = 1 << 20) -> Iterator[bytes]:
+        """The ids of :meth:`encode` as bytes of ``kind``, joined from packed chunks without a list of numbers per text."""
+        self._ready()
+        if len(self.tokens) > np.iinfo(kind).max - 1:
+            raise ValueError(f"{len(self.tokens)} ids and two marks do not fit {kind}")
+        if "_packed" not in self.__dict__:
+            self._packed: dict[str, bytes] = {}
+        group, size = [], 0
+        for text in texts:
+            group.append(self._pieces(text) if text else [])
+            size += len(text or "")
+            if size >= group_chars:
+                yield from self._joined(group, kind)
+                group, size = [], 0
+        yield from self._joined(group, kind)
+
+    def _joined(self, group: list[list[list[str] | int]], kind: np.dtype) -> Iterator[bytes]:
+        chunks = set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list)))
+        fresh = chunks.difference(self._packed)
+        if len(self._packed) + len(fresh) > self.cache_words:
+            self._packed.clear()
+            fresh = chunks
+        found = self._ids_of(fresh)
+        ends = np.cumsum([0, *map(len, found.values())]) * kind.itemsize
+        data = np.array(list(chain.from_iterable(found.values())), kind).tobytes()
+        self._packed.update((c, data[a:b]) for c, a, b in zip(found, ends.tolist(), ends[1:].tolist()))
+        known = self._packed.__getitem__
+        for pieces in group:
+            yield b"".join(np.array([p], kind).tobytes() if isinstance(p, int) else b"".join(map(known, p)) for p in pieces)
+
     def _encoded(self, group: list[list[list[str] | int]]) -> Iterator[list[int]]:
         self._learn(set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list))))
         known = self._cache.__getitem__

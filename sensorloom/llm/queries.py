@@ -31,7 +31,7 @@ def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def op3_token_shards(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     folder = token_shards.shard_folder(docs)
-    manifest = token_shards.write_shards(docs, folder)
+    manifest = token_shards.write_shards(docs, folder, vocabulary=public_tokenizers.path(TOKENIZER))
     rows = token_shards.read_shards(manifest, folder)
     return rows.select("slot", "shard", "offset", F.octet_length("ids").cast("long").alias("n_bytes"), F.sha2("ids", 256).alias("ids_sha256"))
 

@@ -1,8 +1,8 @@
 """Token ids in training order: fixed-stride binary shards behind a keyed permutation.
 
 The token stream of each input split (its documents in file order, an end mark after each) is cut into sequences of ``length`` ids.
-A first pass counts ids per split, and running sums give every sequence a dense number; splits are named by file and
-offset, so the second pass needs no shuffle to number its rows. A keyed Feistel network permutes the
+Texts are encoded once: the sequences are written with their split (file and offset) and place in it. They are counted per
+split, running sums give every sequence a dense number, and the second pass needs no shuffle to number its rows. A keyed Feistel network permutes the
 numbers: it works on the smallest even number of bits that holds them, and values beyond the last number walk
 on along their cycle until they fall inside. So each sequence has one slot, each slot one sequence, and the inverse is as cheap.
 
@@ -26,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import new_path, settle
+from ..session import discard, new_path, settle
 from .bpe import BpeCodec
 from .texts import mixed
 
@@ -62,14 +62,9 @@ def _ids(path: str | None, shared) -> tuple[np.dtype, int, int]:
 
 def _encoded(texts: list[str | None], tables: dict | None, kind: np.dtype, end: int) -> Iterator[np.ndarray]:
     mark = np.array([end], kind)
-    if tables is None:
-        for t in texts:
-            yield np.frombuffer((t or "").encode(), kind)
-            yield mark
-    else:
-        for ids in BpeCodec.over(tables).encode(texts):
-            yield np.array(ids, kind)
-            yield mark
+    for ids in BpeCodec.over(tables).encode_packed(texts, kind) if tables else ((t or "").encode() for t in texts):
+        yield np.frombuffer(ids, kind)
+        yield mark
 
 
 def write_shards(
@@ -82,40 +77,24 @@ def write_shards(
     spark = docs.sparkSession
     kind, end, fill = _ids(vocabulary, None)
     shared = BpeCodec.from_file(vocabulary).shared(spark) if vocabulary else None
-    # the same scan in both passes, so the splits are the same
-    split = docs.select(F.col(text).alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    if vocabulary:
-
-        def count(batches):
-            for b in batches:
-                sizes = [len(x) for x in _encoded(b.column(0).to_pylist(), shared.value, kind, end)]
-                pair = np.array(sizes, np.int64).reshape(-1, 2).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(pair)], names=["file", "block", "ids"])
-
-        counted = split.mapInArrow(count, "file string, block long, ids long")
-    else:
-        counted = split.select("file", "block", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("ids"))
-    splits = settle(counted.groupBy("file", "block").agg(F.ceil(F.sum("ids") / length).cast("long").alias("own")))
-    n = splits.agg(F.sum("own").alias("n")).first()["n"] or 0
     stride = length * kind.itemsize
-    manifest = "shard long, path string, first_slot long, sequences long, stride long"
-    if not n:
-        return spark.createDataFrame([], manifest)
-    by_file = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = splits.withColumn("base", F.coalesce(F.sum("own").over(by_file), F.lit(0))).select("file", "block", "base")
+    split = docs.select(F.col(text).alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+    def binary(data: np.ndarray) -> pa.Array:
+        rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(stride), len(data) // length, [None, pa.py_buffer(np.ascontiguousarray(data).tobytes())])
+        return rows.cast(pa.binary())
 
     def sequences(batches):
-        here, base, done, rest = None, 0, 0, np.zeros(0, kind)
+        here, done, rest = None, 0, np.zeros(0, kind)
 
         def made(ids: np.ndarray, first: int) -> pa.RecordBatch:
-            rows = ids.reshape(-1, length)
-            slots = feistel(np.arange(first, first + len(rows)), n, key)
-            data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(stride), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), data.cast(pa.binary())], names=["shard", "slot", "ids"])
+            n = len(ids) // length
+            columns = [pa.array([here[0]] * n, pa.string()), pa.array([here[1]] * n, pa.int64()), pa.array(np.arange(first, first + n)), binary(ids)]
+            return pa.RecordBatch.from_arrays(columns, names=["file", "block", "place", "ids"])
 
         def closed() -> Iterator[pa.RecordBatch]:
             if len(rest):
-                yield made(np.concatenate([rest, np.full(length - len(rest), fill, kind)]), base + done)
+                yield made(np.concatenate([rest, np.full(length - len(rest), fill, kind)]), done)
 
         for b in batches:
             for i in range(0, b.num_rows, 256):
@@ -125,17 +104,32 @@ def write_shards(
                 for s, e in zip(cuts, cuts[1:]):
                     if names[s] != here:
                         yield from closed()
-                        here, base, done, rest = names[s], part.column(3)[s].as_py(), 0, np.zeros(0, kind)
+                        here, done, rest = names[s], 0, np.zeros(0, kind)
                     texts = part.column(0).slice(s, e - s).to_pylist()
                     stream = np.concatenate([rest, *_encoded(texts, shared.value if shared else None, kind, end)])
                     whole = len(stream) // length
                     for at in range(0, whole, 1024):
                         stop = min(whole, at + 1024)
-                        yield made(stream[at * length : stop * length], base + done + at)
+                        yield made(stream[at * length : stop * length], done + at)
                     done, rest = done + whole, stream[whole * length :]
         yield from closed()
 
-    rows = split.join(placed, ["file", "block"]).select("text", "file", "block", "base").mapInArrow(sequences, "shard long, slot long, ids binary")
+    held = settle(split.mapInArrow(sequences, "file string, block long, place long, ids binary"))
+    splits = settle(held.groupBy("file", "block").agg(F.count("*").alias("own")))
+    n = splits.agg(F.sum("own").alias("n")).first()["n"] or 0
+    manifest = "shard long, path string, first_slot long, sequences long, stride long"
+    if not n:
+        return spark.createDataFrame([], manifest)
+    by_file = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = splits.withColumn("base", F.coalesce(F.sum("own").over(by_file), F.lit(0))).select("file", "block", "base")
+
+    def numbered(batches):
+        for b in batches:
+            slots = feistel(b.column(0).to_numpy(), n, key)
+            yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), b.column(1)], names=["shard", "slot", "ids"])
+
+    rows = held.join(placed, ["file", "block"]).select((F.col("base") + F.col("place")).alias("number"), "ids")
+    rows = rows.mapInArrow(numbered, "shard long, slot long, ids binary")
     shards = -(-n // per_shard)
 
     def fill_shards(batches):
@@ -172,7 +166,9 @@ def write_shards(
         yield from saved()
 
     dealt = rows.repartitionById(int(shards), F.col("shard").cast("int"))
-    return settle(dealt.mapInArrow(fill_shards, manifest))
+    written = settle(dealt.mapInArrow(fill_shards, manifest))
+    discard(held, splits)
+    return written
 
 
 def read_shards(manifest: DataFrame, folder: str, first: int = 0, last: int | None = None) -> DataFrame:

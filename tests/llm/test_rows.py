@@ -90,6 +90,35 @@ def test_shards_hold_every_token_once(spark, tmp_path, docs, vocabulary, length)
             assert os.path.getsize(tmp_path / "shards" / name) == min(32, n - first) * stride
 
 
+def test_registered_shards_hold_token_ids(spark, sf, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}/shards"
+    monkeypatch.setattr(token_shards, "shard_folder", lambda df: folder)
+    rows = queries.op3_token_shards(spark, sf).collect()
+    slots = {}
+    for name in os.listdir(tmp_path / "shards"):
+        if name.endswith(".bin") and name.startswith("shard-"):
+            ids = np.fromfile(tmp_path / "shards" / name, "<u2").reshape(-1, 2048)
+            slots |= {int(name[6:14]) * 4096 + i: x for i, x in enumerate(ids)}
+    assert {r["slot"]: (r["n_bytes"], r["ids_sha256"]) for r in rows} == {s: (4096, hashlib.sha256(x.tobytes()).hexdigest()) for s, x in slots.items()}
+    order = np.argsort(token_shards.feistel(np.arange(len(rows)), len(rows), 20, back=True))
+    stream = np.concatenate([slots[s] for s in order])
+    stream = stream[stream != 0xFFFE]
+    ends = np.flatnonzero(stream == 0xFFFF)
+    got = [stream[a:b].tolist() for a, b in zip([0, *(ends[:-1] + 1)], ends)]
+    library = Tokenizer.from_file(PATH)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    assert sorted(got) == sorted(library.encode(t, add_special_tokens=False).ids for t in texts)
+
+
+def test_packed_ids_are_the_ids():
+    codec = bpe.BpeCodec.from_file(PATH, cache_words=50)
+    texts = [*ODD, None, *(r[1] for r in ROWS)]
+    packed = list(codec.encode_packed(texts, np.dtype("<u2"), 1000))
+    assert [np.frombuffer(x, "<u2").tolist() for x in packed] == list(codec.encode(texts))
+    with pytest.raises(ValueError):
+        next(codec.encode_packed(texts, np.dtype("u1")))
+
+
 def test_shards_of_an_empty_table(spark, tmp_path, empty):
     empty.write.parquet(str(tmp_path / "docs"))
     folder = f"file://{tmp_path}/shards"
