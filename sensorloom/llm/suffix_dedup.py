@@ -1,11 +1,11 @@
-"""Removal of byte strings that occur earlier, by distributed prefix doubling on sampled positions.
+"""Removal of byte strings that occur earlier, by hash groupings of sampled positions; no prefix doubling.
 
 Every byte covered by a string of ``length`` bytes that also starts earlier (in a row before, or before in the same row) goes. To
 sort all byte positions takes many times the corpus in shuffles, so the sort begins at positions that a repeated string cannot
 miss: in each window of ``length`` bytes the ``seed_length``-byte string with the smallest hash, the leftmost of equal ones. Equal windows
 choose the same string at the same offset, and about one position in thirty is chosen.
 
-Rounds, each a distributed sort of (rank, position) pairs that drops what is unique. The compared strings grow from the seed to whole
+Four fixed rounds, each a grouping of positions by a hash that drops what is unique; no rank pairs are sorted. The compared strings grow from the seed to whole
 windows, for fewer and fewer positions:
 
 1. rank of the ``seed_length`` bytes at a chosen position. Positions whose rank is unique have no repeated window.
