@@ -80,7 +80,7 @@ def _marked(attributes: str) -> bool:
     for m in _HINT.finditer(attributes):
         if not _HINT_WORDS.isdisjoint(_PART.split((m[1] or m[2] or m[3] or "").lower())):
             return True
-    return bool(_HIDDEN.search(attributes))
+    return False
 
 
 _HINT_WORDS = frozenset(HINTS)
@@ -90,9 +90,9 @@ _DROPPED, _BOILER, _CONTENT, _BLOCK, _VOID, _SELF = map(frozenset, (DROPPED, BOI
 def blocks(page: str | None) -> list[Block]:
     """Flat text blocks of a page in order. Text of dropped elements is left out."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, drops, is boilerplate, is content
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, drops, is boilerplate, is content, change of the depth in hints
     parts: list[tuple[str, bool]] = []
-    depth = {"drop": 0, "boiler": 0, "content": 0, "link": 0, "heading": 0}
+    depth = {"drop": 0, "boiler": 0, "hint": 0, "content": 0, "link": 0, "heading": 0}
 
     def flush() -> None:
         if not parts:
@@ -101,15 +101,16 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             linked = sum(len(t.split()) for t, in_link in parts if in_link)
             n = len(text.split())
-            zone = -1 if depth["boiler"] else 1 if depth["content"] else 0
+            zone = -1 if depth["boiler"] or depth["hint"] else 1 if depth["content"] else 0
             out.append(Block(text, n, min(1.0, linked / n), zone, int(depth["heading"] > 0)))
         parts.clear()
 
-    def enter(name: str, attributes: str, sign: int, entry: tuple[str, bool, bool, bool]) -> None:
-        _, drops, boiler, content = entry
+    def enter(name: str, attributes: str, sign: int, entry: tuple[str, bool, bool, bool, int]) -> None:
+        _, drops, boiler, content, hint = entry
         depth["drop"] += sign * drops
         depth["boiler"] += sign * boiler
         depth["content"] += sign * content
+        depth["hint"] += sign * hint
         depth["link"] += sign * (name == "a")
         depth["heading"] += sign * (len(name) == 2 and name[0] == "h" and name[1].isdigit())
 
@@ -161,10 +162,14 @@ def blocks(page: str | None) -> list[Block]:
             continue
         inside = any(e[0] in _CONTENT for e in stack)
         # a header inside an article belongs to it; outside it is the page's
-        boiler = (name in _BOILER and not (name == "header" and inside)) or _marked(m[3])
+        boiler = (name in _BOILER and not (name == "header" and inside)) or bool(_HIDDEN.search(m[3]))
+        hint = int(_marked(m[3]))
         if name in ("html", "body"):
-            boiler = False
-        entry = (name, name in _DROPPED, boiler, name in _CONTENT)
+            boiler, hint = False, 0
+        elif name in _CONTENT:
+            # hints of page wrappers end at the outermost article or main; inside it they mark comments and the like again
+            hint = 0 if inside else -depth["hint"]
+        entry = (name, name in _DROPPED, boiler, name in _CONTENT, hint)
         stack.append(entry)
         enter(name, m[3], 1, entry)
     flush()

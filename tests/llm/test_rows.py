@@ -267,6 +267,18 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(html.main_text(page, html.grow_tree(html.LABELLED)), str)
 
 
+@pytest.mark.parametrize(
+    "around",
+    [("<div class='site has-sidebar'><article>", "</article></div>"), ("<main class='with-sidebar'>", "</main>"), ("<article class='comments open'>", "</article>"),
+     ("<div class='has-sidebar'><main><article class='comments open'>", "</article></main></div>")],
+)
+def test_hints_on_wrappers_lose_no_article(around):
+    page = f"<body><div class='ad'>Buy this now</div>{around[0]}<p>The text of the page.</p><div id='comments'><article class='comment'>A reply</article></div>{around[1]}<div class='ad'>Buy more</div>"
+    tree = html.grow_tree(html.LABELLED)
+    assert html.main_text(page, tree) == "The text of the page."
+    assert html.main_text(page.replace("<body>", "<body><div style='display:none'>"), tree) == ""
+
+
 def test_extract_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("text", F.lit("old"))
     for row in html.extract(pages).collect():
