@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, html, line_dedup, mixing, neighbours, ngram_join, suffix_dedup, token_shards, toxicity
+from . import bpe, decontaminate, fingerprints, html, line_dedup, merkle, mixing, neighbours, ngram_join, periodic, suffix_dedup, token_shards, toxicity
 
 #: Weights of the sources in code point order, repeating.
 SOURCE_WEIGHTS = [5, 2, 1]
@@ -72,6 +73,36 @@ def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), window=10))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = [F.col(c) for c in docs.columns]
+    tampered = [F.col("n_chars") + 1 if c == "n_chars" else F.col(c) for c in docs.columns]
+    picked = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    shown = {"shown": F.when(picked, merkle.leaf(*tampered)).otherwise(merkle.leaf(*columns))}
+    proved = merkle.verify(merkle.manifest(docs, docs.columns, extra=shown), "shown")
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in about a tenth of the rows the words from a place on repeat with a period, both drawn by crc32 of the id."""
+    drawn = F.crc32(F.col("doc_id").cast("string"))
+    cut = docs.select("doc_id", "text", F.floor(drawn / 10).alias("_g"), F.when(drawn % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("_w"))
+    cut = cut.withColumn("_n", F.size("_w")).withColumn("_a", F.when(F.col("_n") > 0, F.expr("int(_g % _n)")))
+    cut = cut.withColumn("_p", F.expr("int(1 + (_n - _a) div (3 + _g % 8))"))
+    period = F.slice("_w", F.col("_a") + 1, F.col("_p"))
+    repeated = F.slice(F.flatten(F.array_repeat(period, F.expr("int((_n - _a + _p - 1) div _p)"))), F.lit(1), F.col("_n") - F.col("_a"))
+    text = F.array_join(F.concat(F.slice("_w", F.lit(1), F.col("_a")), repeated), " ")
+    return cut.select("doc_id", F.when(F.col("_n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(with_planted_runs(_table(spark, sf, "documents"))))
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -165,6 +196,122 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM ordered
 """
 
+OP11_SQL = r"""
+WITH items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS n, unnest(list_transform(range(1, greatest(2, len(words) - 8)), lambda i: array_to_string(words[i:i + 9], ' '))) AS win
+  FROM items WHERE len(words) > 0
+), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), seen AS (
+  SELECT doc_id, n, unnest(range(1, len(words) - n + 2)) AS first,
+         unnest(list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))) AS win
+  FROM docs, sizes WHERE len(words) >= n
+), found AS (
+  SELECT seen.doc_id, seen.first, seen.n, windows.item FROM seen JOIN windows ON seen.win = windows.win AND seen.n = windows.n
+), hit AS (
+  SELECT doc_id, count(DISTINCT place)::BIGINT AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(first, first + n)) AS place FROM found) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(DISTINCT item)::BIGINT AS n_items, array_to_string(list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)), ',') AS ids FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+OP12_SQL = r"""
+WITH RECURSIVE drawn AS (
+  SELECT *, CRC32(doc_id) % 7 = 0 AS tampered FROM documents
+), parts AS (
+  SELECT doc_id, lang, tampered,
+         concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS front,
+         n_chars, coalesce(strlen(text) || ':' || text, '-') AS back
+  FROM drawn
+), leaves AS (
+  SELECT doc_id, lang, sha256(concat(front, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-'), back)) AS leaf,
+         sha256(concat(front, coalesce(strlen((n_chars + tampered::INT)::VARCHAR) || ':' || (n_chars + tampered::INT)::VARCHAR, '-'), back)) AS shown
+  FROM parts
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, pos, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 1) // 2 FROM upper WHERE n > 1 GROUP BY level, pos // 2
+), steps AS (
+  SELECT lang, level, pos, n > 1 AS climbs, CASE WHEN pos % 2 = 1 THEN lag(h) OVER w ELSE '' END AS l, CASE WHEN pos % 2 = 0 THEN coalesce(lead(h) OVER w, '') ELSE '' END AS r
+  FROM nodes WINDOW w AS (PARTITION BY lang, level ORDER BY pos)
+), upper_steps AS (
+  SELECT level, pos, n > 1 AS climbs, CASE WHEN pos % 2 = 1 THEN lag(h) OVER w ELSE '' END AS l, CASE WHEN pos % 2 = 0 THEN coalesce(lead(h) OVER w, '') ELSE '' END AS r
+  FROM upper WINDOW w AS (PARTITION BY level ORDER BY pos)
+), climb AS (
+  SELECT doc_id, lang, leaf, pos AS id, pos, 0 AS level, shown AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.leaf, c.id, c.pos // 2, c.level + 1, sha256(concat(s.l, c.h, s.r)), concat(c.proof, s.l, s.r)
+  FROM climb c JOIN steps s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.pos = c.pos WHERE s.climbs
+), at_subroot AS (
+  SELECT c.*, b.subroot, b.pos AS place FROM climb c
+  JOIN steps s ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.pos = c.pos AND NOT s.climbs
+  JOIN subroots b ON b.lang IS NOT DISTINCT FROM c.lang
+), last AS (
+  SELECT doc_id, lang, leaf, id, subroot, place AS pos, 0 AS level, h, proof FROM at_subroot
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.leaf, c.id, c.subroot, c.pos // 2, c.level + 1, sha256(concat(s.l, c.h, s.r)), concat(c.proof, s.l, s.r)
+  FROM last c JOIN upper_steps s ON s.level = c.level AND s.pos = c.pos WHERE s.climbs
+)
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, c.h AS folded_root, c.h = u.h AS verified
+FROM last c JOIN upper_steps s ON s.level = c.level AND s.pos = c.pos AND NOT s.climbs JOIN upper u ON u.n = 1
+"""
+
+OP13_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, CRC32(doc_id) AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), drawn AS (
+  SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS parts FROM cut
+), docs AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END]) ELSE w END AS w
+  FROM drawn
+), places AS (
+  SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM docs WHERE n > 0
+), matches AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM places x JOIN places y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), listed AS (
+  SELECT doc_id, count(*)::BIGINT AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+         min({'less': -(length / period), 'start': start, 'period': period, 'length': length}) AS best
+  FROM runs GROUP BY doc_id
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS text FROM places p ANTI JOIN dropped d ON d.doc_id = p.doc_id AND d.i = p.i GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.period::BIGINT AS period,
+       (1000 * best.length // best.period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _with_crc32(sql: str) -> str:
+    """``sql`` with CRC32(x) written out: unsigned, of the decimal digits of x, bit by bit."""
+    steps = "list_reduce(list_prepend(xor(c, b), [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))"
+    digits = r"list_transform(string_split(\1::VARCHAR, ''), lambda d: ord(d)::BIGINT)"
+    return re.sub(r"CRC32\((\w+)\)", f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda c, b: {steps}), 4294967295)", sql)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -178,8 +325,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_nearest_vectors": op10_nearest_vectors,
+        "op11_decontamination": op11_decontamination,
+        "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_source_mix": OP4_SQL, "op5_ngram_join": OP5_SQL}
+    return {
+        "op1_line_dedup": OP1_SQL,
+        "op4_source_mix": OP4_SQL,
+        "op5_ngram_join": OP5_SQL,
+        "op11_decontamination": OP11_SQL,
+        "op12_merkle_manifest": _with_crc32(OP12_SQL),
+        "op13_periodic_runs": _with_crc32(OP13_SQL),
+    }

@@ -77,17 +77,27 @@ class Prefixes:
         values = mixed(np.arange(1, 257, dtype=np.uint64))
         if lower:
             values[65:91] = values[97:123]
-        n = len(data)
-        terms = values[data]
+        self._sum(values[data])
+
+    @classmethod
+    def over(cls, values: np.ndarray) -> Prefixes:
+        """Fingerprints of ranges of a sequence of 64-bit values, such as fingerprints of words."""
+        made = cls.__new__(cls)
+        made._sum(mixed(values))
+        return made
+
+    def _sum(self, terms: np.ndarray) -> None:
+        n = len(terms)
         terms *= _powers(_BASE, n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(terms, dtype=np.uint64, out=self.sums[1:])
         self.inverse = _powers(_INVERSE, n + 1)
 
-    def every(self, length: int) -> np.ndarray:
-        """Fingerprints of all ranges of ``length`` bytes, by their start."""
-        n = len(self.sums) - length
-        return mixed((self.sums[length:] - self.sums[:n]) * self.inverse[:n] + _U(length))
+    def every(self, length: int, mix: bool = True) -> np.ndarray:
+        """Fingerprints of all ranges of ``length`` bytes, by their start. Unmixed ones can be compared with each other only."""
+        n = max(0, len(self.sums) - length)
+        found = (self.sums[length:] - self.sums[:n]) * self.inverse[:n]
+        return mixed(found + _U(length)) if mix else found
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
