@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.operators.relational import drop_incomplete, min_rows
+from sensorloom.operators.relational import drop_incomplete
 from sensorloom.operators.scaling import flag_top_share
-from sensorloom.session import settle
+from sensorloom.session import discard, settle
 
 _REDRAWS = 5
 _NODES = "tree int, rows int, feature array<int>, cut array<double>, low array<int>, high array<int>, depth array<double>"
@@ -93,14 +93,14 @@ def isolation_forest(
 ) -> DataFrame:
     """All complete rows with ``outlier_score``, ``score`` (-1 outlier, 1 inlier) and ``est_anomalie``.
 
-    Each tree grows in its own task from ``sample_size`` rows. The trees (at most ``trees`` times
-    ``2 * sample_size - 1`` nodes) are broadcast, and scoring runs on Arrow batches. Scaling the features
+    The input is computed once, and written; counting, drawing and scoring read that. Each tree grows in its own task from
+    ``sample_size`` rows. The trees (at most ``trees`` times ``2 * sample_size - 1`` nodes) are broadcast, and scoring runs on Arrow batches. Scaling the features
     would not change the splits in law, so it is left out. Fewer than ``min_count`` rows give no rows.
     """
-    complete = drop_incomplete(df, features)
     spark = df.sparkSession
-    n = complete.count() if min_rows(complete, min_count) else 0
-    if not n:
+    complete = settle(drop_incomplete(df, features))
+    n = complete.count()  # kept in the written files
+    if n < min_count:
         empty = complete.limit(0).withColumn("outlier_score", F.lit(0.0))
         return empty.withColumn("est_anomalie", F.lit(False)).withColumn("score", F.lit(1))
     size = min(sample_size, n)
@@ -134,6 +134,8 @@ def isolation_forest(
         return pd.Series(2.0 ** (-total / len(shared.value) / usual))
 
     scored = settle(complete.withColumn("outlier_score", outlier_score(*names)))
+    discard(complete)
+    shared.destroy()
     flagged = flag_top_share(scored, "outlier_score", contamination, "est_anomalie")
     return flagged.withColumn("score", F.when(F.col("est_anomalie"), -1).otherwise(1))
 

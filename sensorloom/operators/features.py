@@ -75,12 +75,13 @@ def ts_features(
     )
 
 
-def temporal_split(df: DataFrame, ts: str, q: float = 0.8) -> tuple[DataFrame, DataFrame, float]:
+def temporal_split(df: DataFrame, ts: str, q: float = 0.8, accuracy: float | None = None) -> tuple[DataFrame, DataFrame, float]:
     """Rows up to the time quantile, rows after it, and the quantile in epoch microseconds.
 
-    The quantile is a literal in both filters, so they reach the scan of a stored feature table.
+    The quantile is a literal in both filters, so they reach the scan of a stored feature table. It is exact, or, with
+    ``accuracy``, found in one pass with a rank error of at most that share of the rows.
     """
-    cut = time_quantile(df, ts, q)
+    cut = time_quantile(df, ts, q, accuracy)
     if cut is None:
         return df, df.limit(0), None
     # whole microseconds are compared, so the fraction of the cut decides nothing

@@ -197,6 +197,18 @@ def _solve(gram: np.ndarray) -> tuple[np.ndarray, float] | None:
     return beta, float(np.sqrt(sigma2))
 
 
+def _trend_variance(beta: Column, ahead: Column) -> Column:
+    """Variance of the trend ``ahead`` histories after its end, from slope changes still to come.
+
+    They are taken to come as in the history, at random times and CHANGEPOINTS to a history, with sizes spread as the fitted ones: a Laplace
+    law of mean size s, whose square has the mean 2 s^2. A change at u moves the trend at h by its size times h - u, which adds up
+    to CHANGEPOINTS * 2 s^2 * h^3 / 3.
+    """
+    bends = F.slice(beta, 3, CHANGEPOINTS)
+    size = F.aggregate(bends, F.lit(0.0), lambda total, x: total + F.abs(x)) / CHANGEPOINTS
+    return CHANGEPOINTS * 2.0 * size * size * ahead * ahead * ahead / 3.0
+
+
 def additive_fit(
     df: DataFrame, series: Sequence[str], ts: str, value: str, min_points: int = MIN_POINTS
 ) -> DataFrame:
@@ -268,7 +280,10 @@ def additive_forecast(
     df: DataFrame, series: Sequence[str], ts: str, value: str,
     horizon: int = HORIZON, min_points: int = MIN_POINTS, step: str = "1 hour",
 ) -> DataFrame:
-    """As :func:`seasonal_forecast`, with slope changes and Fourier terms fitted together."""
+    """As :func:`seasonal_forecast`, with slope changes and Fourier terms fitted together.
+
+    The band of future steps also holds the slope changes that may come, so it widens with the distance from the history.
+    """
     points = drop_incomplete(df.select(*series, ts, value), [ts, value])
     # a series that cannot be solved is skipped, with its history
     fit = settle(additive_fit(points, series, ts, value, min_points)).filter(F.col("beta").isNotNull())
@@ -281,4 +296,6 @@ def additive_forecast(
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))
     weighted = [F.col("beta")[i] * term for i, term in enumerate(terms)]
     yhat = reduce(lambda a, b: a + b, weighted) * F.col("_scale")
-    return _banded(placed, [*series, ts], yhat, F.col("sigma") * F.col("_scale"))
+    ahead = F.greatest(terms[1] - 1.0, F.lit(0.0))  # in lengths of the history
+    sigma = F.sqrt(F.col("sigma") * F.col("sigma") + _trend_variance(F.col("beta"), ahead))
+    return _banded(placed, [*series, ts], yhat, sigma * F.col("_scale"))

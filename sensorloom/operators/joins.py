@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from sensorloom.functions import time as ft
 from sensorloom.operators.relational import require
 from sensorloom.operators.skew import SHARE_ROWS, Hot, copy, deal, skew_join
-from sensorloom.operators.windows import latest_per_key
+from sensorloom.operators.windows import last_wins, latest_per_key
 
 
 def bucket_left_join(
@@ -22,9 +22,13 @@ def bucket_left_join(
     hot_left: Hot = None,
     hot_right: dict[str, Hot] | None = None,
     share_rows: int = SHARE_ROWS,
+    latest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join feeds on key and time bucket. Several matches in a bucket multiply the rows.
 
+    With ``latest``, columns of every feed that break ties, only the latest row of each key and bucket of a feed is joined, so the
+    rows of ``left`` stay as many. The cut happens on the shuffle that the join needs anyway, after a first one in each task.
+
     ``feeds`` maps a prefix to a frame holding the keys and ``feed_ts``; its other columns come back as
     ``prefix_column``. All feeds join on the same columns, so ``left`` is shuffled once; hot buckets of
     ``left``, if given, are dealt to shares once, for all feeds. Hot buckets of a feed are looked for.
@@ -37,10 +41,13 @@ def bucket_left_join(
         out = deal(out, on, hot, "_share", share_rows)
     for prefix, feed in feeds.items():
         values = [F.col(c).alias(f"{prefix}_{c}") for c in feed.columns if c not in (*keys, feed_ts)]
-        right = require(feed.select(*keys, ft.bucket(F.col(feed_ts), unit).alias("_bucket"), *values), *on)
+        bucketed = require(feed.withColumn("_bucket", ft.bucket(F.col(feed_ts), unit)), *on)
+        if latest is not None:
+            bucketed = last_wins(bucketed, on, [feed_ts, *latest])
+        right = bucketed.select(*on, *values)
         if hot is not None:
             right = copy(right, on, hot, "_share", share_rows)
-        found = None if hot_right is None else hot_right.get(prefix, {})
+        found = {} if latest is not None else None if hot_right is None else hot_right.get(prefix, {})
         out = skew_join(out, right, joined_on, "left", {}, found, share_rows)
     return out.drop("_bucket", "_share")
 

@@ -1,4 +1,4 @@
-"""Tree regressors from Spark ML, trained and scored on distributed frames."""
+"""Random forest from Spark ML, and the comparison of models on the same rows."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
+from sensorloom.operators.boosting import BoostedModel
 from sensorloom.operators.metrics import compare_predictions
 
 
@@ -32,36 +33,21 @@ def forest(features: Sequence[str], target: str, trees: int = 100, depth: int =
     )
 
 
-def boosted(features: Sequence[str], target: str, rounds: int = 200, rate: float = 0.05, depth: int = 6, seed: int = 42, **params) -> Pipeline:
-    """Gradient-boosted trees."""
-    return _pipeline(
-        features,
-        GBTRegressor(
-            featuresCol="_features", labelCol=target, predictionCol="predicted",
-            maxIter=rounds, stepSize=rate, maxDepth=depth, seed=seed, **params,
-        ),
-    )
-
-
 def fit_forest(train: DataFrame, features: Sequence[str], target: str, **params) -> PipelineModel:
     return forest(features, target, **params).fit(train)
 
 
-def fit_boosted(train: DataFrame, features: Sequence[str], target: str, **params) -> PipelineModel:
-    return boosted(features, target, **params).fit(train)
-
-
-def predict(model: PipelineModel, df: DataFrame, name: str = "predicted") -> DataFrame:
+def predict(model: PipelineModel | BoostedModel, df: DataFrame, name: str = "predicted") -> DataFrame:
     return model.transform(df).withColumnRenamed("predicted", name).drop("_features")
 
 
-def compare_models(train: DataFrame, test: DataFrame, target: str, estimators: dict[str, Pipeline]) -> DataFrame:
-    """Metrics on the test rows, one row per named estimator, rounded to 4 digits.
+def compare_models(test: DataFrame, target: str, models: dict[str, PipelineModel | BoostedModel]) -> DataFrame:
+    """Metrics on the test rows, one row per named model, rounded to 4 digits.
 
     All models score the test rows side by side, so the rows are read once.
     """
     scored, columns = test, {}
-    for i, (name, estimator) in enumerate(estimators.items()):
+    for i, (name, model) in enumerate(models.items()):
         columns[name] = f"_predicted_{i}"
-        scored = predict(estimator.fit(train), scored, columns[name])
+        scored = predict(model, scored, columns[name])
     return compare_predictions(scored, target, columns)

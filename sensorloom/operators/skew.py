@@ -13,11 +13,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from sensorloom.operators.relational import require
-from sensorloom.session import settle
+from sensorloom.session import discard, settle
 
 HOT_ROWS = 5_000_000  # rows that make a group hot
 SHARE_ROWS = 2_000_000  # rows of a hot group that go to one join task
 BLOCK_ROWS = 1_000_000  # rows of a hot series that go to one window task
+BLOCK_TICKS = 24 * 7  # steps of a clock that go to one window task, for a hot series
 
 _BUCKETS = 65_536  # hash buckets of the first count
 
@@ -151,17 +152,19 @@ def skew_join(
 def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "_pos") -> DataFrame:
     """Global row position from 0 in the given total order, without a single-task sort.
 
-    The rows are range-partitioned, sorted and numbered within their partition, written once to the shared
-    folder, and shifted by the row counts of the partitions before (one row per partition). The input
-    partition is a last sort column, so that many rows with an equal order are split as well.
+    The input is computed once, and written: range borders come from a sample, which would compute it again. The
+    written rows are range-partitioned, sorted and numbered within their partition, written, and shifted by the row counts of
+    the partitions before (one row per partition). The input partition is a last sort column, so that many rows with an
+    equal order are split as well.
     """
+    held = settle(df.withColumn("_from", F.spark_partition_id()))
     numbered = settle(
-        df.withColumn("_from", F.spark_partition_id())
-        .repartitionByRange(*order, "_from")
+        held.repartitionByRange(*order, "_from")
         .sortWithinPartitions(*order, "_from")
         .drop("_from")
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    discard(held)
     part, local = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -206,3 +209,38 @@ def over_series(
     blocks = Window.partitionBy(*keys, "_at.block").orderBy("_pos")
     split = add(spread, blocks).filter(~F.col("_at.lent")).drop("_at", "_pos")
     return add(hashed.join(hot.select("_h"), "_h", "left_anti").drop("_h"), plain).unionByName(split)
+
+
+def over_clock(
+    df: DataFrame,
+    keys: Sequence[str],
+    tick: Column,
+    lookback: int,
+    add: Callable[[DataFrame, WindowSpec], DataFrame],
+    hot: Hot = None,
+    block_ticks: int = BLOCK_TICKS,
+) -> DataFrame:
+    """Apply RANGE window columns that look back at most ``lookback`` steps of a clock within a series.
+
+    ``tick`` numbers the steps; ``add`` finds it as ``_tick``, by which the window is ordered. Ordinary series take one shuffle by key. A
+    hot series is cut at fixed steps of the clock, not by rows, so no row needs a number first: each block of ``block_ticks``
+    steps also receives the rows of the ``lookback`` steps before it, which are dropped afterwards.
+    """
+    if block_ticks < max(lookback, 1):
+        raise ValueError("a block must be at least as long as the steps looked back on")
+    hot = hot_groups(df, keys) if hot is None else _hot_table(df, hot)
+    ticked = df.withColumn("_tick", tick)
+    plain = Window.partitionBy(*keys).orderBy("_tick")
+    if hot is None:
+        return add(ticked, plain).drop("_tick")
+    hashed = ticked.withColumn("_h", group_hash(df, keys))
+    large = hashed.join(hot.select("_h"), "_h", "left_semi").drop("_h")
+    into = F.pmod("_tick", F.lit(block_ticks))
+    block = F.expr(f"(_tick - pmod(_tick, {block_ticks})) div {block_ticks}")
+    lends = F.coalesce((into >= block_ticks - lookback) & F.lit(lookback > 0), F.lit(False))
+    own = F.struct(block.alias("block"), F.lit(False).alias("lent"))
+    next_one = F.struct((block + 1).alias("block"), F.lit(True).alias("lent"))
+    spread = large.withColumn("_at", F.explode(F.when(lends, F.array(own, next_one)).otherwise(F.array(own))))
+    blocks = Window.partitionBy(*keys, "_at.block").orderBy("_tick")
+    split = add(spread, blocks).filter(~F.col("_at.lent")).drop("_at", "_tick")
+    return add(hashed.join(hot.select("_h"), "_h", "left_anti").drop("_h"), plain).drop("_tick").unionByName(split)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from sensorloom.functions import values as fv
-from sensorloom.operators.skew import over_series, skew_join, with_position
+from sensorloom.functions import time as ft, values as fv
+from sensorloom.operators.skew import over_clock, over_series, skew_join, with_position
 
 
 def lag_columns(df: DataFrame, w: WindowSpec, value: str, lags: dict[str, int]) -> DataFrame:
@@ -40,6 +40,44 @@ def add_trailing(
     )
 
 
+def clock_tick(ts: str, step_seconds: int = 3600) -> Column:
+    """Number of the step of a clock that a time lies in."""
+    us, step = ft.micros(F.col(ts)), F.lit(step_seconds * 1_000_000)
+    return ((us - F.pmod(us, step)) / step).cast("bigint")
+
+
+def add_clock_lags(
+    df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str], value: str, lags: dict[str, int], step_seconds: int = 3600, **split
+) -> DataFrame:
+    """``{output name: steps}`` lags by the clock: the last value of the step (an hour) that lies so many steps before the row's own.
+
+    A step without rows gives null, where :func:`add_lags` would take the row before the gap. Rows without a time have no
+    lags. The last row of a step is the last by time, then by ``tiebreak``; its value counts even if it is null.
+    """
+    last = F.max_by(value, F.struct(ts, *tiebreak))
+
+    def add(d: DataFrame, w: WindowSpec) -> DataFrame:
+        timed = F.col("_tick").isNotNull()
+        return d.withColumns({name: F.when(timed, last.over(w.rangeBetween(-n, -n))) for name, n in lags.items()})
+
+    return over_clock(df, keys, clock_tick(ts, step_seconds), max(lags.values()), add, **split)
+
+
+def add_clock_trailing(
+    df: DataFrame, keys: Sequence[str], ts: str, value: str, n: int, out: dict[str, str], step_seconds: int = 3600, **split
+) -> DataFrame:
+    """``{output name: 'mean' | 'std'}`` over the rows of the ``n`` steps before the row's own, null unless each of them has a value."""
+    stats = {"mean": F.avg, "std": F.stddev_samp}
+
+    def add(d: DataFrame, w: WindowSpec) -> DataFrame:
+        frame = w.rangeBetween(-n, -1)
+        seen = F.size(F.collect_set(F.when(F.col(value).isNotNull(), F.col("_tick"))).over(frame))
+        full = F.col("_tick").isNotNull() & (seen == n)
+        return d.withColumns({name: F.when(full, stats[kind](value).over(frame)) for name, kind in out.items()})
+
+    return over_clock(df, keys, clock_tick(ts, step_seconds), n, add, **split)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str]) -> DataFrame:
     """The latest row of each key; a row without a time counts as the latest.
 

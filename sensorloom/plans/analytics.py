@@ -12,6 +12,7 @@ from sensorloom.operators.forecast import additive_forecast, published
 from sensorloom.operators.joins import join_dim, keep_matched, to_long
 from sensorloom.operators.relational import require, top_groups
 from sensorloom.plans.reference_data import AIR_FEATURES
+from sensorloom.session import settle
 from sensorloom.sources.tables import replace_table, with_audit
 
 
@@ -26,7 +27,9 @@ def air_measures(air: DataFrame, cities: DataFrame) -> DataFrame:
 
 def anomalies(measures: DataFrame, **params) -> DataFrame:
     columns = ["ville", "collecte_le", *AIR_FEATURES]
-    found = isolation_forest(measures.select(*columns), ["ville", "collecte_le"], AIR_FEATURES, **params)
+    # city and time need not be unique, so rows are drawn by a number of their own
+    numbered = measures.select(*columns).withColumn("_row", F.monotonically_increasing_id())
+    found = isolation_forest(numbered, ["_row"], AIR_FEATURES, **params)
     return found.select(*columns, F.col("score").cast("int").alias("score"), "est_anomalie")
 
 
@@ -49,7 +52,7 @@ def clusters(measures: DataFrame, **params) -> DataFrame:
 
 def run_analytics(air: DataFrame, cities: DataFrame, target: str, at: datetime) -> dict[str, DataFrame] | None:
     """Compute and write the three result tables under ``target`` (a database, or a folder)."""
-    measures = air_measures(air, cities)
+    measures = settle(air_measures(air, cities))  # three jobs read it
     if measures.isEmpty():
         return None
     results = {

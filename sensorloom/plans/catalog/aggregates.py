@@ -165,3 +165,43 @@ def hour_coverage(spark, sf):
 def own_coverage(spark, sf):
     """Rows of each user against the days from its own first to its own last."""
     return agg.coverage(table(spark, sf, "events"), ["user_id"], "ts")
+
+
+@query(
+    "D14",
+    """
+    WITH hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-05 00:00:00', TIMESTAMP '2024-01-20 23:00:00', INTERVAL 1 HOUR)) AS hour),
+    missing AS (
+      SELECT c_custkey AS user_id, hour FROM customer, hours
+      WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey AND date_trunc('hour', ts) = hour)),
+    islands AS (SELECT *, hour - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY user_id ORDER BY hour) AS island FROM missing)
+    SELECT user_id, min(hour) AS from_hour, max(hour) AS to_hour, count(*) AS hours FROM islands GROUP BY user_id, island
+    """,
+)
+def missing_hours(spark, sf):
+    """Ranges of hours without events, of every customer over 16 requested days; many lack all of them."""
+    asked = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return agg.missing_hours(table(spark, sf, "events"), ["user_id"], "ts", date(2024, 1, 5), date(2024, 1, 20), asked)
+
+
+_SHARES = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
+
+
+@query(
+    "D7",
+    """
+    SELECT event_type, name, n, TRUE AS within FROM (SELECT event_type, count(value) AS n FROM events GROUP BY 1), (SELECT unnest(['q10', 'q50', 'q90']) AS name)
+    """,
+)
+def sketched_quantiles(spark, sf):
+    """Sketched quantiles of the value per type, and whether the rank of each, counted over all rows, errs by no more than two hundredths of
+    the rows (twice the error asked for, which the sketch keeps with a confidence of 99 % only)."""
+    df = table(spark, sf, "events").select("event_type", "value")
+    found = agg.quantiles_by(df, ["event_type"], "value", _SHARES, accuracy=0.01)
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(q).alias("q"), F.col(name).alias("x")) for name, q in _SHARES.items()])
+    each = found.select("event_type", F.inline(wanted))
+    ranks = df.join(F.broadcast(each), "event_type").groupBy("event_type", "name", "q").agg(  # a few types and three quantiles
+        F.count("value").alias("n"), F.count_if(F.col("value") < F.col("x")).alias("below"), F.count_if(F.col("value") <= F.col("x")).alias("upto")
+    )
+    error = F.greatest(F.col("below") - F.col("q") * F.col("n"), F.col("q") * F.col("n") - F.col("upto"), F.lit(0.0)) / F.col("n")
+    return ranks.select("event_type", "name", "n", (error <= 0.02).alias("within"))

@@ -10,30 +10,33 @@ from sensorloom.operators.relational import (
     drop_if_present, drop_incomplete, project, rename_all, require, sort, stack, top_groups, where_eq, where_true,
 )
 from sensorloom.plans import star
-from sensorloom.plans.catalog.registry import EVENTS, events, query, table
+from sensorloom.plans.catalog.registry import EVENTS, events, oracles, query, table
+from sensorloom.plans.reference_data import POLLUTANTS
+from sensorloom.session import new_path
 
 
-def _bucket_sql(unit):
+def _bucket_sql(unit, latest=False):
+    cut = f"QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('{unit}', ts) ORDER BY ts DESC, event_id DESC) = 1" if latest else ""
     return f"""
     SELECT a.event_id, a.user_id AS station_id, a.user_id AS city_id, a.ts AS datetime_utc, a.value,
            m.value AS temperature, m.event_id AS m_event, p.value AS pm10, p.event_id AS p_event
     FROM events a
-    LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') m
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'view' {cut}) m
       ON a.user_id = m.user_id AND date_trunc('{unit}', a.ts) = date_trunc('{unit}', m.ts)
-    LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') p
+    LEFT JOIN (SELECT * FROM events WHERE event_type = 'click' {cut}) p
       ON a.user_id = p.user_id AND date_trunc('{unit}', a.ts) = date_trunc('{unit}', p.ts)
     WHERE a.user_id IS NOT NULL
     """
 
 
-def _bucket_join(spark, sf, unit):
+def _bucket_join(spark, sf, unit, latest=None):
     base = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     feed = table(spark, sf, "events").select("event_id", "user_id", "ts", "value", "event_type")
     feeds = {
         "m": drop_if_present(where_eq(feed, "event_type", "view"), "event_type", "not_there"),
         "p": drop_if_present(where_eq(feed, "event_type", "click"), "event_type"),
     }
-    joined = bucket_left_join(require(base, "user_id"), feeds, ["user_id"], "ts", "ts", unit)
+    joined = bucket_left_join(require(base, "user_id"), feeds, ["user_id"], "ts", "ts", unit, latest=latest)
     names = {
         "event_id": "event_id", "station_id": "user_id", "city_id": "user_id", "datetime_utc": "ts", "value": "value",
         "temperature": "m_value", "m_event": "m_event_id", "pm10": "p_value", "p_event": "p_event_id",
@@ -53,6 +56,12 @@ def day_fact(spark, sf):
     return _bucket_join(spark, sf, "day")
 
 
+@query("C1 D13", _bucket_sql("day", latest=True))
+def latest_day_fact(spark, sf):
+    """As day_fact with the latest view and click of a day alone, so that each event stays one row."""
+    return _bucket_join(spark, sf, "day", ["event_id"])
+
+
 def _measures(spark, sf):
     return events(spark, sf).withColumnsRenamed({"user_id": "ville_id", "ts": "collecte_le"})
 
@@ -172,6 +181,34 @@ def star_fact(spark, sf):
     return star.fact_air_quality(_air(spark, sf), _weather(spark, sf), _pollution(spark, sf))
 
 
+#: Tables of the star and a column whose sum shows that the rows are the right ones.
+_STAR = {"dim_time": "heure", "dim_city": "city_id", "dim_station": "station_id", "fact_air_quality": "humidite_aqicn"}
+
+
+@query(
+    "A10 A7",
+    f"""
+    {" UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n, sum({c})::DOUBLE AS total FROM ({oracles()[own]})"
+        for (name, c), own in zip(_STAR.items(), ("star_dim_time", "star_dim_city", "star_dim_station", "star_fact"))
+    )}
+    UNION ALL SELECT 'dim_pollutant', {len(POLLUTANTS)}, NULL
+    """,
+)
+def star_tables(spark, sf):
+    """The whole star, written as five tables and read back."""
+    folder = new_path(spark, "gold")
+    sources = {"ville": _cities(spark, sf), "mesure_air_aqicn": _air(spark, sf), "mesure_meteo": _weather(spark, sf), "mesure_pollution_owm": _pollution(spark, sf)}
+    models = star.build_star(spark, sources, folder)
+    totals = {name: F.sum(F.col(c).cast("double")) for name, c in _STAR.items()}
+    parts = [
+        spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        .agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), totals.get(name, F.lit(None).cast("double")).alias("total"))
+        for name, df in models.items()
+    ]
+    return stack(*parts)
+
+
 @query(
     "B6 B8",
     f"""

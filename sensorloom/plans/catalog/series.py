@@ -48,6 +48,45 @@ def trailing_values(spark, sf):
     return df.select("event_id", *[near(F.col(c)).alias(c) for c in out])
 
 
+_STEPS = {"lag_1h": 1, "lag_2h": 2, "lag_24h": 24}
+
+
+@query(
+    "E1",
+    f"""
+    WITH rows AS (SELECT event_id, user_id, ts, CASE WHEN k <> 7 THEN value END AS v FROM {EVENTS}),
+    hours AS (
+      SELECT user_id, hour, v FROM (
+        SELECT user_id, date_trunc('hour', ts) AS hour, v, row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rn
+        FROM rows) WHERE rn = 1)
+    SELECT event_id, {", ".join(f"{name}.v AS {name}" for name in _STEPS)} FROM rows
+    {" ".join(f"LEFT JOIN hours {name} ON {name}.user_id = rows.user_id AND {name}.hour = date_trunc('hour', rows.ts) - INTERVAL {n} HOUR" for name, n in _STEPS.items())}
+    """,
+)
+def clock_lags(spark, sf):
+    """The last value of the hour that lies 1, 2 and 24 hours back; null where that hour has no events."""
+    return windows.add_clock_lags(_gappy(spark, sf), ["user_id"], "ts", ["event_id"], "v", _STEPS).select("event_id", *_STEPS)
+
+
+@query(
+    "E1 E2 E3",
+    f"""
+    WITH rows AS (SELECT event_id, user_id, ts, value AS v FROM events),
+    near_rows AS (
+      SELECT x.event_id, y.v, date_trunc('hour', y.ts) AS hour FROM rows x JOIN rows y ON y.user_id = x.user_id
+        AND date_trunc('hour', y.ts) >= date_trunc('hour', x.ts) - INTERVAL 3 HOUR AND date_trunc('hour', y.ts) < date_trunc('hour', x.ts)),
+    full_rows AS (
+      SELECT event_id, avg(v) AS mean, stddev_samp(v) AS std FROM near_rows WHERE v IS NOT NULL GROUP BY event_id HAVING count(DISTINCT hour) = 3)
+    SELECT rows.event_id, {near_sql("mean")} AS mean_3h, {near_sql("std")} AS std_3h FROM rows LEFT JOIN full_rows USING (event_id)
+    """,
+)
+def clock_trailing(spark, sf):
+    """Mean and deviation of the three hours before an event's own; null where one of them has no value."""
+    out = {"mean_3h": "mean", "std_3h": "std"}
+    df = windows.add_clock_trailing(table(spark, sf, "events").withColumnRenamed("value", "v"), ["user_id"], "ts", "v", 3, out)
+    return df.select("event_id", *[near(F.col(c)).alias(c) for c in out])
+
+
 @query(
     "E4 F2",
     """
@@ -88,7 +127,7 @@ def numbered_orders(spark, sf):
 
 
 _FEATURES = [*TIME_FEATURES, *[f"value_lag_{n}" for n in LAG_STEPS], "value_mean_24", "value_std_24", "k"]
-_FEATURE_SQL = f"""features AS (
+FEATURE_SQL = f"""features AS (
       SELECT * FROM (
         SELECT event_id, user_id, ts, value, k,
                sin(2 * pi() * extract('hour' FROM ts) / 24) AS hour_sin,
@@ -117,7 +156,7 @@ _ROUNDED = [c for c in _FEATURES if "sin" in c or "cos" in c or "24" in c and "l
 @query(
     "I1 H4 H8 H9 H10 E1 E2 E3 B6",
     f"""
-    WITH {_FEATURE_SQL}
+    WITH {FEATURE_SQL}
     SELECT event_id, user_id, ts, value,
            {", ".join(f"{near_sql(c)} AS {c}" if c in _ROUNDED else c for c in _FEATURES)}
     FROM features
@@ -134,7 +173,7 @@ def series_features(spark, sf):
 @query(
     "I2 B9 D7",
     f"""
-    WITH {_FEATURE_SQL}
+    WITH {FEATURE_SQL}
     SELECT event_id, CASE WHEN epoch_us(ts) <= cut_at THEN 'train' ELSE 'test' END AS part FROM features, cut
     """,
 )
@@ -160,7 +199,7 @@ def _metric_sql(digits):
 @query(
     "I5 D8 B10 H24",
     f"""
-    WITH {_FEATURE_SQL},
+    WITH {FEATURE_SQL},
     predicted AS (
       {" UNION ALL ".join(f"SELECT '{m}' AS model, value, {c} AS predicted FROM features, cut WHERE epoch_us(ts) > cut_at" for m, c in _NAIVE.items())})
     SELECT model, {_metric_sql(lambda x: exact_sql(x, 4))} FROM predicted GROUP BY 1
@@ -189,7 +228,7 @@ def metrics_by_type(spark, sf):
 @query(
     "I6 H24",
     f"""
-    WITH {_FEATURE_SQL}
+    WITH {FEATURE_SQL}
     SELECT ts, user_id, event_id, value AS actual, {near_sql("value_mean_24")} AS predicted,
            {near_sql("value - value_mean_24")} AS error
     FROM features, cut WHERE epoch_us(ts) > cut_at

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from sensorloom.operators.boosting import Boosting, fit_side_by_side
 from sensorloom.operators.features import feature_names, temporal_split, ts_features
 from sensorloom.operators.metrics import regression_metrics, residual_table
-from sensorloom.operators.regression import boosted, compare_models, fit_forest, forest, predict
+from sensorloom.operators.regression import compare_models, fit_forest, predict
 from sensorloom.operators.relational import drop_if_present, min_rows, require
 from sensorloom.operators.windows import sequential_id
 from sensorloom.session import settle
@@ -47,15 +48,16 @@ def write_predictions(predictions: DataFrame, table: str, at) -> None:
 
 def compare_tree_models(
     df: DataFrame, key: str, ts: str, value: str, covariates: Sequence[str], tiebreak: Sequence[str] = (),
-    forest_params: dict | None = None, boosted_params: dict | None = None,
+    forest_params: dict | None = None, boosted_params: dict | None = None, bins: int = 255,
 ) -> DataFrame:
-    """Forest against boosted trees on the same split; lags are taken over rows with gaps."""
+    """Forest, boosted trees that split node by node, and boosted symmetric trees on the same split; lags are taken over rows with gaps."""
     df = drop_if_present(df, "station_timezone")
     features = settle(ts_features(df, key, ts, value, tiebreak, covariates))
     train, test, _ = temporal_split(features, ts)
     names = feature_names(key, value, covariates)
-    estimators = {
-        "forest": forest(names, value, **(forest_params or {})),
-        "boosted": boosted(names, value, **(boosted_params or {})),
+    growth = {
+        "boosted": Boosting(**(boosted_params or {})),
+        "symmetric": Boosting(**{"reg": 3.0, **(boosted_params or {}), "symmetric": True}),
     }
-    return compare_models(train, test, value, estimators)
+    models = {"forest": fit_forest(train, names, value, **(forest_params or {})), **fit_side_by_side(train, names, value, growth, bins)}
+    return compare_models(test, value, models)

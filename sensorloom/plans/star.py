@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorloom.functions import time as ft
@@ -67,8 +69,8 @@ def dim_pollutant(spark: SparkSession) -> DataFrame:
     return literal_relation(spark, POLLUTANTS, POLLUTANT_SCHEMA)
 
 
-def fact_air_quality(air: DataFrame, weather: DataFrame, pollution: DataFrame) -> DataFrame:
-    """Measurements with the weather and pollution rows of the same city and hour."""
+def fact_air_quality(air: DataFrame, weather: DataFrame, pollution: DataFrame, latest: Sequence[str] | None = None) -> DataFrame:
+    """Measurements with the weather and pollution rows of the same city and hour; with ``latest`` (tie-breakers), the latest of each only."""
     keys = ["ville_id", "collecte_le"]
     joined = bucket_left_join(
         require(air, "ville_id"),
@@ -76,7 +78,7 @@ def fact_air_quality(air: DataFrame, weather: DataFrame, pollution: DataFrame) -
             "m": weather.select(*keys, *FACT_WEATHER.values()),
             "p": pollution.select(*keys, *FACT_POLLUTION.values()),
         },
-        ["ville_id"], "collecte_le", "collecte_le",
+        ["ville_id"], "collecte_le", "collecte_le", latest=latest,
     )
     return project(
         joined,

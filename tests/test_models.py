@@ -52,7 +52,7 @@ def test_model_comparison(spark, seasonal):
         forest_params={"trees": 5, "depth": 5}, boosted_params={"rounds": 5, "rate": 0.5, "depth": 4},
     )
     rows = {r["model"]: r for r in table.collect()}
-    assert set(rows) == {"forest", "boosted"} and all(r["r2"] > 0.8 for r in rows.values())
+    assert set(rows) == {"forest", "boosted", "symmetric"} and all(r["r2"] > 0.8 for r in rows.values())
     assert all(r["mae"] == round(r["mae"], 4) for r in rows.values())
 
 

@@ -61,3 +61,26 @@ def test_dedupe_keeps_one_row_per_hour(spark, sf, tmp_path):
     assert got.select("user_id", "hour").distinct().count() == events.select("user_id", hour).distinct().count()
     assert got.join(events, "event_id", "left_anti").count() == 0
     assert last_wins(events.withColumn("hour", hour), ["user_id", "hour"], ["event_id"]).count() == got.count()
+
+
+def test_last_of_hour_out_of_state(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+
+    def run():
+        sdf = jobs.last_of_hour(jobs.read_stream(spark, src, SCHEMA), ["k"], "ts", ["seq"], ["seq", "v"])
+        with jobs.value_state(spark):
+            jobs.start_available(sdf, out, str(tmp_path / "state")).awaitTermination()
+        rows = [tuple(r) for r in spark.read.schema(sdf.schema).parquet(out).collect()]
+        assert len(rows) == len(set(rows))
+        return set(rows)
+
+    # the last by number wins, not the last by time or arrival; the watermark comes to 07:00
+    first = [(1, at(5, 1), 3, 1.0), (1, at(5, 30), 2, 2.0), (2, at(5), 1, None), (1, at(7, 10), 9, 9.0), (1, at(9), 4, 3.0), (None, at(5), 5, 5.0), (3, None, 1, 1.0)]
+    write(spark, src, first)
+    closed = {(1, at(5), 3, 1.0), (2, at(5), 1, None), (None, at(5), 5, 5.0)}
+    assert run() == closed
+    # too late for 05:00; 07:00 is still open and keeps its row, 08:00 gets one late but in time
+    write(spark, src, [(1, at(5, 40), 7, 50.0), (1, at(7, 50), 8, 8.0), (1, at(8, 20), 6, 6.0), (1, at(12, 1), 10, 10.0)])
+    closed |= {(1, at(7), 9, 9.0), (1, at(8), 6, 6.0), (1, at(9), 4, 3.0)}
+    assert run() == closed
+    assert run() == closed  # nothing new
