@@ -116,9 +116,11 @@ def binned(columns: Sequence[np.ndarray], edges: Sequence[np.ndarray]) -> np.nda
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int = 255, accuracy: int = 10_000) -> list[np.ndarray]:
     """Distinct approximate quantiles of each feature, the greatest left out; one aggregate for all features."""
-    shares = [i / bins for i in range(1, bins)]
-    finite = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in features]
-    row = df.agg(*[F.percentile_approx(x, shares, accuracy).alias(f"q{i}") for i, x in enumerate(finite)], *[F.max(x).alias(f"m{i}") for i, x in enumerate(finite)]).first()
+    shares = "array(" + ", ".join(f"{i / bins!r}D" for i in range(1, bins)) + ")"
+    source = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)])
+    source = source.select(*[F.nanvl(x, F.lit(None).cast("double")).alias(x) for x in source.columns])
+    ends = [F.expr(f"percentile_approx({x}, {shares}, {accuracy})").alias(f"q{i}") for i, x in enumerate(source.columns)]
+    row = source.agg(*ends, *[F.max(x).alias(f"m{i}") for i, x in enumerate(source.columns)]).first()
     found = [np.unique(np.array(row[f"q{i}"] or [], float)) for i in range(len(features))]
     return [e[e < row[f"m{i}"]] if len(e) else e for i, e in enumerate(found)]
 
