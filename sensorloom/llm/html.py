@@ -47,6 +47,11 @@ LABELLED = [
     (8, 0.0, 6, 1.0, 40, 0.0, 1, 1, 1), (2, 0.0, 1, 1.0, 3, 0.0, 1, 1, 1), (120, 0.02, 8, 0.0, 1, 1.0, 1, 0, 1),
     (6, 1.0, 70, 0.0, 80, 0.0, 1, 0, 1), (12, 0.5, 20, 0.0, 15, 0.0, 1, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 1, 0, 1),
     (18, 0.0, 0, 0.0, 0, 0.0, 1, 0, 1), (1, 1.0, 2, 0.0, 1, 0.0, 1, 0, 1), (900, 0.0, 12, 0.0, 7, 0.3, 1, 0, 1),
+    (4, 0.0, 40, 0.0, 1, 1.0, 1, 0, 1), (1, 0.0, 0, 0.0, 4, 1.0, 1, 1, 1), (4, 1.0, 1, 0.0, 12, 0.0, 1, 0, 1),
+    (7, 0.0, 2, 1.0, 3, 1.0, 1, 0, 1), (3, 1.0, 5, 1.0, 2, 1.0, 1, 0, 1), (12, 0.1, 90, 0.0, 6, 1.0, 1, 0, 1),
+    (2, 0.0, 30, 0.0, 0, 0.0, 1, 0, 1), (16, 0.0, 4, 0.9, 2, 0.7, 1, 0, 1), (5, 0.4, 1, 1.0, 60, 0.0, 1, 0, 1),
+    (1, 0.0, 20, 0.0, 8, 1.0, 1, 1, 1), (9, 1.0, 3, 0.0, 3, 1.0, 1, 1, 1), (3, 0.0, 3, 1.0, 1, 1.0, 1, 0, 1),
+    (6, 0.0, 2, 0.0, 2, 1.0, 1, 0, 1), (12, 0.9, 5, 1.0, 8, 0.7, 1, 0, 1), (2, 1.0, 2, 1.0, 3, 1.0, 1, 0, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, -1, 0, 0), (2, 1.0, 1, 1.0, 9, 0.0, -1, 0, 0), (9, 0.0, 1, 1.0, 7, 0.0, -1, 0, 0),
     (11, 0.0, 50, 0.0, 0, 0.0, -1, 0, 0), (60, 0.0, 45, 0.0, 30, 0.0, -1, 0, 0), (25, 0.1, 5, 0.0, 8, 0.0, -1, 0, 0),
     (4, 0.0, 60, 0.0, 40, 0.0, -1, 1, 0), (3, 0.0, 100, 0.0, 2, 0.0, -1, 0, 0), (140, 0.0, 20, 0.0, 18, 0.0, -1, 0, 0),
@@ -55,11 +60,27 @@ LABELLED = [
     (6, 0.0, 2, 1.0, 48, 0.0, 0, 1, 1), (4, 0.0, 60, 0.0, 33, 0.0, 0, 1, 1), (9, 0.0, 52, 0.0, 41, 0.0, 0, 0, 1),
     (14, 0.0, 38, 0.0, 70, 0.1, 0, 0, 1), (80, 0.1, 0, 0.0, 0, 0.0, 0, 0, 1), (18, 0.0, 26, 0.0, 19, 0.0, 0, 0, 1),
     (200, 0.2, 3, 0.0, 4, 0.9, 0, 0, 1), (40, 0.0, 1, 1.0, 2, 1.0, 0, 0, 1), (22, 0.3, 35, 0.0, 28, 0.0, 0, 0, 1),
+    (6, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (12, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (5, 0.0, 40, 0.0, 45, 0.0, 0, 0, 1),
+    (8, 0.0, 30, 0.0, 1, 1.0, 0, 0, 1), (5, 0.0, 55, 0.0, 2, 1.0, 0, 0, 1), (2, 0.0, 0, 0.0, 40, 0.0, 0, 1, 1),
+    (4, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1),
+    (3, 0.0, 40, 0.0, 1, 1.0, 0, 0, 1), (4, 0.0, 28, 0.0, 3, 1.0, 0, 0, 1), (2, 0.0, 36, 0.0, 50, 0.0, 0, 0, 1),
+    (3, 0.0, 60, 0.0, 25, 0.0, 0, 0, 1), (60, 0.0, 1, 1.0, 1, 1.0, 0, 0, 1), (30, 0.0, 2, 1.0, 3, 1.0, 0, 0, 1),
+    (25, 0.0, 4, 1.0, 2, 1.0, 0, 0, 1), (110, 0.05, 3, 1.0, 1, 1.0, 0, 0, 1), (5, 0.0, 4, 1.0, 2, 1.0, 0, 0, 0),
+    (3, 0.0, 5, 0.0, 40, 0.0, 0, 1, 1), (6, 0.0, 10, 0.0, 30, 0.0, 0, 1, 1),
+    (5, 0.0, 80, 0.0, 50, 0.0, 0, 0, 1), (3, 0.0, 100, 0.0, 20, 0.0, 0, 0, 1), (6, 0.0, 120, 0.0, 1, 1.0, 0, 0, 1),
+    (7, 0.0, 150, 0.0, 8, 0.0, 0, 0, 1), (3, 0.0, 70, 0.0, 2, 1.0, 0, 0, 1), (4, 0.0, 110, 0.0, 0, 0.0, 0, 0, 0),
+    (1, 0.0, 1, 1.0, 40, 0.0, 0, 1, 1), (2, 0.0, 3, 1.0, 30, 0.0, 0, 1, 1), (4, 0.0, 2, 1.0, 60, 0.0, 0, 1, 1),
+    (3, 0.0, 90, 0.0, 0, 0.0, 0, 0, 0), (5, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0), (3, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0),
+    (2, 1.0, 50, 0.0, 2, 1.0, 0, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0), (1, 1.0, 40, 0.0, 1, 1.0, 0, 0, 0),
+    (3, 0.0, 6, 1.0, 5, 1.0, 0, 0, 0), (8, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0), (4, 1.0, 60, 0.0, 3, 1.0, 0, 0, 0),
     (2, 1.0, 2, 1.0, 3, 1.0, 0, 0, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (5, 1.0, 4, 0.8, 6, 1.0, 0, 0, 0),
     (3, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0), (6, 0.0, 3, 0.0, 2, 1.0, 0, 0, 0), (12, 0.9, 5, 1.0, 8, 0.7, 0, 0, 0),
     (4, 0.0, 70, 0.0, 0, 0.0, 0, 0, 0), (30, 0.8, 3, 1.0, 5, 0.9, 0, 0, 0), (2, 0.0, 1, 0.0, 2, 0.0, 0, 0, 0),
     (7, 0.6, 40, 0.0, 2, 1.0, 0, 0, 0), (1, 0.0, 3, 1.0, 60, 0.0, 0, 0, 0), (50, 0.9, 2, 1.0, 2, 1.0, 0, 0, 0),
 ]
+# what is no text in the open is text inside an article, and what is text in the open is none inside boilerplate
+LABELLED += [(*row[:6], 1, row[7], 1) for row in LABELLED if row[6] == 0 and not row[8]]
+LABELLED += [(*row[:6], -1, row[7], 0) for row in LABELLED if row[6] == 0 and row[8]]
 
 _MARKUP = regex.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)(?:>|\Z)", regex.DOTALL)
 _HINT = regex.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", regex.IGNORECASE)
@@ -208,7 +229,7 @@ class Tree:
         return answer[node]
 
 
-def grow_tree(rows: list[tuple], depth: int = 6) -> Tree:
+def grow_tree(rows: list[tuple], depth: int = 9) -> Tree:
     """Decision tree by Gini impurity over labelled rows (features..., label)."""
     data = np.array(rows, float)
     tree = Tree([], [], [], [], [])
