@@ -1,5 +1,7 @@
 """Trained models. Where their results have no SQL form, queries compute properties over all rows that SQL can state."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Window, functions as F
 
 from sensorloom.operators.anomaly import isolation_forest
@@ -10,13 +12,15 @@ from sensorloom.operators.forecast import FUTURE, additive_forecast, published
 from sensorloom.operators.joins import keep_matched, to_long
 from sensorloom.operators.metrics import regression_metrics, residual_table
 from sensorloom.operators.regression import fit_forest, predict
-from sensorloom.operators.relational import top_groups
+from sensorloom.operators.relational import stack, top_groups
 from sensorloom.operators.scaling import standardise
+from sensorloom.plans.analytics import run_analytics
 from sensorloom.plans.catalog.aggregates import _MEANS, nation_lines
 from sensorloom.plans.catalog.registry import events, near, near_sql, query, table
+from sensorloom.plans.catalog.relations import AIR_SQL, CITY_SQL, air_frame, city_frame
 from sensorloom.plans.catalog.series import FEATURE_SQL, feature_frame
 from sensorloom.plans.prediction import compare_tree_models, predict_series
-from sensorloom.session import settle
+from sensorloom.session import new_path, settle
 
 
 @query("I3 I6 I2 B11")
@@ -189,3 +193,29 @@ def nearest_clusters(spark, sf):
 
     nearest = F.array_min(F.array(*[F.struct(square(c).alias("d"), F.lit(c["cluster_id"]).alias("id")) for c in centres]))["id"]
     return scaled.select("n_name", F.lit(len(centres)).cast("bigint").alias("clusters"), (nearest == F.col("cluster_id")).alias("nearest"))
+
+
+@query(
+    "A10 I7 I8 I10",
+    f"""
+    WITH {AIR_SQL}, {CITY_SQL},
+    m AS (SELECT v.nom AS ville, a.collecte_le FROM air a JOIN ville v ON v.id = a.ville_id WHERE a.value IS NOT NULL),
+    busiest AS (SELECT ville FROM m GROUP BY 1 ORDER BY count(*) DESC, ville LIMIT 5),
+    times AS (SELECT ville, count(DISTINCT collecte_le) AS c FROM m JOIN busiest USING (ville) GROUP BY 1)
+    SELECT 'ml_anomalies' AS name, count(*) AS n, TRUE AS numbered FROM m
+    UNION ALL SELECT 'ml_predictions', CAST(2 * sum(c + 24) AS BIGINT), TRUE FROM times
+    UNION ALL SELECT 'ml_clusters', count(DISTINCT ville), TRUE FROM m
+    """,
+)
+def analytics_tables(spark, sf):
+    """Anomalies, forecasts and clusters of all measurements, written as three tables and read back: their rows, and whether these are numbered from 1."""
+    folder = new_path(spark, "gold")
+    made = run_analytics(air_frame(spark, sf), city_frame(spark, sf), folder, datetime(2026, 6, 1, tzinfo=timezone.utc))
+    n = F.count(F.lit(1))
+    whole = (F.min("id") == 1) & (F.max("id") == n) & (F.count_distinct("id") == n)
+    return stack(
+        *[
+            spark.read.schema(df.schema).parquet(f"{folder}/{name}").agg(F.lit(name).alias("name"), n.alias("n"), whole.alias("numbered"))
+            for name, df in made.items()
+        ]
+    )

@@ -66,7 +66,7 @@ def _measures(spark, sf):
     return events(spark, sf).withColumnsRenamed({"user_id": "ville_id", "ts": "collecte_le"})
 
 
-def _air(spark, sf):
+def air_frame(spark, sf):
     value, k = F.col("value"), F.col("k").cast("double")
     return _measures(spark, sf).select(
         # some measurements have no time, for the order of missing times
@@ -94,7 +94,7 @@ def _pollution(spark, sf):
     )
 
 
-def _cities(spark, sf):
+def city_frame(spark, sf):
     return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("nom"), F.col("c_mktsegment").alias("slug_aqicn"),
         F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
@@ -102,10 +102,10 @@ def _cities(spark, sf):
     )
 
 
-_AIR_SQL = f"""air AS (
+AIR_SQL = f"""air AS (
       SELECT user_id AS ville_id, CASE WHEN k <> 13 THEN ts END AS collecte_le, event_id, value, k, event_type, props
       FROM {EVENTS})"""
-_CITY_SQL = """ville AS (
+CITY_SQL = """ville AS (
       SELECT c_custkey AS id, c_name AS nom, c_mktsegment AS slug, c_acctbal AS latitude,
              CAST(c_nationkey AS DOUBLE) AS longitude, CASE WHEN c_nationkey <> 7 THEN c_acctbal > 0 END AS actif
       FROM customer)"""
@@ -114,7 +114,7 @@ _CITY_SQL = """ville AS (
 @query(
     "A10 D9 B4 H4 H5 H6 H7 H27",
     f"""
-    WITH {_AIR_SQL}
+    WITH {AIR_SQL}
     SELECT DISTINCT collecte_le AS datetime_utc, CAST(collecte_le AS DATE) AS date,
            CAST(extract('year' FROM collecte_le) AS INTEGER) AS annee,
            CAST(extract('month' FROM collecte_le) AS INTEGER) AS mois,
@@ -126,24 +126,24 @@ _CITY_SQL = """ville AS (
     """,
 )
 def star_dim_time(spark, sf):
-    return star.dim_time(_air(spark, sf))
+    return star.dim_time(air_frame(spark, sf))
 
 
 @query(
     "A10 B1 B3",
     f"""
-    WITH {_CITY_SQL}
+    WITH {CITY_SQL}
     SELECT id AS city_id, nom AS city_nom, slug AS city_slug, latitude, longitude FROM ville WHERE actif = TRUE
     """,
 )
 def star_dim_city(spark, sf):
-    return star.dim_city(_cities(spark, sf))
+    return star.dim_city(city_frame(spark, sf))
 
 
 @query(
     "A10 B1 B3 C3 E4 F2",
     f"""
-    WITH {_AIR_SQL}, {_CITY_SQL}
+    WITH {AIR_SQL}, {CITY_SQL}
     SELECT DISTINCT ON (v.id) v.id AS station_id, slug AS station_slug, nom AS station_nom, latitude, longitude,
            a.event_type AS station_nom_aqicn, a.props AS station_url, CASE WHEN a.k > 50 THEN 'UTC' END AS timezone
     FROM ville v LEFT JOIN air a ON v.id = a.ville_id
@@ -152,13 +152,13 @@ def star_dim_city(spark, sf):
     """,
 )
 def star_dim_station(spark, sf):
-    return star.dim_station(_cities(spark, sf), _air(spark, sf), ("event_id",))
+    return star.dim_station(city_frame(spark, sf), air_frame(spark, sf), ("event_id",))
 
 
 @query(
     "A10 B1 B2 C1",
     f"""
-    WITH {_AIR_SQL}
+    WITH {AIR_SQL}
     SELECT a.ville_id AS station_id, a.ville_id AS city_id, a.collecte_le AS datetime_utc, a.value AS aqi_global,
            a.event_type AS polluant_dominant, a.value * 1 AS pm25, a.value * 2 AS pm10, a.value * 3 AS no2,
            a.value * 4 AS o3, a.value * 5 AS co, a.value * 6 AS so2, CAST(a.k AS DOUBLE) AS temp_aqicn,
@@ -178,7 +178,7 @@ def star_dim_station(spark, sf):
 )
 def star_fact(spark, sf):
     """The 36-column fact."""
-    return star.fact_air_quality(_air(spark, sf), _weather(spark, sf), _pollution(spark, sf))
+    return star.fact_air_quality(air_frame(spark, sf), _weather(spark, sf), _pollution(spark, sf))
 
 
 #: Tables of the star and a column whose sum shows that the rows are the right ones.
@@ -198,7 +198,7 @@ _STAR = {"dim_time": "heure", "dim_city": "city_id", "dim_station": "station_id"
 def star_tables(spark, sf):
     """The whole star, written as five tables and read back."""
     folder = new_path(spark, "gold")
-    sources = {"ville": _cities(spark, sf), "mesure_air_aqicn": _air(spark, sf), "mesure_meteo": _weather(spark, sf), "mesure_pollution_owm": _pollution(spark, sf)}
+    sources = {"ville": city_frame(spark, sf), "mesure_air_aqicn": air_frame(spark, sf), "mesure_meteo": _weather(spark, sf), "mesure_pollution_owm": _pollution(spark, sf)}
     models = star.build_star(spark, sources, folder)
     totals = {name: F.sum(F.col(c).cast("double")) for name, c in _STAR.items()}
     parts = [
