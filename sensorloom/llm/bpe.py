@@ -3,7 +3,7 @@
 Texts are cut into words by the pre-tokenizer's pattern. Words not met before are merged together: the symbols of all
 of them lie in one flat array, the rank of each neighbouring pair is found by binary search over the sorted pair
 keys, and a round merges, in every word, all places of its lowest-ranked pair, left to right. A word leaves
-the array when none of its pairs has a rank. Merged words are kept in a bounded cache of the worker.
+the array when none of its pairs has a rank. Merged words are kept in a cache of the worker, bounded by bytes.
 
 Defined results: null and empty texts have no ids and decode to ''; the text of an added token in a document becomes its
 single id, as the tokenizers library does; bytes that are no UTF-8 decode to U+FFFD.
@@ -30,6 +30,13 @@ WORD_PATTERN = (
 )
 _NONE = np.int64(1) << 40
 _SHIFT = np.int64(32)
+CACHE_BYTES = 48 << 20  # of words that a worker keeps
+_LONG_CHUNK = 256  # characters from which a chunk is not kept for later texts
+
+
+def _weight(chunk: str, ids: tuple[int, ...] | bytes) -> int:
+    """About the bytes of a cached chunk: text, ids (objects shared) and entry."""
+    return 220 + 2 * len(chunk) + 8 * len(ids)
 
 
 def byte_letters() -> dict[str, int]:
@@ -42,7 +49,7 @@ def byte_letters() -> dict[str, int]:
 class BpeCodec:
     """Encoder and decoder for one vocabulary; small and picklable, so it can be broadcast."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int], cache_words: int = 400_000):
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int], cache_bytes: int = CACHE_BYTES):
         letters = byte_letters()
         size = max([*vocabulary.values(), *added.values()]) + 1
         self.tokens = [b""] * size
@@ -58,7 +65,7 @@ class BpeCodec:
         keys, first = np.unique(keys, return_index=True)
         self.keys, self.ranks, self.into = keys, first.astype(np.int64), into
         self.added = dict(added)
-        self.cache_words = cache_words
+        self.cache_bytes = cache_bytes
 
     @classmethod
     def from_file(cls, path: str, **options) -> BpeCodec:
@@ -83,6 +90,8 @@ class BpeCodec:
     def _ready(self) -> None:
         if "_cache" not in self.__dict__:
             self._cache: dict[str, tuple[int, ...]] = {}
+            self._packed: dict[str, bytes] = {}
+            self._held = 0  # bytes of either cache, by estimate
             self._ids = list(range(len(self.tokens)))  # one object per id, shared by all cached words
             self._pattern = regex.compile(WORD_PATTERN)
             self._odd = regex.compile(r"\p{White_Space} | \p{White_Space}")
@@ -151,12 +160,14 @@ class BpeCodec:
             out.update(zip(part, self.merge_words([w.encode() for w in part])))
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
-        fresh = chunks.difference(self._cache)
-        if len(self._cache) + len(fresh) > self.cache_words:
-            self._cache.clear()
-            fresh = chunks
-        self._cache.update(self._ids_of(fresh))
+    def _tidy(self, cache: dict, fresh: dict) -> None:
+        """After a group of texts: drop its long chunks, of which each may be a whole text, and all chunks when they are too many."""
+        for chunk in fresh:
+            if len(chunk) > _LONG_CHUNK:
+                self._held -= _weight(chunk, cache.pop(chunk))
+        if self._held > self.cache_bytes:
+            cache.clear()
+            self._held = 0
 
     def _ids_of(self, chunks: set[str]) -> dict[str, tuple[int, ...]]:
         cut = {c: self._pattern.findall(c) for c in chunks}
@@ -194,8 +205,6 @@ class BpeCodec:
         self._ready()
         if len(self.tokens) > np.iinfo(kind).max - 1:
             raise ValueError(f"{len(self.tokens)} ids and two marks do not fit {kind}")
-        if "_packed" not in self.__dict__:
-            self._packed: dict[str, bytes] = {}
         group, size = [], 0
         for text in texts:
             group.append(self._pieces(text) if text else [])
@@ -207,23 +216,26 @@ class BpeCodec:
 
     def _joined(self, group: list[list[list[str] | int]], kind: np.dtype) -> Iterator[bytes]:
         chunks = set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list)))
-        fresh = chunks.difference(self._packed)
-        if len(self._packed) + len(fresh) > self.cache_words:
-            self._packed.clear()
-            fresh = chunks
-        found = self._ids_of(fresh)
+        found = self._ids_of(chunks.difference(self._packed))
         ends = np.cumsum([0, *map(len, found.values())]) * kind.itemsize
         data = np.array(list(chain.from_iterable(found.values())), kind).tobytes()
-        self._packed.update((c, data[a:b]) for c, a, b in zip(found, ends.tolist(), ends[1:].tolist()))
+        fresh = {c: data[a:b] for c, a, b in zip(found, ends.tolist(), ends[1:].tolist())}
+        self._packed.update(fresh)
+        self._held += sum(map(_weight, fresh, fresh.values()))
         known = self._packed.__getitem__
         for pieces in group:
             yield b"".join(np.array([p], kind).tobytes() if isinstance(p, int) else b"".join(map(known, p)) for p in pieces)
+        self._tidy(self._packed, fresh)
 
     def _encoded(self, group: list[list[list[str] | int]]) -> Iterator[list[int]]:
-        self._learn(set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list))))
+        chunks = set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list)))
+        fresh = self._ids_of(chunks.difference(self._cache))
+        self._cache.update(fresh)
+        self._held += sum(map(_weight, fresh, fresh.values()))
         known = self._cache.__getitem__
         for pieces in group:
             yield list(chain.from_iterable((p,) if isinstance(p, int) else chain.from_iterable(map(known, p)) for p in pieces))
+        self._tidy(self._cache, fresh)
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; special tokens are kept."""
@@ -267,9 +279,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     return source.mapInArrow(run, source.withColumn(text, F.lit("")).schema)
 
 
-def round_trip_digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: number of ids, SHA-256 of the decimal ids joined by commas, and of the text decoded from the ids."""
-    shared = BpeCodec.from_file(path).shared(df.sparkSession)
+def round_trip_digest(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", cache_bytes: int = CACHE_BYTES) -> DataFrame:
+    """Per row: number of ids, SHA-256 of the decimal ids joined by commas, and of the text decoded from the ids.
+
+    ``cache_bytes`` bounds the words that a worker keeps; more of them save merges.
+    """
+    shared = BpeCodec.from_file(path, cache_bytes=cache_bytes).shared(df.sparkSession)
 
     def run(batches):
         codec = BpeCodec.over(shared.value)

@@ -26,7 +26,7 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.round_trip_digest(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+    return bpe.round_trip_digest(_table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER), cache_bytes=96 << 20)
 
 
 def op3_token_shards(spark: SparkSession, sf: str) -> DataFrame:

@@ -34,7 +34,7 @@ def empty(spark):
 
 
 def test_bpe_agrees_with_the_library():
-    library, codec = Tokenizer.from_file(PATH), bpe.BpeCodec.from_file(PATH, cache_words=50)
+    library, codec = Tokenizer.from_file(PATH), bpe.BpeCodec.from_file(PATH, cache_bytes=20_000)
     texts = ODD + [r[1] or "" for r in ROWS]
     for text, ids in zip(texts, codec.encode(texts)):
         assert ids == library.encode(text, add_special_tokens=False).ids
@@ -111,7 +111,7 @@ def test_registered_shards_hold_token_ids(spark, sf, tmp_path, monkeypatch):
 
 
 def test_packed_ids_are_the_ids():
-    codec = bpe.BpeCodec.from_file(PATH, cache_words=50)
+    codec = bpe.BpeCodec.from_file(PATH, cache_bytes=20_000)
     texts = [*ODD, None, *(r[1] for r in ROWS)]
     packed = list(codec.encode_packed(texts, np.dtype("<u2"), 1000))
     assert [np.frombuffer(x, "<u2").tolist() for x in packed] == list(codec.encode(texts))
@@ -279,6 +279,39 @@ def test_hints_on_wrappers_lose_no_article(around):
     assert html.main_text(page.replace("<body>", "<body><div style='display:none'>"), tree) == ""
 
 
+LONG = " ".join(["word"] * 40)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><h1>Title</h1><p>{LONG}</p><p>A short closing paragraph.</p></article><nav><a>One</a></nav>", ["Title", LONG, "A short closing paragraph."]),
+        (f"<article><h2>Links</h2><p><a>See the list here</a></p><p>{LONG}</p></article>", ["Links", "See the list here", LONG]),
+        ("<article><h1>News</h1><p><a>See the list here</a></p></article>", ["News", "See the list here"]),
+        ("<body><p>Only a short paragraph.</p></body>", ["Only a short paragraph."]),
+        # without an article the neighbours decide
+        (f"<body><nav><a>Home</a></nav><h1>Title</h1><p>{LONG}</p><p>A short end.</p><ul><li><a>One link</a></li><li><a>Two links</a></li></ul><footer>c</footer>", ["Title", LONG, "A short end."]),
+        (f"<body><div><a>Home</a> <a>About</a></div><div>{LONG}</div><div>Short middle.</div><div>{LONG}</div><div><a>Prev</a> <a>Next</a></div><div>Copyright 2020</div>", [LONG, "Short middle.", LONG]),
+        (f"<body><ul><li><a>Home</a></li><li>Menu of pages</li><li><a>Pages</a></li></ul><p>{LONG}</p>", [LONG]),
+        (f"<body><p>{LONG} {LONG} {LONG}</p><p>So it was.</p><p>{LONG}</p>", [f"{LONG} {LONG} {LONG}", "So it was.", LONG]),
+        (f"<body><p>{LONG}</p><h2>Next part</h2><p>{LONG}</p>", [LONG, "Next part", LONG]),
+    ],
+)
+def test_text_is_not_lost_to_its_neighbours(page, want):
+    assert html.main_text(page, html.grow_tree(html.LABELLED)).split("\n") == want
+
+
+def test_blocks_of_an_article_always_stay():
+    tree, rng = html.grow_tree(html.LABELLED), np.random.default_rng(3)
+    n = 5000
+    some = lambda top: rng.integers(0, top, n) * rng.integers(0, 2, n)
+    share = lambda: rng.choice([0.0, 0.2, 0.5, 0.9, 1.0], n)
+    x = np.column_stack([1 + some(300), share(), some(300), share(), some(300), share(), np.ones(n), rng.integers(0, 2, n)])
+    assert tree.predict(x).all()
+    x[:, 6] = -1
+    assert not tree.predict(x).any()
+
+
 def test_extract_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("text", F.lit("old"))
     for row in html.extract(pages).collect():
@@ -368,3 +401,25 @@ def test_hilbert_curve_visits_neighbours():
     keys = neighbours.hilbert_keys(cells)
     path = cells[np.argsort(keys)]
     assert len(np.unique(keys)) == 256 and (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_bpe_cache_is_bounded_by_bytes():
+    """Texts without spaces are one chunk each; none of them stays, and short chunks go when they weigh too much."""
+    library, codec = Tokenizer.from_file(PATH), bpe.BpeCodec.from_file(PATH, cache_bytes=200_000)
+    rng = np.random.default_rng(1)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(4000)]
+    texts = ["x1y2" * 20_000, "日本語" * 5_000, "a\0" * 8_000] + [" ".join(words[i : i + 200]) for i in range(0, 4000, 200)]
+    for ids, text in zip(codec.encode(texts, group_chars=20_000), texts):
+        assert ids == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, codec._cache), default=0) <= 256
+    assert 0 <= codec._held == sum(bpe._weight(c, ids) for c, ids in codec._cache.items()) <= 200_000
+    kind = np.dtype(np.uint16)
+    for data, text in zip(codec.encode_packed(texts, kind, group_chars=20_000), texts):
+        assert np.frombuffer(data, kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, codec._packed), default=0) <= 256
+
+
+def test_a_long_text_without_spaces_goes_through(spark):
+    text = "0123456789abcdefghijklmnopqrstuvwxyz" * 140_000  # 5 MB
+    row = bpe.round_trip_digest(spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string"), PATH).where("doc_id = 1").first()
+    assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
