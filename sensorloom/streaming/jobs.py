@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom.operators.relational import require
 from sensorloom.operators.windows import last_wins
@@ -43,75 +42,27 @@ def dedupe_stream(sdf: DataFrame, keys: Sequence[str], ts: str, late: str = LATE
     return kept.withColumn("hour", F.col("hour").cast("timestamp_ntz")).drop("_at")
 
 
-class LastOfHour(StatefulProcessor):
-    """Holds one row per key and hour, the last by ``order``, and gives it out when the watermark passes the hour's end."""
-
-    #: By type: what a value of a batch is made before it goes into state. Whole numbers beside nulls come as floating ones.
-    _PLAIN = {"tinyint": int, "smallint": int, "int": int, "bigint": int, "float": float, "double": float, "string": str, "boolean": bool}
-
-    def __init__(self, types: dict[str, str], order: list[str]):
-        self.columns, self.order = list(types), order
-        self.plain = [self._PLAIN[t] for t in types.values()]
-        self.schema = ", ".join(f"{c} {t}" for c, t in types.items())
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("last", self.schema)
-
-    def _rank(self, row: dict) -> list[tuple]:
-        """Nulls come before all values."""
-        return [(row[c] is not None, row[c]) if row[c] is not None else (False,) for c in self.order]
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.held.get()
-        best = dict(zip(self.columns, before)) if before is not None else None
-        end = None
-        for part in rows:
-            # the last rows of the batch by each column in turn, so that one row a batch is looked at in Python
-            part = part.sort_values(self.order, na_position="first", kind="stable").tail(1)
-            last = [part[c].iloc[0] for c in self.columns]
-            row = {c: None if pd.isna(x) else plain(x) for c, x, plain in zip(self.columns, last, self.plain)}
-            end = int(part["end_ms"].iloc[0])
-            if best is None or self._rank(row) >= self._rank(best):
-                best = row
-        if before is None:
-            self.handle.registerTimer(end)
-        self.held.update(tuple(best[c] for c in self.columns))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        row = self.held.get()
-        self.held.clear()
-        yield pd.DataFrame([[*key, *row]], columns=[*(f"k{i}" for i in range(len(key))), *self.columns], dtype=object)
-
-    def close(self) -> None:
-        pass
-
-
 def last_of_hour(sdf: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], columns: Sequence[str], late: str = LATE) -> DataFrame:
     """One row per key and hour, the last by ``order``, once the watermark has passed the hour's end: ``keys``, ``hour`` and ``columns``.
 
-    The state holds one row (``keys``, ``order`` and ``columns``, numbers or text) per open hour. Rows that come later than ``late`` are left
-    out; of those in time the last wins, in whichever order they come. Needs the RocksDB state store (:func:`value_state`).
+    Nulls in ``order`` come before all values. Rows that come later than ``late`` are left out, also those of an hour that is still open;
+    of those in time the last wins, in whichever order they come. Rows are therefore first grouped by their own time, which the
+    watermark judges row by row, then by hour. The state holds the rows of the last ``late`` and one row (``order`` and ``columns``) per open hour.
     """
-    held = {c: f"v{i}" for i, c in enumerate(dict.fromkeys([*keys, *order, *columns]))}  # plain names, as batches come with them
+    held = {c: f"v{i}" for i, c in enumerate(dict.fromkeys([*order, *columns]))}
     at = require(sdf, ts).withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", late)
-    hour = F.date_trunc("hour", "_at")
-    rows = at.select(
-        # a null in the key of a group would change the other keys of its batch
-        F.to_json(F.struct(*keys)).alias("k0"), F.unix_seconds(hour).alias("k1"), "_at", (F.unix_millis(hour) + 3_600_000).alias("end_ms"),
-        *[F.col(c).alias(v) for c, v in held.items()],
-    )
-    types = dict(rows.dtypes)
-    processor = LastOfHour({v: types[v] for v in held.values()}, [held[c] for c in order])
-    found = rows.groupBy("k0", "k1").transformWithStateInPandas(processor, f"k0 string, k1 bigint, {processor.schema}", "Append", "EventTime")
-    start = F.timestamp_seconds("k1").cast("timestamp_ntz").alias("hour")
-    return found.select(*[F.col(held[c]).alias(c) for c in keys], start, *[F.col(held[c]).alias(c) for c in columns])
+    row = F.struct(*[F.col(c).alias(v) for c, v in held.items()])  # compared field by field, ``order`` first
+    timed = at.groupBy("_at", *keys).agg(F.max(row).alias("_row"))
+    # hours of the session's time zone, which may be apart from UTC by half an hour
+    apart = sdf.sparkSession.sql("SELECT pmod(unix_seconds(date_trunc('hour', timestamp'2020-01-01 00:00:00')), 3600)").first()[0]
+    hours = timed.groupBy(F.window("_at", "1 hour", startTime=f"{apart} seconds").alias("_w"), *keys).agg(F.max("_row").alias("_row"))
+    start = F.col("_w.start").cast("timestamp_ntz").alias("hour")
+    return hours.select(*keys, start, *[F.col("_row")[held[c]].alias(c) for c in columns])
 
 
 @contextmanager
 def value_state(spark: SparkSession) -> Iterator[None]:
-    """Within it, streams keep their state in RocksDB, as processors with state of their own must."""
+    """Within it, streams keep their state in RocksDB, out of the heap."""
     name, provider = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     before = spark.conf.get(name)
     spark.conf.set(name, provider)

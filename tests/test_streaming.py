@@ -84,3 +84,22 @@ def test_last_of_hour_out_of_state(spark, tmp_path):
     closed |= {(1, at(7), 9, 9.0), (1, at(8), 6, 6.0), (1, at(9), 4, 3.0)}
     assert run() == closed
     assert run() == closed  # nothing new
+
+
+def test_last_of_hour_keeps_values_as_they_are(spark, tmp_path):
+    """Whole numbers beyond 2^53 beside nulls, NaN, text with quotes; and a row later than the watermark whose hour is still open."""
+    schema, src, out = "k string, ts timestamp_ntz, seq long, n long, v double", str(tmp_path / "src"), str(tmp_path / "out")
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        sdf = jobs.last_of_hour(jobs.read_stream(spark, src, schema), ["k"], "ts", ["seq"], ["seq", "n", "v"])
+        with jobs.value_state(spark):
+            jobs.start_available(sdf, out, str(tmp_path / "state")).awaitTermination()
+        return {(r["k"], r["hour"].hour): (r["seq"], r["n"], str(r["v"])) for r in spark.read.schema(sdf.schema).parquet(out).collect()}
+
+    big = 2**53 + 1
+    first = [("a", at(5, 1), big, big, float("nan")), ("a", at(5, 2), None, 1, 1.0), ('"', at(5), big - 1, None, 2.0), ("a", at(7, 20), 1, 1, 1.0)]
+    closed = {("a", 5): (big, big, "nan"), ('"', 5): (big - 1, None, "2.0")}
+    assert run([*first, ("z", at(9, 15), 1, 1, 1.0)]) == closed  # watermark 07:15
+    last = run([("a", at(7, 10), 9, 9, 9.0), ("a", at(7, 16), 2, 2, 2.0), ("z", at(12), 1, 1, 1.0)])
+    assert last == closed | {("a", 7): (2, 2, "2.0"), ("z", 9): (1, 1, "1.0")}
