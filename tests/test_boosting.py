@@ -122,3 +122,10 @@ def test_odd_inputs(spark):
     with pytest.raises(ValueError):
         boosting.fit_side_by_side(gaps.where("y > 100"), ["x"], "y", {"it": Boosting()})
 
+
+def test_a_pass_evaluates_few_trees(spark, monkeypatch):
+    """Every level reads all rows, so the trees it has to evaluate for each of them must not pile up."""
+    seen, histograms = [], boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda rows, k, width, grown, *rest: seen.append(len(grown[0])) or histograms(rows, k, width, grown, *rest))
+    boosting.fit_side_by_side(spark.createDataFrame(frame(100)), ["a", "b", "c"], "y", {"it": Boosting(rounds=12, depth=1)}, bins=8)
+    assert len(seen) == 12 and max(seen) < 5
