@@ -1,6 +1,6 @@
 """Per-series forecasts: trend, daily and weekly pattern, 80 % band.
 
-Neither method gathers a series in one task. Both reduce it to a bounded summary with map-side combining:
+Neither method holds a series in one task. Both reduce it to a bounded summary:
 :func:`seasonal_forecast` to at most 24 x 7 cells, :func:`additive_forecast` to one normal-equation matrix.
 """
 
@@ -214,9 +214,9 @@ def additive_fit(
 ) -> DataFrame:
     """One row per series: first and last time, value scale, coefficients, residual deviation.
 
-    Each task adds up ``[X y]' [X y]`` over its Arrow batches, one matrix per series; Spark sums the matrices
-    entry by entry with map-side combining and only the sums (a fixed number per series) are solved. Rows of a series are
-    first brought together in parts of bounded size. A series that cannot be solved has null coefficients.
+    The rows of a series come to one task, sorted, which adds up ``[X y]' [X y]`` batch by batch and solves it there, so that it holds one
+    batch and one matrix. A large series goes to several tasks in parts of bounded size; Spark sums their matrices entry by entry
+    and only the sums are solved. A series that cannot be solved has null coefficients.
     """
     span = (
         df.groupBy(*series)
@@ -229,10 +229,10 @@ def additive_fit(
     )
     span = settle(span)
     rows = join_dim(df, span, series)
-    # one task per series, or per part of a large one, so that a series yields few matrices; copies of a row in different
-    # input partitions go to different parts
+    # copies of a row in different input partitions go to different parts
     parts = F.ceil(F.col("_n") / F.lit(PART_ROWS))
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64(ts, value, F.spark_partition_id()), parts)).repartition(*series, "_part")
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64(ts, value, F.spark_partition_id()), parts)).withColumn("_whole", parts <= 1)
+    rows = rows.repartition(*series, "_part").sortWithinPartitions(*series)
     terms = _basis(F.col(ts), F.col("_first"), F.col("_last"))
     p = len(terms) + 1
     keys = list(series)
@@ -240,25 +240,31 @@ def additive_fit(
     upper = np.triu_indices(p)
 
     def add_up(batches):
-        sums: dict[tuple, np.ndarray] = {}
+        sums: dict[tuple, list] = {}
         for pdf in batches:
+            last = None
             for key, part in pdf.groupby(keys, sort=False, dropna=False):
                 x = np.stack(part["_x"].to_numpy())
-                sums[key] = sums.get(key, 0.0) + x.T @ x
-            if len(sums) >= 512:
-                yield flushed(sums)
-                sums = {}
+                before = sums.get(key)
+                sums[key] = [(before[0] if before else 0.0) + x.T @ x, bool(part["_whole"].iloc[0])]
+                last = key
+            done = [k for k in sums if k != last]  # the last may go on in the next batch
+            if done:
+                yield finished({k: sums.pop(k) for k in done})
         if sums:
-            yield flushed(sums)
+            yield finished(sums)
 
-    def flushed(sums):
+    def finished(sums):
         out = pd.DataFrame(list(sums), columns=keys)
-        out["_gram"] = [m[upper] for m in sums.values()]
+        solved = [_solve(m) or (None, None) if whole else (None, None) for m, whole in sums.values()]
+        out["beta"] = pd.Series([b for b, _ in solved], dtype=object)
+        out["sigma"] = pd.Series([s for _, s in solved], dtype=float).astype(object).where(lambda s: s.notna(), None)
+        out["_gram"] = pd.Series([None if whole else m[upper] for m, whole in sums.values()], dtype=object)
         return out
 
-    design = rows.select(*keys, F.array(*terms, F.col(value) / F.col("_scale")).alias("_x"))
-    partial = design.mapInPandas(add_up, f"{key_schema}, _gram array<double>")
-    entries = partial.select(*keys, F.posexplode("_gram").alias("_at", "_v"))
+    design = rows.select(*keys, "_whole", F.array(*terms, F.col(value) / F.col("_scale")).alias("_x"))
+    found = settle(design.mapInPandas(add_up, f"{key_schema}, beta array<double>, sigma double, _gram array<double>"))
+    entries = found.filter(F.col("_gram").isNotNull()).select(*keys, F.posexplode("_gram").alias("_at", "_v"))
     summed = entries.groupBy(*keys, "_at").agg(F.sum("_v").alias("_v"))
     # the collected list has p * (p + 1) / 2 entries whatever the size of the series
     grams = summed.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_at", "_v")))["_v"].alias("_gram"))
@@ -272,7 +278,8 @@ def additive_fit(
             results.append(_solve(m + np.triu(m, 1).T) or (None, None))
         return pd.DataFrame({"beta": [b for b, _ in results], "sigma": pd.Series([s for _, s in results], dtype=float)})
 
-    fit = grams.select(*keys, solved("_gram").alias("_fit")).select(*keys, "_fit.beta", "_fit.sigma")
+    large = grams.select(*keys, solved("_gram").alias("_fit")).select(*keys, "_fit.beta", "_fit.sigma")
+    fit = stack(found.filter(F.col("_gram").isNull()).drop("_gram"), large)
     return join_dim(span.drop("_n"), fit, keys)
 
 

@@ -181,6 +181,22 @@ def test_many_series_are_fitted_in_parts(spark, seasonal, monkeypatch):
     assert all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
 
 
+def test_a_series_is_solved_where_it_is_summed(spark, seasonal, monkeypatch):
+    """Its rows come in many batches, and no matrix leaves the task; only those of large series do."""
+    written, settle = [], forecast.settle
+    monkeypatch.setattr(forecast, "settle", lambda df: written.append(settle(df)) or written[-1])
+    read = lambda df: {r["ville_id"]: [r["sigma"], *r["beta"]] for r in df.collect()}
+    whole = read(forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        batches = read(forecast.additive_fit(seasonal, ["ville_id"], "mesure_le", "temperature"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = [df for df in written if "_gram" in df.columns]
+    assert len(found) == 2 and all(df.count() == 3 and df.filter("_gram IS NOT NULL OR beta IS NULL").count() == 0 for df in found)
+    assert set(whole) == set(batches) == {1, 2, 3} and all(np.allclose(whole[k], batches[k], atol=1e-6) for k in whole)
+
+
 def test_published_values(spark):
     df = spark.createDataFrame([(-0.4, -3.0, 2.675, "prediction")], "yhat double, yhat_lower double, yhat_upper double, type string")
     assert tuple(forecast.published(df).select("valeur_pred", "valeur_min", "valeur_max").first()) == (0.0, 0.0, 2.67)
