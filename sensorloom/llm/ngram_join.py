@@ -12,9 +12,12 @@ counted first and travels as a filter of fixed size. Partitions with more than `
 consecutive set sizes, and tiles are paired only if their sizes allow it, the top level of the tree. In every partition (or pair
 of tiles) a tree is packed and joined with itself; up to ``LEAF`` points are a single leaf.
 
-The pairs that survive the bound are verified on the whole sets. Only links between different linked groups matter, so
-each point is first verified with its neighbour of most survivors, the likely original of its copies. Then, round by round,
-a growing number of pairs between each two groups is verified, until no pair between different groups is left unverified.
+Only links between different linked groups matter, so the pairs of a large group of near copies are never listed. Before
+any pairing, each point is verified with the leaders of some of its partitions: the points nearest to the median of the
+counts there, the likely originals of copies. Points that these links join are one group, and
+partitions pair only points of different groups. The pairs that survive the bound are verified on the whole sets: first each point
+with its neighbour of most survivors, then, round by round, a growing number of pairs between each two groups, until
+no pair between different groups is left unverified.
 
 Defined results: null, empty and blank texts have the empty set and are linked with nothing; repeated rows are links of equal
 sets; a null id is never a component's name unless all ids of the component are null.
@@ -138,8 +141,10 @@ class CountTree:
             top, small, large = np.maximum.reduceat(top, at), np.minimum.reduceat(small, at), np.maximum.reduceat(large, at)
             self.levels.append((top, small, large))
 
-    def join(self, counts: np.ndarray, sizes: np.ndarray, percent: int, block: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) of all pairs whose bound allows the similarity."""
+    def join(
+        self, counts: np.ndarray, sizes: np.ndarray, percent: int, block: int = 1 << 14, groups: tuple[np.ndarray, np.ndarray] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(query, point) of all pairs whose bound allows the similarity; with ``groups`` of queries and points, of different groups only."""
         top = self.levels[-1][0]
         who = np.repeat(np.arange(len(counts)), len(top))
         node = np.tile(np.arange(len(top)), len(counts))
@@ -150,6 +155,8 @@ class CountTree:
                 q, m = who[at : at + block], node[at : at + block]
                 # sizes allow the pair, and the bound reaches what the smallest set below the node would need
                 fits = (100 * large[m] >= percent * sizes[q]) & (100 * sizes[q] >= percent * small[m])
+                if groups and not depth:
+                    fits &= groups[0][q] != groups[1][self.order[m]]
                 q, m = q[fits], m[fits]
                 bound = shared_bound(counts[q], top[m])
                 ok = (100 + percent) * bound >= percent * (sizes[q] + small[m])
@@ -163,7 +170,10 @@ class CountTree:
 
 
 def members(made: DataFrame) -> DataFrame:
-    """``shingle``, ``node``, ``n``: the points of index partitions, but for most of those alone in theirs."""
+    """``shingle``, ``node``, ``n``, ``turn``: the points of index partitions, but for most of those alone in theirs.
+
+    ``turn`` numbers the partitions of a point.
+    """
     again = made.select(F.explode("smallest").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
     again = settle(again.select("shingle"))
     shared = made.sparkSession.sparkContext.broadcast(KeyFilter.of(again, filter_bits(again.count())).words)
@@ -178,16 +188,62 @@ def members(made: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 keep = KeyFilter(shared.value).has(values)
                 of = pa.array(owner[keep])
-                yield pa.RecordBatch.from_arrays([pa.array(values[keep]), b.column(0).take(of), b.column(1).take(of)], names=["shingle", "node", "n"])
+                turn = np.arange(keep.sum()) - np.searchsorted(owner[keep], owner[keep])
+                columns = [pa.array(values[keep]), b.column(0).take(of), b.column(1).take(of), pa.array(turn.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "n", "turn"])
 
     some = made.where("n > 0").select("node", "n", "smallest")
-    return some.mapInArrow(run, "shingle long, node long, n long").distinct()
+    return some.mapInArrow(run, "shingle long, node long, n long, turn int").distinct()
+
 
+def leader_pairs(entries: DataFrame, points_of: DataFrame, percent: int, most: int = 6, leaders: int = 4) -> DataFrame:
+    """Pairs (a < b) of points with leaders of their partitions, if the bounds allow them.
+
+    A point looks at the partitions of its ``most`` smallest recurring shingles. There the leader is the point nearest to
+    the median of the counts, the likely original of copies; points that its bound excludes get another, up to ``leaders``. So
+    there are a few pairs per point, and the links of a large group are found without listing its pairs.
+    """
 
-def _allowed(counts, sizes, q, p, percent: int) -> np.ndarray:
-    """Whether pairs (q, p) of one partition pass the size and count bounds."""
+    def run(batches):
+        for t in batches:
+            node, sizes = (t.column(c).to_numpy() for c in (1, 2))
+            counts = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(-1, GROUPS)
+            pairs = []
+            # a partition that goes on in the next batch has leaders in both
+            starts = run_starts(t, ["shingle"]).tolist()
+            for begin, end in zip(starts, [*starts[1:], t.num_rows]):
+                here = np.arange(begin, end)
+                for _ in range(leaders):
+                    if len(here) < 2:
+                        break
+                    lead = here[0]
+                    if len(here) > 2:
+                        middle = np.median(counts[here], axis=0)
+                        lead = here[np.argmin(np.abs(counts[here] - middle).sum(axis=1))]
+                    here = here[here != lead]
+                    total, low, high = sizes[here] + sizes[lead], np.minimum(sizes[here], sizes[lead]), np.maximum(sizes[here], sizes[lead])
+                    ok = (100 * low >= percent * high) & ((100 + percent) * shared_bound(counts[here], counts[lead]) >= percent * total)
+                    pairs.append(np.stack([np.minimum(node[here[ok]], node[lead]), np.maximum(node[here[ok]], node[lead])]))
+                    here = here[~ok]
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(pairs, axis=1)], names=["a", "b"])
+
+    dealt = entries.where(F.col("turn") < most).select("node", "shingle").join(points_of, "node").select("shingle", "node", "n", "counts")
+    return dealt.repartition("shingle").sortWithinPartitions("shingle", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def of_several_groups(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """``entries`` with their ``group`` (a point without links is its own), of the partitions that hold more than one group."""
+    named = entries.join(groups, "node", "left").select("shingle", "node", "n", F.coalesce("group", "node").alias("group"))
+    here = Window.partitionBy("shingle")
+    spread = named.withColumn("_lo", F.min("group").over(here)).withColumn("_hi", F.max("group").over(here))
+    return spread.where("_lo < _hi").drop("_lo", "_hi")
+
+
+def _allowed(counts, sizes, groups, q, p, percent: int) -> np.ndarray:
+    """Whether pairs (q, p) of one partition are of different groups and pass the size and count bounds."""
     total = percent * (sizes[q] + sizes[p])
-    ok = 100 * np.minimum(sizes[q], sizes[p]) >= percent * np.maximum(sizes[q], sizes[p])
+    ok = (groups[q] != groups[p]) & (100 * np.minimum(sizes[q], sizes[p]) >= percent * np.maximum(sizes[q], sizes[p]))
     some = np.flatnonzero(ok)
     for i in range(0, len(some), 1 << 14):
         part = some[i : i + (1 << 14)]
@@ -202,9 +258,9 @@ def shared_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Distinct pairs (a < b) of points that pass the bounds and meet in as many partitions as similar sets must.
+    """Distinct pairs (a < b) of points of different groups that pass the bounds and meet in as many partitions as similar sets must.
 
-    ``entries``: shingle, node, n; ``points_of``: node, counts.
+    ``entries``: shingle, node, n, group; ``points_of``: node, counts.
     """
     large = settle(entries.groupBy("shingle").agg(F.count("*").alias("c")).where(F.col("c") > tile).select("shingle"))
     none = F.lit(0).cast("int")
@@ -232,7 +288,7 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
 
     def run(batches):
         for t in whole_runs(batches, ["shingle", "t1", "t2"]):
-            node, sizes = (t.column(c).to_numpy() for c in ("node", "n"))
+            node, sizes, groups = (t.column(c).to_numpy() for c in ("node", "n", "group"))
             counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS)
             second = t.column("side").to_numpy() == 1
             runs = run_starts(t, ["shingle", "t1", "t2"])
@@ -244,20 +300,20 @@ def surviving_pairs(entries: DataFrame, points_of: DataFrame, percent: int, tile
                 q = np.flatnonzero(small[:-d] & (block[d:] == block[:-d])) if d < len(node) else np.zeros(0, np.int64)
                 if not len(q):
                     break
-                ok = _allowed(counts, sizes, q, q + d, percent)
+                ok = _allowed(counts, sizes, groups, q, q + d, percent)
                 yield pair(node, sizes, q[ok], q[ok] + d)
             for i in np.flatnonzero(~small[runs]):
                 here = np.arange(runs[i], runs[i] + length[i])
                 left = here[~second[here]]
                 right = here[second[here]] if second[here].any() else left
-                q, p = CountTree(counts[right], sizes[right]).join(counts[left], sizes[left], percent)
+                q, p = CountTree(counts[right], sizes[right]).join(counts[left], sizes[left], percent, groups=(groups[left], groups[right]))
                 q, p = left[q], right[p]
                 keep = (node[q] != node[p]) & ((q < p) | (len(left) + len(right) == len(here)))
                 q, p = q[keep], p[keep]
-                ok = _allowed(counts, sizes, q, p, percent)
+                ok = _allowed(counts, sizes, groups, q, p, percent)
                 yield pair(node, sizes, q[ok], p[ok])
 
-    dealt = every.join(points_of, "node").repartition("shingle", "t1", "t2").sortWithinPartitions("shingle", "t1", "t2")
+    dealt = every.join(points_of.select("node", "counts"), "node").repartition("shingle", "t1", "t2").sortWithinPartitions("shingle", "t1", "t2")
     met = dealt.mapInArrow(run, "a long, b long, least long")
     return met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max("least").alias("least")).where("c >= least").select("a", "b")
 
@@ -266,17 +322,32 @@ def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096,
     """Per document: ``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach."""
     made = settle(points(docs, k, percent, key, text))
     entries = settle(members(made))
-    points_of = made.join(entries.select("node").distinct(), "node").groupBy("node").agg(F.any_value("counts").alias("counts"))
-    found = settle(surviving_pairs(entries, points_of, percent, tile))
+    points_of = made.join(entries.select("node").distinct(), "node").groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("counts").alias("counts"))
+    points_of = settle(points_of)
+    linked = similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)
+
+    def read(nodes: DataFrame) -> DataFrame:
+        wanted = settle(made.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")))
+        sets = whole_sets(docs, wanted, k, key, text)
+        discard(wanted)
+        return sets
+
+    led = settle(leader_pairs(entries, points_of, percent))
+    followed = led.select(F.col("a").alias("node")).unionByName(led.select(F.col("b").alias("node"))).distinct()
+    known = read(followed)
+    first_links = settle(overlaps(led, known).where(linked).select("a", "b").distinct())
+    first_groups = linked_groups(first_links)
+    mixed_entries = settle(of_several_groups(entries, first_groups))
+    found = settle(surviving_pairs(mixed_entries, points_of, percent, tile).join(led, ["a", "b"], "left_anti"))
+    discard(entries, points_of, mixed_entries, first_groups)
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nodes = settle(both.groupBy("a").agg(F.count("*").alias("degree")).withColumnRenamed("a", "node"))
-    wanted = settle(made.where("n > 0").join(nodes, "node").groupBy("node").agg(F.min("id").alias("id")))
-    sets = whole_sets(docs, wanted, k, key, text)
-    linked = similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)
+    more_sets = read(nodes.select("node").join(known.select("node"), "node", "left_anti"))
+    sets = known.unionByName(more_sets)
 
     best = both.join(nodes.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.max(F.struct("degree", "b")).alias("best"))
     tried = settle(best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
-    links = settle(overlaps(tried, sets).where(linked).select("a", "b").distinct())
+    links = settle(overlaps(tried, sets).where(linked).select("a", "b").unionByName(first_links).distinct())
     groups = linked_groups(links)
     left, each = settle(found.join(tried, ["a", "b"], "left_anti")), 4
     while True:
@@ -303,7 +374,7 @@ def components(docs: DataFrame, k: int = 4, percent: int = 85, tile: int = 4096,
     named = made.where("n > 0").join(groups, "node", "left").select("id", "node", F.coalesce("group", "node").alias("group"))
     smallest = named.groupBy("group").agg(F.min("id").alias("component_id"))
     classes = settle(named.select("node", "group").distinct().join(smallest, "group").select("node", "component_id"))
-    discard(entries, found, nodes, wanted, sets, tried, links, groups)
+    discard(led, found, nodes, known, more_sets, tried, first_links, links, groups)
     out = made.select("id", "n", "node").join(classes, "node", "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))

@@ -39,6 +39,27 @@ def test_components_of_repeated_and_null_ids(spark, empty):
     assert ngram_join.components(empty).count() == 0
 
 
+def test_pairs_of_a_large_group_are_not_listed(spark, monkeypatch):
+    plain, rows = [f"w{i}" for i in range(300)], []
+    for i in range(120):
+        words = list(plain)
+        words[5 + 2 * i] = f"z{i}"
+        rows.append((i, " ".join(words[: 298 + i % 3])))
+    rows += [(200, " ".join(plain)), (300, " ".join(f"v{i}" for i in range(300)))]
+    sizes, settle = [], ngram_join.settle
+
+    def counted(df):
+        out = settle(df)
+        if "a" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "settle", counted)
+    got = {(r[0], r[2]) for r in ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {(i, 0) for i in [*range(120), 200]} | {(300, 300)}
+    assert max(sizes) < 10 * len(rows)
+
+
 def test_tree_loses_no_pair():
     rng = np.random.default_rng(1)
     counts = rng.poisson(2, (300, ngram_join.GROUPS)).astype(np.uint8)
