@@ -5,7 +5,8 @@ repetition counts. Each sketch has a hash function of its own, and picks the num
 ``picked`` smallest under it. The k-mers of a sketch are then put back in text order and the tuple of them is hashed: it
 changes when k-mers go, come or change places, as edit distance does. The likeness of two fingerprints is the share of
 equal sketches; texts without a common k-mer have 0. :func:`sketches` is a cheaper variant that deals one list of
-smallest k-mers to all sketches; fingerprints do not use it, as it leaves sketches of short texts empty.
+smallest k-mers to all sketches; fingerprints do not use it, as it leaves sketches of short texts empty. A text and its edited
+form are fingerprinted together, so that what they begin with is hashed once for both.
 
 K-mers are packed as 40 bits of hash and 24 bits of place in one long, so sorting is on primitive arrays. The
 occurrence number of a k-mer in the sorted array is found by doubling steps backwards, not by counting, so a text that
@@ -55,8 +56,8 @@ def _kmers(words: Column, k: int) -> Column:
     return F.sort_array(packed)
 
 
-def _numbered(kmers: Column) -> Column:
-    """Sorted packed hashes of (k-mer, occurrence number), with the k-mer's place."""
+def _numbered_as(kmers: Column, form) -> Column:
+    """Sorted ``form(hash of (k-mer, occurrence number), the k-mer's place)``."""
 
     def occurrence(s: Column, x: Column, i: Column) -> Column:
         back = F.aggregate(
@@ -66,10 +67,12 @@ def _numbered(kmers: Column) -> Column:
         )
         return F.when((i > 0) & (_hash_of(F.get(s, i - 1)) == _hash_of(x)), back).otherwise(F.lit(0))
 
-    return _let(
-        kmers,
-        lambda s: F.sort_array(F.transform(s, lambda x, i: _packed(F.xxhash64(_hash_of(x), occurrence(s, x, i)), _place_of(x)))),
-    )
+    return _let(kmers, lambda s: F.sort_array(F.transform(s, lambda x, i: form(F.xxhash64(_hash_of(x), occurrence(s, x, i)), _place_of(x)))))
+
+
+def _numbered(kmers: Column) -> Column:
+    """Sorted packed hashes of (k-mer, occurrence number), with the k-mer's place."""
+    return _numbered_as(kmers, _packed)
 
 
 def sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2, kept: int = 256) -> Column:
@@ -86,25 +89,77 @@ def sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2, kept: int =
     return _let(smallest, lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
 
 
+def _in_order(words: Column, k: int) -> Column:
+    """Hashes of the numbered k-mers of an array of words, in text order."""
+    by_place = _numbered_as(_kmers(words, k), lambda digest, place: F.shiftleft(place, 64 - _PLACE).bitwiseOR(F.shiftrightunsigned(digest, _PLACE)))
+    return F.transform(by_place, lambda x: x.bitwiseAND(F.lit((1 << (64 - _PLACE)) - 1)))
+
+
+def _words(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), _SPACE, -1)
+
+
+def _least(values: Column, picked: int) -> Column:
+    """The ``picked`` smallest different values, in their order."""
+
+    def in_order(least: Column) -> Column:
+        places = F.filter(F.transform(least, lambda x: F.array_position(values, x)), lambda at: at.isNotNull())
+        return F.transform(F.sort_array(places), lambda at: F.get(values, at.cast("int") - 1))
+
+    def found(rest: Column, least: list[Column]) -> Column:
+        if len(least) == picked - 1:
+            return F.array(*least, F.array_min(rest))
+        return _let(F.array_min(rest), lambda x: found(F.array_remove(rest, x), [*least, x]))
+
+    return _let(found(values, []), in_order)
+
+
+def _at(i: int):
+    return lambda values: F.get(values, F.lit(i))
+
+
+def _seeded(hashes: Column, seed: Column) -> Column:
+    return F.transform(hashes, lambda x: F.xxhash64(x.bitwiseXOR(seed)))
+
+
 def order_sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2) -> Column:
     """Fingerprint of a text as an array of ``n`` longs: per sketch the tuple, in text order, of its ``picked`` smallest k-mers."""
-    words = F.split(F.coalesce(text, F.lit("")), _SPACE, -1)
-    by_place = F.sort_array(F.transform(_numbered(_kmers(words, k)), lambda x: F.shiftleft(_place_of(x), 64 - _PLACE).bitwiseOR(_hash_of(x))))
-    in_order = F.transform(by_place, lambda x: x.bitwiseAND(F.lit((1 << (64 - _PLACE)) - 1)))
-
-    def tuple_of(values: Column) -> Column:
-        # values of the sketch's own hash, in text order
-        least, rest = [], values
-        for _ in range(picked):
-            least.append(F.array_min(rest))
-            rest = F.array_remove(rest, least[-1])
-        places = F.filter(F.transform(F.array(*least), lambda x: F.array_position(values, x)), lambda at: at.isNotNull())
-        return F.xxhash64(F.transform(F.sort_array(places), lambda at: F.get(values, at.cast("int") - 1)))
 
     def sketch(s: Column, j: Column) -> Column:
-        return _let(_let(F.xxhash64(j), lambda seed: F.transform(s, lambda x: F.xxhash64(x.bitwiseXOR(seed)))), tuple_of)
+        return _let(_let(F.xxhash64(j), lambda seed: _seeded(s, seed)), lambda values: F.xxhash64(_least(values, picked)))
+
+    return _let(_in_order(_words(text), k), lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
+
+
+def both_sketches(text: Column, edited: Column, begin: Column, k: int = 3, n: int = 32, picked: int = 2) -> Column:
+    """:func:`order_sketches` of ``text`` and, behind them, of ``edited``, two texts that begin with ``begin``.
+
+    The k-mers within ``begin`` (but for its last word, which may go on) have the same places and numbers in both texts, so each
+    sketch hashes them once and takes their smallest into both tuples.
+    """
+    shared = F.greatest(F.size(_words(begin)) - k, F.lit(0))
+
+    def sketch(front: Column, ends: list[Column], seed: Column) -> Column:
+        def tuple_of(least: Column, end: Column) -> Column:
+            return _let(F.concat(least, _seeded(end, seed)), lambda values: F.xxhash64(_least(values, picked)))
+
+        return _let(
+            _let(_seeded(front, seed), lambda values: _least(values, picked)),
+            lambda least: F.array(*(tuple_of(least, end) for end in ends)),
+        )
 
-    return _let(in_order, lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
+    def every(front: Column, *ends: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: _let(F.xxhash64(j), lambda seed: sketch(front, ends, seed)))
+        return _let(pairs, lambda made: F.concat(*(F.transform(made, _at(i)) for i in (0, 1))))
+
+    def end(s: Column, of: Column) -> Column:
+        return F.slice(s, of + 1, F.size(s))
+
+    def parts(t: Column, e: Column, of: Column) -> Column:
+        front = F.slice(t, F.lit(1), of)
+        return _let(front, lambda f: _let(end(t, of), lambda te: _let(end(e, of), lambda ee: every(f, te, ee))))
+
+    return _let(_in_order(_words(text), k), lambda t: _let(_in_order(_words(edited), k), lambda e: _let(shared, lambda of: parts(t, e, of))))
 
 
 def as_text(sketch: Column) -> Column:
@@ -116,9 +171,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) / F.size(a)
 
 
-def with_next(docs: DataFrame, order: str, columns: list[str], rows_per_run: int = 2000, most_runs: int = 1 << 14) -> DataFrame:
+def with_next(
+    docs: DataFrame, order: str, columns: list[str], rows_per_run: int = 2000, most_runs: int = 1 << 14, made: dict[str, Column] | None = None
+) -> DataFrame:
     """Append ``next_<column>`` of the row that follows in ``order`` (a unique long); after the last comes the first.
 
+    Columns ``made`` of these are appended as well, then the ``next_`` of each, without dealing the rows again.
+
     Rows are dealt once, into runs of consecutive ids between quantiles of the ids. The first row of each run is added to the
     run before as well, so that no run has to look beyond itself. The driver gets one id per run.
     """
@@ -149,6 +208,9 @@ def with_next(docs: DataFrame, order: str, columns: list[str], rows_per_run: int
     following = Window.partitionBy("_run").orderBy("_ghost", order)
     for c in columns:
         every = every.withColumn(f"next_{c}", F.lead(c).over(following))
+    if made:
+        every = every.withColumns(made)
+        every = every.withColumns({f"next_{c}": F.lead(c).over(following) for c in made})
     return every.where(F.col("_ghost") == 0).drop("_run", "_ghost")
 
 
@@ -157,20 +219,20 @@ def fingerprint(docs: DataFrame, text: str = "text", out: str = "sketches", **op
     return docs.withColumn(out, order_sketches(F.col(text), **options))
 
 
-def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 32) -> DataFrame:
     """Fingerprints of each text, of the text with its last quarter replaced by the beginning of the next, and their likeness."""
     rows = with_row_id(docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text")), key, "text")
-    made = fingerprint(rows)
-    made = with_next(made, "_uid", ["text", "sketches"])
-    made = made.withColumn("n_chars", F.length("text").cast("long"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - quarter), F.substring("next_text", F.lit(1), quarter))
-    made = made.select(key, "n_chars", "sketches", "next_sketches", edited.alias("edited"))
-    made = fingerprint(made, "edited", "edited_sketches")
+    n_chars = F.length("text")
+    quarter = F.floor(n_chars / 4).cast("int")
+    begin = F.substring("text", F.lit(1), n_chars - quarter)
+    edited = F.concat(begin, F.substring("next_text", F.lit(1), quarter))
+    made = with_next(rows, "_uid", ["text"], made={"both": both_sketches(F.col("text"), edited, begin, n=n), "edited_sha256": F.sha2(edited, 256)})
+    halves = {"sketches": F.slice("both", 1, n), "edited_sketches": F.slice("both", n + 1, n), "next_sketches": F.slice("next_both", 1, n)}
+    made = made.withColumn("n_chars", n_chars.cast("long")).select(key, "n_chars", "edited_sha256", *(c.alias(name) for name, c in halves.items()))
     return made.select(
         key,
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        "edited_sha256",
         as_text(F.col("sketches")).alias("fingerprint"),
         as_text(F.col("edited_sketches")).alias("edited_fingerprint"),
         likeness(F.col("sketches"), F.col("edited_sketches")).alias("near_edited"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sensorloom.llm import bpe, fingerprints, html, mixing, neighbours, queries, token_shards, toxicity
+from tests.conftest import plan_of
 from tests.llm import samples
 
 PATH = public_tokenizers.path(queries.TOKENIZER)
@@ -423,3 +424,19 @@ def test_a_long_text_without_spaces_goes_through(spark):
     text = "0123456789abcdefghijklmnopqrstuvwxyz" * 140_000  # 5 MB
     row = bpe.round_trip_digest(spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string"), PATH).where("doc_id = 1").first()
     assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_both_sketches_are_those_of_each_text(spark):
+    begins = ["", " ", "a", "a b", "a b c d", " a  b\nc d e ", "x x x x x x x x", "one two three four five si"]
+    rows = [(b, b + t, b + e) for b in begins for t in ("", " ", "x", " x x x x", "ly a b c d") for e in ("", "y z", " a b c d a b c d")]
+    df = spark.createDataFrame(rows, "begin string, text string, edited string")
+    both = fingerprints.both_sketches(F.col("text"), F.col("edited"), F.col("begin"))
+    each = F.concat(fingerprints.order_sketches(F.col("text")), fingerprints.order_sketches(F.col("edited")))
+    assert df.select(both.alias("both"), each.alias("each")).where("both <> each").count() == 0
+
+
+def test_rows_are_dealt_before_they_are_fingerprinted(spark):
+    docs = spark.createDataFrame([(i, f"a b {i} c") for i in range(5)], "doc_id long, text string").repartition(2)
+    plan = plan_of(fingerprints.edited_likeness(docs))
+    above, below = plan.split("Exchange hashpartitioning(_run", 1)
+    assert "array_min" in above and "array_min" not in below
