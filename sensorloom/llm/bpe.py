@@ -4,6 +4,8 @@ Texts are cut into words by the pre-tokenizer's pattern. Words not met before ar
 of them lie in one flat array, the rank of each neighbouring pair is found by binary search over the sorted pair
 keys, and a round merges, in every word, all places of its lowest-ranked pair, left to right. A word leaves
 the array when none of its pairs has a rank. Merged words are kept in a cache of the worker, bounded by bytes.
+Packed ids are made without an object per chunk: short chunks of a group of texts are looked up together, by their bytes, in a
+sorted table of the worker, and their ids are gathered at once.
 
 Defined results: null and empty texts have no ids and decode to ''; the text of an added token in a document becomes its
 single id, as the tokenizers library does; bytes that are no UTF-8 decode to U+FFFD.
@@ -23,6 +25,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .texts import mixed
+
 #: Fixed value: the public pre-tokenizer pattern of byte-level BPE.
 WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -34,6 +38,14 @@ CACHE_BYTES = 48 << 20  # of words that a worker keeps
 _LONG_CHUNK = 256  # characters from which a chunk is not kept for later texts
 
 
+_KEY_BYTES = 15  # of a chunk that is looked up by its bytes
+_ENTRY_BYTES = 40  # of such a chunk in the table, besides its ids
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_WHITE = np.isin(np.arange(256), [32, *range(9, 14)])
+#: Of ASCII characters 1 (letter), 2 (digit) or 3 (other); 0 of white space and of all bytes of longer characters.
+_KIND = np.array([0 if w or b > 127 else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b, w in enumerate(_WHITE)], np.uint8)
+
+
 def _weight(chunk: str, ids: tuple[int, ...] | bytes) -> int:
     """About the bytes of a cached chunk: text, ids (objects shared) and entry."""
     return 220 + 2 * len(chunk) + 8 * len(ids)
@@ -90,12 +102,14 @@ class BpeCodec:
     def _ready(self) -> None:
         if "_cache" not in self.__dict__:
             self._cache: dict[str, tuple[int, ...]] = {}
-            self._packed: dict[str, bytes] = {}
-            self._held = 0  # bytes of either cache, by estimate
+            self._packed: dict[str, tuple[int, ...]] = {}  # of chunks too long for the table
+            self._held_packed = 0
+            self._held = 0  # bytes of the cache, by estimate
             self._ids = list(range(len(self.tokens)))  # one object per id, shared by all cached words
             self._pattern = regex.compile(WORD_PATTERN)
             self._odd = regex.compile(r"\p{White_Space} | \p{White_Space}")
             self._space = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
+            self._clear_table()
             names = sorted(self.added, key=len, reverse=True)
             self._added = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -142,8 +156,9 @@ class BpeCodec:
             keep[places + 1] = False
             symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
             places -= np.arange(len(places))
-            changed = np.unique(np.concatenate([places, places - 1]))
-            changed = changed[changed >= 0]
+            beside = np.zeros(len(symbols) + 1, bool)
+            beside[places + 1] = beside[places] = True  # the pair before is one place back
+            changed = np.flatnonzero(beside[1:])
             last = changed + 1 >= len(symbols)
             rank[changed[last]] = _NONE
             changed = changed[~last]
@@ -160,17 +175,24 @@ class BpeCodec:
             out.update(zip(part, self.merge_words([w.encode() for w in part])))
         return out
 
-    def _tidy(self, cache: dict, fresh: dict) -> None:
-        """After a group of texts: drop its long chunks, of which each may be a whole text, and all chunks when they are too many."""
+    def _tidied(self, cache: dict, fresh: dict, held: int, most: int) -> int:
+        """After a group of texts: drop its long chunks, of which each may be a whole text, and all chunks when they are too many.
+        Returns the bytes that are left of ``held``."""
         for chunk in fresh:
             if len(chunk) > _LONG_CHUNK:
-                self._held -= _weight(chunk, cache.pop(chunk))
-        if self._held > self.cache_bytes:
+                held -= _weight(chunk, cache.pop(chunk))
+        if held > most:
             cache.clear()
-            self._held = 0
+            held = 0
+        return held
 
-    def _ids_of(self, chunks: set[str]) -> dict[str, tuple[int, ...]]:
-        cut = {c: self._pattern.findall(c) for c in chunks}
+    def _words_of(self, chunk: str) -> list[str]:
+        if chunk.isascii() and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
+            return [chunk]
+        return self._pattern.findall(chunk)
+
+    def _ids_of(self, chunks: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        cut = {c: self._words_of(c) for c in chunks}
         merged = self._merged(set(chain.from_iterable(cut.values())))
         return {c: merged[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(merged.__getitem__, words))) for c, words in cut.items()}
 
@@ -200,32 +222,117 @@ class BpeCodec:
                 group, size = [], 0
         yield from self._encoded(group)
 
-    def encode_packed(self, texts: Iterable[str | None], kind: np.dtype, group_chars: int = 1 << 20) -> Iterator[bytes]:
-        """The ids of :meth:`encode` as bytes of ``kind``, joined from packed chunks without a list of numbers per text."""
+    def encode_packed(self, texts: Iterable[str | None], kind: np.dtype, group_chars: int = 1 << 21) -> Iterator[bytes]:
+        """The ids of :meth:`encode` as bytes of ``kind``, gathered for groups of texts without a list of numbers per text."""
         self._ready()
         if len(self.tokens) > np.iinfo(kind).max - 1:
             raise ValueError(f"{len(self.tokens)} ids and two marks do not fit {kind}")
         group, size = [], 0
         for text in texts:
-            group.append(self._pieces(text) if text else [])
+            group.append(text or "")
             size += len(text or "")
             if size >= group_chars:
                 yield from self._joined(group, kind)
                 group, size = [], 0
         yield from self._joined(group, kind)
 
-    def _joined(self, group: list[list[list[str] | int]], kind: np.dtype) -> Iterator[bytes]:
-        chunks = set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list)))
-        found = self._ids_of(chunks.difference(self._packed))
-        ends = np.cumsum([0, *map(len, found.values())]) * kind.itemsize
-        data = np.array(list(chain.from_iterable(found.values())), kind).tobytes()
-        fresh = {c: data[a:b] for c, a, b in zip(found, ends.tolist(), ends[1:].tolist())}
-        self._packed.update(fresh)
-        self._held += sum(map(_weight, fresh, fresh.values()))
-        known = self._packed.__getitem__
-        for pieces in group:
-            yield b"".join(np.array([p], kind).tobytes() if isinstance(p, int) else b"".join(map(known, p)) for p in pieces)
-        self._tidy(self._packed, fresh)
+    def _joined(self, group: list[str], kind: np.dtype) -> Iterator[bytes]:
+        parts: list[str] = []
+        made: list[list[int]] = []  # of each text its parts by number, and its added tokens as -1 - id
+        for text in group:
+            cut = self._added.split(text) if self._added and any(name in text for name in self.added) else [text]
+            own = []
+            for p in filter(None, cut):
+                if len(cut) > 1 and p in self.added:
+                    own.append(-1 - self.added[p])
+                else:
+                    own.append(len(parts))
+                    parts.append(p)
+            made.append(own)
+        ids, bounds = self._gathered([p.encode() for p in parts], kind)
+        data, at = memoryview(ids.tobytes()), (bounds * kind.itemsize).tolist()
+        for own in made:
+            yield b"".join(data[at[p] : at[p + 1]] if p >= 0 else np.array([-1 - p], kind).tobytes() for p in own)
+
+    def _clear_table(self) -> None:
+        """The table of short chunks: sorted hashes with their rows; per row the bytes of the chunk and where its ids begin."""
+        self._hashes, self._rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._keys, self._begin = np.zeros((2, 0), np.uint64), np.zeros(1, np.int64)
+        self._flat = np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, keys: np.ndarray, found: list[tuple[int, ...]]) -> None:
+        """Add chunks to the table; ``hashes`` are sorted and not in it."""
+        rows = len(self._begin) - 1 + np.arange(len(found))
+        at = np.searchsorted(self._hashes, hashes)
+        self._hashes, self._rows = np.insert(self._hashes, at, hashes), np.insert(self._rows, at, rows)
+        self._keys = np.concatenate([self._keys, keys], axis=1)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(sizes)])
+        self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
+
+    def _gathered(self, parts: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts (not empty, in UTF-8, without added tokens) in one array, and the bounds of the parts in it.
+
+        A chunk ends where a word surely ends: after ASCII letters, digits or others, if the next character is ASCII of another
+        kind (but not after an apostrophe, which may begin a word with letters), and behind a single white space that
+        cannot begin a word. A chunk of up to 15 bytes is its bytes and its length in two longs, so equal keys are equal chunks.
+        """
+        if not parts:
+            return np.zeros(0, kind), np.zeros(1, np.int64)
+        text = b"".join(parts)
+        n = len(text)
+        data = np.frombuffer(text + bytes(16), np.uint8)
+        first_of = np.cumsum([0, *map(len, parts)])
+        kinds, white = _KIND[data[:n]], _WHITE[data[:n]]
+        begins = np.zeros(n, bool)
+        begins[1:] = (kinds[1:] != kinds[:-1]) & (kinds[:-1] > 0) & (data[: n - 1] != ord("'")) & ((kinds[1:] > 0) | white[1:])
+        begins[1:] |= white[1:] & (kinds[:-1] > 0)
+        begins[2:] |= (kinds[2:] > 0) & (white & (data[:n] != 32))[1:-1] & (kinds[:-2] > 0)
+        begins[first_of[:-1]] = True
+        starts = np.flatnonzero(begins)
+        sizes = np.diff(np.append(starts, n))
+        eight = np.ndarray(n + 9, "<u8", data, strides=(1,))
+        low = eight[starts] & _MASKS[np.minimum(sizes, 8)]
+        high = (eight[starts + 8] & _MASKS[np.clip(sizes - 8, 0, 7)]) | (np.minimum(sizes, 255).astype(np.uint64) << np.uint64(56))
+        hashes = mixed(low ^ mixed(high))
+
+        def chunks(of: np.ndarray) -> list[str]:
+            return [text[s:e].decode() for s, e in zip(starts[of].tolist(), (starts[of] + sizes[of]).tolist())]
+
+        short = np.flatnonzero(sizes <= _KEY_BYTES)
+        values, first, which = np.unique(hashes[short], return_index=True, return_inverse=True)
+        first = short[first]
+        at = np.searchsorted(self._hashes, values)
+        new = np.ones(len(values), bool)
+        inside = at < len(self._hashes)
+        new[inside] = self._hashes[at[inside]] != values[inside]
+        fresh = chunks(first[new])
+        known = self._ids_of(fresh)
+        self._learn(values[new], np.stack([low[first[new]], high[first[new]]]), [known[c] for c in fresh])
+        row = np.full(len(starts), -1)
+        row[short] = self._rows[np.searchsorted(self._hashes, values)][which]
+        # long chunks, and chunks whose hash is another chunk's, are kept by their text
+        other = sizes > _KEY_BYTES
+        other[short] = (self._keys[0, row[short]] != low[short]) | (self._keys[1, row[short]] != high[short])
+        other = np.flatnonzero(other)
+        names = chunks(other)
+        own = {c: i for i, c in enumerate(dict.fromkeys(names))}
+        unmet = self._ids_of(own.keys() - self._packed.keys())
+        self._packed.update(unmet)
+        found = self._packed
+        lengths = np.fromiter(map(len, map(found.__getitem__, own)), np.int64, len(own))
+        flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(map(found.__getitem__, own)), np.int32, int(lengths.sum()))])
+        begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths)])
+        row[other] = len(self._begin) - 1 + np.fromiter(map(own.__getitem__, names), np.int64, len(names))
+        counts = begin[row + 1] - begin[row]
+        ends = np.cumsum(counts)
+        ids = flat[np.repeat(begin[row] - ends + counts, counts) + np.arange(ends[-1])].astype(kind)
+        bounds = np.append(0, ends)[np.append(np.searchsorted(starts, first_of[:-1]), len(starts))]
+        self._held_packed += sum(map(_weight, unmet, unmet.values()))
+        self._held_packed = self._tidied(self._packed, unmet, self._held_packed, self.cache_bytes // 4)
+        if _ENTRY_BYTES * len(self._rows) + 4 * len(self._flat) > self.cache_bytes - self.cache_bytes // 4:
+            self._clear_table()
+        return ids, bounds
 
     def _encoded(self, group: list[list[list[str] | int]]) -> Iterator[list[int]]:
         chunks = set(chain.from_iterable(p for pieces in group for p in pieces if isinstance(p, list)))
@@ -235,7 +342,7 @@ class BpeCodec:
         known = self._cache.__getitem__
         for pieces in group:
             yield list(chain.from_iterable((p,) if isinstance(p, int) else chain.from_iterable(map(known, p)) for p in pieces))
-        self._tidy(self._cache, fresh)
+        self._held = self._tidied(self._cache, fresh, self._held, self.cache_bytes)
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids; special tokens are kept."""

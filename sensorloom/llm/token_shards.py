@@ -2,7 +2,8 @@
 
 The token stream of each input split (its documents in file order, an end mark after each) is cut into sequences of ``length`` ids.
 Texts are encoded once: the sequences are written with their split (file and offset) and place in it. They are counted per
-split, running sums give every sequence a dense number, and the second pass needs no shuffle to number its rows. A keyed Feistel network permutes the
+split, running sums give every sequence a dense number, and the second pass needs no shuffle to number its rows. Until they are in
+their shard, sequences are kept and shuffled compressed, in the shuffle those of a batch and shard together. A keyed Feistel network permutes the
 numbers: it works on the smallest even number of bits that holds them, and values beyond the last number walk
 on along their cycle until they fall inside. So each sequence has one slot, each slot one sequence, and the inverse is as cheap.
 
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 
 from ..session import discard, new_path, settle
 from .bpe import BpeCodec
-from .texts import mixed
+from .texts import mixed, slices
 
 _U = np.uint64
+_PACKING = "zstd"
+CACHE_BYTES = 96 << 20  # of words that a worker keeps
 
 
 def feistel(numbers: np.ndarray, n: int, key: int, rounds: int = 6, back: bool = False) -> np.ndarray:
@@ -76,7 +79,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     kind, end, fill = _ids(vocabulary, None)
-    shared = BpeCodec.from_file(vocabulary).shared(spark) if vocabulary else None
+    shared = BpeCodec.from_file(vocabulary, cache_bytes=CACHE_BYTES).shared(spark) if vocabulary else None
     stride = length * kind.itemsize
     split = docs.select(F.col(text).alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
@@ -97,8 +100,7 @@ def write_shards(
                 yield made(np.concatenate([rest, np.full(length - len(rest), fill, kind)]), done)
 
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
+            for part in slices(b, "text", 1 << 21):
                 names = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
                 cuts = [0, *(j for j in range(1, len(names)) if names[j] != names[j - 1]), len(names)]
                 for s, e in zip(cuts, cuts[1:]):
@@ -114,7 +116,7 @@ def write_shards(
                     done, rest = done + whole, stream[whole * length :]
         yield from closed()
 
-    held = settle(split.mapInArrow(sequences, "file string, block long, place long, ids binary"))
+    held = settle(split.mapInArrow(sequences, "file string, block long, place long, ids binary"), compression=_PACKING)
     splits = settle(held.groupBy("file", "block").agg(F.count("*").alias("own")))
     n = splits.agg(F.sum("own").alias("n")).first()["n"] or 0
     manifest = "shard long, path string, first_slot long, sequences long, stride long"
@@ -124,12 +126,24 @@ def write_shards(
     placed = splits.withColumn("base", F.coalesce(F.sum("own").over(by_file), F.lit(0))).select("file", "block", "base")
 
     def numbered(batches):
+        codec = pa.Codec(_PACKING, 3)
         for b in batches:
+            if not b.num_rows:
+                continue
             slots = feistel(b.column(0).to_numpy(), n, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slots // per_shard), pa.array(slots), b.column(1)], names=["shard", "slot", "ids"])
+            order = np.argsort(slots)
+            slots = slots[order]
+            data = b.column(1).cast(pa.binary(stride)).take(pa.array(order)).buffers()[1]
+            cuts = [0, *(1 + np.flatnonzero(np.diff(slots // per_shard))).tolist(), len(slots)]
+            columns = [
+                pa.array(slots[cuts[:-1]] // per_shard),
+                pa.array([slots[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary()),
+                pa.array([codec.compress(data[s * stride : e * stride], asbytes=True) for s, e in zip(cuts, cuts[1:])], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "slots", "packed"])
 
     rows = held.join(placed, ["file", "block"]).select((F.col("base") + F.col("place")).alias("number"), "ids")
-    rows = rows.mapInArrow(numbered, "shard long, slot long, ids binary")
+    rows = rows.mapInArrow(numbered, "shard long, slots binary, packed binary")
     shards = -(-n // per_shard)
 
     def fill_shards(batches):
@@ -153,16 +167,16 @@ def write_shards(
                 {"shard": [shard], "path": [f"{folder}/{name}"], "first_slot": [shard * per_shard], "sequences": [own], "stride": [stride]}
             )
 
+        codec = pa.Codec(_PACKING)
         for b in batches:
-            of = b.column(0).to_numpy()
-            for s in np.unique(of).tolist():
+            for s, slots, packed in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
                 if s != shard:
                     yield from saved()
                     shard, sizes, table = s, 0, np.zeros((per_shard, stride), np.uint8)
-                mine = np.flatnonzero(of == s)
-                data = b.column(2).take(pa.array(mine)).to_pylist()
-                table[b.column(1).to_numpy()[mine] - s * per_shard] = np.frombuffer(b"".join(data), np.uint8).reshape(-1, stride)
-                sizes += len(mine)
+                slots = np.frombuffer(slots.as_buffer(), np.int64)
+                data = codec.decompress(packed.as_buffer(), len(slots) * stride)
+                table[slots - s * per_shard] = np.frombuffer(data, np.uint8).reshape(-1, stride)
+                sizes += len(slots)
         yield from saved()
 
     dealt = rows.repartitionById(int(shards), F.col("shard").cast("int"))

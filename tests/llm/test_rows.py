@@ -440,3 +440,27 @@ def test_rows_are_dealt_before_they_are_fingerprinted(spark):
     plan = plan_of(fingerprints.edited_likeness(docs))
     above, below = plan.split("Exchange hashpartitioning(_run", 1)
     assert "array_min" in above and "array_min" not in below
+
+
+def test_packed_ids_at_every_kind_of_boundary():
+    """Chunks are cut by the kinds of bytes: the ids must be the library's, and a word met before is not merged again, whatever follows it."""
+    library, codec = Tokenizer.from_file(PATH), bpe.BpeCodec.from_file(PATH)
+    parts = ["a", "B", " ", "  ", "\n", "\t", "'", "s", "ll", "1", "9", ".", "!", "é", "　", "\x85", "\xa0", "日", "\0", "_", "\x1c", "x" * 17, "<|endoftext|>"]
+    rng = np.random.default_rng(3)
+    texts = ["", *("".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(3000))]
+    kind = np.dtype("<u2")
+    for data, text in zip(codec.encode_packed(texts, kind, 5000), texts, strict=True):
+        assert np.frombuffer(data, kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    list(codec.encode_packed([" known words,\n"], kind))
+    codec.merge_words = lambda words: pytest.fail(f"merged again: {words}")
+    assert len(list(codec.encode_packed([" words, known words\n", " known,\n"], kind))) == 2
+
+
+def test_shards_shuffle_a_row_per_batch_and_shard(spark, tmp_path, docs):
+    """Sequences are shuffled compressed, those of a batch and shard together, and come back whole."""
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    manifest = token_shards.write_shards(docs, f"file://{tmp_path}/few", length=16, per_shard=8)
+    one = token_shards.write_shards(docs, f"file://{tmp_path}/one", length=16, per_shard=1 << 12)
+    rows = [[bytes(r["ids"]) for r in token_shards.read_shards(m, f"file://{tmp_path}/{d}").orderBy("slot").collect()] for m, d in ((manifest, "few"), (one, "one"))]
+    assert rows[0] == rows[1] and len(rows[0]) > 8
