@@ -6,7 +6,8 @@ repetition counts. Each sketch has a hash function of its own, and picks the num
 changes when k-mers go, come or change places, as edit distance does. The likeness of two fingerprints is the share of
 equal sketches; texts without a common k-mer have 0. :func:`sketches` is a cheaper variant that deals one list of
 smallest k-mers to all sketches; fingerprints do not use it, as it leaves sketches of short texts empty. A text and its edited
-form are fingerprinted together, so that what they begin with is hashed once for both.
+form are fingerprinted together, so that what they begin with is hashed once for both. Of the values of a sketch, evenly spread as hashes are, only the
+about ``_TRIED`` times ``picked`` smallest are kept at first, up to a bound drawn from their number; if too few are, all are looked at.
 
 K-mers are packed as 40 bits of hash and 24 bits of place in one long, so sorting is on primitive arrays. The
 occurrence number of a k-mer in the sorted array is found by doubling steps backwards, not by counting, so a text that
@@ -26,6 +27,8 @@ from .pairs import with_row_id
 #: Fixed value: words are cut at space and 0x09-0x0D.
 _SPACE = r"[\x20\x09-\x0D]+"
 _PLACE = 24
+#: Values that a sketch looks at more closely, for each that it picks.
+_TRIED = 4
 _STEPS = [1 << i for i in range(_PLACE - 1, -1, -1)]
 
 
@@ -65,7 +68,7 @@ def _numbered_as(kmers: Column, form) -> Column:
             F.lit(0),
             lambda d, step: F.when((i >= d + step) & (_hash_of(F.get(s, i - d - step)) == _hash_of(x)), d + step).otherwise(d),
         )
-        return F.when((i > 0) & (_hash_of(F.get(s, i - 1)) == _hash_of(x)), back).otherwise(F.lit(0))
+        return F.when(_hash_of(F.get(s, i - 1)) == _hash_of(x), back).otherwise(F.lit(0))
 
     return _let(kmers, lambda s: F.sort_array(F.transform(s, lambda x, i: form(F.xxhash64(_hash_of(x), occurrence(s, x, i)), _place_of(x)))))
 
@@ -122,42 +125,64 @@ def _seeded(hashes: Column, seed: Column) -> Column:
     return F.transform(hashes, lambda x: F.xxhash64(x.bitwiseXOR(seed)))
 
 
+def _few(hashes: Column, seed: Column, bound: Column) -> Column:
+    """The seeded values up to ``bound``, in their order."""
+    return _seeded(F.filter(hashes, lambda x: F.xxhash64(x.bitwiseXOR(seed)) <= bound), seed)
+
+
+def _smallest(few: Column, hashes: Column, seed: Column, picked: int) -> Column:
+    """The ``picked`` smallest different seeded values, in their order. Those up to a bound are tried first, and nearly always enough."""
+
+    def told(values: Column) -> Column:
+        enough = F.size(F.array_distinct(values)) >= picked
+        return F.when(enough, _least(values, picked)).otherwise(_let(_seeded(hashes, seed), lambda every: _least(every, picked)))
+
+    return _let(few, told)
+
+
+def _bound(hashes: Column, picked: int) -> Column:
+    """About ``_TRIED * picked`` seeded values of so many hashes are up to this one."""
+    n, tried = F.size(hashes), _TRIED * picked
+    step = F.floor(F.lit(float(1 << 63)) / F.greatest(n, F.lit(2 * tried + 1)))
+    return F.when(n > 2 * tried, F.lit(-(1 << 63)) + step * (2 * tried)).otherwise(F.lit((1 << 63) - 1))
+
+
 def order_sketches(text: Column, k: int = 3, n: int = 32, picked: int = 2) -> Column:
     """Fingerprint of a text as an array of ``n`` longs: per sketch the tuple, in text order, of its ``picked`` smallest k-mers."""
 
-    def sketch(s: Column, j: Column) -> Column:
-        return _let(_let(F.xxhash64(j), lambda seed: _seeded(s, seed)), lambda values: F.xxhash64(_least(values, picked)))
+    def sketch(s: Column, bound: Column, seed: Column) -> Column:
+        return F.xxhash64(_smallest(_few(s, seed, bound), s, seed, picked))
 
-    return _let(_in_order(_words(text), k), lambda s: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: sketch(s, j)))
+    def every(s: Column, bound: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: _let(F.xxhash64(j), lambda seed: sketch(s, bound, seed)))
+
+    return _let(_in_order(_words(text), k), lambda s: _let(_bound(s, picked), lambda bound: every(s, bound)))
 
 
 def both_sketches(text: Column, edited: Column, begin: Column, k: int = 3, n: int = 32, picked: int = 2) -> Column:
     """:func:`order_sketches` of ``text`` and, behind them, of ``edited``, two texts that begin with ``begin``.
 
     The k-mers within ``begin`` (but for its last word, which may go on) have the same places and numbers in both texts, so each
-    sketch hashes them once and takes their smallest into both tuples.
+    sketch hashes them once and takes the few smallest into both tuples.
     """
     shared = F.greatest(F.size(_words(begin)) - k, F.lit(0))
 
-    def sketch(front: Column, ends: list[Column], seed: Column) -> Column:
-        def tuple_of(least: Column, end: Column) -> Column:
-            return _let(F.concat(least, _seeded(end, seed)), lambda values: F.xxhash64(_least(values, picked)))
+    def sketch(front: Column, ends: list[Column], bound: Column, seed: Column) -> Column:
+        def tuple_of(few: Column, end: Column) -> Column:
+            return F.xxhash64(_smallest(F.concat(few, _few(end, seed, bound)), F.concat(front, end), seed, picked))
 
-        return _let(
-            _let(_seeded(front, seed), lambda values: _least(values, picked)),
-            lambda least: F.array(*(tuple_of(least, end) for end in ends)),
-        )
+        return _let(_few(front, seed, bound), lambda few: F.array(*(tuple_of(few, end) for end in ends)))
 
-    def every(front: Column, *ends: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: _let(F.xxhash64(j), lambda seed: sketch(front, ends, seed)))
+    def every(front: Column, bound: Column, *ends: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: _let(F.xxhash64(j), lambda seed: sketch(front, ends, bound, seed)))
         return _let(pairs, lambda made: F.concat(*(F.transform(made, _at(i)) for i in (0, 1))))
 
     def end(s: Column, of: Column) -> Column:
         return F.slice(s, of + 1, F.size(s))
 
     def parts(t: Column, e: Column, of: Column) -> Column:
-        front = F.slice(t, F.lit(1), of)
-        return _let(front, lambda f: _let(end(t, of), lambda te: _let(end(e, of), lambda ee: every(f, te, ee))))
+        ends = lambda f, bound: _let(end(t, of), lambda te: _let(end(e, of), lambda ee: every(f, bound, te, ee)))
+        return _let(F.slice(t, F.lit(1), of), lambda f: _let(_bound(t, picked), lambda bound: ends(f, bound)))
 
     return _let(_in_order(_words(text), k), lambda t: _let(_in_order(_words(edited), k), lambda e: _let(shared, lambda of: parts(t, e, of))))
 

@@ -464,3 +464,16 @@ def test_shards_shuffle_a_row_per_batch_and_shard(spark, tmp_path, docs):
     one = token_shards.write_shards(docs, f"file://{tmp_path}/one", length=16, per_shard=1 << 12)
     rows = [[bytes(r["ids"]) for r in token_shards.read_shards(m, f"file://{tmp_path}/{d}").orderBy("slot").collect()] for m, d in ((manifest, "few"), (one, "one"))]
     assert rows[0] == rows[1] and len(rows[0]) > 8
+
+
+@pytest.mark.parametrize("words, picked", [(0, 2), (1, 2), (7, 2), (16, 2), (17, 2), (400, 1), (400, 3)])
+def test_smallest_values_whatever_the_bound(spark, words, picked):
+    """Only values up to the bound are looked at; where they are too few, all are."""
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(words)), lambda x: F.xxhash64(x % 300))
+    seed, low, high = F.xxhash64(F.lit(7)), F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    bounds = [low, F.lit(-(1 << 62)), high, fingerprints._bound(hashes, picked)]
+    got = [fingerprints._smallest(fingerprints._few(hashes, seed, b), hashes, seed, picked) for b in bounds]
+    want = fingerprints._least(fingerprints._seeded(hashes, seed), picked)
+    row = spark.range(1).select(want.alias("want"), F.array(*got).alias("got"), F.size(F.filter(hashes, lambda x: F.xxhash64(x.bitwiseXOR(seed)) <= bounds[3])).alias("tried")).first()
+    assert row["got"] == [row["want"]] * 4
+    assert row["tried"] == words + 1 if words < 16 else row["tried"] < 40 * picked
