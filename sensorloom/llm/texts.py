@@ -121,8 +121,8 @@ def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray | None = Non
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def shingles(hashes: np.ndarray, owner: np.ndarray, n_owners: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of ``k`` words of each owner, sorted by owner and value, and their owners.
+def every_shingle(hashes: np.ndarray, owner: np.ndarray, n_owners: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of ``k`` words of each owner in order of place, repeated ones as often as they come, and their owners.
 
     An owner with fewer than ``k`` words has its whole sequence as one shingle; one without words has none.
     """
@@ -139,7 +139,12 @@ def shingles(hashes: np.ndarray, owner: np.ndarray, n_owners: int, k: int) -> tu
         acc = (acc ^ np.where(inside, mixed(part + _U(j + 1)), _U(0))) * _U(0xD6E8FEB86659FD93)
     position = np.arange(m) - first[owner]
     keep = (position + k <= counts[owner]) | ((position == 0) & (counts[owner] < k))
-    values, owners = mixed(acc[keep]), owner[keep]
+    return mixed(acc[keep]), owner[keep]
+
+
+def shingles(hashes: np.ndarray, owner: np.ndarray, n_owners: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of :func:`every_shingle`, sorted by owner and value, and their owners."""
+    values, owners = every_shingle(hashes, owner, n_owners, k)
     order = _by_owner(values, owners)
     values, owners = values[order], owners[order]
     fresh = np.ones(len(values), bool)

@@ -126,6 +126,64 @@ def test_line_dedup_keeps_columns_and_repeated_rows(spark, empty):
     assert line_dedup.remove_lines(empty).count() == 0
 
 
+def _lines_of_rare_words(n: int, copies: int) -> list[tuple[int, str]]:
+    """Lines of 20 words that come once, and near copies, last word changed, of the first of them."""
+    rng = np.random.default_rng(11)
+    rows = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 20)) for _ in range(n)]
+    return list(enumerate(rows + [r.rsplit(" ", 1)[0] + f" c{i}" for i, r in enumerate(rows[:copies])]))
+
+
+def test_only_recurring_tokens_are_dealt(spark):
+    rows = _lines_of_rare_words(300, 20)
+    frame = spark.createDataFrame(rows, "_uid long, text string").repartition(3)
+    counts, recurring = line_dedup.token_statistics(frame, 5, 1024)
+    assert counts.sum() == 16 * len(rows)
+    found = line_dedup.prefixes(frame, counts, recurring, 5, 80).collect()
+    assert sorted(r["uid"] for r in found if r["token"] is None) == list(range(len(rows)))
+    node_of = {r["uid"]: r["node"] for r in found if r["token"] is None}
+    tokens = [r for r in found if r["token"] is not None]
+    # of 16 tokens the first 4 are looked at; one of a copy and its original comes once
+    assert {r["node"] for r in tokens} == {node_of[i] for i in [*range(20), *range(300, 320)]}
+    assert len(tokens) == 40 * 3
+    assert {(r["n"], r["at"], r["left"]) for r in tokens} == {(16, 1, 3), (16, 2, 2), (16, 3, 1)}
+
+
+@pytest.mark.parametrize("k, percent", [(5, 80), (1, 60)])
+def test_line_dedup_with_a_full_filter(docs, k, percent, monkeypatch):
+    """A filter with too few bits takes more tokens for recurring; the lines that go are the same."""
+    plain = line_dedup.token_statistics
+    monkeypatch.setattr(line_dedup, "token_statistics", lambda docs, k, ranges: plain(docs, k, ranges, most=8 * ranges))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.remove_lines(docs, k, percent).collect()}
+    assert got == {i: (t, n) for i, t, n in samples.without_later_lines(ROWS, k, percent)}
+
+
+def test_line_dedup_of_edited_lines(spark):
+    """Lines with 0 to 8 words of 24 changed, whose similarity is on both sides of the limit."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(60):
+        line = [f"w{x}" for x in rng.integers(0, 400, 24)]
+        for _ in range(4):
+            other = list(line[: rng.integers(18, 25)])
+            for at in rng.integers(0, len(other), rng.integers(0, 5)):
+                other[at] = f"e{rng.integers(0, 50)}"
+            rows.append((len(rows), " ".join(other)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, percent in ((1, 80), (2, 70), (5, 50)):
+        got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.remove_lines(frame, k, percent).collect()}
+        assert got == {i: (t, n) for i, t, n in samples.without_later_lines(rows, k, percent)}
+        assert 0 < sum(n for _, n in got.values()) < len(rows)
+
+
+def test_marks_are_packed_without_loss():
+    marks = np.sort(np.random.default_rng(13).integers(0, 1 << line_dedup.MARK, 1000).astype(np.uint64))
+    marks[500] = marks[499]
+    assert (line_dedup.unpack_marks(line_dedup.pack_marks(marks), len(marks)) == marks).all()
+    held = line_dedup.RecurringTokens.of([b"\0", line_dedup.RecurringTokens.block(marks >> np.uint64(1) | np.uint64(1 << 39), 1 << 20).tobytes()])
+    assert held.has((marks >> np.uint64(1) | np.uint64(1 << 39)) << np.uint64(64 - line_dedup.MARK)).all()
+    assert not held.has(marks >> np.uint64(1) << np.uint64(64 - line_dedup.MARK))[marks >> np.uint64(1) < 1 << 39].any()
+
+
 @pytest.mark.parametrize("length, seed_length", [(100, 36), (20, 8)])
 def test_suffix_dedup(docs, length, seed_length):
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(docs, length, seed_length).collect()}
