@@ -24,6 +24,7 @@ leave ''. Repeated keys are ordered by the text's digest.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ _PART = 1 << 12
 #: Tokens are marked by their upper bits. Marks are dealt out by ranges, at least so many, and a task holds so many tokens at a time.
 MARK = 40
 LEAST_RANGES = 1 << 10
-_HELD = 1 << 22
-#: Bits of the filter of recurring tokens: sixteen a token, but no more than these.
+_HELD = 1 << 21
+#: Bits of the filter of recurring tokens: eight a token or more, but no more than these.
 MOST_BITS = 1 << 28
 
 
@@ -70,6 +71,13 @@ def _lines(texts: pa.Array, k: int):
     return of_text, place, sizes, nodes, values, line
 
 
+def _line_counts(texts: pa.Array) -> np.ndarray:
+    """Lines of each text, blank ones included; an empty text has none."""
+    data, offsets = bounds(texts)
+    breaks = np.searchsorted(offsets, np.flatnonzero(data == 10), side="right") - 1
+    return np.where(np.diff(offsets) > 0, np.bincount(breaks, minlength=len(texts)) + 1, 0)
+
+
 def pack_marks(marks: np.ndarray) -> bytes:
     """Sorted marks as compressed differences, byte by byte."""
     steps = np.diff(marks, prepend=np.uint64(0))
@@ -97,9 +105,11 @@ def scan(docs: DataFrame, k: int, ranges: int) -> DataFrame:
         total, held, count = np.zeros(BINS, np.int64), [], 0
 
         def blocks():
-            values = np.sort(np.concatenate(held))
-            total[:] += np.bincount((values % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-            marks = values >> low
+            marks = np.concatenate(held)
+            held.clear()
+            marks.sort()
+            total[:] += np.bincount((marks % np.uint64(BINS)).view(np.int64), minlength=BINS)
+            marks >>= low
             third = np.zeros(len(marks), bool)
             third[2:] = marks[2:] == marks[:-2]
             marks = marks[~third]
@@ -162,7 +172,7 @@ class RecurringTokens:
     @staticmethod
     def block(marks: np.ndarray, most: int) -> np.ndarray:
         """Bytes of the block of distinct marks of one range."""
-        bits = min(most, max(8, 1 << (16 * len(marks)).bit_length()))
+        bits = min(most, max(8, 1 << (8 * len(marks)).bit_length()))
         out = np.zeros(bits // 8, np.uint8)
         for at in RecurringTokens._at(marks, np.uint64(bits)):
             np.bitwise_or.at(out, at >> np.uint64(3), np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8)))
@@ -183,8 +193,9 @@ class RecurringTokens:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, recurring: RecurringTokens, k: int, percent: int) -> DataFrame:
-    """All lines that have tokens (``uid``, ``place``, ``node``) and, in rows with a ``token``, the recurring tokens among the first
-    of each set in order of rarity: ``node``, ``n``, their places ``at``, and how many of them there are from here on (``left``)."""
+    """All texts (``uid``, ``n``: lines, the rest null); all lines that have tokens (``uid``, ``place``, ``node``); and, in rows with a
+    ``token``, the recurring tokens among the first of each set in order of rarity: ``node``, ``n``, their places ``at``, and how many
+    of them there are from here on (``left``)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((counts, recurring.words, recurring.first, recurring.bits))
     names = ["uid", "place", "node", "token", "n", "at", "left"]
@@ -198,6 +209,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, recurring: RecurringTokens, k:
                 of_text, place, sizes, nodes, values, line = _lines(b.column(1), k)
                 has = np.flatnonzero(sizes > 0)
                 uids = b.column(0).to_numpy(zero_copy_only=False)
+                yield _rows(names, kinds, uid=uids, n=_line_counts(b.column(1)))
                 yield _rows(names, kinds, uid=uids[of_text[has]], place=place[has], node=signed(nodes[has]))
                 fresh = np.zeros(len(nodes), bool)
                 fresh[np.unique(nodes, return_index=True)[1]] = True
@@ -252,12 +264,12 @@ def _may_match(percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * most >= percent * (n + m))
 
 
-def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``uid``, ``places``: the lines of each document that have a similar line before them. ``docs``: _uid, text."""
+def later_matches(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The lines that have a similar line before them (``uid``, ``place``), and the number ``n`` of lines of each ``uid``. ``docs``: _uid, text."""
     ranges = max(LEAST_RANGES, 1 << (8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))).bit_length())
     counts, recurring = token_statistics(docs, k, ranges)
     dealt = settle(prefixes(docs, counts, recurring, k, percent))
-    lines = dealt.where("token IS NULL").select("uid", "place", "node")
+    lines = dealt.where("place IS NOT NULL").select("uid", "place", "node")
     entries = dealt.where("token IS NOT NULL").select("token", "node", "n", "at", "left")
     by_token = Window.partitionBy("token")
     entries = entries.withColumn("_lo", F.min("node").over(by_token)).withColumn("_hi", F.max("node").over(by_token))
@@ -292,10 +304,81 @@ def later_matches(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     repeated = lines.join(first, "node").where((F.col("uid") != F.col("first.uid")) | (F.col("place") != F.col("first.place")))
     firsts = first.join(gone, "node").select("first.uid", "first.place")
-    every = repeated.select("uid", "place").unionByName(firsts)
-    out = settle(every.groupBy("uid").agg(F.collect_set("place").alias("places")))
+    out = settle(repeated.select("uid", "place").unionByName(firsts).distinct())
+    counted = settle(dealt.where("token IS NULL AND place IS NULL").select("uid", "n"))
     discard(dealt, first, matched)
-    return out
+    return out, counted
+
+
+def line_keys(uids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """64-bit names of lines."""
+    return signed(mixed(mixed(uids.astype(np.int64).view(np.uint64)) + places.astype(np.uint64)))
+
+
+class LostLines:
+    """Which lines of a document go, told by filters of bounded size: the first passes all lines that go, the second all others that
+    the first passes, the third all lines that go and that the second passes. What the third passes is in doubt: the last
+    filter passes all documents with such lines, whose places have to be looked up.
+    """
+
+    def __init__(self, filters: list[np.ndarray]):
+        self.go, self.stay, self.back, self.doubt = (KeyFilter(f) for f in filters)
+
+    def places(self, uids: np.ndarray, n: np.ndarray) -> list[np.ndarray | None]:
+        """Places of the lines that go; none: null; for a document in doubt -1."""
+        of = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        keys = line_keys(uids[of], place)
+        gone = np.flatnonzero(self.go.has(keys))
+        gone = gone[~self.stay.has(keys[gone]) | self.back.has(keys[gone])]
+        at = np.searchsorted(of[gone], np.arange(len(n) + 1))
+        place = place[gone].astype(np.int32)
+        found = [place[i:j] if j > i else None for i, j in zip(at[:-1], at[1:])]
+        for i in np.flatnonzero(self.doubt.has(uids)):
+            found[i] = np.array([-1], np.int32)
+        return found
+
+
+def lost_lines(lost: DataFrame, counted: DataFrame) -> list[np.ndarray]:
+    """The filters of :class:`LostLines`, from the lines that go (uid, place) and the number ``n`` of lines of each ``uid``."""
+    spark = lost.sparkSession
+
+    def filter_of(df, run=None, kind="key long"):
+        found = df.mapInArrow(run, kind) if run else df
+        return KeyFilter.of(found, filter_bits(df.count()))
+
+    def keys(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(line_keys(*(b.column(i).to_numpy() for i in (0, 1))))], names=["key"])
+
+    def passing(known):
+        def run(batches):
+            has = KeyFilter(known.value).has
+            for b in batches:
+                yield b.filter(pa.array(has(line_keys(*(b.column(i).to_numpy() for i in (0, 1))))))
+
+        return run
+
+    def every_line(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                uids, n = (c.to_numpy() for c in batch.slice(i, 4096).columns)
+                places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(uids, n)), pa.array(places.astype(np.int32))], names=["uid", "place"])
+
+    def through(df, known, first=None):
+        ask = passing(spark.sparkContext.broadcast(known.words))
+        return df.mapInArrow(lambda batches: ask(first(batches) if first else batches), "uid long, place int")
+
+    go = filter_of(lost, keys)
+    wrong = settle(through(counted, go, every_line).join(lost, ["uid", "place"], "left_anti"))
+    stay = filter_of(wrong, keys)
+    missed = settle(through(lost, stay))
+    back = filter_of(missed, keys)
+    doubt = settle(missed.unionByName(through(wrong, back)).select("uid").distinct())
+    made = [f.words for f in (go, stay, back, filter_of(doubt))]
+    discard(wrong, missed, doubt)
+    return made
 
 
 def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -303,10 +386,27 @@ def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     uid, lost = fresh_name(docs, "_uid"), fresh_name(docs, "_gone")
     rows = with_row_id(docs.select(*kept), key, text, uid)
-    gone = later_matches(rows.select(F.col(uid).alias("_uid"), F.col(text).alias("text")), k, percent)
-    full = rows.join(gone.select(F.col("uid").alias(uid), F.col("places").alias(lost)), uid, "left")
-    gone = F.col(lost)
+    gone, counted = later_matches(rows.select(F.col(uid).alias("_uid"), F.col(text).alias("text")), k, percent)
+    shared = docs.sparkSession.sparkContext.broadcast(lost_lines(gone, counted))
+
+    @F.pandas_udf("boolean")
+    def in_doubt(uids: pd.Series) -> pd.Series:
+        return pd.Series(KeyFilter(shared.value[3]).has(uids.to_numpy(np.int64)))
+
+    @F.pandas_udf("array<int>")
+    def places(uids: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(LostLines(shared.value).places(uids.to_numpy(np.int64), n.to_numpy(np.int64)), dtype=object)
+
+    # asked once a row: as a nondeterministic function it is not copied into the filter on it
+    places = places.asNondeterministic()
     whole = F.coalesce(F.col(text), F.lit(""))
+    breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
+    rows = rows.withColumn("n_lines", F.when(F.octet_length(whole) > 0, breaks + 1).otherwise(0).cast("long"))
+    # documents in doubt are few, unless more lines go than the filters have bits for; only these are shuffled
+    looked_up = gone.groupBy("uid").agg(F.collect_set("place").alias(lost)).withColumnRenamed("uid", uid)
+    sure = rows.withColumn(lost, places(uid, "n_lines")).where(F.coalesce(F.col(lost)[0] >= 0, F.lit(True)))
+    full = sure.unionByName(rows.where(in_doubt(uid)).join(looked_up, uid, "left").select(*sure.columns))
+    gone = F.col(lost)
     # the parts are bound once per row; without that every line would split the text again
     stay = F.transform(
         F.array(F.split(whole, "\n", -1)),
@@ -314,8 +414,6 @@ def remove_lines(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc
             F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), gone), lambda i: F.element_at(p, i + 1)), "\n"
         ),
     )[0]
-    breaks = F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))
-    full = full.withColumn("n_lines", F.when(F.octet_length(whole) > 0, breaks + 1).otherwise(0).cast("long"))
     full = full.withColumn("n_removed", F.when(gone.isNull(), F.lit(0)).otherwise(F.size(gone)).cast("long"))
     full = full.withColumn(text, F.when(gone.isNull(), whole).otherwise(stay))
     return full.select(*kept, "n_lines", "n_removed")

@@ -139,8 +139,9 @@ def test_only_recurring_tokens_are_dealt(spark):
     counts, recurring = line_dedup.token_statistics(frame, 5, 1024)
     assert counts.sum() == 16 * len(rows)
     found = line_dedup.prefixes(frame, counts, recurring, 5, 80).collect()
-    assert sorted(r["uid"] for r in found if r["token"] is None) == list(range(len(rows)))
-    node_of = {r["uid"]: r["node"] for r in found if r["token"] is None}
+    assert sorted((r["uid"], r["n"]) for r in found if r["place"] is None and r["token"] is None) == [(i, 1) for i, _ in rows]
+    assert sorted(r["uid"] for r in found if r["place"] is not None) == [i for i, _ in rows]
+    node_of = {r["uid"]: r["node"] for r in found if r["place"] is not None}
     tokens = [r for r in found if r["token"] is not None]
     # of 16 tokens the first 4 are looked at; one of a copy and its original comes once
     assert {r["node"] for r in tokens} == {node_of[i] for i in [*range(20), *range(300, 320)]}
@@ -157,6 +158,27 @@ def test_line_dedup_with_a_full_filter(docs, k, percent, monkeypatch):
     assert got == {i: (t, n) for i, t, n in samples.without_later_lines(ROWS, k, percent)}
 
 
+@pytest.mark.parametrize("bits", [8, 256])
+def test_line_dedup_with_full_line_filters(docs, bits, monkeypatch):
+    """With few bits the filters of lines that go leave some documents, or all, in doubt; those are looked up."""
+    monkeypatch.setattr(line_dedup, "filter_bits", lambda keys: bits * 16)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.remove_lines(docs, 5, 80).collect()}
+    assert got == {i: (t, n) for i, t, n in samples.without_later_lines(ROWS, 5, 80)}
+
+
+def test_line_dedup_shuffles_no_text(spark):
+    """Only documents in doubt meet their places in a join; the others are told by filters."""
+    rows = [(i, f"{t}\n\n{t}\nline {i} of its own") for i, t in _lines_of_rare_words(200, 20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gone, counted = line_dedup.later_matches(frame.select(F.col("doc_id").alias("_uid"), "text"), 5, 80)
+    lost = {(r["uid"], r["place"]) for r in gone.collect()}
+    assert {r["uid"]: r["n"] for r in counted.collect()} == {i: 4 for i, _ in rows}
+    assert len(lost) == 220 + 20
+    told = line_dedup.LostLines(line_dedup.lost_lines(gone, counted))
+    found = told.places(np.arange(len(rows)), np.full(len(rows), 4))
+    assert {(i, p) for i, x in enumerate(found) for p in x.tolist()} == lost
+
+
 def test_line_dedup_of_edited_lines(spark):
     """Lines with 0 to 8 words of 24 changed, whose similarity is on both sides of the limit."""
     rng = np.random.default_rng(12)
