@@ -10,7 +10,7 @@ tokens, so they share one among the first n - ceil(percent n / 100) + 1 tokens o
 shared token, and the recurring tokens of the prefixes from it on, limit what can still be shared (positional filter), and
 sizes must be close (length filter). Pairs that pass are verified on the whole sets.
 
-Which tokens recur is found by a shuffle of sorted 40-bit marks, about 2.5 bytes a token, and travels as a filter of at most
+Which tokens recur is found by a shuffle of sorted 40-bit marks, packed as differences, and travels as a filter of at most
 ``MOST_BITS`` bits. The filter never misses a recurring token, so tokens outside it are shared by no other line and are not
 shuffled. When more recur than it has bits for, it takes tokens that come once for recurring: more is shuffled, nothing is lost.
 
