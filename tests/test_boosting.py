@@ -129,3 +129,32 @@ def test_a_pass_evaluates_few_trees(spark, monkeypatch):
     monkeypatch.setattr(boosting, "_histograms", lambda rows, k, width, grown, *rest: seen.append(len(grown[0])) or histograms(rows, k, width, grown, *rest))
     boosting.fit_side_by_side(spark.createDataFrame(frame(100)), ["a", "b", "c"], "y", {"it": Boosting(rounds=12, depth=1)}, bins=8)
     assert len(seen) == 12 and max(seen) < 5
+
+
+def test_rows_are_kept_many_to_a_record(spark, monkeypatch):
+    """A pass hands Python a few records, whatever the rows, and no sums by cell go through a shuffle of rows."""
+    kept, settle = [], boosting.settle
+    monkeypatch.setattr(boosting, "settle", lambda df, **options: kept.append(settle(df, **options)) or kept[-1])
+    df = spark.range(40_000).selectExpr("rand(1) AS a", "rand(2) AS b", "rand(3) AS c", "rand(4) + rand(5) AS y").repartition(3)
+    monkeypatch.setattr(boosting, "discard", lambda *frames: None)
+    boosting.fit_side_by_side(df, ["a", "b", "c"], "y", {"it": Boosting(rounds=4, depth=2)})
+    assert len(kept) >= 2 and all(rows.count() <= 3 + 40_000 // 10_000 for rows in kept)
+
+
+def test_sums_merged_by_node_give_the_same_trees(spark, monkeypatch):
+    df = spark.createDataFrame(frame(900, 3)).repartition(5)
+    growth = {"deep": Boosting(rounds=4, depth=4, rate=0.5), "even": Boosting(rounds=3, depth=3, symmetric=True)}
+    by_driver = boosting.fit_side_by_side(df, ["a", "b", "c"], "y", growth, bins=20)
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(boosting, "_CHUNK_ROWS", 37)
+    by_tasks = boosting.fit_side_by_side(df, ["a", "b", "c"], "y", growth, bins=20)
+    for name in growth:
+        assert [n[:4] for n in by_driver[name].nodes()] == [n[:4] for n in by_tasks[name].nodes()]
+        values = [[n[4] or 0.0 for n in found[name].nodes()] for found in (by_driver, by_tasks)]
+        assert np.allclose(*values)
+
+
+def test_more_bins_than_a_byte_holds(spark):
+    df = spark.range(3000).selectExpr("CAST(id AS double) AS a", "CAST(id AS double) AS y")
+    model = boosting.fit_side_by_side(df, ["a"], "y", {"it": Boosting(rounds=1, depth=9, rate=1.0, reg=0.0)}, bins=600)["it"]
+    assert len(model.edges[0]) > 300 and model.transform(df).selectExpr("max(abs(predicted - y)) AS e").first()["e"] < 6
