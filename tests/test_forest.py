@@ -93,3 +93,44 @@ def test_odd_inputs(spark):
     assert same.transform(spark.createDataFrame([(3.0, 0.0)], schema)).first()["predicted"] == pytest.approx(2.0)
     with pytest.raises(ValueError):
         RandomForest(["x"], "y").fit(spark.createDataFrame([(1.0, None)], schema))
+
+
+def test_few_rows_are_split_as_many(monkeypatch):
+    """Nodes of few rows, of which all ways to part the rows are scored, get the splits that sums by bin give, ties included."""
+    rng = np.random.default_rng(8)
+    x = np.stack([rng.integers(0, n, 900) for n in (9, 2, 30, 1)]).astype(np.uint8)
+    for y in (rng.integers(0, 3, 900) * 1.0, rng.exponential(5.0, 900).round(1) - 5):
+        w = rng.integers(1, 4, 900).astype(np.uint8)
+        found = []
+        for few in (1, 3, 8):
+            monkeypatch.setattr(forest, "_FEW_ROWS", few)
+            tree = forest.grow(x, y, w, 32, 30)
+            found.append((len(tree.feature), tree.value[tree.ends(x)]))
+        assert found[0][0] == found[1][0] == found[2][0] > 300
+        assert np.allclose(found[0][1], found[1][1]) and np.allclose(found[0][1], found[2][1])
+
+
+def test_a_pass_serves_all_trees(spark, monkeypatch):
+    """Passes over the rows do not multiply with the groups of trees that are shuffled, and sums may be merged by tasks."""
+    passes, histograms = [], forest._histograms
+    monkeypatch.setattr(forest, "_histograms", lambda rows, k, width, tops, *rest: passes.append(len(tops)) or histograms(rows, k, width, tops, *rest))
+    monkeypatch.setattr(forest, "SMALL_ROWS", 60)
+    df = spark.createDataFrame(frame()).repartition(3)
+    done = []
+    for group, driver in ((10**6, forest.GROUP_ROWS), (1300, 0)):
+        monkeypatch.setattr(forest, "GROUP_ROWS", group)
+        monkeypatch.setattr("sensorloom.operators.boosting.DRIVER_BYTES", driver)
+        passes.clear()
+        model = RandomForest(["a", "b", "c", "k"], "y", trees=6, depth=5).fit(df)
+        assert len(passes) <= 5 and passes[0] == 6
+        done.append(model.transform(df).toPandas().set_index("i").sort_index()["predicted"])
+    assert len(model.tops) == 3 and np.allclose(*done)
+
+
+def test_draws_by_the_first_bits_are_those_by_all():
+    z = np.random.default_rng(2).integers(0, 1 << 63, 100_000).astype(np.uint64) * np.uint64(2)
+    edges = (forest._POISSON[:6] * 2.0**53).astype(np.uint64) << np.uint64(11)
+    for some in (z, edges, edges - np.uint64(1 << 11), edges + np.uint64(1 << 11)):
+        first = forest._BY_START[(some >> np.uint64(48)).astype(np.int64)]
+        assert ((first == 255) | (first == forest._poisson(some))).all()
+    assert (forest._BY_START == 255).sum() < 20
